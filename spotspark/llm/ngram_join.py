@@ -149,7 +149,7 @@ def _groups(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
 
 
 def _postings(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
-    """(shingle, gid, n): the prefix of each group's first document."""
+    """(shingle, gid, n, at): the prefix of each group's first document, and the place of each shingle in the order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rare = sketch.value
@@ -160,9 +160,11 @@ def _postings(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
                 own = owner(bounds)
                 order, inside = _prefix_mask(s, bounds, rare, percent)
                 whose = own[inside]
-                yield pa.RecordBatch.from_arrays([_signed(s[order][inside]), pa.array(ids[i:j][whose]), pa.array(np.diff(bounds)[whose].astype(np.int32))], names=["shingle", "gid", "n"])
+                place = (np.arange(len(s)) - bounds[:-1][own])[inside]
+                columns = [_signed(s[order][inside]), pa.array(ids[i:j][whose]), pa.array(np.diff(bounds)[whose].astype(np.int32)), pa.array(place.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["shingle", "gid", "n", "at"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "shingle long, gid long, n int")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "shingle long, gid long, n int, at int")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -211,6 +213,17 @@ def components(edges: DataFrame) -> DataFrame:
             return state
 
 
+def _fits(na: str, pa_: str, nb: str, pb: str, percent: int):
+    """Whether a shingle at these places can be the first one that two sets of these sizes share, if they link.
+
+    They must share alpha = ceil(t / (1 + t) (na + nb)), all of them at this place or after it. The first shared shingle of
+    any pair that links passes, so the pair is found there.
+    """
+    a, b, p, q = F.col(na), F.col(nb), F.col(pa_), F.col(pb)
+    alpha = F.ceil((F.lit(percent) * (a + b)) / F.lit(float(100 + percent)) - F.lit(1e-9))
+    return (a - p >= alpha) & (b - q >= alpha)
+
+
 def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs."""
     spark = docs.sparkSession
@@ -229,12 +242,11 @@ def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT
     # lists of two groups or more, with the first group of the list
     post = _postings(keep_ids(docs, leaders, "doc_id"), sketch, n, percent)
     same = Window.partitionBy("shingle")
-    live = post.withColumn("c", F.count("*").over(same)).where("c > 1").withColumn("head", F.min(F.struct("gid", "n")).over(same))
-    live = save(live.select("shingle", "gid", "n", F.col("head.gid").alias("center"), F.col("head.n").alias("center_n")), "join-live")
+    live = post.withColumn("c", F.count("*").over(same)).where("c > 1").withColumn("head", F.min(F.struct("gid", "n", "at")).over(same))
+    live = save(live.select("shingle", "gid", "n", "at", F.col("head.gid").alias("center"), F.col("head.n").alias("center_n"), F.col("head.at").alias("center_at")), "join-live")
 
     # stars
-    fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
-    votes = live.where((F.col("gid") != F.col("center")) & fits(F.col("n"), F.col("center_n"))).groupBy("gid", "center").agg(F.count("*").alias("v"))
+    votes = live.where((F.col("gid") != F.col("center")) & _fits("n", "at", "center_n", "center_at", percent)).groupBy("gid", "center").agg(F.count("*").alias("v"))
     stars = votes.groupBy("gid").agg(F.max_by("center", F.struct("v", -F.col("center"))).alias("center")).select(F.col("center").alias("a"), F.col("gid").alias("b"))
     own = grouped.where("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
     sure = save(linked(docs, stars.unionByName(own), n, percent), "join-sure")
@@ -244,15 +256,15 @@ def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT
     placed = save(grouped.join(part, grouped["rep"] == part["id"], "left").select("rep", "gid", "n", F.coalesce("component", "rep").alias("component")), "join-placed")
     kinds = placed.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     kinds = kinds.select("gid", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(-1 - F.col("gid")).alias("kind"))
-    lists = live.select("shingle", "gid", "n").join(kinds, "gid")
+    lists = live.select("shingle", "gid", "n", "at").join(kinds, "gid")
     each = save(lists, "join-lists")
     mixed = each.groupBy("shingle").agg(F.min("kind").alias("lo"), F.max("kind").alias("hi")).where("lo <> hi").select("shingle")
     each = save(each.join(mixed, "shingle"), "join-mixed")
     lanes = each.select("shingle", "kind").distinct()
     lanes = lanes.join(lanes.withColumnRenamed("kind", "other"), "shingle").where("kind < other")
-    left = each.select("shingle", "kind", F.col("gid").alias("ga"), F.col("n").alias("na"))
-    right = each.select("shingle", F.col("kind").alias("other"), F.col("gid").alias("gb"), F.col("n").alias("nb"))
-    across = lanes.join(left, ["shingle", "kind"]).join(right, ["shingle", "other"]).where(fits(F.col("na"), F.col("nb"))).select("ga", "gb").distinct()
+    left = each.select("shingle", "kind", F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("at").alias("pa"))
+    right = each.select("shingle", F.col("kind").alias("other"), F.col("gid").alias("gb"), F.col("n").alias("nb"), F.col("at").alias("pb"))
+    across = lanes.join(left, ["shingle", "kind"]).join(right, ["shingle", "other"]).where(_fits("na", "pa", "nb", "pb", percent)).select("ga", "gb").distinct()
     split = kinds.where("kind < 0").select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))
     pairs = across.unionByName(split)
     seat = placed.select("rep", "gid", "component")
