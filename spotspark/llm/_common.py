@@ -109,8 +109,11 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, in
         i = j
 
 
-def words(data: np.ndarray, at: np.ndarray, apart: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of a block: (hash, start byte, end byte, index of each text's first word and the end). A-Z count as a-z."""
+def words(data: np.ndarray, at: np.ndarray, apart: np.ndarray = SPACE, most: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a block: (hash, start byte, end byte, index of each text's first word and the end). A-Z count as a-z.
+
+    most: hash the first so many code points of each word only, and give 0 to words that have no more than that.
+    """
     low = _LOWER[data]
     word = ~apart[low]
     first = word.copy()
@@ -123,8 +126,15 @@ def words(data: np.ndarray, at: np.ndarray, apart: np.ndarray = SPACE) -> tuple[
         return np.zeros(0, np.uint64), none, none, np.zeros(len(at), np.int64)
     power, inverse = _power(len(data) + 1)
     with np.errstate(over="ignore"):
-        terms = np.where(word, _BYTE[low] * power[: len(data)], np.uint64(0))
+        part = word
+        if most:
+            begun = np.cumsum((low & 0xC0) != 0x80)  # code points begun so far
+            base = np.concatenate([np.zeros(starts[0], begun.dtype), np.repeat(begun[starts] - 1, np.diff(starts, append=len(data)))])
+            part = word & (begun - base <= most)
+        terms = np.where(part, _BYTE[low] * power[: len(data)], np.uint64(0))
         hashed = mix(np.add.reduceat(terms, starts) * inverse[starts])
+        if most:
+            hashed[np.add.reduceat((word & ~part).astype(np.int64), starts) == 0] = 0
     lengths = np.add.reduceat(word.astype(np.int64), starts)
     return hashed, starts, starts + lengths, np.searchsorted(starts, at)
 

@@ -1,6 +1,6 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine, found through a block-max inverted index.
 
-Terms are those that speak most for the label (signed chi-square over a bounded sample of labelled rows); their document
+Terms are words and the beginnings of words; used are those that speak most for the label (signed chi-square over a bounded sample of labelled rows); their document
 counts are taken over all documents. Examples with the same vector are one entry that holds how many there are and how many of
 them are toxic. Entries lie in blocks; for each term the index has the greatest weight in each block, so blocks whose upper
 bound falls below the k-th best cosine are skipped: the k best are exact. Votes weighted by cosine are turned into
@@ -27,6 +27,11 @@ from ._common import BROADCAST_ROWS, NOT_ALNUM, blocks, owner, save, strings, wo
 
 #: Most labelled rows that examples are taken from, terms, neighbours, entries in a block.
 FIT_ROWS, TERMS, K, BLOCK = 12_000, 384, 15, 64
+#: Code points of the word beginnings that are terms beside the words, and the least chi-square of a term.
+STEM, LEAST_CHI = 5, 25.0
+#: Weight of one term that every text with terms has, in mean idf: with it a cosine tells one mention from many.
+BIAS = 2.0
+_STEM_MARK = np.uint64(0xA5A5A5A5A5A5A5A5)
 PRIOR_WEIGHT = 0.25
 THRESHOLD = 0.3
 
@@ -51,7 +56,7 @@ class Index:
         self.matrix = [self.matrix[e] for e in order]
         self.count, self.toxic, self.example = self.count[order], self.toxic[order], self.example[order]
         n_blocks = -(-len(order) // BLOCK)
-        self.most = np.zeros((len(self.terms), n_blocks), np.float32)
+        self.most = np.zeros((len(self.terms) + 1, n_blocks), np.float32)
         self.postings: dict[tuple[int, int], tuple[list, list]] = {}
         for e, (t, w) in enumerate(self.matrix):
             for x, y in zip(t, w, strict=True):
@@ -62,8 +67,8 @@ class Index:
         self.postings = {k: (np.array(a), np.array(b)) for k, (a, b) in self.postings.items()}
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        w = (1 + np.log(counts)) * self.idf[terms]
-        return terms, w / np.sqrt((w * w).sum())
+        w = np.append((1 + np.log(counts)) * self.idf[terms], BIAS * self.idf.mean())
+        return np.append(terms, len(self.terms)), w / np.sqrt((w * w).sum())
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(entries, cosines, votes each): the entries of the k nearest examples and all that tie with the last. skip: an
@@ -131,12 +136,18 @@ def _found(column: pa.Array, terms: np.ndarray) -> Iterator[tuple[int, int, np.n
     """(first, end, text, term, count) of the terms in blocks of texts."""
     for i, j, data, at in blocks(pc.utf8_lower(strings(column))):
         hashed, _, _, bounds = words(data, at, NOT_ALNUM)
+        stems = words(data, at, NOT_ALNUM, STEM)[0]
+        hashed, whose = np.concatenate([hashed, np.where(stems == 0, stems, stems ^ _STEM_MARK)]), np.tile(owner(bounds), 2)
         place = np.minimum(np.searchsorted(terms, hashed), len(terms) - 1)
         hit = np.flatnonzero(terms[place] == hashed) if len(terms) else np.zeros(0, np.int64)
-        key, n = np.unique(owner(bounds)[hit] * len(terms) + place[hit], return_counts=True)
+        key, n = np.unique(whose[hit] * len(terms) + place[hit], return_counts=True)
         yield i, j, key // max(1, len(terms)), key % max(1, len(terms)), n
 
 
+def _hash(term: str) -> int:
+    return word_hash(term[:-1]) ^ int(_STEM_MARK) if term.endswith("*") else word_hash(term)
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FIT_ROWS, terms: int = TERMS) -> Index:
     """labels: (doc_id, label) rows to learn from. At most `rows` of them (least hashes) are examples."""
     assert rows <= BROADCAST_ROWS
@@ -147,12 +158,14 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     n, p = total["n"], total["p"]
     if not n:
         return Index(np.zeros(0, np.uint64), np.zeros(0))
-    each = examples.select("y", F.explode(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), SPLIT))).alias("term")).where("term <> ''")
+    each = examples.select("y", F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), SPLIT)).alias("w"))
+    stems = F.transform(F.filter("w", lambda w: F.length(w) > STEM), lambda w: F.concat(F.substring(w, 1, STEM), F.lit("*")))
+    each = each.select("y", F.explode(F.array_distinct(F.concat("w", stems))).alias("term")).where("term <> ''")
     seen = each.groupBy("term").agg(F.count("*").alias("c"), F.sum("y").alias("t")).where("c >= 4")
     # 2 x 2 table of term and label; only terms that are commoner among the toxic
-    chi = F.pow(F.col("t") * F.lit(float(n)) - F.col("c") * F.lit(float(p)), F.lit(2.0)) / (F.col("c") * (F.lit(float(n)) - F.col("c")) + F.lit(1.0))
-    best = seen.where(F.col("t") * float(n) > F.col("c") * float(p)).orderBy(chi.desc(), "term").limit(terms).collect()
-    hashes = np.array(sorted({word_hash(r["term"]) for r in best}), np.uint64)
+    chi = F.pow(F.col("t") * F.lit(float(n)) - F.col("c") * F.lit(float(p)), F.lit(2.0)) / (F.col("c") * (F.lit(float(n)) - F.col("c")) + F.lit(1.0)) * F.lit(n / max(1.0, p * float(n - p)))
+    best = seen.where(chi >= LEAST_CHI).where(F.col("t") * float(n) > F.col("c") * float(p)).orderBy(chi.desc(), "term").limit(terms).collect()
+    hashes = np.array(sorted({_hash(r["term"]) for r in best}), np.uint64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, total_n = np.zeros(len(hashes), np.int64), 0
