@@ -34,6 +34,7 @@ N_WORDS, PERCENT = 5, 75
 #: Buckets of the rarity sketch, as bits: a fixed size (4 bytes each) whatever the input.
 SKETCH_BITS = 20
 _CHUNK = 1 << 13
+_BITS = ("b0", "b1", "b2", "b3")
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, n: int = N_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +126,8 @@ def _prefix_mask(s: np.ndarray, bounds: np.ndarray, sketch: np.ndarray, percent:
 
 
 def _groups(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
-    """(rep, n, g1, g2, bitmap): g1, g2 name the prefix; bitmap holds the parity of shingles by hash bucket."""
+    """(rep, n, g1, g2, bitmap, b0 .. b3): g1, g2 name the prefix; bitmap holds the parity of shingles by hash bucket (a bit for each
+    shingle or more), b0 .. b3 the same in 256 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rare = sketch.value
@@ -142,10 +144,12 @@ def _groups(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
                 first = np.concatenate([[0], np.cumsum(bits)])
                 place = first[own] + (s & (bits[own] - 1).astype(np.uint64)).astype(np.int64)
                 packed = np.packbits((np.bincount(place, minlength=first[-1]) & 1).astype(np.uint8)).tobytes()
+                few = np.bincount(own * 256 + (s & np.uint64(255)).astype(np.int64), minlength=256 * len(size)) & 1
+                few = np.packbits(few.astype(np.uint8)).view(np.int64).reshape(-1, 4)
                 maps = [packed[a // 8 : b // 8] for a, b in zip(first[:-1], first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(size), _signed(g1), _signed(g2), pa.array(maps, pa.binary())], names=["rep", "n", "g1", "g2", "bitmap"])
+                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(size), _signed(g1), _signed(g2), pa.array(maps, pa.binary()), *(pa.array(few[:, k]) for k in range(4))], names=["rep", "n", "g1", "g2", "bitmap", *_BITS])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "rep long, n long, g1 long, g2 long, bitmap binary").where("n > 0")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "rep long, n long, g1 long, g2 long, bitmap binary, b0 long, b1 long, b2 long, b3 long").where("n > 0")
 
 
 def _postings(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
@@ -219,9 +223,13 @@ def _fits(na: str, pa_: str, nb: str, pb: str, percent: int):
     They must share alpha = ceil(t / (1 + t) (na + nb)), all of them at this place or after it. The first shared shingle of
     any pair that links passes, so the pair is found there.
     """
-    a, b, p, q = F.col(na), F.col(nb), F.col(pa_), F.col(pb)
-    alpha = F.ceil((F.lit(percent) * (a + b)) / F.lit(float(100 + percent)) - F.lit(1e-9))
-    return (a - p >= alpha) & (b - q >= alpha)
+    alpha = _shared(na, nb, percent)
+    return (F.col(na) - F.col(pa_) >= alpha) & (F.col(nb) - F.col(pb) >= alpha)
+
+
+def _shared(na: str, nb: str, percent: int):
+    """Least number of shingles that sets of these sizes share if they link."""
+    return F.ceil((F.lit(percent) * (F.col(na) + F.col(nb))) / F.lit(float(100 + percent)) - F.lit(1e-9))
 
 
 def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -236,7 +244,7 @@ def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT
     groups = _groups(keep_ids(docs, keys, "doc_id"), sketch, n, percent)
     groups = save(groups, "join-groups")
     led = groups.groupBy("g1", "g2", "n").agg(F.min("rep").alias("gid"))
-    grouped = save(groups.join(led, ["g1", "g2", "n"]).select("rep", "gid", F.col("n").cast("int").alias("n"), "bitmap"), "join-grouped")
+    grouped = save(groups.join(led, ["g1", "g2", "n"]).select("rep", "gid", F.col("n").cast("int").alias("n"), "bitmap", *_BITS), "join-grouped")
     leaders = save(grouped.select("gid").distinct(), "join-leaders")
 
     # lists of two groups or more, with the first group of the list
@@ -253,22 +261,27 @@ def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT
     part = components(sure)
 
     # pairs across components
-    placed = save(grouped.join(part, grouped["rep"] == part["id"], "left").select("rep", "gid", "n", F.coalesce("component", "rep").alias("component")), "join-placed")
+    placed = save(grouped.join(part, grouped["rep"] == part["id"], "left").select("rep", "gid", "n", *_BITS, F.coalesce("component", "rep").alias("component")), "join-placed")
     kinds = placed.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     kinds = kinds.select("gid", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(-1 - F.col("gid")).alias("kind"))
-    lists = live.select("shingle", "gid", "n", "at").join(kinds, "gid")
-    each = save(lists, "join-lists")
-    mixed = each.groupBy("shingle").agg(F.min("kind").alias("lo"), F.max("kind").alias("hi")).where("lo <> hi").select("shingle")
-    each = save(each.join(mixed, "shingle"), "join-mixed")
-    lanes = each.select("shingle", "kind").distinct()
-    lanes = lanes.join(lanes.withColumnRenamed("kind", "other"), "shingle").where("kind < other")
-    left = each.select("shingle", "kind", F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("at").alias("pa"))
-    right = each.select("shingle", F.col("kind").alias("other"), F.col("gid").alias("gb"), F.col("n").alias("nb"), F.col("at").alias("pb"))
-    across = lanes.join(left, ["shingle", "kind"]).join(right, ["shingle", "other"]).where(_fits("na", "pa", "nb", "pb", percent)).select("ga", "gb").distinct()
-    split = kinds.where("kind < 0").select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))
-    pairs = across.unionByName(split)
-    seat = placed.select("rep", "gid", "component")
-    pairs = pairs.join(seat.toDF("a", "ga", "ca"), "ga").join(seat.toDF("b", "gb", "cb"), "gb").where("ca <> cb and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    lists = save(live.select("shingle", "gid", "n", "at").join(kinds, "gid"), "join-lists")
+    mixed = lists.groupBy("shingle").agg(F.min("kind").alias("lo"), F.max("kind").alias("hi"), F.min("n").alias("least")).where("lo <> hi").select("shingle", "least")
+    mixed = lists.join(mixed, "shingle").where(F.col("n") - F.col("at") >= _shared("n", "least", percent)).select("shingle", "gid", "at")
+    member = mixed.join(placed, "gid")
+    # in each list the members outside its largest component meet all others: never two of the largest
+    largest = member.groupBy("shingle", "component").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.max_by("component", F.struct("c", "component")).alias("major"))
+    member = save(member.join(largest, "shingle"), "join-members")
+    other = member.select("shingle", *[F.col(c).alias(f"o_{c}") for c in ("rep", "component", "n", "at", *_BITS)])
+    apart = sum((F.bit_count(F.col(k).bitwiseXOR(F.col(f"o_{k}"))) for k in _BITS[1:]), F.bit_count(F.col("b0").bitwiseXOR(F.col("o_b0"))))
+    size = F.col("n") + F.col("o_n")
+    once = (F.col("o_component") == F.col("major")) | (F.col("rep") < F.col("o_rep"))
+    meet = (F.col("component") != F.col("o_component")) & once & _fits("n", "at", "o_n", "o_at", percent) & (100 * (size - apart) >= percent * (size + apart))
+    minor = member.where("component <> major")
+    across = minor.join(other, (minor["shingle"] == other["shingle"]) & meet).select(F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b")).distinct()
+    # members of one group that are not in one component
+    split = placed.join(kinds.where("kind < 0").select("gid"), "gid").select("gid", "rep", "component")
+    inside = split.join(split.toDF("gid", "o_rep", "o_component"), "gid").where("rep < o_rep and component <> o_component").select(F.col("rep").alias("a"), F.col("o_rep").alias("b"))
+    pairs = across.unionByName(inside).where("a <> b").distinct()
 
     @F.pandas_udf("boolean")
     def possible(x: pd.Series, y: pd.Series, nx: pd.Series, ny: pd.Series) -> pd.Series:
