@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def barcode(groups: DataFrame, n_channels: int) -> DataFrame:
     """(cell, group) with mask and text; the first channel is the highest bit. groups: cell, group, channel, n."""
-    mask = F.sum(F.when(F.col("n") > 0, F.shiftleft(F.lit(1), (n_channels - 1 - F.col("channel")))).otherwise(0)).cast("long")
+    mask = F.sum(F.when(F.col("n") > 0, F.call_function("shiftleft", F.lit(1), (n_channels - 1 - F.col("channel")).cast("int"))).otherwise(0)).cast("long")
     out = groups.groupBy("cell", "group").agg(mask.alias("mask"), F.sum("n").cast("long").alias("n"))
     text = F.bin("mask")
     return out.withColumn("barcode", F.concat(F.lit("0b"), F.lpad(text, F.greatest(F.lit(n_channels), F.length(text)), F.lit("0"))))

@@ -263,7 +263,7 @@ def cluster_composition(df: DataFrame) -> DataFrame:
 
 def composition_wide(df: DataFrame, tags: list[str]) -> DataFrame:
     """G4, wide: explicit tags, so that the pivot needs no extra pass."""
-    return df.where(F.col("group") >= 0).groupBy("cell", "group").pivot("tag", tags).agg(F.count("*")).fillna(0)
+    return df.where(F.col("group") >= 0).groupBy("cell", "group").pivot("tag", tags).agg(F.count(F.lit(1))).fillna(0)
 
 
 def cluster_info(df: DataFrame) -> DataFrame:
