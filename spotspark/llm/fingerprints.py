@@ -1,6 +1,6 @@
 """Document fingerprints by content-defined chunking.
 
-A 64-character rolling gear hash marks boundaries; chunk sizes are normalised (a strict mask before the normal size, a
+A 32-character rolling gear hash marks boundaries; chunk sizes are normalised (a strict mask before the normal size, a
 loose one after it, with least and greatest sizes). The set of chunk digests, each weighted by the chunk's length,
 is the fingerprint; the weighted share of one set found in another measures containment. An edit changes only the chunks
 that it touches, wherever the rest moves to.
@@ -48,11 +48,12 @@ class Chunker:
         n = len(points)
         at = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) for t in texts], out=at[1:])
+        inside = np.arange(n, dtype=np.int32) - np.repeat(at[:-1], np.diff(at)).astype(np.int32)
         with np.errstate(over="ignore"):
             h = self.gear[points]
             for step in (1, 2, 4, 8, 16):  # sums of 32 shifted gears by doubling: the window is 32 characters
-                if n > step:
-                    h[step:] = h[step:] + (h[:-step] << np.uint32(step))
+                if n > step:  # never over the start of a text
+                    h[step:] += np.where(inside[step:] >= step, h[:-step] << np.uint32(step), np.uint32(0))
         far = n + self.most + 1
         top = np.uint32(32)
         where = np.arange(n, dtype=np.int32)
