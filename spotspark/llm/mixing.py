@@ -113,3 +113,16 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: f
     plan = save(plan, "mix-plan")
     small = plan.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     return docs.drop("copies", "taken").join(F.broadcast(plan) if small else plan, "doc_id")
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, (CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656 AS u FROM documents),
+own AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, sum(size) * 3.0::DOUBLE AS cap, [1.0::DOUBLE, 2.0, 3.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM d GROUP BY 1),
+lv AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS level FROM own WINDOW b AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+tg AS (SELECT source, source_size, least(cap, w * max(CASE WHEN level * w <= cap THEN level END) OVER ()) AS target FROM lv),
+r AS (SELECT d.*, source_size, target, least(3.0, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END) AS rate FROM d JOIN tg ON d.source IS NOT DISTINCT FROM tg.source),
+q AS (SELECT *, floor(rate) AS whole, rate - floor(rate) AS p FROM r),
+c AS (SELECT *, (u / (1 - u)) / (p / (1 - p)) AS odds, greatest(0, target - sum(whole * size) OVER (PARTITION BY source)) AS missing FROM q),
+o AS (SELECT *, sum(size) OVER (PARTITION BY source, p > 0 AND size > 0 ORDER BY odds, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM c)
+SELECT doc_id, size, source_size, target, CAST((whole + CASE WHEN p > 0 AND size > 0 AND (upto <= missing OR (upto - size < missing AND upto - missing <= missing - (upto - size))) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken,
+  CAST(whole + CASE WHEN p > 0 AND size > 0 AND (upto <= missing OR (upto - size < missing AND upto - missing <= missing - (upto - size))) THEN 1 ELSE 0 END AS BIGINT) AS copies FROM o"""
