@@ -112,10 +112,10 @@ def control_envelope(controls: DataFrame, value: str = "k") -> DataFrame:
 
 
 def ripley_normalized(curves: DataFrame, envelope: DataFrame, value: str = "k") -> DataFrame:
-    """M7: (K - mean) over the width of the envelope on its side; null where that is 0."""
+    """M7: (K - mean) over the width of the envelope on its side; null where that is 0 but for rounding."""
     d = F.col(value) - F.col("mean")
     side = F.when(d >= 0, F.abs(F.col("hi") - F.col("mean"))).otherwise(F.abs(F.col("lo") - F.col("mean")))
-    return curves.join(envelope, ["cell", "a", "b", "r"]).withColumn("norm", d / F.nullif(side, F.lit(0.0)))
+    return curves.join(envelope, ["cell", "a", "b", "r"]).withColumn("norm", F.when(side > F.lit(1e-9) * F.abs(F.col("mean")), d / side))
 
 
 def curve_integral(df: DataFrame, value: str, keys: tuple[str, ...] = ("cell", "a", "b")) -> DataFrame:

@@ -93,7 +93,7 @@ def _(d):
     return frames.scale_columns(d, ["sx_raw", "sy_raw"], 2.5).select("loc_id", r6("sx_raw").alias("sx_raw"), r6("sy_raw").alias("sy_raw"))
 
 
-@query("sample_frames", "SELECT loc_id, frame FROM locs WHERE frame >= 144 AND (frame - 144) % 144 = 0")
+@query("sample_frames", "SELECT loc_id, frame FROM locs WHERE frame >= 144 AND frame < 1296 AND (frame - 144) % 144 = 0")
 def _(d):
     return frames.sample_frames(d, N_FRAMES, 10, 10).select("loc_id", "frame")
 
@@ -514,7 +514,7 @@ def _(d):
     return ripley.control_envelope(_controls(d)).select("cell", "a", "b", "r", *[F.round(c, 4).alias(c) for c in ("mean", "lo", "hi")])
 
 
-_NORM = _CTRL + ", nm AS (SELECT c.cell, c.a, c.b, c.r, (c.k - mean) / nullif(CASE WHEN c.k >= mean THEN abs(hi - mean) ELSE abs(lo - mean) END, 0) AS norm FROM curve c JOIN env e ON e.cell = c.cell AND e.a = c.a AND e.b = c.b AND e.r = c.r)"
+_NORM = _CTRL + ", nm AS (SELECT c.cell, c.a, c.b, c.r, CASE WHEN CASE WHEN c.k >= mean THEN abs(hi - mean) ELSE abs(lo - mean) END > 1e-9 * abs(mean) THEN (c.k - mean) / CASE WHEN c.k >= mean THEN abs(hi - mean) ELSE abs(lo - mean) END END AS norm FROM curve c JOIN env e ON e.cell = c.cell AND e.a = c.a AND e.b = c.b AND e.r = c.r)"
 
 
 def _normalized(d: DataFrame) -> DataFrame:
