@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 #: Most rows of one long column that are broadcast; beyond it the same join runs as a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Bytes of text that are hashed at once.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
+#: Most rows of one batch between Spark and a Python worker: both sides hold a batch, and texts may be long.
+BATCH_ROWS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,6 +46,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow with the session's batches held to BATCH_ROWS rows; a smaller setting of the session stays."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def keep_ids(df: DataFrame, ids: DataFrame, key: str, keep: bool = True) -> DataFrame:
     """Rows of df whose key is (keep) or is not in the one-column table ids, which should be a saved table.
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import _GOLD, mix, strings
+from ._common import _GOLD, map_arrow, mix, strings
 
 LEAST, NORMAL, MOST = 8, 24, 63
 STRICT_BITS, LOOSE_BITS = 5, 3
@@ -149,7 +149,7 @@ def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint") ->
             got = pa.array([encode(x) for x in cut.chunks(texts)], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, got], names=[*batch.schema.names, out])
 
-    return kept.mapInArrow(run, schema)
+    return map_arrow(kept, run, schema)
 
 
 def _bounds(df: DataFrame, key: str, parts: int) -> list[int]:
@@ -240,4 +240,4 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         if len(kept) > 1:
             yield done(kept)
 
-    return ordered.mapInArrow(run, EDITED)
+    return map_arrow(ordered, run, EDITED)

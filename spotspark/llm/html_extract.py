@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BROADCAST_ROWS, save, strings
+from ._common import BROADCAST_ROWS, map_arrow, save, strings
 
 #: Most pages of a host that its wrapper is inferred from.
 PAGES = 6
@@ -231,4 +231,4 @@ def extract(pages: DataFrame, most: int = PAGES) -> DataFrame:
                 out.append(text)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return joined.mapInArrow(run, pages.select("page_id", "url").schema.add("text", "string").add("n_chars", "long"))
+    return map_arrow(joined, run, pages.select("page_id", "url").schema.add("text", "string").add("n_chars", "long"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import save, strings
+from ._common import map_arrow, save, strings
 
 #: Opening notices of public licenses.
 TEMPLATES = {
@@ -59,7 +59,7 @@ def line_counts(files: DataFrame) -> tuple[int, np.ndarray]:
                             df[place[w]] += 1
         yield pa.RecordBatch.from_arrays([pa.array([*range(len(df)), -1], pa.int32()), pa.array([*df, lines], pa.int64())], names=["word", "n"])
 
-    got = {r["word"]: r["n"] for r in files.select("text").mapInArrow(run, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()}
+    got = {r["word"]: r["n"] for r in map_arrow(files.select("text"), run, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()}
     return got.get(-1, 0), np.array([got.get(i, 0) for i in range(len(place))])
 
 
@@ -105,7 +105,7 @@ def scan(files: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=["doc_id", "path", "own_license", "cosine"])
 
     rows = files.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("path", F.lit("")).alias("path"), "text")
-    rows = rows.mapInArrow(run, "doc_id long, path string, own_license string, cosine double")
+    rows = map_arrow(rows, run, "doc_id long, path string, own_license string, cosine double")
     rows = save(rows.withColumn("dir", F.regexp_replace("path", r"/?[^/]*$", "")), "licenses")
     name = F.regexp_extract("path", r"[^/]*$", 0)
     stated = rows.where(F.col("own_license").isNotNull() & name.rlike(_FILE)).groupBy("dir").agg(F.max_by("own_license", F.struct("cosine", "own_license", "path")).alias("stated"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import _GOLD, SPACE, blocks, keep_ids, mix, owner, save, strings, words
+from ._common import _GOLD, SPACE, blocks, keep_ids, map_arrow, mix, owner, save, strings, words
 
 N_WORDS, PERCENT = 5, 75
 #: Buckets of the rarity sketch, as bits: a fixed size (4 bytes each) whatever the input.
@@ -92,14 +92,14 @@ def _members_and_sketch(docs: DataFrame, n: int) -> DataFrame:
             ids = batch.column(0)
             for i, j, data, at in blocks(strings(batch.column(1))):
                 s, bounds = shingle_sets(data, at, n)
-                counts += np.bincount(s >> np.uint64(64 - SKETCH_BITS), minlength=len(counts)).astype(np.uint32)
+                np.add.at(counts, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
                 none = [pa.nulls(j - i, k) for k in kinds[4:]]
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(np.diff(bounds)), _signed(_sums(mix(s), bounds)), _signed(_sums(mix(s ^ _GOLD), bounds)), *none], names=names)
         for c in np.flatnonzero(counts.reshape(-1, _CHUNK).any(axis=1)):
             own = [pa.nulls(1, k) for k in kinds[:4]]
             yield pa.RecordBatch.from_arrays([*own, pa.array([c], pa.int32()), pa.array([counts[c * _CHUNK : (c + 1) * _CHUNK].tobytes()], pa.binary())], names=names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, k1 long, k2 long, chunk int, counts binary")
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n long, k1 long, k2 long, chunk int, counts binary")
 
 
 def _sketch(parts: DataFrame) -> np.ndarray:
@@ -149,7 +149,7 @@ def _groups(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
                 maps = [packed[a // 8 : b // 8] for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(size), _signed(g1), _signed(g2), pa.array(maps, pa.binary()), *(pa.array(few[:, k]) for k in range(4))], names=["rep", "n", "g1", "g2", "bitmap", *_BITS])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "rep long, n long, g1 long, g2 long, bitmap binary, b0 long, b1 long, b2 long, b3 long").where("n > 0")
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "rep long, n long, g1 long, g2 long, bitmap binary, b0 long, b1 long, b2 long, b3 long").where("n > 0")
 
 
 def _postings(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
@@ -168,7 +168,7 @@ def _postings(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
                 columns = [_signed(s[order][inside]), pa.array(ids[i:j][whose]), pa.array(np.diff(bounds)[whose].astype(np.int32)), pa.array(place.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, names=["shingle", "gid", "n", "at"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "shingle long, gid long, n int, at int")
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "shingle long, gid long, n int, at int")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -180,7 +180,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
                 raw = s.tobytes()
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array([raw[8 * a : 8 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], names=["id", "shingles"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "id long, shingles binary")
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "id long, shingles binary")
 
 
 def linked(docs: DataFrame, pairs: DataFrame, n: int = N_WORDS, percent: int = PERCENT) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import _GOLD, SPACE, blocks, mix, owner, save, strings, words
+from ._common import _GOLD, SPACE, blocks, map_arrow, mix, owner, save, strings, words
 
 #: Most rated documents that are fitted on, and hashed features as bits.
 FIT_ROWS, BITS = 6000, 16
@@ -112,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, rating: str = "quality", rows: int =
                 packed = [(index[a:b].tobytes(), value[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array([p[0] for p in packed], pa.binary()), pa.array([p[1] for p in packed], pa.binary())], names=["doc_id", "grade", "index", "value"])
 
-    found = joined.mapInArrow(run, "doc_id long, grade double, index binary, value binary").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    found = map_arrow(joined, run, "doc_id long, grade double, index binary, value binary").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
     grades = sorted({r["grade"] for r in found})
     if len(grades) < 2:
         return Ordinal(np.zeros(1 << BITS), np.zeros(0), grades or [0.0])
@@ -145,7 +145,7 @@ def score(docs: DataFrame, model: Ordinal, good: float | None = None) -> DataFra
             tail = np.ones(len(f)) if level == 0 else np.zeros(len(f)) if level >= len(m.grades) else m.tails(f)[:, level - 1]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(m.expected(f)), pa.array(tail)], names=[*kept, *added])
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
+    return map_arrow(docs.select(*[F.col(f"`{c}`") for c in kept]), run, schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = KEEP) -> DataFrame:

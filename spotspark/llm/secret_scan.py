@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import strings
+from ._common import map_arrow, strings
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -160,7 +160,7 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCAN)
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, SCAN)
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", threshold: float = THRESHOLD) -> DataFrame:
@@ -190,4 +190,4 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", threshold: float = THRESHOLD
                 columns[k] = pa.array(sizes, pa.int64()).cast(columns[k].type)
             yield pa.RecordBatch.from_arrays(columns, names=fields)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BROADCAST_ROWS, NOT_ALNUM, blocks, owner, save, strings, word_hash, words
+from ._common import BROADCAST_ROWS, NOT_ALNUM, blocks, map_arrow, owner, save, strings, word_hash, words
 
 #: Most labelled rows that examples are taken from, terms, neighbours, entries in a block.
 FIT_ROWS, TERMS, K, BLOCK = 12_000, 384, 15, 64
@@ -175,7 +175,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
                 df += np.bincount(term, minlength=len(df))
         yield pa.RecordBatch.from_arrays([pa.array([*range(len(df)), -1], pa.int32()), pa.array([*df, total_n], pa.int64())], names=["term", "n"])
 
-    got = {r["term"]: r["n"] for r in docs.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    got = {r["term"]: r["n"] for r in map_arrow(docs.select("text"), count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     idf = np.array([np.log((1 + got.get(-1, 0)) / (1 + got.get(k, 0))) + 1 for k in range(len(hashes))])
     index = Index(hashes, idf)
 
@@ -186,7 +186,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
                 packed = [np.stack([term[a:b], c[a:b]]).astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(packed, pa.binary())], names=["doc_id", "y", "vector"])
 
-    made = examples.select("doc_id", "y", "text").mapInArrow(vectors, "doc_id long, y int, vector binary")
+    made = map_arrow(examples.select("doc_id", "y", "text"), vectors, "doc_id long, y int, vector binary")
     rows_of: dict[bytes, list] = {}
     for r in made.groupBy("vector").agg(F.count("*").alias("n"), F.sum("y").alias("t"), F.min("doc_id").alias("e")).collect():  # at most `rows`
         rows_of[bytes(r["vector"])] = [r["n"], r["t"], r["e"]]
@@ -228,4 +228,4 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
                 columns = [pa.array([x[0] for x in out], pa.float64()), pa.array([x[1] for x in out], pa.list_(pa.int64())), pa.array([x[2] for x in out], pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *columns], names=["doc_id", "score", "evidence", "cosines"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCORES)
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, SCORES)
