@@ -2,9 +2,12 @@
 
 For each host a bounded number of pages is taken (by least hashes of page_id). Their streams of tags and texts are folded
 (a run of alike neighbours becomes a repeated group) and aligned one after another: where a wrapper and a page disagree, two texts
-become a text slot, and tokens that only one has become an optional group. The wrapper tells, for each path of tags, whether
-its text varies and how much; the content is the part that semantic elements name (article, main), or, on hosts without them,
-the container whose slots hold most text. Every page is then read whole along those paths.
+become a text slot, and tokens that only some have become an optional group. Texts that were equal on all aligned pages, two at least,
+are boilerplate in their place (in an optional group only if most pages have it). The content is the container whose slots and groups
+hold most of the text that varies; that an element is named article or main counts as a hint. Every page is then read whole in it.
+
+Left out before wrappers are inferred: elements that hold no main text by their names (_SKIP: nav, aside, form ...) or by words of
+their class, id or role (_NAMES: ad, cookie, comments ...), since such text varies from page to page as content does.
 
 Defined cases: null html is empty and gives the empty text; null or strange urls are hosts of their own; pages of a host with
 one page use that page's own wrapper; cut-off pages and unclosed or wrongly closed elements are read as far as they go; repeated
@@ -17,6 +20,7 @@ import difflib
 import html as html_lib
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -69,7 +73,7 @@ def _label(name: str, rest: str) -> tuple[str, bool]:
     """(name with class and id, whether such an element is left out)."""
     marks = " ".join(a or b or c for _, a, b, c in _ATTR.findall(rest)) if rest else ""
     out = name in _SKIP or bool(marks and (_NAMES.search(marks) or (_HEADER.search(marks) and name in ("div", "section"))) and name not in ("html", "body", "article", "main"))
-    words = re.sub(r"\d+", "", marks).split()[:2]
+    words = [] if name in ("article", "main") else re.sub(r"\d+", "", marks).split()[:2]
     return name + ("." + ".".join(words) if words else ""), out
 
 
@@ -106,88 +110,109 @@ def walk(page: str) -> Iterator[tuple[tuple[str, ...], int, str]]:
 # ---------------------------------------------------------------- wrappers
 
 
-def fold(items: list[tuple[tuple[str, ...], str]]) -> list[tuple[tuple[str, ...], str, bool]]:
-    """Runs of items of one path become one repeated item, whose text is all of theirs."""
-    out: list[list] = []
+def segments(page: str) -> Iterator[tuple[tuple[str, ...], int, str, str]]:
+    """(path, block, raw text, text without markup) of each run of texts of one path in a block."""
+    path: tuple[str, ...] = ()
+    block, raw, plain = -1, [], []
+    for p, b, text in walk(page):
+        own = " ".join(html_lib.unescape(text).split())
+        if (p, b) != (path, block) and own:
+            if raw:
+                yield path, block, "".join(raw), " ".join(plain)
+            path, block, raw, plain = p, b, [], []
+        if own or raw:
+            raw.append(text if own or b == block else "")
+        plain += [own] if own else []
+    if raw:
+        yield path, block, "".join(raw), " ".join(plain)
+
+
+def fold(items: list[tuple[tuple[str, ...], str]]) -> list[tuple[tuple[str, ...], list[str]]]:
+    """Runs of items of one path become one item with all their texts: more than one make it a repeated group."""
+    out: list[tuple[tuple[str, ...], list[str]]] = []
     for path, text in items:
         if out and out[-1][0] == path:
-            out[-1][1] += "\n" + text
-            out[-1][2] = True
+            out[-1][1].append(text)
         else:
-            out.append([path, text, False])
-    return [tuple(x) for x in out]
+            out.append((path, [text]))
+    return out
 
 
 def infer(pages: list[str]) -> list[dict]:
-    """The wrapper as a list of items: path, text (None for a slot), optional, repeated, volume (text that slots held)."""
+    """The wrapper as a list of items: path, texts (of its members, each with the pages that have it), seen (pages aligned with
+    it), optional, repeated, fixed (members that are boilerplate), volume (text of the others). Pages that say the same are one."""
     wrapper: list[dict] = []
-    for number, page in enumerate(pages):
-        blocks: list[list] = []
-        last = None
-        for path, block, text in walk(page):
-            text = " ".join(html_lib.unescape(text).split())
-            if not text:
-                continue
-            if last == (path, block):
-                blocks[-1][1] += " " + text
-            else:
-                blocks.append([path, text])
-            last = (path, block)
-        own = fold([tuple(b) for b in blocks])
-        new = [{"path": p, "text": t, "optional": number > 0, "repeated": r, "volume": len(t)} for p, t, r in own]
-        if not number:
-            wrapper = new
-            continue
+    own = [fold([(p, t) for p, _, _, t in segments(page)]) for page in pages]
+    own = [x for k, x in enumerate(own) if x and x not in own[:k]]
+    for page in own:
+        new = [{"path": p, "texts": Counter(set(t)), "seen": 1, "repeated": len(t) > 1, "volume": Counter(t)} for p, t in page]
         merged: list[dict] = []
         for op, a, b, c, d in difflib.SequenceMatcher(None, [w["path"] for w in wrapper], [w["path"] for w in new], autojunk=False).get_opcodes():
             if op == "equal":
                 for w, x in zip(wrapper[a:b], new[c:d], strict=True):
-                    same = w["text"] is not None and w["text"] == x["text"]
-                    merged.append({"path": w["path"], "text": w["text"] if same else None, "optional": w["optional"], "repeated": w["repeated"] or x["repeated"], "volume": w["volume"] + x["volume"]})
+                    merged.append({"path": w["path"], "texts": w["texts"] + x["texts"], "seen": w["seen"] + 1, "repeated": w["repeated"] or x["repeated"], "volume": w["volume"] + x["volume"]})
             else:
-                merged += [w | {"optional": True} for w in wrapper[a:b]] + new[c:d]
+                merged += wrapper[a:b] + new[c:d]
         wrapper = merged
+    for w in wrapper:
+        w["optional"] = w["seen"] < len(own)
+        # boilerplate is equal on all pages aligned here, two at least; what most pages lack may be the text of near copies
+        w["fixed"] = sorted(t for t, n in w["texts"].items() if n == w["seen"] >= 2 and (not w["optional"] or 2 * n > len(own)))
+        w["volume"] = sum(len(t) * n for t, n in w["volume"].items() if t not in w["fixed"])
     return wrapper
 
 
+#: Elements that the content may be looked for in; how much more what stands in named elements counts.
+_INTO, HINT = frozenset("html body div section td table tbody tr article main".split()), 1.5
+
+
 def content(wrapper: list[dict]) -> dict:
-    """What of a host's pages is content: {"root": label or prefix of labels, "fixed": texts that are no content}."""
-    named = [k for k in ("article", "main") if any(p.split(".")[0] == k for w in wrapper for p in w["path"])]
-    if named:
-        return {"name": named[0], "prefix": [], "fixed": []}
-    marked = [p for w in wrapper for p in w["path"] if re.search(r"(?:^|\.)(?:content|article|post|entry|story|main|text|body)", p.partition(".")[2], re.I)]
-    total = sum(w["volume"] for w in wrapper if w["text"] is None) or sum(w["volume"] for w in wrapper)
+    """What of a host's pages is content: {"name": article or main, or "": then "prefix": labels, "fixed": [path, text] of boilerplate}."""
+    if not any(w["volume"] for w in wrapper):  # nothing varies, so nothing tells boilerplate from content
+        wrapper = [w | {"fixed": [], "volume": sum(map(len, w["texts"]))} for w in wrapper]
+    mark = re.compile(r"(?:^|\.)(?:content|article|post|entry|story|main|text|body)", re.I)
+    total = sum(w["volume"] for w in wrapper)
     prefix: list[str] = []
     while total:  # into the child that holds most of what varies
         held: dict[str, int] = {}
         for w in wrapper:
             path = list(w["path"])
-            if path[: len(prefix)] == prefix and len(path) > len(prefix) and path[len(prefix)].split(".")[0] in ("html", "body", "div", "section", "td", "table", "tbody", "tr"):
-                if w["text"] is None or len(wrapper) < 2 or not any(x["text"] is None for x in wrapper):
-                    held[path[len(prefix)]] = held.get(path[len(prefix)], 0) + w["volume"]
-        best = max(held, key=lambda k: (k in marked, held[k]), default=None)
-        if best is None or held[best] < 0.6 * total:
+            if path[: len(prefix)] == prefix and len(path) > len(prefix) and path[len(prefix)].split(".")[0] in _INTO:
+                held[path[len(prefix)]] = held.get(path[len(prefix)], 0) + w["volume"]
+        if prefix and prefix[-1] in ("article", "main"):  # an article or main is whole
+            held = {k: n for k, n in held.items() if k == "article" and prefix[-1] == "main"}
+        hinted = {k: n * (HINT if k in ("article", "main") else 1.0) for k, n in held.items()}
+        best = max(held, key=lambda k: (hinted[k] >= 0.6 * (total + hinted[k] - held[k]), bool(mark.search(k.partition(".")[2])), hinted[k]), default=None)
+        if best is None or hinted[best] < 0.6 * (total + hinted[best] - held[best]):
             break
         prefix.append(best)
-    fixed = [w["text"] for w in wrapper if w["text"] is not None and any(x["text"] is None for x in wrapper)]
-    return {"name": "", "prefix": prefix, "fixed": fixed}
+    name = prefix[-1] if prefix and prefix[-1] in ("article", "main") else ""
+    fixed = [[list(w["path"]), t] for w in wrapper for t in w["fixed"] if _inside(w["path"], name, prefix)]
+    return {"name": name, "prefix": [] if name else prefix, "fixed": fixed}
+
+
+def _inside(path: tuple[str, ...], name: str, prefix: list[str]) -> bool:
+    return name in path if name else list(path[: len(prefix)]) == prefix
 
 
 def read(page: str, rule: dict) -> str:
-    """The main text: blocks joined by an empty line."""
+    """The main text: blocks joined by an empty line. A block is left out if all that it holds is boilerplate in its place."""
     parts: dict[int, list[str]] = {}
-    name, prefix, fixed = rule["name"], rule["prefix"], set(rule["fixed"])
+    kept: set[int] = set()
+    name, prefix, fixed = rule["name"], rule["prefix"], {(tuple(p), t) for p, t in rule["fixed"]}
     inside: dict[tuple[str, ...], bool] = {}
-    for path, block, text in walk(page):
+    for path, block, raw, plain in segments(page):
         good = inside.get(path)
         if good is None:
-            good = inside[path] = any(p == name or p.startswith(name + ".") for p in path) if name else list(path[: len(prefix)]) == prefix
+            good = inside[path] = _inside(path, name, prefix)
         if good:
-            parts.setdefault(block, []).append(text)
+            parts.setdefault(block, []).append(raw)
+            if (path, plain) not in fixed:
+                kept.add(block)
     out = []
-    for k in sorted(parts):
+    for k in sorted(kept):
         text = " ".join(html_lib.unescape("".join(parts[k])).split())
-        if text and text not in fixed:
+        if text:
             out.append(text)
     return "\n\n".join(out)
 

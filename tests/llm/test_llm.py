@@ -197,6 +197,23 @@ def test_html():
     assert html_extract.read(bare("q"), rule) == "q q and more text that varies q\n\nend q"
 
 
+def test_wrapper_decides_on_every_host():
+    long = lambda t: " ".join(f"{t}{k}" for k in range(40))
+    # a teaser in <article>; what varies stands beside it
+    page = lambda t: f"<body><article><p>Our mission</p></article><div class=c><p>{long(t)}</p><p>end {t}</p></div></body>"
+    rule = html_extract.content(html_extract.infer([page(t) for t in "abc"]))
+    assert html_extract.read(page("q"), rule) == f"{long('q')}\n\nend q"
+    # a notice that all pages have inside their article, alone and at the end of a run of paragraphs
+    page = lambda t: f"<body><article><h2>Read this first</h2><p>{long(t)}</p><p>All rights reserved</p></article></body>"
+    rule = html_extract.content(html_extract.infer([page(t) for t in "abc"]))
+    assert html_extract.read(page("q"), rule) == long("q")
+    # an item of one sampled page only is no boilerplate, nor is a page that was sampled twice
+    bare = lambda t, more="": f"<body><div id=c><p>{long(t)}</p>{more}</div><div id=bottom>fixed line</div></body>"
+    one = bare("a", "<blockquote>quoted once</blockquote>")
+    rule = html_extract.content(html_extract.infer([one, bare("b"), bare("c"), one]))
+    assert html_extract.read(one, rule) == f"{long('a')}\n\nquoted once"
+
+
 def test_html_edges(spark):
     rows = [(1, "http://h/a", None), (2, None, ""), (3, "::", "plain < text &am"), (4, "http://h/b", "<article><p>x"), (4, "http://h/b", "<article><p>x"), (None, "http://h/c", "<article>y</article>")]
     got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
