@@ -1,19 +1,22 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine, found through a block-max inverted index.
 
-Terms are words and the beginnings of words; used are those that speak most for the label (signed chi-square over a bounded sample of labelled rows); their document
-counts are taken over all documents. Examples with the same vector are one entry that holds how many there are and how many of
-them are toxic. Entries lie in blocks; for each term the index has the greatest weight in each block, so blocks whose upper
-bound falls below the k-th best cosine are skipped: the k best are exact. Votes weighted by cosine are turned into
-probabilities by isotonic regression on leave-one-out votes of the examples.
-
-Defined cases: null or empty text, and texts without any of the terms, get the share of toxic examples among examples without
-terms; without labelled rows every score is 0; ties of cosine at the k-th place all vote; null labels are left out; a doc_id that
-is labelled twice counts as its highest label; repeated rows are scored each; extra columns are ignored.
+Terms are all words of the examples (a bounded sample of labelled rows) and, beside them, the beginnings of words that speak for the
+label; terms that speak most for it (signed chi-square over the sample) weigh BOOST times their idf. Document counts are taken over
+all documents; words that no example has count in a text's length with the weight of the rarest. Examples with the same vector are
+one entry that holds how many there are and how many of them are toxic. Entries lie in blocks; for each term the index has the greatest
+weight in each block, so blocks whose upper bound falls below the k-th best cosine are skipped: the k best are exact. Votes weighted
+by cosine are turned into probabilities by isotonic regression on leave-one-out votes of the examples.
+
+Defined cases: null or empty text, texts without any word of the examples, and texts none of whose nearest examples is toxic get the
+share of toxic examples among examples of that kind; without labelled rows every score is 0; ties of cosine at the k-th place all
+vote; null labels are left out; a doc_id that is labelled twice counts as its highest label; repeated rows are scored each; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import hashlib
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -25,17 +28,22 @@ from pyspark.sql import functions as F
 
 from ._common import BROADCAST_ROWS, NOT_ALNUM, blocks, map_arrow, owner, save, strings, word_hash, words
 
-#: Most labelled rows that examples are taken from, terms, neighbours, entries in a block.
+#: Most labelled rows that examples are taken from, terms of more weight, neighbours, entries in a block.
 FIT_ROWS, TERMS, K, BLOCK = 12_000, 384, 15, 64
-#: Code points of the word beginnings that are terms beside the words, and the least chi-square of a term.
+#: Code points of the word beginnings that are terms beside the words, and the least chi-square of a term of more weight.
 STEM, LEAST_CHI = 5, 25.0
-#: Weight of one term that every text with terms has, in mean idf: with it a cosine tells one mention from many.
-BIAS = 2.0
+#: How many times its idf a term that speaks for the label weighs.
+BOOST = 6.0
 _STEM_MARK = np.uint64(0xA5A5A5A5A5A5A5A5)
 PRIOR_WEIGHT = 0.25
 THRESHOLD = 0.3
 
 
+def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """start, start + 1 ... of each length, one after another."""
+    return np.arange(length.sum()) + np.repeat(start - np.cumsum(length) + length, length)
+
+
 @dataclass
 class Index:
     """Entries (distinct example vectors) in blocks, with the greatest weight of each term in each block."""
@@ -49,44 +57,82 @@ class Index:
     prior: float = 0.0
     empty: float = 0.0
     knots: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+    unknown: float = 0.0  # weight of a word that no example has
+    stems: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    counts: list[np.ndarray] = field(default_factory=list)  # of the terms of each entry: all that is sent of the weights
 
     def build(self) -> None:
         # alike entries near each other (by their heaviest term) make tight bounds
         order = sorted(range(len(self.matrix)), key=lambda e: (int(self.matrix[e][0][np.argmax(self.matrix[e][1])]), e))
         self.matrix = [self.matrix[e] for e in order]
         self.count, self.toxic, self.example = self.count[order], self.toxic[order], self.example[order]
-        n_blocks = -(-len(order) // BLOCK)
-        self.most = np.zeros((len(self.terms) + 1, n_blocks), np.float32)
-        self.postings: dict[tuple[int, int], tuple[list, list]] = {}
-        for e, (t, w) in enumerate(self.matrix):
-            for x, y in zip(t, w, strict=True):
-                self.most[x, e // BLOCK] = max(self.most[x, e // BLOCK], np.float32(y) * np.float32(1.000001))
-                own = self.postings.setdefault((int(x), e // BLOCK), ([], []))
-                own[0].append(e % BLOCK)
-                own[1].append(y)
-        self.postings = {k: (np.array(a), np.array(b)) for k, (a, b) in self.postings.items()}
-
-    def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        w = np.append((1 + np.log(counts)) * self.idf[terms], BIAS * self.idf.mean())
-        return np.append(terms, len(self.terms)), w / np.sqrt((w * w).sum())
+        none = [(np.zeros(0, np.int64), np.zeros(0))]
+        term = np.concatenate([m[0].astype(np.int32) for m in self.matrix or none])
+        entry = np.repeat(np.arange(len(order), dtype=np.int32), [len(m[0]) for m in self.matrix])
+        by = np.lexsort((entry, term))
+        if self.counts:
+            self.counts = [np.concatenate([self.counts[e] for e in order]).astype(np.int32)[by]]
+        self._runs(term[by], entry[by], np.concatenate([m[1] for m in self.matrix or none])[by])
+
+    def _runs(self, term: np.ndarray, entry: np.ndarray, weight: np.ndarray) -> None:
+        self.n_blocks = -(-len(self.count) // BLOCK)
+        self.entry, self.weight = entry, weight
+        # runs of one term in one block: where they start, the block, the greatest weight; and the runs of each term
+        block = self.entry // BLOCK
+        self.start = np.flatnonzero(np.diff(term, prepend=-1) | np.diff(block, prepend=-1)) if len(term) else np.zeros(0, np.int64)
+        self.size = np.diff(self.start, append=len(term))
+        self.block = block[self.start]
+        self.most = np.maximum.reduceat(self.weight, self.start) * (1 + 1e-9) if len(term) else np.zeros(0)
+        self.runs = np.searchsorted(term[self.start], np.arange(len(self.terms) + 1))
+
+    def __getstate__(self) -> dict:
+        """Counts and entries of the postings, packed; weights follow from them."""
+        if not self.matrix:
+            return self.__dict__
+        assert self.counts
+        lengths = np.bincount(np.concatenate([m[0] for m in self.matrix]), minlength=len(self.terms)).astype(np.int32)
+        out = {k: v for k, v in self.__dict__.items() if k not in ("matrix", "counts", "entry", "weight", "start", "size", "block", "most", "runs")}
+        return out | {"packed": [zlib.compress(x.tobytes(), 1) for x in (lengths, self.entry, self.counts[0])]}
+
+    def __setstate__(self, state: dict) -> None:
+        packed = state.pop("packed", None)
+        self.__dict__.update({"matrix": [], "counts": []} | state)
+        if packed:
+            lengths, entry, counts = (np.frombuffer(zlib.decompress(x), np.int32) for x in packed)
+            term = np.repeat(np.arange(len(self.terms), dtype=np.int32), lengths)
+            weight = (1 + np.log(counts)) * self.idf[term]
+            self._runs(term, entry, weight / np.sqrt(np.bincount(entry, weight * weight))[entry])
+
+    def vector(self, terms: np.ndarray, counts: np.ndarray, others: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """others: what words that no example has add to the squared length."""
+        w = (1 + np.log(counts)) * self.idf[terms]
+        return terms, w / np.sqrt((w * w).sum() + others)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(entries, cosines, votes each): the entries of the k nearest examples and all that tie with the last. skip: an
         entry of which one example is left out."""
-        bound = weights @ self.most[terms]
+        own = self.runs[terms + 1] - self.runs[terms]
+        run, w = _ranges(self.runs[terms], own), np.repeat(weights, own)
+        bound = np.bincount(self.block[run], w * self.most[run], self.n_blocks)
+        blocks_by_bound = np.argsort(-bound, kind="stable")
         found_e, found_s, found_n, floor = [], [], [], 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < floor - 1e-9:
+        at, width = 0, 4
+        while at < self.n_blocks:
+            now = blocks_by_bound[at : at + width]
+            now = now[(bound[now] > 0) & (bound[now] >= floor - 1e-9)]
+            if not len(now):
                 break
-            sums = np.zeros(min(BLOCK, len(self.matrix) - b * BLOCK))
-            for t, w in zip(terms, weights, strict=True):
-                own = self.postings.get((int(t), int(b)))
-                if own is not None:
-                    sums[own[0]] += w * own[1]
+            at, width = at + width, width * 4
+            chosen = np.zeros(self.n_blocks, bool)
+            chosen[now] = True
+            mine = chosen[self.block[run]]
+            r, size = run[mine], self.size[run[mine]]
+            p = _ranges(self.start[r], size)
+            sums = np.bincount(self.entry[p], np.repeat(w[mine], size) * self.weight[p], len(self.count))
             hit = np.flatnonzero(sums > max(0.0, floor - 1e-9))
-            found_e.append(hit + b * BLOCK)
+            found_e.append(hit)
             found_s.append(sums[hit])
-            found_n.append(self.count[hit + b * BLOCK] - (hit + b * BLOCK == skip))
+            found_n.append(self.count[hit] - (hit == skip))
             s, n = np.concatenate(found_s), np.concatenate(found_n)
             order = np.argsort(-s, kind="stable")
             enough = np.searchsorted(np.cumsum(n[order]), k)
@@ -99,19 +145,25 @@ class Index:
         order = np.lexsort((e[good], -s[good]))
         return e[good][order], s[good][order], n[good][order]
 
-    def vote(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1, own: float = 0.0) -> tuple[float, np.ndarray, np.ndarray]:
+    def vote(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1, own: float = 0.0) -> tuple[float | None, np.ndarray, np.ndarray]:
+        """(vote, or None if no neighbour is toxic; entries, cosines)."""
         e, s, n = self.nearest(terms, weights, skip)
         y = self.toxic[e] - own * (e == skip)
         w = s * s
-        return float(((w * y).sum() + PRIOR_WEIGHT * self.prior) / ((w * n).sum() + PRIOR_WEIGHT)), e, s
+        return float(((w * y).sum() + PRIOR_WEIGHT * self.prior) / ((w * n).sum() + PRIOR_WEIGHT)) if y.any() else None, e, s
 
-    def calibrate(self) -> None:
-        """Isotonic regression (pool adjacent violators) of leave-one-out votes."""
+    def calibrate(self, none: float = 0.0, none_toxic: float = 0.0) -> None:
+        """Isotonic regression (pool adjacent violators) of leave-one-out votes. none: examples without words, and toxic ones of them."""
         points = []
         for e, (t, w) in enumerate(self.matrix):
             for y, n in ((1.0, self.toxic[e]), (0.0, self.count[e] - self.toxic[e])):
                 if n > 0:
-                    points.append((self.vote(t, w, e, y)[0], y, n))
+                    vote = self.vote(t, w, e, y)[0]
+                    if vote is None:
+                        none, none_toxic = none + n, none_toxic + y * n
+                    else:
+                        points.append((vote, y, n))
+        self.empty = float((none_toxic + self.prior) / (none + 1))
         pools: list[list[float]] = []
         for x, y, n in sorted(points):
             pools.append([x * n, y * n, n])
@@ -122,26 +174,39 @@ class Index:
             x = np.array([p[0] / p[2] for p in pools])
             self.knots = (np.concatenate([[0.0], x, [1.0]]), np.concatenate([[0.0], [(p[1] + 0.5) / (p[2] + 1) for p in pools], [1.0]]))
 
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[int], list[float]]:
+    def score(self, terms: np.ndarray, counts: np.ndarray, others: float = 0.0) -> tuple[float, list[int], list[float]]:
         if not len(terms):
             return self.empty, [], []
-        vote, e, s = self.vote(*self.vector(terms, counts))
-        return float(np.clip(np.interp(vote, *self.knots), 0, 1)), [int(x) for x in self.example[e[:3]]], [float(x) for x in s[:3]]
+        vote, e, s = self.vote(*self.vector(terms, counts, others))
+        score = self.empty if vote is None else float(np.clip(np.interp(vote, *self.knots), 0, 1))
+        return score, [int(x) for x in self.example[e[:3]]], [float(x) for x in s[:3]]
 
 
 SPLIT = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
 
-def _found(column: pa.Array, terms: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first, end, text, term, count) of the terms in blocks of texts."""
+def _found(column: pa.Array, stems: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first, end, text, hash, count) of the distinct words, and of the given beginnings of words, in blocks of texts."""
     for i, j, data, at in blocks(pc.utf8_lower(strings(column))):
         hashed, _, _, bounds = words(data, at, NOT_ALNUM)
-        stems = words(data, at, NOT_ALNUM, STEM)[0]
-        hashed, whose = np.concatenate([hashed, np.where(stems == 0, stems, stems ^ _STEM_MARK)]), np.tile(owner(bounds), 2)
-        place = np.minimum(np.searchsorted(terms, hashed), len(terms) - 1)
-        hit = np.flatnonzero(terms[place] == hashed) if len(terms) else np.zeros(0, np.int64)
-        key, n = np.unique(whose[hit] * len(terms) + place[hit], return_counts=True)
-        yield i, j, key // max(1, len(terms)), key % max(1, len(terms)), n
+        whose = owner(bounds)
+        if len(stems):
+            begin = words(data, at, NOT_ALNUM, STEM)[0]
+            marked = np.where(begin == 0, begin, begin ^ _STEM_MARK)
+            hit = stems[np.minimum(np.searchsorted(stems, marked), len(stems) - 1)] == marked
+            hashed, whose = np.concatenate([hashed, marked[hit]]), np.concatenate([whose, whose[hit]])
+        by = np.lexsort((hashed, whose))
+        hashed, whose = hashed[by], whose[by]
+        first = np.flatnonzero(np.concatenate([[True], (hashed[1:] != hashed[:-1]) | (whose[1:] != whose[:-1])])) if len(by) else by
+        yield i, j, whose[first], hashed[first], np.diff(first, append=len(by))
+
+
+def _place(hashed: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of each hash in terms, whether it is there)."""
+    if not len(terms):
+        return np.zeros(len(hashed), np.int64), np.zeros(len(hashed), bool)
+    place = np.minimum(np.searchsorted(terms, hashed), len(terms) - 1)
+    return place, terms[place] == hashed
 
 
 def _hash(term: str) -> int:
@@ -165,42 +230,51 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     # 2 x 2 table of term and label; only terms that are commoner among the toxic
     chi = F.pow(F.col("t") * F.lit(float(n)) - F.col("c") * F.lit(float(p)), F.lit(2.0)) / (F.col("c") * (F.lit(float(n)) - F.col("c")) + F.lit(1.0)) * F.lit(n / max(1.0, p * float(n - p)))
     best = seen.where(chi >= LEAST_CHI).where(F.col("t") * float(n) > F.col("c") * float(p)).orderBy(chi.desc(), "term").limit(terms).collect()
-    hashes = np.array(sorted({_hash(r["term"]) for r in best}), np.uint64)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, total_n = np.zeros(len(hashes), np.int64), 0
-        for batch in batches:
-            total_n += batch.num_rows
-            for _, _, _, term, _ in _found(batch.column(0), hashes):
-                df += np.bincount(term, minlength=len(df))
-        yield pa.RecordBatch.from_arrays([pa.array([*range(len(df)), -1], pa.int32()), pa.array([*df, total_n], pa.int64())], names=["term", "n"])
-
-    got = {r["term"]: r["n"] for r in map_arrow(docs.select("text"), count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    idf = np.array([np.log((1 + got.get(-1, 0)) / (1 + got.get(k, 0))) + 1 for k in range(len(hashes))])
-    index = Index(hashes, idf)
+    chosen = np.array(sorted({_hash(r["term"]) for r in best}), np.uint64)
+    stems = np.array(sorted({_hash(r["term"]) for r in best if r["term"].endswith("*")}), np.uint64)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, text, term, c in _found(batch.column(2), hashes):
+            for i, j, text, hashed, c in _found(batch.column(2), stems):
                 cut = np.searchsorted(text, np.arange(j - i + 1))
-                packed = [np.stack([term[a:b], c[a:b]]).astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+                packed = [hashed[a:b].tobytes() + c[a:b].astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(packed, pa.binary())], names=["doc_id", "y", "vector"])
 
     made = map_arrow(examples.select("doc_id", "y", "text"), vectors, "doc_id long, y int, vector binary")
     rows_of: dict[bytes, list] = {}
     for r in made.groupBy("vector").agg(F.count("*").alias("n"), F.sum("y").alias("t"), F.min("doc_id").alias("e")).collect():  # at most `rows`
         rows_of[bytes(r["vector"])] = [r["n"], r["t"], r["e"]]
-    index.prior = p / n
     none = rows_of.pop(b"", [0, 0, 0])
-    index.empty = (none[1] + index.prior) / (none[0] + 1)
-    entries = sorted(rows_of.items(), key=lambda x: x[1][2])
-    for raw, _ in entries:
-        t, c = np.frombuffer(raw, np.int32).reshape(2, -1)
-        index.matrix.append(index.vector(t.astype(np.int64), c.astype(np.float64)))
-    index.count, index.toxic = (np.array([x[1][k] for x in entries], float) for k in (0, 1))
-    index.example = np.array([x[1][2] for x in entries], np.int64)
+    entries = [(np.frombuffer(v, np.uint64, len(v) // 12), np.frombuffer(v, np.int32, offset=len(v) // 12 * 8), *x) for v, x in sorted(rows_of.items(), key=lambda x: x[1][2])]
+    hashes = np.unique(np.concatenate([np.zeros(0, np.uint64), *[x[0] for x in entries]]))  # all words of the examples
+    sent = docs.sparkSession.sparkContext.broadcast(hashes)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, total_n = np.zeros(len(sent.value), np.int64), 0
+        for batch in batches:
+            total_n += batch.num_rows
+            for _, _, _, hashed, _ in _found(batch.column(0), stems):
+                place, there = _place(hashed, sent.value)
+                np.add.at(df, place[there], 1)
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array([*some, -1], pa.int32()), pa.array([*df[some], total_n], pa.int64())], names=["term", "n"])
+
+    got = map_arrow(docs.select("text"), count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row a term
+    term, n_docs = got["term"].to_numpy(), got["n"].to_numpy()
+    df = np.zeros(len(hashes), np.int64)
+    df[term[term >= 0]] = n_docs[term >= 0]
+    most = int(n_docs[term < 0].sum())
+    idf = (np.log((1 + most) / (1 + df)) + 1) * np.where(np.isin(hashes, chosen), BOOST, 1.0)
+    index = Index(hashes, idf, unknown=float(np.log(1 + most) + 1), stems=stems)
+    index.prior = p / n
+    for hashed, c, *_ in entries:
+        index.matrix.append(index.vector(np.searchsorted(hashes, hashed).astype(np.int32), c.astype(np.float64)))
+        index.counts.append(c)
+    index.count, index.toxic = (np.array([x[k] for x in entries], float) for k in (2, 3))
+    index.example = np.array([x[4] for x in entries], np.int64)
+    del entries, rows_of
     index.build()
-    index.calibrate()
+    index.calibrate(none[0], none[1])
     return index
 
 
@@ -209,21 +283,25 @@ SCORES = "doc_id long, score double, evidence array<long>, cosines array<double>
 
 def score(docs: DataFrame, index: Index) -> DataFrame:
     """(doc_id, score, evidence, cosines): evidence holds the nearest example documents."""
-    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by FIT_ROWS entries
+    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by FIT_ROWS entries and their words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value
         known: dict[bytes, tuple] = {}
         for batch in batches:
-            for i, j, text, term, c in _found(batch.column(1), index.terms):
+            for i, j, text, hashed, c in _found(batch.column(1), index.stems):
                 cut = np.searchsorted(text, np.arange(j - i + 1))
+                term, there = _place(hashed, index.terms)
+                c = c.astype(np.float64)
+                stray = np.where(there, 0.0, ((1 + np.log(c)) * index.unknown) ** 2)
                 out = []
                 for a, b in zip(cut[:-1], cut[1:], strict=True):
-                    key = term[a:b].tobytes() + c[a:b].tobytes()
+                    key = hashlib.blake2b(hashed[a:b].tobytes() + c[a:b].tobytes(), digest_size=16).digest()
                     if key not in known:
                         if len(known) > 50_000:
                             known.clear()
-                        known[key] = index.score(term[a:b], c[a:b].astype(np.float64))
+                        own = there[a:b]
+                        known[key] = index.score(term[a:b][own], c[a:b][own], float(stray[a:b].sum()))
                     out.append(known[key])
                 columns = [pa.array([x[0] for x in out], pa.float64()), pa.array([x[1] for x in out], pa.list_(pa.int64())), pa.array([x[2] for x in out], pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *columns], names=["doc_id", "score", "evidence", "cosines"])

@@ -185,6 +185,17 @@ def test_toxicity(spark, docs):
     assert toxicity.score(docs, toxicity.learn(docs, labels.limit(0))).where("score = 0").count() == docs.count()
 
 
+def test_toxicity_compares_whole_texts(spark):
+    rng = random.Random(11)
+    rows = [(i, prose(rng, 50) + ("" if i % 3 or i == 0 else " you vile fool")) for i in range(90)]
+    rows += [(100, rows[0][1]), (101, rows[4][1])]  # copies: of a toxic example that has no toxic word, and of a harmless one
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int")
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity.score(d, toxicity.learn(d, labels)).collect()}
+    assert got[100]["evidence"][0] == 0 and got[100]["cosines"][0] == pytest.approx(1) and got[101]["evidence"][0] == 4
+    assert got[100]["score"] > got[101]["score"]
+
+
 # ---------------------------------------------------------------- 6
 
 
