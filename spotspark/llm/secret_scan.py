@@ -3,7 +3,8 @@
 A value that follows a credential word is split by dynamic programming into the segments that are cheapest to guess: words
 of a short list (with common letter swaps and capitals), dates, repeats, keyboard walks, digit runs, and brute force for
 what is left. The least total cost, in decimal digits of guesses, says how hard the value is to guess: a machine-made
-secret costs much, a placeholder or word little. Values above a threshold are added as spans of kind "guess".
+secret costs much, a placeholder or word little. Values above a threshold are added as spans of kind "guess", whatever characters
+they have, unless a span of kind "assign" has the same value to its end or an earlier "guess" span holds it.
 
 Defined cases: null or empty text has no spans; a value is cut into pieces of MOST_VALUE characters for the cost, which
 are added up (cost grows with length, so nothing is missed); repeated rows give their spans each; null doc_ids are carried;
@@ -28,7 +29,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 #: Wider contexts for values whose guess cost decides.
-CONTEXT = re.compile(r"""(?:password|passwd|pwd|passphrase|passcode|secret|token|api_?key|access_?key|private_?key|auth_?key|credentials?|bearer)["']?\x20*(?:[:=]|\bis\b)?\x20*["']?([^\s"'<>,;|]{8,})""", re.I | re.A)
+CONTEXT = re.compile(r"""(?:password|passwd|pwd|passphrase|passcode|secret|token|api_?key|access_?key|private_?key|auth_?key|credentials?|bearer)["']?\x20*(?:[:=]|\bis\b)?\x20*["']?(?=([^\s"'<>,;|]{8,}))""", re.I | re.A)
 #: A text without any of these has no assign span and no context.
 HINTS = ("passw", "pwd", "passphrase", "passcode", "secret", "token", "apikey", "api_key", "accesskey", "access_key", "privatekey", "private_key", "authkey", "auth_key", "credential", "bearer")
 KINDS = ("assign", "access", "hex", "guess")
@@ -123,14 +124,17 @@ def spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int, int,
     out = []
     low = text.lower()
     if any(h in low for h in HINTS):
-        taken = set()
+        reach: dict[int, int] = {}  # end of the assign span by the start of its value
         for m in ASSIGN.finditer(text):
             if len(m[2]) >= 8:
                 out.append((m.start(), m.end(), 0, guess_cost(m[2])))
-                taken.add(m.start(2))
-        for m in CONTEXT.finditer(text):
-            if m.start(1) not in taken and (cost := guess_cost(m[1])) >= threshold and any(c.isdigit() for c in m[1]) and any(c.isalpha() for c in m[1]):
-                out.append((m.start(1), m.end(1), 3, cost))
+                reach[m.start(2)] = m.end(2)
+        done = 0
+        for m in CONTEXT.finditer(text):  # the value is looked ahead at, so a credential word in it is tried as well
+            a, b = m.span(1)
+            if b > max(done, reach.get(a, 0)) and (cost := guess_cost(m[1])) >= threshold:
+                out.append((a, b, 3, cost))
+                done = b
     if "AKIA" in text:
         out += [(m.start(), m.end(), 1, 0.0) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     out += [(m.start(), m.end(), 2, 0.0) for m in HEX.finditer(text)]

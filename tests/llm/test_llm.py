@@ -326,6 +326,15 @@ def test_secrets(spark):
     assert hexes not in red[1]["text"] and red[1]["n_chars"] == len(red[1]["text"]) and red[2]["text"] is None and red[3]["text"] == ""
 
 
+def test_secret_contexts_overlap(spark):
+    cases = {"password=abcd1234$Zq9!xR7#kk2 x": "abcd1234$Zq9!xR7#kk2", "secret password: X$9kq!2zLm#w": "X$9kq!2zLm#w", "secret passphrase: a8Fk2!pQz9Lm#4": "a8Fk2!pQz9Lm#4", "passphrase: kQzXvWbTnRpLmYs": "kQzXvWbTnRpLmYs"}
+    for text, value in cases.items():
+        assert [text[a:b] for a, b, k, _ in secret_scan.spans(text) if k == 3] == [value]
+    red = secret_scan.redact(spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["text"] for r in red] == ["[SECRET] x", "secret password: [SECRET]", "secret passphrase: [SECRET]", "passphrase: [SECRET]"]
+    assert not [x for x in secret_scan.spans("passphrase: changeme secret password: changeme") if x[2] == 3]
+
+
 def test_guess_costs_are_least():
     cost = secret_scan.guess_cost
     assert cost("password") < 1 and cost("2020-01-01") < 6 and cost("qwertyuiop") < 7 and cost("xxxxxxxx") < 4
