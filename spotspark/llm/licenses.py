@@ -1,7 +1,8 @@
 """License scans: TF-IDF cosine of license notices to templates, then inheritance from the nearest ancestor directory.
 
-Every line of every file is compared with every template by the cosine of sparse TF-IDF vectors (words of the line that no
-template has count in its length with the weight of the rarest). Document counts are of lines over all files. The best line
+Every line of every file, every window of consecutive lines of up to twice the longest template's words, and license files from
+their first line on are compared with every template by the cosine of sparse TF-IDF vectors (words that no
+template has count in its length with the weight of the rarest). Document counts are of lines over all files. The best one
 over a threshold is the file's own license. A file named as a license file states the license of its directory; files
 without a license of their own take that of the nearest ancestor directory that has one, found by joining the ancestors of
 the distinct directories (not of the files) with the directories that have a license, then the files with their directory.
@@ -68,31 +69,43 @@ class Matcher:
         self.place = _vocabulary()
         self.idf = np.log((lines + 1) / (df + 1)) + 1
         self.unknown = float(np.log(lines + 1) + 1)
-        self.forms = [(name, self.vector(_WORD.findall(t.lower()))) for name, forms in sorted(TEMPLATES.items()) for t in forms]
+        self.longest = max(len(_WORD.findall(t.lower())) for forms in TEMPLATES.values() for t in forms)
+        self.forms = [(name, self.vector(Counter(_WORD.findall(t.lower())))) for name, forms in sorted(TEMPLATES.items()) for t in forms]
 
-    def vector(self, found: list[str]) -> dict[str, float]:
-        out = {w: (1 + log(c)) * (self.idf[self.place[w]] if w in self.place else self.unknown) for w, c in Counter(found).items()}
+    def vector(self, counts: dict[str, int]) -> dict[str, float]:
+        out = {w: (1 + log(c)) * (self.idf[self.place[w]] if w in self.place else self.unknown) for w, c in counts.items()}
         norm = np.sqrt(sum(x * x for x in out.values()))
         return {w: x / norm for w, x in out.items()}
 
-    def best(self, text: str) -> tuple[str | None, float]:
+    def score(self, counts: dict[str, int]) -> tuple[float, str]:
+        v = self.vector(counts)
+        return min((-sum(x * form[w] for w, x in v.items() if w in form), name) for name, form in self.forms)
+
+    def best(self, text: str, whole: bool = False) -> tuple[str | None, float]:
+        """Best of every line, of every window of lines of up to twice the longest template's words, and (whole) of the text."""
+        lines = [x for x in map(_WORD.findall, text.lower().split("\n")) if x]
+        known = [any(w in self.place for w in x) for x in lines]
         top: tuple[float, str] | None = None
-        for line in text.lower().split("\n"):
-            found = _WORD.findall(line)
-            counts = Counter(found)
-            known = counts.keys() & self.place.keys()
-            if not known:
-                continue
-            # only known words add to a cosine, so their share of the squared length bounds its square
-            own = sum(((1 + log(counts[w])) * self.idf[self.place[w]]) ** 2 for w in known)
-            if own < THRESHOLD**2 * (own + (len(counts) - len(known)) * self.unknown**2):
+        for i in range(len(lines)):
+            if not known[i]:  # a window is better without a line of unknown words at its ends
                 continue
-            v = self.vector(found)
-            for name, form in self.forms:
-                s = sum(x * form[w] for w, x in v.items() if w in form)
-                if top is None or (-s, name) < (-top[0], top[1]):
-                    top = (s, name)
-        return (top[1], float(top[0])) if top and top[0] >= THRESHOLD else (None, 0.0)
+            counts: dict[str, int] = {}
+            n, own, others = 0, 0.0, 0
+            for j in range(i, len(lines)):
+                n += len(lines[j])
+                if j > i and n > 2 * self.longest and not (whole and i == 0):
+                    break
+                for w in lines[j]:
+                    c = counts[w] = counts.get(w, 0) + 1
+                    if w in self.place:
+                        # only known words add to a cosine, so their share of the squared length bounds its square
+                        own += ((1 + log(c)) ** 2 - ((1 + log(c - 1)) ** 2 if c > 1 else 0.0)) * self.idf[self.place[w]] ** 2
+                    elif c == 1:
+                        others += 1
+                if known[j] and own >= (THRESHOLD**2 - 1e-9) * (own + others * self.unknown**2):
+                    s = self.score(counts)
+                    top = s if top is None or s < top else top
+        return (top[1], -float(top[0])) if top and -top[0] >= THRESHOLD else (None, 0.0)
 
 
 def scan(files: DataFrame) -> DataFrame:
@@ -101,7 +114,7 @@ def scan(files: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [matcher.best(t) for t in strings(batch.column(2)).to_pylist()]
+            found = [matcher.best(t, bool(re.match(_FILE, p.rsplit("/", 1)[-1]))) for p, t in zip(batch.column(1).to_pylist(), strings(batch.column(2)).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=["doc_id", "path", "own_license", "cosine"])
 
     rows = files.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("path", F.lit("")).alias("path"), "text")

@@ -84,6 +84,16 @@ def test_licenses(spark):
     assert got[4]["inherited_from"] == "a/b" and got[6]["inherited_from"] is None
 
 
+def test_wrapped_licenses():
+    matcher = licenses.Matcher(1000, np.full(len(licenses._vocabulary()), 30))
+    for name, forms in licenses.TEMPLATES.items():
+        for form in forms:
+            w = form.split()
+            wrapped = "\n".join("# " + " ".join(w[k : k + 4]) for k in range(0, len(w), 4))
+            got, cosine = matcher.best("import os\n\n" + wrapped + "\n\nx = unheard + of")
+            assert got == name and cosine == pytest.approx(1)
+
+
 # ---------------------------------------------------------------- 3
 
 
