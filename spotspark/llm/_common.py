@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Most rows of one long column that are broadcast; beyond it the same join runs as a shuffle.
@@ -25,10 +25,12 @@ BATCH_ROWS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir, or (only where unset, as in tests) a new one."""
+    """Folder that driver and executors share: spark.checkpoint.dir; a new one only where it is unset and the master is local."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         found = sc.getCheckpointDir()
     return found
@@ -64,6 +66,23 @@ def keep_ids(df: DataFrame, ids: DataFrame, key: str, keep: bool = True) -> Data
     return df.join(F.broadcast(ids) if small else ids, key, "left_semi" if keep else "left_anti")
 
 
+def labelled_sample(docs: DataFrame, marked: DataFrame, rows: int, most_words: int) -> DataFrame:
+    """(columns of marked, text), saved: labelled documents to fit on, at most `rows` of them with at most `most_words` words in all.
+
+    marked holds one row for each doc_id (not null). Documents are taken by the least hashes of doc_id; one whose rows repeat is one
+    row with its least text. The order is found over at most `rows` pairs of id and size.
+    """
+    assert rows <= BROADCAST_ROWS
+    sample = save(marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "sample")
+    one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample.select("doc_id")), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    texts = save(one, "sample-texts")
+    size = F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0)).cast("long")
+    upto = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    kept = texts.select("doc_id", size.alias("size")).withColumn("upto", upto).where(F.col("upto") <= most_words).select("doc_id")
+    kept = sample.join(F.broadcast(kept), "doc_id")
+    return save(texts.join(F.broadcast(kept), "doc_id").select(*sample.columns, "text"), "sample-rows")
+
+
 # ---------------------------------------------------------------- hashing of words in blocks of texts
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)

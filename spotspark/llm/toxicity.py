@@ -3,14 +3,19 @@
 Terms are all words of the examples (a bounded sample of labelled rows) and, beside them, the beginnings of words that speak for the
 label; terms that speak most for it (signed chi-square over the sample) weigh BOOST times their idf. Document counts are taken over
 all documents; words that no example has count in a text's length with the weight of the rarest. Examples with the same vector are
-one entry that holds how many there are and how many of them are toxic. Entries lie in blocks; for each term the index has the greatest
-weight in each block, so blocks whose upper bound falls below the k-th best cosine are skipped: the k best are exact. Votes weighted
-by cosine are turned into probabilities by isotonic regression on leave-one-out votes of the examples.
+one entry that holds how many there are and how many of them are toxic.
 
-Defined cases: null or empty text, texts without any word of the examples, and texts none of whose nearest examples is toxic get the
+Neighbours are the K nearest examples among those with a cosine of LEAST_COSINE or more: examples farther away do not vote.
+The index has two parts. The DENSE terms that most entries have are held by entry, with the length of that part of each entry;
+all others are inverted lists whose entries lie in blocks, with the greatest weight of each term in each block. A block's bound is
+the sum of its greatest weights plus the product of the lengths of both dense parts; blocks below LEAST_COSINE are skipped,
+then entries whose exact sum over the lists plus that product is below it; the rest get their exact cosine. Votes weighted by cosine are
+turned into probabilities by isotonic regression on leave-one-out votes of the examples, which are made by a Spark job.
+
+Defined cases: null or empty text, texts without any word of the examples, and texts none of whose neighbours is toxic get the
 share of toxic examples among examples of that kind; without labelled rows every score is 0; ties of cosine at the k-th place all
-vote; null labels are left out; a doc_id that is labelled twice counts as its highest label; repeated rows are scored each; extra
-columns are ignored.
+vote; null labels are left out; a doc_id that is labelled twice counts as its highest label, one whose rows repeat is one example with its
+least text; repeated rows are scored each; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,7 +23,6 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +30,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BROADCAST_ROWS, NOT_ALNUM, blocks, map_arrow, owner, save, strings, word_hash, words
+from ._common import NOT_ALNUM, blocks, labelled_sample, map_arrow, owner, save, strings, word_hash, words
 
-#: Most labelled rows that examples are taken from, terms of more weight, neighbours, entries in a block.
-FIT_ROWS, TERMS, K, BLOCK = 12_000, 384, 15, 64
+#: Most labelled rows that examples are taken from, and most words that they have together.
+FIT_ROWS, FIT_WORDS = 12_000, 8_000_000
+#: Terms of more weight, neighbours, entries in a block, terms held by entry.
+TERMS, K, BLOCK, DENSE = 384, 15, 64, 512
+#: Least cosine of an example that votes.
+LEAST_COSINE = 0.25
 #: Code points of the word beginnings that are terms beside the words, and the least chi-square of a term of more weight.
 STEM, LEAST_CHI = 5, 25.0
 #: How many times its idf a term that speaks for the label weighs.
@@ -37,6 +45,8 @@ BOOST = 6.0
 _STEM_MARK = np.uint64(0xA5A5A5A5A5A5A5A5)
 PRIOR_WEIGHT = 0.25
 THRESHOLD = 0.3
+#: Room for rounding of sums.
+_SLACK = 1e-9
 
 
 def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -44,106 +54,94 @@ def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(length.sum()) + np.repeat(start - np.cumsum(length) + length, length)
 
 
-@dataclass
 class Index:
-    """Entries (distinct example vectors) in blocks, with the greatest weight of each term in each block."""
-
-    terms: np.ndarray  # hashes, ascending
-    idf: np.ndarray
-    matrix: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # of each entry: terms, weights
-    count: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    example: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    prior: float = 0.0
-    empty: float = 0.0
-    knots: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-    unknown: float = 0.0  # weight of a word that no example has
-    stems: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    counts: list[np.ndarray] = field(default_factory=list)  # of the terms of each entry: all that is sent of the weights
+    """Entries (distinct example vectors) out of triples (entry, term, count); term is a place in terms (ascending hashes)."""
+
+    def __init__(self, terms: np.ndarray, idf: np.ndarray, entry: np.ndarray, term: np.ndarray, counts: np.ndarray, count: np.ndarray, toxic: np.ndarray, example: np.ndarray, unknown: float = 0.0, stems: np.ndarray | None = None):
+        self.terms, self.idf, self.unknown = terms, idf, unknown
+        self.stems = np.zeros(0, np.uint64) if stems is None else stems
+        self.count, self.toxic, self.example = count.astype(float), toxic.astype(float), example
+        self.prior = float(self.toxic.sum() / self.count.sum()) if len(count) else 0.0
+        self.triples = [x.astype(np.int32) for x in (entry, term, counts)]
+        self.build()
+
+    def __getstate__(self) -> dict:
+        """What the rest follows from."""
+        kept = ("terms", "idf", "unknown", "stems", "count", "toxic", "example", "prior")
+        return {k: self.__dict__[k] for k in kept} | {"packed": [zlib.compress(x.tobytes(), 1) for x in self.triples]}
+
+    def __setstate__(self, state: dict) -> None:
+        self.triples = [np.frombuffer(zlib.decompress(x), np.int32) for x in state.pop("packed")]
+        self.__dict__.update(state)
+        self.build()
+        del self.triples
 
     def build(self) -> None:
-        # alike entries near each other (by their heaviest term) make tight bounds
-        order = sorted(range(len(self.matrix)), key=lambda e: (int(self.matrix[e][0][np.argmax(self.matrix[e][1])]), e))
-        self.matrix = [self.matrix[e] for e in order]
-        self.count, self.toxic, self.example = self.count[order], self.toxic[order], self.example[order]
-        none = [(np.zeros(0, np.int64), np.zeros(0))]
-        term = np.concatenate([m[0].astype(np.int32) for m in self.matrix or none])
-        entry = np.repeat(np.arange(len(order), dtype=np.int32), [len(m[0]) for m in self.matrix])
-        by = np.lexsort((entry, term))
-        if self.counts:
-            self.counts = [np.concatenate([self.counts[e] for e in order]).astype(np.int32)[by]]
-        self._runs(term[by], entry[by], np.concatenate([m[1] for m in self.matrix or none])[by])
-
-    def _runs(self, term: np.ndarray, entry: np.ndarray, weight: np.ndarray) -> None:
-        self.n_blocks = -(-len(self.count) // BLOCK)
-        self.entry, self.weight = entry, weight
+        entry, term, counts = self.triples
+        n = len(self.count)
+        self.size = n
+        weight = (1 + np.log(counts)) * self.idf[term] if len(term) else np.zeros(0)
+        weight = weight / np.sqrt(np.maximum(np.bincount(entry, weight * weight, n), 1e-300))[entry] if len(term) else weight
+        lists = np.bincount(term, minlength=len(self.terms)) if len(term) else np.zeros(len(self.terms), np.int64)
+        chosen = np.argsort(-lists, kind="stable")[:DENSE]
+        chosen = chosen[lists[chosen] > 0]
+        self.column = np.full(len(self.terms), -1, np.int32)
+        self.column[chosen] = np.arange(len(chosen))
+        held = self.column[term] >= 0 if len(term) else np.zeros(0, bool)
+        self.dense = np.zeros((n, len(chosen)))
+        self.dense[entry[held], self.column[term[held]]] = weight[held]
+        self.norm = np.sqrt((self.dense * self.dense).sum(1))
+        # blocks of entries with dense parts of about one length make tight bounds
+        by_norm = np.argsort(self.norm, kind="stable")
+        block_of = np.empty(n, np.int32)
+        block_of[by_norm] = np.arange(n, dtype=np.int32) // BLOCK
+        self.n_blocks = -(-n // BLOCK)
+        self.block_norm = np.array([self.norm[by_norm[k * BLOCK : (k + 1) * BLOCK]].max() for k in range(self.n_blocks)])
+        entry, term, weight = entry[~held], term[~held], weight[~held]
+        by = np.lexsort((entry, block_of[entry], term))
+        self.entry, self.weight, term = entry[by], weight[by], term[by]
         # runs of one term in one block: where they start, the block, the greatest weight; and the runs of each term
-        block = self.entry // BLOCK
+        block = block_of[self.entry]
         self.start = np.flatnonzero(np.diff(term, prepend=-1) | np.diff(block, prepend=-1)) if len(term) else np.zeros(0, np.int64)
-        self.size = np.diff(self.start, append=len(term))
+        self.length = np.diff(self.start, append=len(term))
         self.block = block[self.start]
-        self.most = np.maximum.reduceat(self.weight, self.start) * (1 + 1e-9) if len(term) else np.zeros(0)
+        self.most = np.maximum.reduceat(self.weight, self.start) if len(term) else np.zeros(0)
         self.runs = np.searchsorted(term[self.start], np.arange(len(self.terms) + 1))
 
-    def __getstate__(self) -> dict:
-        """Counts and entries of the postings, packed; weights follow from them."""
-        if not self.matrix:
-            return self.__dict__
-        assert self.counts
-        lengths = np.bincount(np.concatenate([m[0] for m in self.matrix]), minlength=len(self.terms)).astype(np.int32)
-        out = {k: v for k, v in self.__dict__.items() if k not in ("matrix", "counts", "entry", "weight", "start", "size", "block", "most", "runs")}
-        return out | {"packed": [zlib.compress(x.tobytes(), 1) for x in (lengths, self.entry, self.counts[0])]}
-
-    def __setstate__(self, state: dict) -> None:
-        packed = state.pop("packed", None)
-        self.__dict__.update({"matrix": [], "counts": []} | state)
-        if packed:
-            lengths, entry, counts = (np.frombuffer(zlib.decompress(x), np.int32) for x in packed)
-            term = np.repeat(np.arange(len(self.terms), dtype=np.int32), lengths)
-            weight = (1 + np.log(counts)) * self.idf[term]
-            self._runs(term, entry, weight / np.sqrt(np.bincount(entry, weight * weight))[entry])
-
     def vector(self, terms: np.ndarray, counts: np.ndarray, others: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """others: what words that no example has add to the squared length."""
         w = (1 + np.log(counts)) * self.idf[terms]
-        return terms, w / np.sqrt((w * w).sum() + others)
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(entries, cosines, votes each): the entries of the k nearest examples and all that tie with the last. skip: an
-        entry of which one example is left out."""
-        own = self.runs[terms + 1] - self.runs[terms]
-        run, w = _ranges(self.runs[terms], own), np.repeat(weights, own)
-        bound = np.bincount(self.block[run], w * self.most[run], self.n_blocks)
-        blocks_by_bound = np.argsort(-bound, kind="stable")
-        found_e, found_s, found_n, floor = [], [], [], 0.0
-        at, width = 0, 4
-        while at < self.n_blocks:
-            now = blocks_by_bound[at : at + width]
-            now = now[(bound[now] > 0) & (bound[now] >= floor - 1e-9)]
-            if not len(now):
-                break
-            at, width = at + width, width * 4
-            chosen = np.zeros(self.n_blocks, bool)
-            chosen[now] = True
-            mine = chosen[self.block[run]]
-            r, size = run[mine], self.size[run[mine]]
-            p = _ranges(self.start[r], size)
-            sums = np.bincount(self.entry[p], np.repeat(w[mine], size) * self.weight[p], len(self.count))
-            hit = np.flatnonzero(sums > max(0.0, floor - 1e-9))
-            found_e.append(hit)
-            found_s.append(sums[hit])
-            found_n.append(self.count[hit] - (hit == skip))
-            s, n = np.concatenate(found_s), np.concatenate(found_n)
-            order = np.argsort(-s, kind="stable")
-            enough = np.searchsorted(np.cumsum(n[order]), k)
-            if enough < len(order):
-                floor = s[order[enough]]
-        if not found_e:
-            return np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
-        e, s, n = np.concatenate(found_e), np.concatenate(found_s), np.concatenate(found_n)
-        good = (s >= floor - 1e-9) & (n > 0)
-        order = np.lexsort((e[good], -s[good]))
-        return e[good][order], s[good][order], n[good][order]
+        return terms, w / np.sqrt(max((w * w).sum() + others, 1e-300))
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1, k: int = K, least: float = LEAST_COSINE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(entries, cosines, votes each): the entries of the k nearest examples within the least cosine and all that tie with the
+        last of them. skip: an entry of which one example is left out."""
+        column = self.column[terms]
+        held = column >= 0
+        q = np.zeros(self.dense.shape[1])
+        q[column[held]] = weights[held]
+        rest = float(np.sqrt((q * q).sum()))
+        t = terms[~held]
+        own = self.runs[t + 1] - self.runs[t]
+        run, w = _ranges(self.runs[t], own), np.repeat(weights[~held], own)
+        bound = np.bincount(self.block[run], w * self.most[run], self.n_blocks) + rest * self.block_norm
+        mine = (bound >= least - _SLACK)[self.block[run]]
+        r = run[mine]
+        size = self.length[r]
+        p = _ranges(self.start[r], size)
+        sums = np.bincount(self.entry[p], np.repeat(w[mine], size) * self.weight[p], self.size)
+        e = np.flatnonzero(sums + rest * self.norm >= least - _SLACK)
+        cosine = sums[e] + self.dense[e] @ q
+        n = self.count[e] - (e == skip)
+        good = (cosine >= least - _SLACK) & (cosine > 0) & (n > 0)
+        e, cosine, n = e[good], cosine[good], n[good]
+        order = np.lexsort((e, -cosine))
+        e, cosine, n = e[order], cosine[order], n[order]
+        last = np.searchsorted(np.cumsum(n), k)
+        if last < len(e):
+            upto = np.searchsorted(-cosine, -(cosine[last] - _SLACK), "right")
+            e, cosine, n = e[:upto], cosine[:upto], n[:upto]
+        return e, cosine, n
 
     def vote(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1, own: float = 0.0) -> tuple[float | None, np.ndarray, np.ndarray]:
         """(vote, or None if no neighbour is toxic; entries, cosines)."""
@@ -152,34 +150,44 @@ class Index:
         w = s * s
         return float(((w * y).sum() + PRIOR_WEIGHT * self.prior) / ((w * n).sum() + PRIOR_WEIGHT)) if y.any() else None, e, s
 
-    def calibrate(self, none: float = 0.0, none_toxic: float = 0.0) -> None:
-        """Isotonic regression (pool adjacent violators) of leave-one-out votes. none: examples without words, and toxic ones of them."""
-        points = []
-        for e, (t, w) in enumerate(self.matrix):
-            for y, n in ((1.0, self.toxic[e]), (0.0, self.count[e] - self.toxic[e])):
-                if n > 0:
-                    vote = self.vote(t, w, e, y)[0]
-                    if vote is None:
-                        none, none_toxic = none + n, none_toxic + y * n
-                    else:
-                        points.append((vote, y, n))
-        self.empty = float((none_toxic + self.prior) / (none + 1))
-        pools: list[list[float]] = []
-        for x, y, n in sorted(points):
-            pools.append([x * n, y * n, n])
-            while len(pools) > 1 and pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]:
-                last = pools.pop()
-                pools[-1] = [a + b for a, b in zip(pools[-1], last, strict=True)]
-        if pools:
-            x = np.array([p[0] / p[2] for p in pools])
-            self.knots = (np.concatenate([[0.0], x, [1.0]]), np.concatenate([[0.0], [(p[1] + 0.5) / (p[2] + 1) for p in pools], [1.0]]))
-
-    def score(self, terms: np.ndarray, counts: np.ndarray, others: float = 0.0) -> tuple[float, list[int], list[float]]:
-        if not len(terms):
-            return self.empty, [], []
-        vote, e, s = self.vote(*self.vector(terms, counts, others))
-        score = self.empty if vote is None else float(np.clip(np.interp(vote, *self.knots), 0, 1))
-        return score, [int(x) for x in self.example[e[:3]]], [float(x) for x in s[:3]]
+    def read(self, batch_column: pa.Array) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, float]]:
+        """(row, digest of the vector, terms, counts, squared weight of the words that no example has) of each text."""
+        row = 0
+        for i, j, text, hashed, c in _found(batch_column, self.stems):
+            cut = np.searchsorted(text, np.arange(j - i + 1))
+            term, there = _place(hashed, self.terms)
+            c = c.astype(np.float64)
+            stray = np.concatenate([[0.0], np.cumsum(np.where(there, 0.0, ((1 + np.log(c)) * self.unknown) ** 2))])
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                key = hashlib.blake2b(hashed[a:b].tobytes() + c[a:b].tobytes(), digest_size=16).digest()
+                own = there[a:b]
+                yield row, key, term[a:b][own], c[a:b][own], float(stray[b] - stray[a])
+                row += 1
+
+
+class Model:
+    """A broadcast index with the probabilities of its votes."""
+
+    def __init__(self, index, empty: float = 0.0, knots: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))):
+        self.index, self.empty, self.knots = index, empty, knots
+
+    def probability(self, vote: float | None) -> float:
+        return self.empty if vote is None else float(np.clip(np.interp(vote, *self.knots), 0, 1))
+
+
+def calibrated(votes: list[tuple[float | None, float, float]], prior: float) -> tuple[float, tuple[np.ndarray, np.ndarray]]:
+    """(probability without a vote, knots): isotonic regression (pool adjacent violators) of votes (vote, label, number)."""
+    none = sum(n for v, _, n in votes if v is None)
+    none_toxic = sum(y * n for v, y, n in votes if v is None)
+    pools: list[list[float]] = []
+    for x, y, n in sorted(v for v in votes if v[0] is not None):
+        pools.append([x * n, y * n, n])
+        while len(pools) > 1 and pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last, strict=True)]
+    x = np.array([0.0, *(p[0] / p[2] for p in pools), 1.0])
+    y = np.array([0.0, *((p[1] + 0.5) / (p[2] + 1) for p in pools), 1.0])
+    return float((none_toxic + prior) / (none + 1)), (x, y)
 
 
 SPLIT = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
@@ -213,41 +221,49 @@ def _hash(term: str) -> int:
     return word_hash(term[:-1]) ^ int(_STEM_MARK) if term.endswith("*") else word_hash(term)
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FIT_ROWS, terms: int = TERMS) -> Index:
-    """labels: (doc_id, label) rows to learn from. At most `rows` of them (least hashes) are examples."""
-    assert rows <= BROADCAST_ROWS
-    marked = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col(label) > 0).cast("int")).alias("y"))
-    sample = save(marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "toxic-sample")
-    examples = save(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id"), "toxic-examples")
-    total = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("p")).first()
-    n, p = total["n"], total["p"]
-    if not n:
-        return Index(np.zeros(0, np.uint64), np.zeros(0))
+def _chosen(examples: DataFrame, n: int, p: int, most: int) -> list[str]:
+    """The words and beginnings (marked *) that speak most for the label; at most `most` rows reach the driver."""
     each = examples.select("y", F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), SPLIT)).alias("w"))
     stems = F.transform(F.filter("w", lambda w: F.length(w) > STEM), lambda w: F.concat(F.substring(w, 1, STEM), F.lit("*")))
     each = each.select("y", F.explode(F.array_distinct(F.concat("w", stems))).alias("term")).where("term <> ''")
     seen = each.groupBy("term").agg(F.count("*").alias("c"), F.sum("y").alias("t")).where("c >= 4")
     # 2 x 2 table of term and label; only terms that are commoner among the toxic
-    chi = F.pow(F.col("t") * F.lit(float(n)) - F.col("c") * F.lit(float(p)), F.lit(2.0)) / (F.col("c") * (F.lit(float(n)) - F.col("c")) + F.lit(1.0)) * F.lit(n / max(1.0, p * float(n - p)))
-    best = seen.where(chi >= LEAST_CHI).where(F.col("t") * float(n) > F.col("c") * float(p)).orderBy(chi.desc(), "term").limit(terms).collect()
-    chosen = np.array(sorted({_hash(r["term"]) for r in best}), np.uint64)
-    stems = np.array(sorted({_hash(r["term"]) for r in best if r["term"].endswith("*")}), np.uint64)
+    lean = F.col("t") * F.lit(float(n)) - F.col("c") * F.lit(float(p))
+    chi = lean * lean / (F.col("c") * (F.lit(float(n)) - F.col("c")) + F.lit(1.0)) * F.lit(n / max(1.0, p * float(n - p)))
+    best = seen.where((lean > 0) & (chi >= LEAST_CHI)).orderBy(chi.desc(), "term").limit(most)
+    return [r["term"] for r in best.select("term").collect()]
+
+
+def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FIT_ROWS, most_words: int = FIT_WORDS, terms: int = TERMS) -> Model:
+    """labels: (doc_id, label) rows to learn from. At most `rows` of them (least hashes, with `most_words` words) are examples."""
+    spark = docs.sparkSession
+    marked = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col(label) > 0).cast("int")).alias("y"))
+    examples = labelled_sample(docs, marked, rows, most_words)
+    total = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("p")).first()
+    none = np.zeros(0, np.int64)
+    if not total["n"]:
+        return Model(spark.sparkContext.broadcast(Index(np.zeros(0, np.uint64), np.zeros(0), none, none, none, none, none, none)))
+    best = _chosen(examples, total["n"], total["p"], terms)
+    boosted = np.array(sorted({_hash(t) for t in best}), np.uint64)
+    stems = np.array(sorted({_hash(t) for t in best if t.endswith("*")}), np.uint64)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, text, hashed, c in _found(batch.column(2), stems):
-                cut = np.searchsorted(text, np.arange(j - i + 1))
-                packed = [hashed[a:b].tobytes() + c[a:b].astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(packed, pa.binary())], names=["doc_id", "y", "vector"])
-
-    made = map_arrow(examples.select("doc_id", "y", "text"), vectors, "doc_id long, y int, vector binary")
-    rows_of: dict[bytes, list] = {}
-    for r in made.groupBy("vector").agg(F.count("*").alias("n"), F.sum("y").alias("t"), F.min("doc_id").alias("e")).collect():  # at most `rows`
-        rows_of[bytes(r["vector"])] = [r["n"], r["t"], r["e"]]
-    none = rows_of.pop(b"", [0, 0, 0])
-    entries = [(np.frombuffer(v, np.uint64, len(v) // 12), np.frombuffer(v, np.int32, offset=len(v) // 12 * 8), *x) for v, x in sorted(rows_of.items(), key=lambda x: x[1][2])]
-    hashes = np.unique(np.concatenate([np.zeros(0, np.uint64), *[x[0] for x in entries]]))  # all words of the examples
-    sent = docs.sparkSession.sparkContext.broadcast(hashes)
+                cut = np.searchsorted(text, np.arange(j - i + 1)).astype(np.int32)
+                key = [hashlib.blake2b(hashed[a:b].tobytes() + c[a:b].tobytes(), digest_size=16).digest() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+                lists = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (hashed.view(np.int64), c.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(key, pa.binary()), *lists], names=["doc_id", "y", "key", "hashes", "counts"])
+
+    made = save(map_arrow(examples.select("doc_id", "y", "text"), vectors, "doc_id long, y int, key binary, hashes array<long>, counts array<int>"), "toxic-vectors")
+    entries = made.where(F.size("hashes") > 0).groupBy("key").agg(F.count("*").alias("n"), F.sum("y").alias("t"), F.min("doc_id").alias("doc_id"))
+    got = entries.join(made.select("doc_id", "hashes", "counts"), "doc_id").select("doc_id", "n", "t", "hashes", "counts").orderBy("doc_id").toArrow()  # bounded by rows and words
+    hashes, counts = (got[c].combine_chunks() for c in ("hashes", "counts"))
+    entry = np.repeat(np.arange(len(got), dtype=np.int32), pc.list_value_length(hashes).to_numpy(zero_copy_only=False).astype(np.int64))
+    flat = hashes.flatten().to_numpy().view(np.uint64)
+    known, term = np.unique(flat, return_inverse=True)  # all words of the examples
+    term = term.astype(np.int32)
+    sent = spark.sparkContext.broadcast(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, total_n = np.zeros(len(sent.value), np.int64), 0
@@ -259,51 +275,57 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array([*some, -1], pa.int32()), pa.array([*df[some], total_n], pa.int64())], names=["term", "n"])
 
-    got = map_arrow(docs.select("text"), count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row a term
-    term, n_docs = got["term"].to_numpy(), got["n"].to_numpy()
-    df = np.zeros(len(hashes), np.int64)
-    df[term[term >= 0]] = n_docs[term >= 0]
-    most = int(n_docs[term < 0].sum())
-    idf = (np.log((1 + most) / (1 + df)) + 1) * np.where(np.isin(hashes, chosen), BOOST, 1.0)
-    index = Index(hashes, idf, unknown=float(np.log(1 + most) + 1), stems=stems)
-    index.prior = p / n
-    for hashed, c, *_ in entries:
-        index.matrix.append(index.vector(np.searchsorted(hashes, hashed).astype(np.int32), c.astype(np.float64)))
-        index.counts.append(c)
-    index.count, index.toxic = (np.array([x[k] for x in entries], float) for k in (2, 3))
-    index.example = np.array([x[4] for x in entries], np.int64)
-    del entries, rows_of
-    index.build()
-    index.calibrate(none[0], none[1])
-    return index
+    seen = map_arrow(docs.select("text"), count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row a term
+    place, n_docs = seen["term"].to_numpy(), seen["n"].to_numpy()
+    df = np.zeros(len(known), np.int64)
+    df[place[place >= 0]] = n_docs[place >= 0]
+    most = int(n_docs[place < 0].sum())
+    idf = (np.log((1 + most) / (1 + df)) + 1) * np.where(np.isin(known, boosted), BOOST, 1.0)
+    count_, toxic, example = (got[c].to_numpy() for c in ("n", "t", "doc_id"))
+    index = Index(known, idf, entry, term, counts.flatten().to_numpy(), count_, toxic, example, float(np.log(1 + most) + 1), stems)
+    prior = index.prior
+    shared = spark.sparkContext.broadcast(index)
+    del index, entry, term, flat, hashes, counts, got
+
+    def leave_one_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            out: list[tuple] = []
+            for row, _, terms_, counts_, others in own.read(batch.column(2)):
+                e = int(np.searchsorted(own.example, ids[row]))
+                if not len(terms_):
+                    out.append((None, float(batch.column(1)[row].as_py()), 1.0))
+                elif e < own.size and own.example[e] == ids[row]:  # of equal examples one stands for all
+                    vector = own.vector(terms_, counts_, others)
+                    out += [(own.vote(*vector, e, y)[0], y, n) for y, n in ((1.0, own.toxic[e]), (0.0, own.count[e] - own.toxic[e])) if n > 0]
+            columns = list(zip(*out, strict=True)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in columns], names=["vote", "y", "n"])
+
+    votes = map_arrow(examples.select("doc_id", "y", "text"), leave_one_out, "vote double, y double, n double").collect()  # at most two a row of the sample
+    return Model(shared, *calibrated([tuple(r) for r in votes], prior))
 
 
 SCORES = "doc_id long, score double, evidence array<long>, cosines array<double>"
 
 
-def score(docs: DataFrame, index: Index) -> DataFrame:
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score, evidence, cosines): evidence holds the nearest example documents."""
-    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by FIT_ROWS entries and their words
+    sent, known_model = model.index, Model(None, model.empty, model.knots)  # the index is bounded by FIT_ROWS entries and FIT_WORDS words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value
         known: dict[bytes, tuple] = {}
         for batch in batches:
-            for i, j, text, hashed, c in _found(batch.column(1), index.stems):
-                cut = np.searchsorted(text, np.arange(j - i + 1))
-                term, there = _place(hashed, index.terms)
-                c = c.astype(np.float64)
-                stray = np.where(there, 0.0, ((1 + np.log(c)) * index.unknown) ** 2)
-                out = []
-                for a, b in zip(cut[:-1], cut[1:], strict=True):
-                    key = hashlib.blake2b(hashed[a:b].tobytes() + c[a:b].tobytes(), digest_size=16).digest()
-                    if key not in known:
-                        if len(known) > 50_000:
-                            known.clear()
-                        own = there[a:b]
-                        known[key] = index.score(term[a:b][own], c[a:b][own], float(stray[a:b].sum()))
-                    out.append(known[key])
-                columns = [pa.array([x[0] for x in out], pa.float64()), pa.array([x[1] for x in out], pa.list_(pa.int64())), pa.array([x[2] for x in out], pa.list_(pa.float64()))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *columns], names=["doc_id", "score", "evidence", "cosines"])
+            out = []
+            for _, key, terms, counts, others in index.read(batch.column(1)):
+                if key not in known:
+                    if len(known) > 50_000:
+                        known.clear()
+                    vote, e, s = index.vote(*index.vector(terms, counts, others)) if len(terms) else (None, [], [])
+                    known[key] = round(known_model.probability(vote), 9), [int(x) for x in index.example[e[:3]]] if len(e) else [], [round(float(x), 9) for x in s[:3]]
+                out.append(known[key])
+            columns = [pa.array([x[0] for x in out], pa.float64()), pa.array([x[1] for x in out], pa.list_(pa.int64())), pa.array([x[2] for x in out], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "score", "evidence", "cosines"])
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, SCORES)

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import pickle
 import random
 import re
 
@@ -166,24 +167,28 @@ def test_quality_held_out(spark):
 # ---------------------------------------------------------------- 5
 
 
-def test_nearest_is_exact():
+@pytest.mark.parametrize("dense", [0, 7, 512])
+def test_nearest_is_exact(monkeypatch, dense):
+    monkeypatch.setattr(toxicity, "DENSE", dense)
     rng = np.random.default_rng(1)
-    index = toxicity.Index(np.arange(40, dtype=np.uint64), rng.uniform(1, 5, 40))
-    for _ in range(500):
-        t = np.sort(rng.choice(40, rng.integers(1, 6), replace=False))
-        index.matrix.append(index.vector(t, rng.integers(1, 4, len(t)).astype(float)))
-    index.count, index.toxic, index.example = rng.integers(1, 3, 500).astype(float), np.zeros(500), np.arange(500)
-    index.build()
-    dense = np.zeros((500, 41))
-    for e, (t, w) in enumerate(index.matrix):
-        dense[e, t] = w
-    for _ in range(50):
-        t, w = index.vector(np.sort(rng.choice(40, 3, replace=False)), np.ones(3))
-        sims = dense[:, t] @ w
-        order = np.argsort(-sims, kind="stable")
-        floor = sims[order[np.searchsorted(np.cumsum(index.count[order]), toxicity.K)]]
-        e, s, _ = index.nearest(t, w)
-        assert set(e) == set(np.flatnonzero(sims >= floor - 1e-9)) and s[0] == pytest.approx(sims.max())
+    own = [np.sort(rng.choice(40, rng.integers(1, 6), replace=False)) for _ in range(500)]
+    entry, term = np.repeat(np.arange(500), [len(t) for t in own]), np.concatenate(own)
+    counts = rng.integers(1, 4, len(term))
+    index = toxicity.Index(np.arange(40, dtype=np.uint64), rng.uniform(1, 5, 40), entry, term, counts, rng.integers(1, 3, 500), np.zeros(500), np.arange(500))
+    dense_rows = np.zeros((500, 40))
+    dense_rows[entry, term] = (1 + np.log(counts)) * index.idf[term]
+    dense_rows /= np.sqrt((dense_rows**2).sum(1))[:, None]
+    index = pickle.loads(pickle.dumps(index))
+    for k in range(60):
+        t, w = index.vector(np.sort(rng.choice(40, 3, replace=False)), np.ones(3), float(k % 3) * 5)
+        least = (0.0, 0.25, 0.6)[k % 3]
+        sims = dense_rows[:, t] @ w
+        near = np.flatnonzero((sims > 0) & (sims >= least - 1e-9))
+        order = near[np.argsort(-sims[near], kind="stable")]
+        last = np.searchsorted(np.cumsum(index.count[order]), toxicity.K)
+        want = near if last >= len(order) else np.flatnonzero((sims > 0) & (sims >= sims[order[last]] - 1e-9))
+        e, s, _ = index.nearest(t, w, least=least)
+        assert set(e) == set(want) and (not len(e) or s[0] == pytest.approx(sims.max()))
 
 
 def test_toxicity(spark, docs):
