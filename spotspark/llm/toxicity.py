@@ -55,15 +55,17 @@ def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Entries (distinct example vectors) out of triples (entry, term, count); term is a place in terms (ascending hashes)."""
+    """Entries (distinct example vectors) out of triples (entry, term, count); term is a place in terms (ascending hashes).
+
+    It is built where it is unpacked, on the workers: the driver holds the triples only.
+    """
 
     def __init__(self, terms: np.ndarray, idf: np.ndarray, entry: np.ndarray, term: np.ndarray, counts: np.ndarray, count: np.ndarray, toxic: np.ndarray, example: np.ndarray, unknown: float = 0.0, stems: np.ndarray | None = None):
         self.terms, self.idf, self.unknown = terms, idf, unknown
         self.stems = np.zeros(0, np.uint64) if stems is None else stems
         self.count, self.toxic, self.example = count.astype(float), toxic.astype(float), example
         self.prior = float(self.toxic.sum() / self.count.sum()) if len(count) else 0.0
-        self.triples = [x.astype(np.int32) for x in (entry, term, counts)]
-        self.build()
+        self.triples = [x.astype(np.int32, copy=False) for x in (entry, term, counts)]
 
     def __getstate__(self) -> dict:
         """What the rest follows from."""
@@ -261,8 +263,13 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     hashes, counts = (got[c].combine_chunks() for c in ("hashes", "counts"))
     entry = np.repeat(np.arange(len(got), dtype=np.int32), pc.list_value_length(hashes).to_numpy(zero_copy_only=False).astype(np.int64))
     flat = hashes.flatten().to_numpy().view(np.uint64)
-    known, term = np.unique(flat, return_inverse=True)  # all words of the examples
-    term = term.astype(np.int32)
+    counts = counts.flatten().to_numpy()
+    count_, toxic, example = (got[c].to_numpy() for c in ("n", "t", "doc_id"))
+    known = np.unique(flat)  # all words of the examples
+    term = np.empty(len(flat), np.int32)
+    for a in range(0, len(flat), 1 << 18):  # in pieces, as the driver has little memory
+        term[a : a + (1 << 18)] = np.searchsorted(known, flat[a : a + (1 << 18)])
+    del got, hashes, flat
     sent = spark.sparkContext.broadcast(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,11 +288,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     df[place[place >= 0]] = n_docs[place >= 0]
     most = int(n_docs[place < 0].sum())
     idf = (np.log((1 + most) / (1 + df)) + 1) * np.where(np.isin(known, boosted), BOOST, 1.0)
-    count_, toxic, example = (got[c].to_numpy() for c in ("n", "t", "doc_id"))
-    index = Index(known, idf, entry, term, counts.flatten().to_numpy(), count_, toxic, example, float(np.log(1 + most) + 1), stems)
+    index = Index(known, idf, entry, term, counts, count_, toxic, example, float(np.log(1 + most) + 1), stems)
     prior = index.prior
     shared = spark.sparkContext.broadcast(index)
-    del index, entry, term, flat, hashes, counts, got
+    del index, entry, term, counts, known, idf, seen
 
     def leave_one_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
