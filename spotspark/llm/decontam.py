@@ -5,12 +5,14 @@ span s ignores some of s consecutive words, so a hit survives a substitution at
 joined to test hashes on the hash; each hit fixes an alignment (diagonal), along which the whole item is then compared
 word by word with the text. A pair counts if the aligned equal words are many enough: substitutions anywhere are tolerated.
 
-The test hashes (words of the benchmark times masks) are broadcast if their counted rows are under a bound; the join is
-then done in the scan's own stage, with no shuffle of the corpus. Beyond it, hashes are joined by a shuffle and hits are
-verified by a second join on the document.
+What is joined first is small rows of fixed size (hash, item, place): they are broadcast if their counted rows are under a
+bound; the join is then done in the scan's own stage, with no shuffle of the corpus. Beyond it, hashes are joined by a
+shuffle, and hits meet their texts again by (doc_id, hash of the text). Items come in after the hits, by a broadcast if their
+counted bytes are few. Both ways give the same rows.
 
-Defined cases: null texts have no words; items or texts with fewer words than the shortest mask's span never match; a
-null doc_id or item_id is carried as null; repeated rows are one pair; extra columns are ignored.
+Defined cases: null texts have no words; texts with fewer words than the shortest mask's span never match, nor do items with
+fewer than `least` words (they can't have as many equal ones); a null doc_id or item_id is a value of its own and carried as null;
+rows that repeat a doc_id give its best pairs over all of their texts; repeated rows are one pair; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,12 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._common import keep_ids, save
+
 #: Masks as positions that are kept (span, positions): weight 6 in spans of 8 and 10.
 MASKS = ((0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 8, 9))
 SPLIT = r"[^\p{L}\p{N}]+"
 #: Least aligned equal words, share of the item's words, and number of equal words that is enough whatever the share.
 LEAST, SHARE, ENOUGH = 10, 0.6, 20
-BROADCAST_HASHES = 500_000
+BROADCAST_HASHES, BROADCAST_BYTES = 500_000, 32 << 20
 
 
 def _exploded(df: DataFrame, keys: list[str], carry: bool) -> DataFrame:
@@ -36,7 +40,11 @@ def _exploded(df: DataFrame, keys: list[str], carry: bool) -> DataFrame:
     # outer: else Spark infers a filter on the size of the array and splits each text once more at the scan
     each = cut.select(*keys, "words", F.posexplode_outer("words").alias("start", "word")).drop("word")
     n = F.size("words")
-    seed = lambda k, m: F.when(F.col("start") + m[-1] < n, F.xxhash64(F.lit(k), *[F.get("words", F.col("start") + p) for p in m]))
+
+    def seed(number: int, mask: tuple[int, ...]) -> Column:
+        kept = [F.get("words", F.col("start") + p) for p in mask]
+        return F.when(F.col("start") + mask[-1] < n, F.xxhash64(F.lit(number), *kept))
+
     seeds = F.explode_outer(F.array(*[seed(k, m) for k, m in enumerate(MASKS)]))
     return each.select(*keys, *(["words"] if carry else []), "start", seeds.alias("seed")).where(F.col("seed").isNotNull())
 
@@ -44,24 +52,56 @@ def _exploded(df: DataFrame, keys: list[str], carry: bool) -> DataFrame:
 def _equal(words: Column, shift: Column, item: Column) -> Column:
     """Equal words of the item and of the text along the diagonal."""
     n = F.size(words)
-    return F.aggregate(F.transform(item, lambda w, i: ((i + shift >= 0) & (i + shift < n) & F.coalesce(F.get(words, i + shift) == w, F.lit(False))).cast("int")), F.lit(0), lambda a, x: a + x)
+
+    def same(word: Column, i: Column) -> Column:
+        inside = (i + shift >= 0) & (i + shift < n)
+        return (inside & F.coalesce(F.get(words, i + shift) == word, F.lit(False))).cast("int")
+
+    return F.aggregate(F.transform(item, same), F.lit(0), lambda a, x: a + x)
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, share: float = SHARE, enough: int = ENOUGH) -> DataFrame:
-    """(doc_id, item_id, n_equal, n_item, start_word): one row for each contaminated pair, its best alignment."""
-    items = benchmark.select("item_id", F.regexp_replace(F.lower("text"), f"^{SPLIT}|{SPLIT}$", "").alias("text")).distinct()
-    test = _exploded(items, ["item_id"], True).select("item_id", F.col("words").alias("item"), F.col("start").alias("item_start"), "seed")
+    """(doc_id, item_id, n_equal, n_item, start_word): one row for each contaminated pair, its best alignment.
+
+    start_word is the place of the item's first word among the text's words, from 0; it is negative where the text has only the rest.
+    """
+    bare = F.regexp_replace(F.lower("text"), f"^{SPLIT}|{SPLIT}$", "")
+    items = benchmark.select("item_id", bare.alias("text")).distinct()
+    items = items.select("item_id", F.xxhash64("text").alias("item_hash"), "text", F.split("text", SPLIT).alias("item")).where(F.size("item") >= least)
+    items = save(items, "test-items")
     # one row for each item, seed and start; equal items or seeds stay apart as they tell different pairs
-    small = test.limit(BROADCAST_HASHES + 1).count() <= BROADCAST_HASHES
+    test = _exploded(items, ["item_id", "item_hash"], False).withColumnRenamed("start", "item_start")
+    few_hashes = test.limit(BROADCAST_HASHES + 1).count() <= BROADCAST_HASHES
+    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    few_bytes = size <= BROADCAST_BYTES and few_hashes  # an item has at least one hash, so its rows are few as well
     shift = F.col("start") - F.col("item_start")
-    if small:
+    if few_hashes:
         hits = _exploded(docs.select("doc_id", "text"), ["doc_id"], True).join(F.broadcast(test), "seed")
+        hits = hits.select("doc_id", "words", "item_id", "item_hash", shift.alias("shift"))
     else:
-        pairs = _exploded(docs.select("doc_id", "text"), ["doc_id"], False).join(test, "seed").select("doc_id", "item_id", "item", shift.alias("shift")).distinct()
-        hits = pairs.join(docs.select("doc_id", F.split(F.lower("text"), SPLIT).alias("words")), "doc_id").withColumn("start", F.col("shift")).withColumn("item_start", F.lit(0))
+        own = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+        pairs = _exploded(own, ["doc_id", "text_hash"], False).join(test, "seed")
+        pairs = save(pairs.select("doc_id", "text_hash", "item_id", "item_hash", shift.alias("shift")).distinct(), "test-hits")
+        texts = own.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.split(F.lower("text"), SPLIT).alias("words")).distinct()
+        hits = pairs.join(texts, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))).drop("d", "h")
+    known = items.select(F.col("item_id").alias("i"), F.col("item_hash").alias("j"), "item")
+    hits = hits.join(F.broadcast(known) if few_bytes else known, F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_hash") == F.col("j")))
     # Compared in a projection above the join and filtered above the aggregate: a condition with lambdas inside the join
     # would take it out of generated code, and each exploded row would then copy the words.
-    hits = hits.select("doc_id", "item_id", F.size("item").alias("n_item"), shift.alias("start_word"), _equal(F.col("words"), shift, F.col("item")).alias("n_equal"))
-    found = hits.groupBy("doc_id", "item_id").agg(F.max("n_equal").alias("n_equal"), F.max_by(F.struct("n_item", "start_word"), F.struct("n_equal", -F.col("start_word"))).alias("best"))
-    found = found.select("doc_id", "item_id", F.col("n_equal").cast("long").alias("n_equal"), F.col("best.n_item").cast("long").alias("n_item"), F.col("best.start_word").cast("long").alias("start_word"))
-    return found.where((F.col("n_equal") >= least) & ((F.col("n_equal") >= share * F.col("n_item")) | (F.col("n_equal") >= enough)))
+    lead = F.when(F.get("words", F.lit(0)) == "", 1).otherwise(0)  # what splits off before a text's first word
+    hits = hits.select("doc_id", "item_id", F.size("item").alias("n_item"), (F.col("shift") - lead).alias("start_word"), _equal(F.col("words"), F.col("shift"), F.col("item")).alias("n_equal"))
+    best = F.max_by(F.struct("n_item", "start_word"), F.struct("n_equal", -F.col("n_item"), -F.col("start_word")))
+    found = hits.groupBy("doc_id", "item_id").agg(F.max("n_equal").alias("n_equal"), best.alias("best"))
+    whole = [F.col(c).cast("long").alias(n) for c, n in (("n_equal", "n_equal"), ("best.n_item", "n_item"), ("best.start_word", "start_word"))]
+    found = found.select("doc_id", "item_id", *whole)
+    enough_words = (F.col("n_equal") >= share * F.col("n_item")) | (F.col("n_equal") >= enough)
+    return found.where((F.col("n_equal") >= least) & enough_words)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """docs whose text holds no benchmark passage, with all their columns. Whether it does is a matter of the text alone, so rows with a
+    null or repeated doc_id are judged by their own texts."""
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    leaks = save(overlaps(texts, benchmark).select("doc_id").distinct(), "leaks")
+    marked = keep_ids(docs.withColumn("__text_hash", F.xxhash64("text")), leaks, "__text_hash", keep=False)
+    return marked.select(*[F.col(f"`{c}`") for c in docs.columns])
