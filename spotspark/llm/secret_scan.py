@@ -1,14 +1,17 @@
 """Secret scans: fixed patterns, and guess costs of values in credential contexts.
 
-A value that follows a credential word is split by dynamic programming into the segments that are cheapest to guess: words
-of a short list (with common letter swaps and capitals), dates, repeats, keyboard walks, digit runs, and brute force for
-what is left. The least total cost, in decimal digits of guesses, says how hard the value is to guess: a machine-made
-secret costs much, a placeholder or word little. Values above a threshold are added as spans of kind "guess", whatever characters
-they have, unless a span of kind "assign" has the same value to its end or an earlier "guess" span holds it.
-
-Defined cases: null or empty text has no spans; a value is cut into pieces of MOST_VALUE characters for the cost, which
-are added up (cost grows with length, so nothing is missed); repeated rows give their spans each; null doc_ids are carried;
-extra columns stay in redact().
+A value that follows a credential word is split by dynamic programming into the segments that are cheapest to guess: words by
+their rank (of a short list, and of the corpus' own commonest words where those were counted) with common letter swaps and
+capitals, dates, repeats, keyboard walks, runs of following characters, and brute force for what is left. The least total cost, in
+decimal digits of guesses, says how hard the value is to guess: a machine-made secret costs much, a placeholder or word little. Values
+above a threshold are added as spans of kind "guess", whatever characters they have, unless a span of kind "assign" has the same value
+to its end or an earlier "guess" span holds it.
+
+Time is linear in the text: a run of value characters is segmented once, from its end on, which gives the costs of all values that
+end there, wherever they start.
+
+Defined cases: null or empty text has no spans; values of any length are segmented whole; repeated rows give their spans each; null
+doc_ids are carried; extra columns stay in redact(), are ignored in scan().
 """
 
 from __future__ import annotations
@@ -17,8 +20,8 @@ import hashlib
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,14 +31,17 @@ from ._common import map_arrow, strings
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
-#: Wider contexts for values whose guess cost decides.
-CONTEXT = re.compile(r"""(?:password|passwd|pwd|passphrase|passcode|secret|token|api_?key|access_?key|private_?key|auth_?key|credentials?|bearer)["']?\x20*(?:[:=]|\bis\b)?\x20*["']?(?=([^\s"'<>,;|]{8,}))""", re.I | re.A)
+_VALUE = r"[^\s\"'<>,;|]"
+#: Wider contexts for values whose guess cost decides. Possessive, so that blanks are read once.
+CONTEXT = re.compile(rf"""(?:password|passwd|pwd|passphrase|passcode|secret|token|api_?key|access_?key|private_?key|auth_?key|credentials?|bearer)["']?+\x20*+(?:(?:[:=]|(?<=\x20)is\b)\x20*+)?+["']?+(?={_VALUE}{{8}})""", re.I | re.A)
+_RUN = re.compile(rf"{_VALUE}*+", re.A)
 #: A text without any of these has no assign span and no context.
 HINTS = ("passw", "pwd", "passphrase", "passcode", "secret", "token", "apikey", "api_key", "accesskey", "access_key", "privatekey", "private_key", "authkey", "auth_key", "credential", "bearer")
 KINDS = ("assign", "access", "hex", "guess")
-#: Decimal digits of guesses from which a value counts as a secret.
-THRESHOLD = 12.0
-MOST_VALUE, MOST_SEGMENT = 256, 24
+#: Decimal digits of guesses from which a value counts as a secret; what the choice of each further segment costs.
+THRESHOLD, CHOICE = 12.0, 0.3
+#: Words of the corpus that count as words of a value: so many, of at least so many documents.
+LEARNED, LEAST_DOCS = 10_000, 5
 
 # Common words of passwords and placeholders by rank.
 WORDS = """password pass admin user root test example demo sample secret token login welcome default change changeme me my your the
@@ -44,13 +50,12 @@ baseball shadow michael jordan super hunter buster soccer batman andrew tigger c
 michelle jessica pepper freedom summer winter spring autumn secure security system server database local localhost public private production
 staging development dev prod guest service account email data config setting environment variable string text insert enter todo required
 redacted hidden masked removed x xx xxx abc qwerty iloveyou trustno god money""".split()
-_RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
 _SWAPS = str.maketrans("@4310$57!", "aaelosstii"[:9])
 _ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 _DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])[-/._](?:0?[1-9]|1[0-2])[-/._](?:19|20)?\d\d|(?:19|20)\d\d")
+_REPEAT = re.compile(r"(.{1,12}?)\1++", re.S)
 
 
-@lru_cache(1)
 def _near() -> dict[str, set[str]]:
     """Keys beside each key on a keyboard whose rows are set off by half a key."""
     near: dict[str, set[str]] = {}
@@ -60,85 +65,109 @@ def _near() -> dict[str, set[str]]:
     return near
 
 
-def _brute(c: str) -> float:
+_BESIDE = _near()
+
+
+def brute_force(c: str) -> float:
     return 1.0 if c.isdigit() else math.log10(26) if c.isalpha() and (c.islower() or c.isupper()) else math.log10(33)
 
 
-def _segments(v: str) -> Iterator[tuple[int, int, float]]:
-    """(start, end, cost) of every segment that a pattern explains."""
-    low = v.lower()
-    plain = low.translate(_SWAPS)
-    n = len(v)
-    for i in range(n):
-        for j in range(i + 1, min(n, i + MOST_SEGMENT) + 1):
-            for form, swapped in ((low[i:j], 0.0), (plain[i:j], 0.5)):
-                if form in _RANK:
-                    caps = 0.0 if v[i:j] == low[i:j] else 0.4 if v[i:j] in (low[i:j].upper(), low[i:j].capitalize()) else 1.5
-                    yield i, j, math.log10(_RANK[form] + 1) + caps + (swapped if form != low[i:j] else 0.0)
-                    break
-    for m in _DATE.finditer(v):
-        yield m.start(), m.end(), math.log10(366 * 120) if m.end() - m.start() > 4 else math.log10(120)
-    for m in re.finditer(r"(.{1,12}?)\1+", v):
-        yield m.start(), m.end(), sum(map(_brute, m[1])) + math.log10((m.end() - m.start()) / len(m[1]))
-    near, i = _near(), 0
-    while i < n:
-        j, turns, last = i + 1, 0, None
-        while j < n and low[j] in near.get(low[j - 1], ()):
-            step = ord(low[j]) - ord(low[j - 1])
-            turns += step != last
-            last = step
-            j += 1
-        if j - i >= 3:
-            yield i, j, math.log10(94) + 0.3 * (j - i) + 0.3 * min(turns, 3)
-        i = j if j - i >= 3 else i + 1
-    i = 0
-    while i < n:  # abcdef, 987654
-        j = i + 1
-        while j < n and ord(v[j]) - ord(v[j - 1]) == (ord(v[i + 1]) - ord(v[i])) and abs(ord(v[j]) - ord(v[j - 1])) == 1:
-            j += 1
-        if j - i >= 3:
-            yield i, j, 1.0 + math.log10(j - i)
-        i = max(i + 1, j - 1)
-
-
-@lru_cache(1 << 16)
-def guess_cost(value: str) -> float:
-    """Least decimal digits of guesses over all segmentations of the value."""
-    if len(value) > MOST_VALUE:
-        return sum(guess_cost(value[i : i + MOST_VALUE]) for i in range(0, len(value), MOST_VALUE))
-    n = len(value)
-    ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-    for i, j, cost in _segments(value):
-        ends[j].append((i, cost))
-    # best[j]: (cost, segments); every further segment costs the choice of its kind
-    best = [0.0] * (n + 1)
-    for j in range(1, n + 1):
-        best[j] = best[j - 1] + _brute(value[j - 1])
-        for i, cost in ends[j]:
-            best[j] = min(best[j], best[i] + cost + 0.3)
-    return best[n]
-
-
-def spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int, int, float]]:
-    """(start, end, kind as index of KINDS, guess cost) ordered by start, kind. Costs are 0 for access and hex."""
-    out = []
-    low = text.lower()
-    if any(h in low for h in HINTS):
-        reach: dict[int, int] = {}  # end of the assign span by the start of its value
-        for m in ASSIGN.finditer(text):
-            if len(m[2]) >= 8:
-                out.append((m.start(), m.end(), 0, guess_cost(m[2])))
-                reach[m.start(2)] = m.end(2)
-        done = 0
-        for m in CONTEXT.finditer(text):  # the value is looked ahead at, so a credential word in it is tried as well
-            a, b = m.span(1)
-            if b > max(done, reach.get(a, 0)) and (cost := guess_cost(m[1])) >= threshold:
-                out.append((a, b, 3, cost))
-                done = b
-    if "AKIA" in text:
-        out += [(m.start(), m.end(), 1, 0.0) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
-    out += [(m.start(), m.end(), 2, 0.0) for m in HEX.finditer(text)]
-    return sorted(out)
+class Guesser:
+    """Costs of values; holds the words by rank."""
+
+    def __init__(self, learned: tuple[str, ...] = ()):
+        self.rank = {w: i + 1 for i, w in reversed(list(enumerate(dict.fromkeys([*WORDS, *learned]))))}
+        self.finder = ahocorasick.Automaton()
+        for w in self.rank:
+            self.finder.add_word(w, w)
+        self.finder.make_automaton()
+
+    def segments(self, v: str) -> Iterator[tuple[int, int, float]]:
+        """(start, end, cost) of every segment that a pattern explains."""
+        n = len(v)
+        low = v.lower()
+        if len(low) != n:  # a letter whose lower case is longer
+            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in v)
+        plain = low.translate(_SWAPS)
+        for form in (low, plain) if plain != low else (low,):
+            for last, w in self.finder.iter(form):
+                i, j = last + 1 - len(w), last + 1
+                caps = 0.0 if v[i:j] == low[i:j] else 0.4 if v[i:j] in (low[i:j].upper(), low[i:j].capitalize()) else 1.5
+                yield i, j, math.log10(self.rank[w] + 1) + caps + (0.0 if w == low[i:j] else 0.5)
+        for m in _DATE.finditer(v):
+            yield m.start(), m.end(), math.log10(366 * 120) if m.end() - m.start() > 4 else math.log10(120)
+        for m in _REPEAT.finditer(v):
+            yield m.start(), m.end(), sum(map(brute_force, m[1])) + math.log10((m.end() - m.start()) / len(m[1]))
+        i = 0
+        while i < n:  # keyboard walks
+            j, turns, last = i + 1, 0, None
+            while j < n and low[j] in _BESIDE.get(low[j - 1], ()):
+                step = ord(low[j]) - ord(low[j - 1])
+                turns += step != last
+                last = step
+                j += 1
+            if j - i >= 3:
+                yield i, j, math.log10(94) + 0.3 * (j - i) + 0.3 * min(turns, 3)
+            i = j if j - i >= 3 else i + 1
+        i = 0
+        while i < n:  # abcdef, 987654
+            j = i + 1
+            while j < n and ord(v[j]) - ord(v[j - 1]) == (ord(v[i + 1]) - ord(v[i])) and abs(ord(v[j]) - ord(v[j - 1])) == 1:
+                j += 1
+            if j - i >= 3:
+                yield i, j, 1.0 + math.log10(j - i)
+            i = max(i + 1, j - 1)
+
+    def costs(self, value: str) -> list[float]:
+        """For each i the least decimal digits of guesses over all segmentations of value[i:]."""
+        n = len(value)
+        starts: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+        for i, j, cost in self.segments(value):
+            starts[i].append((j, cost))
+        best = [0.0] * (n + 1)
+        for i in range(n - 1, -1, -1):
+            least = best[i + 1] + brute_force(value[i])
+            for j, cost in starts[i]:
+                least = min(least, best[j] + cost + CHOICE)
+            best[i] = least
+        return best
+
+    def cost(self, value: str) -> float:
+        return self.costs(value)[0]
+
+    def spans(self, text: str, threshold: float = THRESHOLD) -> list[tuple[int, int, int, float]]:
+        """(start, end, kind as index of KINDS, guess cost) ordered by start, kind. Costs are 0 for access and hex."""
+        out = []
+        low = text.lower()
+        if any(h in low for h in HINTS):
+            reach: dict[int, int] = {}  # end of the assign span by the start of its value
+            for m in ASSIGN.finditer(text):
+                if len(m[2]) >= 8:
+                    out.append((m.start(), m.end(), 0, self.cost(m[2])))
+                    reach[m.start(2)] = m.end(2)
+            done = begin = end = 0
+            costs: list[float] = []
+            for m in CONTEXT.finditer(text):  # the value is looked ahead at, so a credential word in it is tried as well
+                a = m.end()
+                if a >= end:  # a new run of value characters
+                    begin, end, costs = a, _RUN.match(text, a).end(), []
+                if end > max(done, reach.get(a, 0)):
+                    costs = costs or self.costs(text[begin:end])
+                    if costs[a - begin] >= threshold:
+                        out.append((a, end, 3, costs[a - begin]))
+                        done = end
+        if "AKIA" in text:
+            out += [(m.start(), m.end(), 1, 0.0) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
+        out += [(m.start(), m.end(), 2, 0.0) for m in HEX.finditer(text)]
+        return sorted(out, key=lambda x: (x[0], x[2]))
+
+
+def learn_words(docs: DataFrame, most: int = LEARNED, least_docs: int = LEAST_DOCS) -> tuple[str, ...]:
+    """The commonest words (4 to 24 letters a-z, by documents) over all documents: at most `most` rows reach the driver."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0)))
+    each = docs.select(F.explode(words).alias("w")).where("length(w) <= 24")
+    seen = each.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= least_docs)
+    return tuple(r["w"] for r in seen.orderBy(F.desc("n"), "w").limit(most).collect())
 
 
 def _plain(found: list[tuple[int, int, int, float]]) -> str:
@@ -148,16 +177,19 @@ def _plain(found: list[tuple[int, int, int, float]]) -> str:
 SCAN = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_guess long, highest_cost double"
 
 
-def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row for each document: counts and spans (code points, end exclusive), see SCAN."""
+def scan(docs: DataFrame, threshold: float = THRESHOLD, words: tuple[str, ...] | None = None) -> DataFrame:
+    """One row for each document: counts and spans (code points, end exclusive), see SCAN. words: as of learn_words(), which are else
+    learned from docs."""
     names = [x.split()[0] for x in SCAN.split(", ")]
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64(), pa.float64()]
+    learned = learn_words(docs) if words is None else words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        guesser = Guesser(learned)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), strings(batch.column(1)), strict=True):
-                found = spans(text.as_py(), threshold)
+                found = guesser.spans(text.as_py(), threshold)
                 base = [x for x in found if x[2] < 3]
                 count = [sum(x[2] == k for x in found) for k in range(4)]
                 rows.append((doc_id, *count[:3], hashlib.sha256(_plain(base).encode()).hexdigest(), _plain(found), count[3], max((x[3] for x in found), default=0.0)))
@@ -167,17 +199,19 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, SCAN)
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]", threshold: float = THRESHOLD) -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[SECRET]", threshold: float = THRESHOLD, words: tuple[str, ...] | None = None) -> DataFrame:
     """docs with every span of the text replaced by the mark (overlapping spans by one); n_chars, where it exists, follows."""
     fields = docs.columns
     at = fields.index("text")
+    learned = learn_words(docs) if words is None else words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        guesser = Guesser(learned)
         for batch in batches:
             out, sizes = [], []
             for text in batch.column(at):
                 text = text.as_py()
-                found = spans(text, threshold) if text else []
+                found = guesser.spans(text, threshold) if text else []
                 if found:
                     parts, done = [], 0
                     for a, b, _, _ in found:
