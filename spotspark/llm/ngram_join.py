@@ -13,9 +13,12 @@
 
 The result is the exact set of components (up to equal 64-bit hashes of different shingles).
 
+Common shingles: lists of more than LIST members by the sketch (which counts at least as many) are not gathered by key but joined to
+their first member, and lists are met block by block, so no task holds a whole list.
+
 Defined cases: null or empty text, or white space only: no shingles, a component of its own; fewer than n words: the whole
-sequence is the one shingle; equal texts have one set; a doc_id is one node, so rows that repeat it are linked; a null doc_id
-is in no pair and its component_id is null; other columns are ignored.
+sequence is the one shingle; equal texts have one set; a doc_id is one node, so rows that repeat it are linked with each other and
+with all that any of them links with; a null doc_id is in no pair and its component_id is null; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +38,8 @@ N_WORDS, PERCENT = 5, 75
 #: Buckets of the rarity sketch, as bits: a fixed size (4 bytes each) whatever the input.
 SKETCH_BITS = 20
 _CHUNK = 1 << 13
+#: Members of an inverted list that one task gathers, and of a block of it that meets another; tasks whose sketches are added at once.
+LIST, FAN = 1000, 64
 _BITS = ("b0", "b1", "b2", "b3")
 
 
@@ -85,8 +91,9 @@ def _members_and_sketch(docs: DataFrame, n: int) -> DataFrame:
     """One pass: (doc_id, n, k1, k2) of each document (k1, k2 name its set), and rows (chunk, counts) of each task's sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n", "k1", "k2", "chunk", "counts"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        names = ["doc_id", "n", "k1", "k2", "chunk", "part", "counts"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        part = TaskContext.get().partitionId()
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             ids = batch.column(0)
@@ -97,22 +104,29 @@ def _members_and_sketch(docs: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(np.diff(bounds)), _signed(_sums(mix(s), bounds)), _signed(_sums(mix(s ^ _GOLD), bounds)), *none], names=names)
         for c in np.flatnonzero(counts.reshape(-1, _CHUNK).any(axis=1)):
             own = [pa.nulls(1, k) for k in kinds[:4]]
-            yield pa.RecordBatch.from_arrays([*own, pa.array([c], pa.int32()), pa.array([counts[c * _CHUNK : (c + 1) * _CHUNK].tobytes()], pa.binary())], names=names)
+            mine = counts[c * _CHUNK : (c + 1) * _CHUNK].tobytes()
+            yield pa.RecordBatch.from_arrays([*own, pa.array([c], pa.int32()), pa.array([part], pa.int32()), pa.array([mine], pa.binary())], names=names)
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n long, k1 long, k2 long, chunk int, counts binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return map_arrow(rows, run, "doc_id long, n long, k1 long, k2 long, chunk int, part int, counts binary")
 
 
 def _sketch(parts: DataFrame) -> np.ndarray:
-    """Adds up the tasks' counts by chunk; the driver gets one array of fixed size."""
+    """Adds up the tasks' counts by chunk, FAN tasks at a time; the driver gets one array of fixed size. parts: chunk, part, counts."""
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(_CHUNK, np.uint64)
         for c in frame["counts"]:
             total += np.frombuffer(c, np.uint32)
-        return pd.DataFrame({"chunk": frame["chunk"].iloc[:1], "counts": [np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
+        return pd.DataFrame({"chunk": frame["chunk"].iloc[:1], "part": frame["part"].iloc[:1], "counts": [np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
 
+    schema = "chunk int, part int, counts binary"
+    tasks = (parts.agg(F.max("part")).first()[0] or 0) + 1
+    while tasks > FAN:
+        tasks = -(-tasks // FAN)
+        parts = save(parts.withColumn("part", F.pmod("part", F.lit(tasks)).cast("int")).groupBy("chunk", "part").applyInPandas(add, schema), "join-sketch")
     out = np.zeros(1 << SKETCH_BITS, np.uint32)
-    for r in parts.groupBy("chunk").applyInPandas(add, "chunk int, counts binary").collect():
+    for r in parts.groupBy("chunk").applyInPandas(add, schema).collect():
         out[r["chunk"] * _CHUNK : (r["chunk"] + 1) * _CHUNK] = np.frombuffer(r["counts"], np.uint32)
     return out
 
@@ -152,8 +166,9 @@ def _groups(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "rep long, n long, g1 long, g2 long, bitmap binary, b0 long, b1 long, b2 long, b3 long").where("n > 0")
 
 
-def _postings(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
-    """(shingle, gid, n, at): the prefix of each group's first document, and the place of each shingle in the order."""
+def _postings(docs: DataFrame, sketch, n: int, percent: int, least: int = 0, most: int = 1 << 32) -> DataFrame:
+    """(shingle, gid, n, at): the prefix of each group's first document, and the place of each shingle in the order. Only shingles
+    whose count in the sketch is from least to below most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rare = sketch.value
@@ -163,6 +178,8 @@ def _postings(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
                 s, bounds = shingle_sets(data, at, n)
                 own = owner(bounds)
                 order, inside = _prefix_mask(s, bounds, rare, percent)
+                count = rare[s[order] >> np.uint64(64 - SKETCH_BITS)]
+                inside &= (count >= least) & (count < most)
                 whose = own[inside]
                 place = (np.arange(len(s)) - bounds[:-1][own])[inside]
                 columns = [_signed(s[order][inside]), pa.array(ids[i:j][whose]), pa.array(np.diff(bounds)[whose].astype(np.int32)), pa.array(place.astype(np.int32))]
@@ -232,32 +249,77 @@ def _shared(na: str, nb: str, percent: int):
     return F.ceil((F.lit(percent) * (F.col(na) + F.col(nb))) / F.lit(float(100 + percent)) - F.lit(1e-9))
 
 
+def _live(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
+    """Lists of two groups or more: (shingle, gid, n, at), and the first group of the list as center, center_n, center_at."""
+    counts = sketch.value
+    long_ = LIST + 4 * int(counts.mean())
+    columns = ["shingle", "gid", "n", "at", F.col("head.gid").alias("center"), F.col("head.n").alias("center_n"), F.col("head.at").alias("center_at")]
+    same = Window.partitionBy("shingle")
+    first = F.min(F.struct("gid", "n", "at"))
+    short = _postings(docs, sketch, n, percent, most=long_)
+    short = short.withColumn("c", F.count("*").over(same)).where("c > 1").withColumn("head", first.over(same)).select(*columns)
+    if int(counts.max()) < long_:
+        return short
+    # lists that may be long: counted with partial sums, then joined to their heads (a join whose large keys Spark can split)
+    common = save(_postings(docs, sketch, n, percent, least=long_), "join-common")
+    heads = common.groupBy("shingle").agg(F.count("*").alias("c"), first.alias("head")).where("c > 1")
+    return short.unionByName(common.join(heads, "shingle").select(*columns))
+
+
+def _across(member: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of one list in different components that can link. member: shingle, rep, component, n, at, bits.
+
+    In each list the members outside its largest component meet all others: never two of the largest. Both sides are dealt into blocks
+    of about LIST members; each pair of blocks is a key of its own.
+    """
+    sizes = member.groupBy("shingle", "component").agg(F.count("*").alias("c"))
+    sizes = sizes.groupBy("shingle").agg(F.max_by("component", F.struct("c", "component")).alias("major"), F.sum("c").alias("all"), F.max("c").alias("of_major"))
+    blocks = lambda c: F.ceil(c / F.lit(float(LIST))).cast("int")
+    sizes = sizes.select("shingle", "major", blocks(F.col("all")).alias("blocks"), F.greatest(blocks(F.col("all") - F.col("of_major")), F.lit(1)).alias("minor_blocks"))
+    member = save(member.join(sizes, "shingle"), "join-members")
+    each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    block_of = lambda c: F.pmod(F.xxhash64("rep"), F.col(c)).cast("int")
+    minor = member.where("component <> major").withColumn("mine", block_of("minor_blocks")).withColumn("its", each("blocks"))
+    other = member.withColumn("its", block_of("blocks")).withColumn("mine", each("minor_blocks"))
+    other = other.select("shingle", "mine", "its", *[F.col(c).alias(f"o_{c}") for c in ("rep", "component", "n", "at", *_BITS)])
+    apart = sum((F.bit_count(F.col(k).bitwiseXOR(F.col(f"o_{k}"))) for k in _BITS[1:]), F.bit_count(F.col("b0").bitwiseXOR(F.col("o_b0"))))
+    size = F.col("n") + F.col("o_n")
+    once = (F.col("o_component") == F.col("major")) | (F.col("rep") < F.col("o_rep"))
+    meet = (F.col("component") != F.col("o_component")) & once & _fits("n", "at", "o_n", "o_at", percent)
+    meet &= 100 * (size - apart) >= percent * (size + apart)
+    same = (minor["shingle"] == other["shingle"]) & (minor["mine"] == other["mine"]) & (minor["its"] == other["its"])
+    return minor.join(other, same & meet).select(F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b")).distinct()
+
+
 def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs."""
     spark = docs.sparkSession
     first = save(_members_and_sketch(docs, n), "join-members")
-    sketch = spark.sparkContext.broadcast(_sketch(first.where("chunk is not null").select("chunk", "counts")))
+    sketch = spark.sparkContext.broadcast(_sketch(first.where("chunk is not null").select("chunk", "part", "counts")))
     members = first.where("n is not null").select("doc_id", "n", "k1", "k2")
     named = members.where("n > 0 and doc_id is not null")
     reps = save(named.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "join-reps")
     keys = save(reps.select("rep").distinct(), "join-ids")
-    groups = _groups(keep_ids(docs, keys, "doc_id"), sketch, n, percent)
-    groups = save(groups, "join-groups")
+    groups = save(_groups(keep_ids(docs, keys, "doc_id"), sketch, n, percent), "join-groups")
+    # doc_ids whose rows have different sets: one node, so the first documents of these sets are linked by it
+    mixed_ids = members.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("n", "k1", "k2")).alias("lo"), F.max(F.struct("n", "k1", "k2")).alias("hi"))
+    mixed_ids = save(mixed_ids.where("lo <> hi").select("doc_id"), "join-mixed")
+    several = mixed_ids.limit(1).count() > 0
     led = groups.groupBy("g1", "g2", "n").agg(F.min("rep").alias("gid"))
     grouped = save(groups.join(led, ["g1", "g2", "n"]).select("rep", "gid", F.col("n").cast("int").alias("n"), "bitmap", *_BITS), "join-grouped")
     leaders = save(grouped.select("gid").distinct(), "join-leaders")
-
-    # lists of two groups or more, with the first group of the list
-    post = _postings(keep_ids(docs, leaders, "doc_id"), sketch, n, percent)
-    same = Window.partitionBy("shingle")
-    live = post.withColumn("c", F.count("*").over(same)).where("c > 1").withColumn("head", F.min(F.struct("gid", "n", "at")).over(same))
-    live = save(live.select("shingle", "gid", "n", "at", F.col("head.gid").alias("center"), F.col("head.n").alias("center_n"), F.col("head.at").alias("center_at")), "join-live")
+    live = save(_live(keep_ids(docs, leaders, "doc_id"), sketch, n, percent), "join-live")
 
     # stars
     votes = live.where((F.col("gid") != F.col("center")) & _fits("n", "at", "center_n", "center_at", percent)).groupBy("gid", "center").agg(F.count("*").alias("v"))
     stars = votes.groupBy("gid").agg(F.max_by("center", F.struct("v", -F.col("center"))).alias("center")).select(F.col("center").alias("a"), F.col("gid").alias("b"))
     own = grouped.where("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
-    sure = save(linked(docs, stars.unionByName(own), n, percent), "join-sure")
+    sure = linked(docs, stars.unionByName(own), n, percent)
+    if several:
+        ends = save(keep_ids(named, mixed_ids, "doc_id").join(reps, ["k1", "k2"]).select("doc_id", "rep").distinct(), "join-mixed-ends")
+        least = ends.groupBy("doc_id").agg(F.min("rep").alias("a"))
+        sure = sure.unionByName(ends.join(least, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b")))
+    sure = save(sure, "join-sure")
     part = components(sure)
 
     # pairs across components
@@ -267,17 +329,7 @@ def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT
     lists = save(live.select("shingle", "gid", "n", "at").join(kinds, "gid"), "join-lists")
     mixed = lists.groupBy("shingle").agg(F.min("kind").alias("lo"), F.max("kind").alias("hi"), F.min("n").alias("least")).where("lo <> hi").select("shingle", "least")
     mixed = lists.join(mixed, "shingle").where(F.col("n") - F.col("at") >= _shared("n", "least", percent)).select("shingle", "gid", "at")
-    member = mixed.join(placed, "gid")
-    # in each list the members outside its largest component meet all others: never two of the largest
-    largest = member.groupBy("shingle", "component").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.max_by("component", F.struct("c", "component")).alias("major"))
-    member = save(member.join(largest, "shingle"), "join-members")
-    other = member.select("shingle", *[F.col(c).alias(f"o_{c}") for c in ("rep", "component", "n", "at", *_BITS)])
-    apart = sum((F.bit_count(F.col(k).bitwiseXOR(F.col(f"o_{k}"))) for k in _BITS[1:]), F.bit_count(F.col("b0").bitwiseXOR(F.col("o_b0"))))
-    size = F.col("n") + F.col("o_n")
-    once = (F.col("o_component") == F.col("major")) | (F.col("rep") < F.col("o_rep"))
-    meet = (F.col("component") != F.col("o_component")) & once & _fits("n", "at", "o_n", "o_at", percent) & (100 * (size - apart) >= percent * (size + apart))
-    minor = member.where("component <> major")
-    across = minor.join(other, (minor["shingle"] == other["shingle"]) & meet).select(F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b")).distinct()
+    across = _across(mixed.join(placed, "gid"), percent)
     # members of one group that are not in one component
     split = placed.join(kinds.where("kind < 0").select("gid"), "gid").select("gid", "rep", "component")
     inside = split.join(split.toDF("gid", "o_rep", "o_component"), "gid").where("rep < o_rep and component <> o_component").select(F.col("rep").alias("a"), F.col("o_rep").alias("b"))
@@ -299,9 +351,13 @@ def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT
     more = linked(docs, pairs.select("a", "b"), n, percent)
     label = components(sure.unionByName(more))
     named = reps.join(label, reps["rep"] == label["id"], "left").select("k1", "k2", F.coalesce("component", "rep").alias("component_id"))
-    # a doc_id whose rows have different sets is one node: its least label holds for all of them
     out = members.join(named, ["k1", "k2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    if several:  # one of its rows may have no shingle and yet lie in the component of the others
+        least = keep_ids(out, mixed_ids, "doc_id").groupBy("doc_id").agg(F.min("component_id").alias("least"))
+        out = out.join(save(least, "join-least"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("least", "component_id").alias("component_id"))
+    return out
 
 
 def one_of_each(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT) -> DataFrame:
