@@ -4,10 +4,11 @@ P(grade <= k) = sigmoid(threshold_k - f(x)) with one weight vector f for all gra
 expected grade and the tail probability P(grade >= k) come from one number. x holds the share of each hashed feature among
 a text's words: the word, the shape of its ends (case, digits, marks), a repeat of the word before, a marked end.
 
-It is fitted on a bounded sample of the rated documents (FIT_ROWS, the least hashes of doc_id), every document is scored.
+It is fitted on a bounded sample of the rated documents (at most FIT_ROWS with at most FIT_WORDS words in all, the least hashes of
+doc_id), every document is scored.
 
 Defined cases: null text is empty and gets the score of f = 0 (thresholds alone); null ratings are left out; a doc_id rated
-twice counts with its highest rating; without any rating, or with one grade only, every tail probability is 1; grades are the
+twice counts with its highest rating, one whose rows repeat with its least text; without any rating, or with one grade only, every tail probability is 1; grades are the
 distinct ratings in order (at most 16). Ties, repeated rows and extra columns do not matter.
 """
 
@@ -21,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import _GOLD, SPACE, blocks, map_arrow, mix, owner, save, strings, words
+from ._common import _GOLD, SPACE, blocks, labelled_sample, map_arrow, mix, owner, strings, words
 
 #: Most rated documents that are fitted on, and hashed features as bits.
-FIT_ROWS, BITS = 6000, 16
+FIT_ROWS, FIT_WORDS, BITS = 6000, 4_000_000, 16
 ROUNDS, RATE, RIDGE = 120, 0.5, 1e-4
 #: Least P(grade >= GOOD) of a document that is kept.
 KEEP = 0.5
@@ -94,12 +95,11 @@ def fit_ordinal(index: np.ndarray, row: np.ndarray, value: np.ndarray, grade: np
     return Ordinal(w, theta, grades)
 
 
-def fit(docs: DataFrame, labels: DataFrame, rating: str = "quality", rows: int = FIT_ROWS) -> Ordinal:
-    """Fits on at most `rows` rated documents; their features are made on the executors and gathered (bounded by rows)."""
+def fit(docs: DataFrame, labels: DataFrame, rating: str = "quality", rows: int = FIT_ROWS, most_words: int = FIT_WORDS) -> Ordinal:
+    """Fits on at most `rows` rated documents with at most `most_words` words; their features, fewer than five a word, are made on the
+    executors and gathered."""
     rated = labels.where(F.col(rating).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col(rating).cast("double")).alias("grade"))
-    sample = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    sample = save(sample, "quality-sample")
-    joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "grade")
+    joined = labelled_sample(docs, rated, rows, most_words).select("doc_id", "text", "grade")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, rating: str = "quality", rows: int =
                 packed = [(index[a:b].tobytes(), value[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array([p[0] for p in packed], pa.binary()), pa.array([p[1] for p in packed], pa.binary())], names=["doc_id", "grade", "index", "value"])
 
-    found = map_arrow(joined, run, "doc_id long, grade double, index binary, value binary").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    found = map_arrow(joined, run, "doc_id long, grade double, index binary, value binary").orderBy("doc_id").collect()
     grades = sorted({r["grade"] for r in found})
     if len(grades) < 2:
         return Ordinal(np.zeros(1 << BITS), np.zeros(0), grades or [0.0])
