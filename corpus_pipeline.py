@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from spotspark.llm import decontam, mixing, ngram_join, quality, secret_scan
-from spotspark.llm._common import keep_ids, save, table
+from spotspark.llm._common import save, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,23 +18,24 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the 5-word Jaccard join at 0.75: that of least doc_id."""
+    """One document of each component of the 5-word Jaccard join at 0.75: that of least doc_id. Documents without words, and rows with a
+    null doc_id, which are in no component, stay; rows that repeat the doc_id that stays are that document and stay."""
     return ngram_join.one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage. Rows with a null doc_id stay (they can't be told apart)."""
-    leaks = decontam.overlaps(docs, table(spark, sf_dir, "benchmark")).where("doc_id is not null").select("doc_id").distinct()
-    return keep_ids(docs, save(leaks, "leaks"), "doc_id", keep=False)
+    """Documents whose text holds no benchmark passage. Each row is judged by its own text, whatever its doc_id; null texts stay."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with every secret span replaced by a mark and n_chars made to follow."""
+    """All documents, with every secret span replaced by a mark and n_chars made to follow; null and empty texts stay as they are."""
     return secret_scan.redact(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with copies and taken."""
+    """The documents that the mix takes, with copies and taken (columns of these names are replaced). Null sources are one source, null
+    doc_ids one id; texts without words have nothing to take and go."""
     return mixing.mix_sources(docs)
 
 
@@ -46,7 +47,7 @@ STAGES = [
     ("mixture", mixture),
 ]
 
-#: Fitted weights, hash minima and Python segment costs are not expressible in SQL; tests/llm has a brute-force version.
+#: Fitted weights and segment costs are not expressible in SQL; tests/llm/test_llm.py compares run() with plain stages.
 ORACLE_SQL = None
 
 
