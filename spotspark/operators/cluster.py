@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,8 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.grid import pairs_within
-from ..sources.io import cut
+from ..plans.grid import pairs_once, pairs_within
+from ..sources.io import cut, small
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -27,32 +28,59 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return state
 
 
-def dbscan(df: DataFrame, eps: int, minpts: int) -> DataFrame:
-    """Df with group (-1: noise). Distances include eps, a point counts itself; border points go to the least label."""
-    p = df.select("loc_id", "x_m", "y_m", "cell")
-    met = cut(pairs_within(p, p, eps, ("cell",)).select("loc_id", "o_loc_id"))
-    core = cut(met.groupBy("loc_id").agg(F.count("*").alias("n")).where(F.col("n") >= minpts).select(F.col("loc_id").alias("id")))
-    to_core = met.join(core.withColumnRenamed("id", "o_loc_id"), "o_loc_id")
-    among = to_core.join(core.withColumnRenamed("id", "loc_id"), "loc_id").where("loc_id <> o_loc_id").select(F.col("loc_id").alias("a"), F.col("o_loc_id").alias("b"))
-    label = components(core, among)
-    own = label.select(F.col("id").alias("loc_id"), "label")
-    border = to_core.join(core.withColumnRenamed("id", "loc_id"), "loc_id", "left_anti").join(label, F.col("o_loc_id") == F.col("id")).groupBy("loc_id").agg(F.min("label").alias("label"))
-    groups = df.select("loc_id", "cell").join(own.unionByName(border), "loc_id")
+def dbscan(df: DataFrame, eps: int, minpts: int, dims: tuple[str, ...] = ("x_m", "y_m")) -> DataFrame:
+    """Df with group (-1: noise). Distances include eps, a point counts itself; border points go to the least label.
+
+    Two points of one sub-cell of side eps / sqrt(dims) are within eps of each other. So all points of a sub-cell with minpts points are
+    core without a count, all core points of a sub-cell are one node, named by its least core loc_id, and what is linked and
+    written are pairs of nodes, at most a few dozen a node, never pairs of points.
+    """
+    side = eps / math.sqrt(len(dims)) * (1 - 1e-9)
+    sub = [f"__c{k}" for k in range(len(dims))]
+    p = df.select("loc_id", *dims, "cell", *[F.floor(F.col(d) / F.lit(side)).alias(c) for c, d in zip(sub, dims, strict=True)])
+    p = cut(p.withColumn("full", F.count("*").over(Window.partitionBy("cell", *sub)) >= minpts))
+    plain = p.select("loc_id", *dims, "cell")
+    thin = pairs_within(p.where("not full").select("loc_id", *dims, "cell"), plain, eps, ("cell",), dims).groupBy("loc_id").agg(F.count("*").alias("n")).where(F.col("n") >= minpts)
+    core = p.where("full").select("loc_id", *dims, "cell", *sub).unionByName(p.drop("full").join(thin.select("loc_id"), "loc_id", "left_semi"))
+    core = cut(core.withColumn("node", F.min("loc_id").over(Window.partitionBy("cell", *sub))).select("loc_id", *dims, "cell", "node"))
+    links = pairs_once(core, eps, ("cell",), dims).where("node <> o_node").select(F.col("node").alias("a"), F.col("o_node").alias("b")).distinct()
+    links = cut(links)
+    label = components(core.select(F.col("node").alias("id")).distinct(), links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labelled = core.join(label, core["node"] == label["id"]).select("loc_id", *dims, "cell", "label")
+    rest = plain.join(core.select("loc_id"), "loc_id", "left_anti")
+    border = pairs_within(rest, labelled, eps, ("cell",), dims).groupBy("loc_id", "cell").agg(F.min("o_label").alias("label"))
+    groups = cut(labelled.select("loc_id", "cell", "label").unionByName(border))
     names = groups.select("cell", "label").distinct().withColumn("group", F.row_number().over(Window.partitionBy("cell").orderBy("label")) - 1)
     named = groups.join(names, ["cell", "label"]).select("loc_id", "group")
     return df.join(named, "loc_id", "left").withColumn("group", F.coalesce("group", F.lit(-1)))
 
 
-def smlm_cluster(df: DataFrame, radius: int, min_locs: int) -> DataFrame:
-    """(loc_id, cell, peak): each point joins its nearest local maximum of the neighbour count within the radius."""
-    p = df.select("loc_id", "x_m", "y_m", "cell")
-    met = cut(pairs_within(p, p, radius, ("cell",)).select("cell", "loc_id", "o_loc_id", "d2"))
+def smlm_cluster(df: DataFrame, radius: int, min_locs: int, basic_fa: bool = False, n_frames: int | None = None, radius_z: int | None = None, z: str = "z_nm") -> DataFrame:
+    """(loc_id, cell, peak): each point joins its nearest local maximum of the neighbour count within the radius.
+
+    radius_z: neighbours are within an ellipsoid. basic_fa (needs n_frames): clusters stay whose mean frame is within 20 to 80 % of the
+    frames and no twentieth of them has more than 80 % of the cluster.
+    """
+    p = df.select("loc_id", "x_m", "y_m", "cell", *([z] if radius_z else []))
+    met = pairs_within(p, p, radius, ("cell",))
+    if radius_z:
+        dz = F.col(z) - F.col(f"o_{z}")
+        # squared distances are compared as whole numbers of 1 / (radius_z ** 2)
+        met = met.withColumn("d2", F.col("d2") * radius_z * radius_z + dz * dz * radius * radius).where(F.col("d2") <= radius * radius * radius_z * radius_z)
+    met = cut(met.select("cell", "loc_id", "o_loc_id", "d2"))
     count = met.groupBy("loc_id").agg(F.count("*").alias("n"))
-    rank = met.join(count.toDF("o_loc_id", "on"), "o_loc_id").groupBy("loc_id").agg(F.max(F.struct("on", -F.col("o_loc_id"))).alias("best"))
-    peaks = rank.where(-F.col("best.col2") == F.col("loc_id")).select(F.col("loc_id").alias("o_loc_id"))
+    rank = met.join(count.toDF("o_loc_id", "on"), "o_loc_id").groupBy("loc_id").agg(F.max(F.struct("on", (-F.col("o_loc_id")).alias("first"))).alias("best"))
+    peaks = rank.where(-F.col("best.first") == F.col("loc_id")).select(F.col("loc_id").alias("o_loc_id"))
     joined = met.join(peaks, "o_loc_id").groupBy("cell", "loc_id").agg(F.min_by("o_loc_id", F.struct("d2", "o_loc_id")).alias("peak"))
-    many = joined.groupBy("peak").agg(F.count("*").alias("n")).where(F.col("n") >= min_locs).select("peak")
-    return joined.join(many, "peak").select("loc_id", "cell", "peak")
+    if not basic_fa:
+        many = joined.groupBy("peak").agg(F.count("*").alias("n")).where(F.col("n") >= min_locs).select("peak")
+        return joined.join(many, "peak").select("loc_id", "cell", "peak")
+    joined = cut(joined)
+    framed = joined.join(df.select("loc_id", "frame"), "loc_id")
+    part = framed.groupBy("peak", F.floor(F.col("frame") * 20 / n_frames).alias("part")).agg(F.count("*").alias("n"), F.sum("frame").alias("frames"))
+    whole = part.groupBy("peak").agg(F.sum("n").alias("n"), F.max("n").alias("most"), (F.sum("frames") / F.sum("n")).alias("mean"))
+    good = whole.where((F.col("n") >= min_locs) & F.col("mean").between(0.2 * n_frames, 0.8 * n_frames) & (F.col("most") <= 0.8 * F.col("n")))
+    return joined.join(good.select("peak"), "peak").select("loc_id", "cell", "peak")
 
 
 def mutual_reachability_tree(x: np.ndarray, core: np.ndarray) -> list[tuple[float, int, int]]:
@@ -241,6 +269,14 @@ def _rim(pts: np.ndarray) -> np.ndarray:
     return np.array(sorted(keep), int)
 
 
+def occupied_area(df: DataFrame, pixel: int) -> DataFrame:
+    """(cell, group, n, area, density) of each group: area of the pixels (square of side `pixel`) that hold its points, in square pixels
+    of the camera. Pixels are counted with partial sums."""
+    at = df.where(F.col("group") >= 0).groupBy("cell", "group", F.floor(F.col("x_m") / pixel).alias("i"), F.floor(F.col("y_m") / pixel).alias("j")).agg(F.count("*").alias("n"))
+    out = at.groupBy("cell", "group").agg(F.sum("n").alias("n"), (F.count("*") * F.lit((pixel / 1000.0) ** 2)).alias("area"))
+    return out.withColumn("density", F.when(F.col("area") > 0, F.col("n") / F.col("area")))
+
+
 def cluster_shape(props: DataFrame, sigma: float) -> DataFrame:
     """area = hull + perimeter * sigma; density null where the area is 0."""
     area = F.col("convex_area") + F.col("convex_perimeter") * sigma
@@ -255,7 +291,7 @@ def attach_cluster_props(members: DataFrame, props: DataFrame) -> DataFrame:
 def cluster_composition(df: DataFrame) -> DataFrame:
     """N and percent of each tag in each group, zero-filled (long form)."""
     own = df.where(F.col("group") >= 0)
-    spine = own.select("cell", "group").distinct().crossJoin(F.broadcast(own.select("tag").distinct()))  # tags: a few
+    spine = own.select("cell", "group").distinct().crossJoin(small(own.select("tag").distinct()))  # tags: a few
     n = own.groupBy("cell", "group", "tag").agg(F.count("*").alias("n"))
     full = spine.join(n, ["cell", "group", "tag"], "left").fillna(0, ["n"])
     return full.withColumn("percent", F.col("n") * F.lit(100.0) / F.sum("n").over(Window.partitionBy("cell", "group")))

@@ -25,22 +25,23 @@ def nonpicked(df: DataFrame, picked: DataFrame, keys: tuple[str, ...] = ("cell",
 
 
 def subtract_drift(df: DataFrame, drift: DataFrame) -> DataFrame:
-    """Drift: cell, frame, dx, dy."""
-    return df.join(drift, ["cell", "frame"]).withColumns({"x_m": F.col("x_m") - F.col("dx"), "y_m": F.col("y_m") - F.col("dy")}).drop("dx", "dy")
+    """Drift: cell, frame, dx, dy. Rows of a frame without drift stay as they are."""
+    moved = {"x_m": F.col("x_m") - F.coalesce("dx", F.lit(0)), "y_m": F.col("y_m") - F.coalesce("dy", F.lit(0))}
+    return df.join(drift, ["cell", "frame"], "left").withColumns(moved).drop("dx", "dy")
 
 
 def undrift_from_picked(picked: DataFrame, n_frames: int) -> DataFrame:
-    """(cell, frame, dx, dy) for every frame. picked: cell, pick, frame, loc_id, x_m, y_m."""
+    """(cell, frame, dx, dy) for every frame. picked: cell, pick, frame, loc_id, x_m, y_m. A pick's mean is over all of its rows; of
+    rows that share pick and frame the one with the greatest loc_id tells the offset in that frame."""
     rows = picked.groupBy("cell", "pick", "frame").agg(F.max_by("x_m", "loc_id").alias("x"), F.max_by("y_m", "loc_id").alias("y"))
-    means = rows.groupBy("cell", "pick").agg(F.avg("x").alias("mx"), F.avg("y").alias("my"))
+    means = picked.groupBy("cell", "pick").agg(F.avg("x_m").alias("mx"), F.avg("y_m").alias("my"))
     off = cut(rows.join(means, ["cell", "pick"]).select("cell", "pick", "frame", (F.col("x") - F.col("mx")).alias("ox"), (F.col("y") - F.col("my")).alias("oy")))
     first = off.groupBy("cell", "frame").agg(F.avg("ox").alias("ax"), F.avg("oy").alias("ay"))
     msd = off.join(first, ["cell", "frame"]).groupBy("cell", "pick").agg(F.avg(F.pow(F.col("ox") - F.col("ax"), F.lit(2.0)) + F.pow(F.col("oy") - F.col("ay"), F.lit(2.0))).alias("msd"))
     w = F.lit(1.0) / F.greatest(F.col("msd"), F.lit(1e-12))
     known = off.join(msd, ["cell", "pick"]).groupBy("cell", "frame").agg((F.sum(F.col("ox") * w) / F.sum(w)).alias("dx"), (F.sum(F.col("oy") * w) / F.sum(w)).alias("dy"))
     spine = picked.select("cell").distinct().crossJoin(picked.sparkSession.range(n_frames).select(F.col("id").alias("frame")))
-    full = spine.join(known, ["cell", "frame"], "left")
-    return interpolate(interpolate(full, ["cell"], "frame", "dx"), ["cell"], "frame", "dy")
+    return interpolate(spine.join(known, ["cell", "frame"], "left"), ["cell"], "frame", "dx", "dy")
 
 
 def find_gold(df: DataFrame, n_frames: int, diameter: int = 2000, std_range: float = 1.4, share: float = 0.25, rmsd: tuple[float, float] = (0.0, 400.0)) -> DataFrame:
@@ -51,7 +52,7 @@ def find_gold(df: DataFrame, n_frames: int, diameter: int = 2000, std_range: flo
     shift = F.when(F.pmod(col, F.lit(2)) == 1, F.lit(dy)).otherwise(F.lit(0.0))
     row = F.round((F.col("y_m") - shift) / F.lit(float(diameter))).cast("long")
     places = df.select("cell", col.alias("c"), row.alias("r"), shift.alias("s")).distinct()
-    centers = places.select("cell", F.xxhash64("c", "r").alias("pick"), (F.col("c") * F.lit(dx)).alias("x_m"), (F.col("r") * F.lit(float(diameter)) + F.col("s")).alias("y_m"))
+    centers = places.select("cell", (F.col("c") * 1_000_003 + F.col("r")).alias("pick"), (F.col("c") * F.lit(dx)).alias("x_m"), (F.col("r") * F.lit(float(diameter)) + F.col("s")).alias("y_m"))
     rows = df.select("cell", "loc_id", "x_m", "y_m")
     for _ in range(2):  # to the center of mass once, then counted again
         own = picked_locs(rows, centers, diameter).groupBy("cell", "pick").agg(F.avg("x_m").alias("mx"), F.avg("y_m").alias("my"), F.count("*").alias("n"), F.sqrt(F.var_pop("x_m") + F.var_pop("y_m")).alias("rmsd"))
@@ -63,11 +64,29 @@ def find_gold(df: DataFrame, n_frames: int, diameter: int = 2000, std_range: flo
     return good.join(beaten, ["cell", "pick"], "left_anti").select("cell", "pick", "x_m", "y_m", "n")
 
 
+def split_gold(df: DataFrame, gold: DataFrame, diameter: int = 2500, least: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(rows of gold with pick, all other rows): picks are wider than the search. Cells with fewer than `least` have no gold."""
+    enough = gold.groupBy("cell").agg(F.count("*").alias("k")).where(F.col("k") >= least).select("cell")
+    picked = cut(picked_locs(df, gold.join(enough, "cell", "left_semi"), diameter))
+    return picked, nonpicked(df, picked)
+
+
+def _bins(bin_: int) -> list:
+    return [F.floor(F.col("x_m") / bin_).alias("gx"), F.floor(F.col("y_m") / bin_).alias("gy")]
+
+
+def _offsets(img: DataFrame, reach: int) -> DataFrame:
+    """Each row of an image (gx, gy and others) at every offset dx, dy within reach, with gx, gy moved by it."""
+    steps = range(-reach, reach + 1)
+    off = F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a in steps for b in steps])
+    rest = [c for c in img.columns if c not in ("gx", "gy")]
+    return img.select("*", F.explode(off).alias("o")).select(*rest, "o.dx", "o.dy", (F.col("gx") + F.col("o.dx")).alias("gx"), (F.col("gy") + F.col("o.dy")).alias("gy"))
+
+
 def correlation(df: DataFrame, part: str, bin_: int, reach: int, keys: tuple[str, ...] = ("cell",), consecutive: bool = False) -> DataFrame:
     """(keys, i, j, dx, dy, corr) of the images of parts i < j: sum of products at each offset (in bins)."""
-    img = df.groupBy(*keys, part, F.floor(F.col("x_m") / bin_).alias("gx"), F.floor(F.col("y_m") / bin_).alias("gy")).agg(F.count("*").alias("n"))
-    off = F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a in range(-reach, reach + 1) for b in range(-reach, reach + 1)])
-    a = img.select(*keys, F.col(part).alias("i"), F.col("n").alias("na"), F.explode(off).alias("o"), "gx", "gy").select(*keys, "i", "na", "o.dx", "o.dy", (F.col("gx") + F.col("o.dx")).alias("gx"), (F.col("gy") + F.col("o.dy")).alias("gy"))
+    img = df.groupBy(*keys, part, *_bins(bin_)).agg(F.count("*").alias("n"))
+    a = _offsets(img.select(*keys, F.col(part).alias("i"), F.col("n").alias("na"), "gx", "gy"), reach)
     b = img.select(*keys, F.col(part).alias("j"), F.col("n").alias("nb"), "gx", "gy")
     met = a.join(b, [*keys, "gx", "gy"]).where(F.col("j") == F.col("i") + 1 if consecutive else F.col("i") < F.col("j"))
     return met.groupBy(*keys, "i", "j", "dx", "dy").agg(F.sum(F.col("na") * F.col("nb")).alias("corr"))
@@ -104,42 +123,68 @@ def undrift_rcc(df: DataFrame, n_frames: int, segmentation: int, bin_: int = 100
     mean = both.groupBy("cell", "seg").agg((F.sum("sx") / n_seg).alias("dx"), (F.sum("sy") / n_seg).alias("dy"))
     zero = mean.where("seg = 0").select("cell", F.col("dx").alias("zx"), F.col("dy").alias("zy"))
     mean = mean.join(zero, "cell").select("cell", (F.col("seg") * step + step // 2).alias("frame"), (F.col("dx") - F.col("zx")).alias("dx"), (F.col("dy") - F.col("zy")).alias("dy"))
-    full = spine.join(mean, ["cell", "frame"], "left")
-    full = interpolate(interpolate(full, ["cell"], "frame", "dx"), ["cell"], "frame", "dy")
+    full = interpolate(spine.join(mean, ["cell", "frame"], "left"), ["cell"], "frame", "dx", "dy")
     return full.select("cell", "frame", F.coalesce("dx", F.lit(0.0)).alias("dx"), F.coalesce("dy", F.lit(0.0)).alias("dy"))
 
 
 def undrift_aim(df: DataFrame, n_frames: int, segmentation: int, intersect: int = 150, roi: int = 450) -> DataFrame:
-    """D3: (cell, frame, dx, dy) by intersection counts of neighbouring segments and a running sum."""
+    """D3: (cell, frame, dx, dy) by intersection counts. Round 1: neighbouring segments and a running sum; round 2: each segment against
+    the occupied places of all corrected segments, which keeps errors from adding up."""
     seg = df.withColumn("seg", F.floor(F.col("frame") / segmentation))
-    bins = seg.select("cell", "seg", (F.floor(F.col("x_m") / intersect) * intersect).alias("x_m"), (F.floor(F.col("y_m") / intersect) * intersect).alias("y_m")).distinct()
-    step = peaks(correlation(bins, "seg", intersect, max(1, roi // intersect), consecutive=True), intersect)
+    reach = max(1, roi // intersect)
+    step = cut(peaks(correlation(_occupied(seg, intersect, "seg"), "seg", intersect, reach, consecutive=True), intersect))
     w = Window.partitionBy("cell").orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
-    known = step.select("cell", (F.col("j") * segmentation + segmentation // 2).alias("frame"), F.sum("sx").over(w).alias("dx"), F.sum("sy").over(w).alias("dy"))
+    middle = lambda c: (F.col(c) * segmentation + segmentation // 2).alias("frame")
+    known = step.select("cell", middle("j"), F.sum("sx").over(w).alias("dx"), F.sum("sy").over(w).alias("dy"))
     first = df.select("cell").distinct().select("cell", F.lit(segmentation // 2).cast("long").alias("frame"), F.lit(0.0).alias("dx"), F.lit(0.0).alias("dy"))
-    known = first.unionByName(known)
     spine = df.select("cell").distinct().crossJoin(df.sparkSession.range(n_frames).select(F.col("id").alias("frame")))
-    full = spine.join(known, ["cell", "frame"], "left")
-    return interpolate(interpolate(full, ["cell"], "frame", "dx"), ["cell"], "frame", "dy")
+    one = cut(interpolate(spine.join(first.unionByName(known), ["cell", "frame"], "left"), ["cell"], "frame", "dx", "dy"))
+    right = subtract_drift(seg, one)
+    # how often a place is occupied by corrected segments: segment s lies where (dx, dy) brings it onto most of these
+    own = cut(_occupied(right, intersect, "seg"))
+    every = own.groupBy("cell", "x_m", "y_m").agg(F.count("*").alias("weight"))
+    met = _offsets(own.select("cell", F.col("seg").alias("i"), F.lit(1).alias("na"), *_bins(intersect)), reach).join(every.select("cell", F.col("weight").alias("nb"), *_bins(intersect)), ["cell", "gx", "gy"])
+    corr = met.groupBy("cell", "i", F.lit(0).alias("j"), "dx", "dy").agg(F.sum("nb").alias("corr"))
+    rest = peaks(corr, intersect).select("cell", middle("i"), (-F.col("sx")).alias("rx"), (-F.col("sy")).alias("ry"))
+    both = interpolate(one.join(rest, ["cell", "frame"], "left"), ["cell"], "frame", "rx", "ry")
+    return both.select("cell", "frame", (F.col("dx") + F.coalesce("rx", F.lit(0.0))).alias("dx"), (F.col("dy") + F.coalesce("ry", F.lit(0.0))).alias("dy"))
 
 
-def align_channels(df: DataFrame, bin_: int = 100, reach: int = 8, max_iter: int = 5, convergence: float = 1.0) -> tuple[DataFrame, DataFrame]:
-    """(aligned rows, shifts: cell, channel, iteration, sx, sy, cum_sx, cum_sy). Stops when all shifts are within the convergence."""
-    shifts, rows = None, df
+def _occupied(df: DataFrame, side: int, *keys: str) -> DataFrame:
+    """Distinct places of that side."""
+    return df.select("cell", *keys, *[(F.floor(F.col(c) / side) * side).alias(c) for c in ("x_m", "y_m")]).distinct()
+
+
+def align_channels(df: DataFrame, bin_: int = 100, reach: int = 8, max_iter: int = 5, convergence: float = 1.0, fiducials: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(aligned rows, shifts: cell, channel, iteration, sx, sy, cum_sx, cum_sy). Stops when all shifts are within the convergence.
+
+    fiducials: rows (cell, channel, x_m, y_m) that tell the shifts; df then follows them by the final sums.
+    """
+    shifts, rows = None, df if fiducials is None else fiducials
     for it in range(max_iter):
         pairs = peaks(correlation(rows, "channel", bin_, reach), bin_)
-        both = pairs.select("cell", F.col("j").alias("channel"), "sx", "sy").unionByName(pairs.select("cell", F.col("i").alias("channel"), (-F.col("sx")).alias("sx"), (-F.col("sy")).alias("sy")))
+        back = pairs.select("cell", F.col("i").alias("channel"), (-F.col("sx")).alias("sx"), (-F.col("sy")).alias("sy"))
+        both = pairs.select("cell", F.col("j").alias("channel"), "sx", "sy").unionByName(back)
         n = rows.groupBy("cell").agg(F.count_distinct("channel").alias("k"))
-        one = cut(both.groupBy("cell", "channel").agg(F.sum("sx").alias("tx"), F.sum("sy").alias("ty")).join(n, "cell").select("cell", "channel", F.lit(it).alias("iteration"), F.round(F.col("tx") / F.col("k")).cast("long").alias("sx"), F.round(F.col("ty") / F.col("k")).cast("long").alias("sy")))
+        one = both.groupBy("cell", "channel").agg(F.sum("sx").alias("tx"), F.sum("sy").alias("ty")).join(n, "cell")
+        whole = [F.round(F.col(t) / F.col("k")).cast("long").alias(s) for t, s in (("tx", "sx"), ("ty", "sy"))]
+        one = cut(one.select("cell", "channel", F.lit(it).alias("iteration"), *whole))
         shifts = one if shifts is None else shifts.unionByName(one)
-        move = one.select("cell", "channel", F.col("sx").alias("mx"), F.col("sy").alias("my"))
-        rows = cut(rows.join(move, ["cell", "channel"], "left").withColumns({"x_m": F.col("x_m") - F.coalesce("mx", F.lit(0)), "y_m": F.col("y_m") - F.coalesce("my", F.lit(0))}).drop("mx", "my"))
+        rows = cut(_moved(rows, one.select("cell", "channel", F.col("sx").alias("mx"), F.col("sy").alias("my"))))
         if one.where(F.abs("sx") + F.abs("sy") > convergence).limit(1).count() == 0:
             break
     w = Window.partitionBy("cell", "channel").orderBy("iteration").rowsBetween(Window.unboundedPreceding, 0)
+    if fiducials is not None:
+        rows = _moved(df, shifts.groupBy("cell", "channel").agg(F.sum("sx").alias("mx"), F.sum("sy").alias("my")))
     return rows, shifts.withColumns({"cum_sx": F.sum("sx").over(w), "cum_sy": F.sum("sy").over(w)})
 
 
+def _moved(rows: DataFrame, move: DataFrame) -> DataFrame:
+    """rows less mx, my of their cell and channel."""
+    moved = {"x_m": F.col("x_m") - F.coalesce("mx", F.lit(0)), "y_m": F.col("y_m") - F.coalesce("my", F.lit(0))}
+    return rows.join(move, ["cell", "channel"], "left").withColumns(moved).drop("mx", "my")
+
+
 def nena(distances: DataFrame, most: float, bins: int = 50) -> tuple[float, float]:
     """(precision, amplitude) from the histogram of next-frame distances: only the bins reach the driver.
 

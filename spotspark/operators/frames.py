@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.io import small
+
 
 def filter_range(df: DataFrame, field: str, low: float, high: float) -> DataFrame:
     """Both ends belong to the range; nulls drop."""
@@ -33,8 +35,8 @@ def sample_frames(df: DataFrame, n_frames: int, start_percent: float, n: int) ->
 
 
 def apply_shift(df: DataFrame, shifts: DataFrame) -> DataFrame:
-    """Shifts: channel, dx, dy; a row a channel, so it is broadcast."""
-    return df.join(F.broadcast(shifts), "channel").withColumns({"x_m": F.col("x_m") - F.col("dx"), "y_m": F.col("y_m") - F.col("dy")}).drop("dx", "dy")
+    """Shifts: channel, dx, dy; a row a channel."""
+    return df.join(small(shifts), "channel").withColumns({"x_m": F.col("x_m") - F.col("dx"), "y_m": F.col("y_m") - F.col("dy")}).drop("dx", "dy")
 
 
 def locs_per_frame(df: DataFrame, n_frames: int) -> DataFrame:
@@ -54,8 +56,8 @@ def nearest_to_threshold(df: DataFrame, field: str, threshold: float, n: int) ->
 
 
 def sort_by_frame(df: DataFrame) -> DataFrame:
-    """By cell, stable; no global order."""
-    return df.repartition("cell").sortWithinPartitions("cell", "frame", "loc_id")
+    """By cell and frame in ranges, stable: a large cell is many tasks, whose order is that of their partitions."""
+    return df.repartitionByRange("cell", "frame", "loc_id").sortWithinPartitions("cell", "frame", "loc_id")
 
 
 def combine_channels(parts: list[DataFrame]) -> DataFrame:
@@ -71,18 +73,24 @@ def same_table(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b).limit(1).unionAll(b.exceptAll(a).limit(1)).agg((F.count("*") == 0).alias("same"))
 
 
-def net_gradient_threshold(df: DataFrame, field: str = "net_gradient", zscore: int = 3, start: float = 0.0, bins: int = 499) -> DataFrame:
-    """Threshold from the peak of a histogram and its half height on the low side."""
-    top = df.where(F.col(field) >= start).agg(F.percentile(field, F.lit(0.9995)).alias("top"))
-    one = df.where(F.col(field) >= start).crossJoin(F.broadcast(top)).where(F.col(field) <= F.col("top"))
+def net_gradient_threshold(df: DataFrame, field: str = "net_gradient", zscore: int = 3, start: float = 0.0, bins: int = 499, accuracy: int = 1_000_000) -> DataFrame:
+    """Threshold from the peak of a histogram and its half height on the low side; null where the peak has no low side.
+
+    The 99.95 % quantile is the value of that rank up to 1 / accuracy of all rows, from mergeable summaries.
+    """
+    top = df.where(F.col(field) >= start).agg(F.percentile_approx(field, 0.9995, accuracy).cast("double").alias("top"))
+    one = df.where(F.col(field) >= start).crossJoin(F.broadcast(top)).where(F.col(field) <= F.col("top"))  # one row
     step = (F.col("top") - start) / F.lit(float(bins))
-    hist = one.select(F.least(F.lit(bins - 1), F.floor((F.col(field) - start) / step)).cast("int").alias("bin"), "top").groupBy("bin").agg(F.count("*").alias("n"), F.max("top").alias("top"))
+    hist = one.select(F.least(F.lit(bins - 1), F.floor((F.col(field) - start) / step)).cast("int").alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
     spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).crossJoin(F.broadcast(top))
-    full = spine.join(hist.select("bin", "n"), "bin", "left").fillna(0, ["n"])
+    full = spine.join(hist, "bin", "left").fillna(0, ["n"])
     peak = full.agg(F.max_by("bin", F.struct("n", -F.col("bin"))).alias("peak"), F.max("n").alias("height"), F.max("top").alias("top"))
-    half = full.select("bin", "n").crossJoin(F.broadcast(peak)).where("bin <= peak").groupBy("peak", "top").agg(F.min_by("bin", F.struct(F.abs(F.col("n") - F.col("height") / 2.0), "bin")).alias("half"))
+    low = full.select("bin", "n").crossJoin(F.broadcast(peak))
+    nearest = F.min_by("bin", F.when(F.col("bin") < F.col("peak"), F.struct(F.abs(F.col("n") - F.col("height") / 2.0), "bin")))
+    half = low.groupBy("peak", "top").agg(nearest.alias("half"))
     sigma = 2 * (F.col("peak") - F.col("half")) / F.sqrt(F.lit(4.0) * F.log(F.lit(2.0)))
     edge = F.least(F.lit(bins), F.col("peak") + F.floor(F.lit(zscore) * sigma))
+    edge = F.when(F.col("half").isNotNull(), edge)
     return half.select("peak", "half", (F.lit(start) + edge * (F.col("top") - start) / F.lit(float(bins))).alias("threshold"))
 
 
@@ -92,12 +100,16 @@ def cumulative_shift(shifts: DataFrame) -> DataFrame:
     return shifts.withColumn("cum_shift", F.sum("shift").over(w))
 
 
-def interpolate(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
-    """Fills nulls of y linearly in x between known neighbours, flat at both ends."""
-    w = Window.partitionBy(*keys).orderBy(x)
-    back, on = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    known = F.when(F.col(y).isNotNull(), F.struct(F.col(x).alias("x"), F.col(y).alias("y")))
-    a, b = F.last(known, True).over(back), F.first(known, True).over(on)
-    df = df.withColumns({"__a": a, "__b": b})
-    line = F.col("__a.y") + (F.col("__b.y") - F.col("__a.y")) * (F.col(x) - F.col("__a.x")) / F.nullif(F.col("__b.x") - F.col("__a.x"), F.lit(0))
-    return df.withColumn(y, F.coalesce(y, line, "__a.y", "__b.y")).drop("__a", "__b")
+def interpolate(df: DataFrame, keys: list[str], x: str, *values: str) -> DataFrame:
+    """Fills nulls of each value linearly in x between known neighbours, flat at both ends. One pass each way: both frames grow
+    from the start of their order, so each row is added once."""
+    upto = lambda order: Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    known = {y: F.when(F.col(y).isNotNull(), F.struct(F.col(x).alias("x"), F.col(y).alias("y"))) for y in values}
+    df = df.withColumns({f"__a_{y}": F.last(k, True).over(upto(F.col(x).asc())) for y, k in known.items()})
+    df = df.withColumns({f"__b_{y}": F.last(k, True).over(upto(F.col(x).desc())) for y, k in known.items()})
+    filled = {}
+    for y in values:
+        a, b = F.col(f"__a_{y}"), F.col(f"__b_{y}")
+        line = a["y"] + (b["y"] - a["y"]) * (F.col(x) - a["x"]) / F.nullif(b["x"] - a["x"], F.lit(0))
+        filled[y] = F.coalesce(F.col(y), line, a["y"], b["y"])
+    return df.withColumns(filled).drop(*[f"__{k}_{y}" for y in values for k in "ab"])

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.grid import pairs_within
+from ..plans.grid import pairs_once, pairs_within
 from ..sources.io import cut
 
 
@@ -27,58 +27,73 @@ def _cumulative(counts: DataFrame, spine: DataFrame, radii: list[int], keys: lis
     return full.join(counts, [*keys, "bucket"], "left").select(*keys, "r", F.sum(F.coalesce("n", F.lit(0))).over(w).cast("long").alias("pairs"))
 
 
-def pair_counts_self(df: DataFrame, radii: list[int], keys: tuple[str, ...] = ("cell",)) -> DataFrame:
+def pair_counts_self(df: DataFrame, radii: list[int], keys: tuple[str, ...] = ("cell",), dims: tuple[str, ...] = ("x_m", "y_m")) -> DataFrame:
     """Ordered pairs (self excluded) within each radius. Distances become radius indices before the shuffle."""
-    p = df.select("loc_id", "x_m", "y_m", *keys)
-    met = pairs_within(p, p, max(radii), keys).where("loc_id < o_loc_id")
+    p = df.select("loc_id", *dims, *keys)
+    met = pairs_once(p, max(radii), keys, dims)
     counts = met.groupBy(*keys, _first_radius(radii).alias("bucket")).agg((F.count("*") * 2).alias("n"))
     return _cumulative(counts, p.select(*keys).distinct(), radii, list(keys))
 
 
-def pair_counts_cross(df: DataFrame, radii: list[int], keys: tuple[str, ...] = ("cell",), other: DataFrame | None = None) -> DataFrame:
+def pair_counts_cross(df: DataFrame, radii: list[int], keys: tuple[str, ...] = ("cell",), dims: tuple[str, ...] = ("x_m", "y_m")) -> DataFrame:
     """Ordered pairs within each radius for every pair of channels (a, b), equal channels without self pairs."""
-    p = df.select("loc_id", "x_m", "y_m", "channel", *keys)
-    q = p if other is None else other.select("loc_id", "x_m", "y_m", "channel", *keys)
-    met = pairs_within(p, q, max(radii), keys)
-    if other is None:
-        met = met.where("loc_id <> o_loc_id")
-    counts = met.groupBy(*keys, F.col("channel").alias("a"), F.col("o_channel").alias("b"), _first_radius(radii).alias("bucket")).agg(F.count("*").alias("n"))
+    p = df.select("loc_id", *dims, "channel", *keys)
+    met = pairs_once(p, max(radii), keys, dims)
+    one = met.groupBy(*keys, F.col("channel").alias("a"), F.col("o_channel").alias("b"), _first_radius(radii).alias("bucket")).agg(F.count("*").alias("n"))
+    both = F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    counts = one.select(*keys, F.explode(both).alias("p"), "bucket", "n").groupBy(*keys, "p.a", "p.b", "bucket").agg(F.sum("n").alias("n"))
     own = p.select(*keys, F.col("channel").alias("a")).distinct()
-    spine = own.join(q.select(*keys, F.col("channel").alias("b")).distinct(), list(keys))
+    spine = own.join(p.select(*keys, F.col("channel").alias("b")).distinct(), list(keys))
     return _cumulative(counts, spine, radii, [*keys, "a", "b"])
 
 
-def knn(df: DataFrame, k: int, keys: tuple[str, ...] = ("cell",), radius: int = 256) -> DataFrame:
+def pair_counts_controls(controls: DataFrame, real: DataFrame, radii: list[int]) -> DataFrame:
+    """J2 of controls (cell, control_id, channel, loc_id, x_m, y_m): self pairs within a control's channel, cross pairs of a control's
+    channel a with the real b. -> cell, control_id, a, b, r, pairs.
+
+    The real table is what is copied to neighbouring grid cells, once for all controls; control_id is no key of that join.
+    """
+    keys = ["cell", "control_id", "a", "b"]
+    c = controls.select("loc_id", "x_m", "y_m", "channel", "cell", "control_id")
+    own = pairs_once(c, max(radii), ("cell", "control_id", "channel"))
+    own = own.groupBy("cell", "control_id", F.col("channel").alias("a"), F.col("channel").alias("b"), _first_radius(radii).alias("bucket")).agg((F.count("*") * 2).alias("n"))
+    met = pairs_within(real.select("x_m", "y_m", "channel", "cell"), c, max(radii), ("cell",)).where("channel <> o_channel")
+    met = met.groupBy("cell", F.col("o_control_id").alias("control_id"), F.col("o_channel").alias("a"), F.col("channel").alias("b"), _first_radius(radii).alias("bucket")).agg(F.count("*").alias("n"))
+    spine = c.select("cell", "control_id", F.col("channel").alias("a")).distinct().join(real.select("cell", F.col("channel").alias("b")).distinct(), "cell")
+    return _cumulative(own.unionByName(met), spine, radii, keys)
+
+
+def knn(df: DataFrame, k: int, keys: tuple[str, ...] = ("cell",), radius: int = 256, dims: tuple[str, ...] = ("x_m", "y_m"), growth: int = 4) -> DataFrame:
     """(loc_id, keys, k, d): the k nearest others (ties by id); fewer rows where a cell has fewer points.
 
     A point is done when its k-th distance is within the searched radius, or when its cell has no more points; the radius
-    doubles for the others only.
+    grows for the others only. Spark keeps the k least of each task before it shuffles (row_number with a limit).
     """
-    p = df.select("loc_id", "x_m", "y_m", *keys)
-    size = p.groupBy(*keys).agg((F.count("*") - 1).alias("others"), F.max("x_m").alias("x1"), F.min("x_m").alias("x0"), F.max("y_m").alias("y1"), F.min("y_m").alias("y0"))
-    width = size.agg(F.max(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))).first()[0] or 1
-    open_, done = cut(p.join(size.select(*keys, "others"), list(keys))), None
-    order = Window.partitionBy("loc_id", *keys).orderBy("d2", "o_loc_id")
+    p = df.select("loc_id", *dims, *keys)
+    reach = F.greatest(F.lit(0), *[F.max(d) - F.min(d) for d in dims])
+    size = p.groupBy(*keys).agg((F.count("*") - 1).alias("others"), reach.alias("width"))
+    width = size.agg(F.max("width")).first()[0] or 1
+    open_, done = cut(p.join(size.select(*keys, "others"), list(keys)).where("others > 0")), None
+    point = Window.partitionBy("loc_id", *keys)
     while True:
-        met = pairs_within(open_, p, radius, keys).where("loc_id <> o_loc_id").withColumn("k", F.row_number().over(order)).where(f"k <= {k}")
-        found = cut(met.select("loc_id", *keys, "others", "k", "d2"))
-        enough = found.groupBy("loc_id", *keys).agg(F.max("k").alias("got"), F.max("others").alias("others")).where(F.col("got") >= F.least(F.lit(k), F.col("others")))
-        whole = radius * radius >= 2 * width * width
-        new = found if whole else found.join(enough.select("loc_id", *keys), ["loc_id", *keys], "left_semi")
-        new = new.select("loc_id", *keys, F.col("k").cast("int").alias("k"), F.sqrt(F.col("d2").cast("double")).alias("d"))
+        whole = radius * radius >= len(dims) * width * width
+        met = pairs_within(open_, p, radius, keys, dims).where("loc_id <> o_loc_id").withColumn("k", F.row_number().over(point.orderBy("d2", "o_loc_id"))).where(f"k <= {k}")
+        found = cut(met.withColumn("got", F.count("*").over(point)).select("loc_id", *keys, "others", "got", F.col("k").cast("int").alias("k"), "d2"))
+        good = found if whole else found.where(F.col("got") >= F.least(F.lit(k), F.col("others")))
+        new = good.select("loc_id", *keys, "k", F.sqrt(F.col("d2").cast("double")).alias("d"))
         done = new if done is None else done.unionByName(new)
         if whole:
             return done
-        open_ = cut(open_.join(enough.select("loc_id", *keys), ["loc_id", *keys], "left_anti").where("others > 0"))
+        open_ = cut(open_.join(good.where("k = 1").select("loc_id", *keys), ["loc_id", *keys], "left_anti"))
         if open_.limit(1).count() == 0:
             return done
-        radius *= 2
+        radius *= growth
 
 
-def local_density(df: DataFrame, radius: int) -> DataFrame:
+def local_density(df: DataFrame, radius: int, dims: tuple[str, ...] = ("x_m", "y_m")) -> DataFrame:
     """Points within the radius of each, itself counted."""
-    p = df.select("loc_id", "x_m", "y_m", "cell")
-    return pairs_within(p, p, radius, ("cell",)).groupBy("cell", "loc_id").agg(F.count("*").alias("n"))
+    p = df.select("loc_id", *dims, "cell")
+    return pairs_within(p, p, radius, ("cell",), dims).groupBy("cell", "loc_id").agg(F.count("*").alias("n"))
 
 
 def next_frame_neighbors(df: DataFrame, radius: int) -> DataFrame:
@@ -110,9 +125,12 @@ def link_locs(df: DataFrame, d_max: int, tolerance: int) -> DataFrame:
             break
         state = state.drop("old")
     rows = df.join(state.select("cell", "loc_id", F.col("head").alias("track")), ["cell", "loc_id"])
+    first, last = F.min("frame"), F.max("frame")
+    means = [F.avg(c).alias(c) for c in ("sx_raw", "sy_raw", "bg", "lpx", "lpy") if c in df.columns]
     return rows.groupBy("cell", "track").agg(
-        F.min("frame").alias("frame"), F.max("frame").alias("last_frame"), (F.max("frame") - F.min("frame") + 1).alias("len"), F.count("*").alias("n"), F.avg("x_m").alias("x"), F.avg("y_m").alias("y"), F.sum("photons").alias("photons")
-    )
+        first.alias("frame"), last.alias("last_frame"), (last - first + 1).alias("len"), F.count("*").alias("n"),
+        F.avg("x_m").alias("x"), F.avg("y_m").alias("y"), F.sum("photons").alias("photons"), *means,
+    )
 
 
 def nn_scales(near: DataFrame, nth: int) -> DataFrame:
@@ -127,6 +145,15 @@ def nn_histogram(near: DataFrame, step: float, most: float) -> DataFrame:
     return near.where(F.col("d") <= most).groupBy("k", F.least(F.lit(last), F.floor(F.col("d") / step)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
+def nn_density_histogram(near: DataFrame, nth: int, bins: int = 49) -> DataFrame:
+    """G21, normalised: by cell and k the density of distances in `bins` bins up to the 99 % quantile of the nth distance."""
+    top = near.groupBy("cell").agg(F.percentile(F.when(F.col("k") == nth, F.col("d")), F.lit(0.99)).alias("top"))
+    step = F.col("top") / F.lit(float(bins))
+    inside = near.join(top, "cell").where((F.col("d") <= F.col("top")) & (F.col("top") > 0))
+    n = inside.groupBy("cell", "k", "top", F.least(F.lit(bins - 1), F.floor(F.col("d") / step)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    return n.select("cell", "k", "bin", (F.col("n") / (F.sum("n").over(Window.partitionBy("cell", "k")) * step)).alias("density"))
+
+
 def csr_density_mle(near: DataFrame, d: int = 2) -> DataFrame:
     """Density by maximum likelihood in closed form, within a factor of ten of the first estimate."""
     ball = math.pi ** (d / 2) / math.gamma(d / 2 + 1)
@@ -135,13 +162,13 @@ def csr_density_mle(near: DataFrame, d: int = 2) -> DataFrame:
     return near.groupBy("cell").agg(init.alias("rho_init"), rho.alias("free")).select("cell", "rho_init", F.greatest(F.col("rho_init") / 10, F.least(F.col("rho_init") * 10, F.col("free"))).alias("rho"))
 
 
-def rdf(df: DataFrame, dr: int, r_max: int) -> DataFrame:
-    """Ring densities and their median over the second half, by cell."""
+def rdf(df: DataFrame, dr: int, r_max: int, keys: tuple[str, ...] = ("cell",)) -> DataFrame:
+    """Ring densities and their median over the second half, by the keys."""
     radii = list(range(0, r_max + dr, dr))
-    counts = pair_counts_self(df, radii)
-    sizes = df.groupBy("cell").agg(F.count("*").alias("n"))
-    before = F.lag("pairs").over(Window.partitionBy("cell").orderBy("r"))
-    ring = counts.withColumn("ring", F.col("pairs") - before).where("ring is not null").join(sizes, "cell")
-    ring = ring.select("cell", "r", (F.col("ring") / F.col("n") / (F.lit(2 * math.pi) * F.col("r") * F.lit(dr))).alias("g"))
+    counts = pair_counts_self(df, radii, keys)
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    before = F.lag("pairs").over(Window.partitionBy(*keys).orderBy("r"))
+    ring = counts.withColumn("ring", F.col("pairs") - before).where("ring is not null").join(sizes, list(keys))
+    ring = ring.select(*keys, "r", (F.col("ring") / F.col("n") / (F.lit(2 * math.pi) * F.col("r") * F.lit(dr))).alias("g"))
     half = radii[1:][(len(radii) - 1) // 2]
-    return ring.withColumn("density", F.median(F.when(F.col("r") >= half, F.col("g"))).over(Window.partitionBy("cell")))
+    return ring.withColumn("density", F.median(F.when(F.col("r") >= half, F.col("g"))).over(Window.partitionBy(*keys)))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .neighbors import pair_counts_cross
+from ..sources.io import cut, small
+from .neighbors import pair_counts_controls, pair_counts_cross
 
 
 def occupancy_mask(df: DataFrame, pixel: int, size: int) -> DataFrame:
@@ -70,39 +71,68 @@ def hashed(i, control_id, cell, channel=None):
     return h2, ((h2 * h2) % P + h1 * 40692) % P
 
 
-def random_points(sizes: DataFrame, repeats: int, width: int, height: int) -> DataFrame:
-    """M3: uniform points. sizes: cell, channel, n. -> cell, channel, control_id, loc_id, x_m, y_m."""
-    each = sizes.where("n > 0").select("cell", "channel", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("control_id"), "n").select("cell", "channel", "control_id", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("i"))
-    big = lambda c: F.col(c).cast("long")
-    each = each.withColumn("__h", F.struct(*[h.alias(k) for k, h in zip(("a", "b"), hashed(big("i"), big("control_id"), big("cell"), big("channel")), strict=True)]))
-    return each.select("cell", "channel", big("control_id").alias("control_id"), big("i").alias("loc_id"), (F.floor(F.col("__h.a") / 7) % width).alias("x_m"), (F.floor(F.col("__h.b") / 7) % height).alias("y_m"))
+#: Points of one control that one row stands for before they are made.
+POINTS = 10_000
+
 
+def random_points(sizes: DataFrame, repeats: int, mask: DataFrame, pixel: int) -> DataFrame:
+    """M3: uniform points in the mask (cell, i, j; pixels of side `pixel`), as many as `sizes` (cell, channel, n) says.
+    -> cell, channel, control_id, loc_id, x_m, y_m.
 
-def jitter_control(df: DataFrame, control_id: int, radius: int) -> DataFrame:
-    """M4: each point moved within a disc; the radius is R u^(1/3)."""
-    h2, h3 = hashed(F.col("loc_id"), F.lit(control_id).cast("long"), F.col("cell"))
+    A point draws one of its cell's mask pixels and a place in it, so none is rejected and n are made. Ids come in ranges that are
+    dealt to tasks before points are made. A cell without mask has no points.
+    """
+    number = F.row_number().over(Window.partitionBy("cell").orderBy("i", "j")) - 1  # a raster is bounded by its resolution
+    numbered = cut(mask.select("cell", "i", "j", number.cast("long").alias("k")))
+    held = numbered.groupBy("cell").agg(F.count("*").alias("m"))
+    each = sizes.where("n > 0").join(held, "cell").select("cell", "channel", "n", "m", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("control_id"))
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / POINTS))
+    each = each.select("*", F.explode(parts).alias("part")).repartition("cell", "channel", "control_id", "part")
+    first = F.col("part") * POINTS
+    each = each.select("cell", "channel", "control_id", "m", F.explode(F.sequence(first, F.least(F.col("n"), first + POINTS) - 1)).alias("i"))
+    big = lambda c: F.col(c).cast("long")
+    h2, h3 = hashed(big("i"), big("control_id"), big("cell"), big("channel"))
+    each = each.withColumn("__h", F.struct(h2.alias("a"), h3.alias("b")))
+    which, where = F.floor(F.col("__h.a") / 7) % F.col("m"), F.floor(F.col("__h.b") / 7)
+    drawn = each.select("cell", "channel", big("control_id").alias("control_id"), F.col("i").alias("loc_id"), which.alias("k"), where.alias("w"))
+    at = drawn.join(small(numbered), ["cell", "k"])
+    return at.select("cell", "channel", "control_id", "loc_id", (F.col("i") * pixel + F.col("w") % pixel).alias("x_m"), (F.col("j") * pixel + F.floor(F.col("w") / pixel) % pixel).alias("y_m"))
+
+
+def jitter_control(df: DataFrame, repeats: int, radius: int) -> DataFrame:
+    """M4: df `repeats` times over (control_id from 0), each point moved within a disc; the radius is R u^(1/3)."""
+    each = df.withColumn("control_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(repeats - 1).cast("long"))))
+    h2, h3 = hashed(F.col("loc_id"), F.col("control_id"), F.col("cell"))
     r = F.lit(float(radius)) * F.pow((h2 + F.lit(0.5)) / F.lit(float(P)), F.lit(1.0 / 3.0))
     phi = F.lit(2 * math.pi) * (h3 + F.lit(0.5)) / F.lit(float(P))
-    return df.withColumns({"x_m": (F.col("x_m") + F.round(r * F.cos(phi))).cast("long"), "y_m": (F.col("y_m") + F.round(r * F.sin(phi))).cast("long"), "control_id": F.lit(control_id).cast("long")})
+    return each.withColumns({"x_m": (F.col("x_m") + F.round(r * F.cos(phi))).cast("long"), "y_m": (F.col("y_m") + F.round(r * F.sin(phi))).cast("long")})
+
+
+def mask_area(mask: DataFrame, pixel: int) -> DataFrame:
+    """(cell, area) of a mask, in squared coordinates."""
+    return mask.groupBy("cell").agg((F.count("*") * F.lit(float(pixel * pixel))).alias("area"))
+
+
+def _with_k(counts: DataFrame, df: DataFrame, areas: DataFrame) -> DataFrame:
+    """counts with k = area * pairs / Na^2, the estimator of the curves' definition. areas: cell, area."""
+    sizes = df.groupBy("cell", F.col("channel").alias("a")).agg(F.count("*").alias("na"))
+    k = F.col("area") * F.col("pairs") / (F.col("na") * F.col("na"))
+    return counts.join(sizes, ["cell", "a"]).join(areas, "cell").withColumn("k", k).drop("na", "area")
 
 
-def ripley_curves(df: DataFrame, radii: list[int], area: float, keys: tuple[str, ...] = ("cell",), other: DataFrame | None = None) -> DataFrame:
-    """K, L, H for every pair of channels. K = area * pairs / Na^2 (the estimator of the curves' definition)."""
-    counts = pair_counts_cross(df, radii, keys, other)
-    sizes = df.groupBy(*keys, F.col("channel").alias("a")).agg(F.count("*").alias("na"))
-    k = F.lit(area) * F.col("pairs") / (F.col("na") * F.col("na"))
-    return counts.join(sizes, [*keys, "a"]).select(*keys, "a", "b", "r", "pairs", k.alias("k"), F.sqrt(k / math.pi).alias("l"), (F.sqrt(k / math.pi) - F.col("r")).alias("h"))
+def ripley_curves(df: DataFrame, radii: list[int], areas: DataFrame) -> DataFrame:
+    """K, L, H for every pair of channels. areas: cell, area of its mask."""
+    out = _with_k(pair_counts_cross(df, radii), df, areas)
+    half = F.sqrt(F.col("k") / math.pi)
+    return out.select("cell", "a", "b", "r", "pairs", "k", half.alias("l"), (half - F.col("r")).alias("h"))
 
 
-def ripley_controls(df: DataFrame, repeats: int, width: int, height: int, radii: list[int]) -> DataFrame:
-    """M6: the same curves for random controls: the control's number is one more key, never a loop. Self pairs of channels
-    are within the control; cross pairs are of a control's channel a with the real b."""
+def ripley_controls(df: DataFrame, radii: list[int], mask: DataFrame, pixel: int, repeats: int = 100) -> DataFrame:
+    """M6: (cell, control_id, a, b, r, pairs, k) for random controls in the mask. Self pairs of channels are within the control; cross
+    pairs are of a control's channel a with the real b."""
     sizes = df.groupBy("cell", "channel").agg(F.count("*").alias("n"))
-    ctrl = random_points(sizes, repeats, width, height)
-    keys = ("cell", "control_id")
-    own = ripley_curves(ctrl, radii, float(width * height), keys).where("a = b")
-    real = df.select("loc_id", "x_m", "y_m", "channel", "cell", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("control_id")).withColumn("control_id", F.col("control_id").cast("long"))
-    return own.unionByName(ripley_curves(ctrl, radii, float(width * height), keys, real).where("a <> b"))
+    ctrl = cut(random_points(sizes, repeats, mask, pixel))
+    return _with_k(pair_counts_controls(ctrl, df, radii), df, mask_area(mask, pixel))
 
 
 def control_envelope(controls: DataFrame, value: str = "k") -> DataFrame:
@@ -162,10 +192,20 @@ def significant_pairs(matrix: DataFrame, value: str, threshold: float) -> DataFr
     return matrix.where((F.col("a") <= F.col("b")) & (F.col(value) > threshold))
 
 
-def csr_nn_pdf(spark: SparkSession, rho: float, ks: int, r_max: int, d: int = 2) -> DataFrame:
-    """density of the k-th neighbour distance at whole radii under complete randomness."""
-    lam = rho * math.pi ** (d / 2) / math.gamma(d / 2 + 1)
+def csr_nn_pdf(densities: DataFrame, ks: int, r_max: int, d: int = 2) -> DataFrame:
+    """(cell, k, r, p): density of the k-th neighbour distance at whole radii under complete randomness. densities: cell, density."""
+    ball = math.pi ** (d / 2) / math.gamma(d / 2 + 1)
     facts = F.array(*[F.lit(float(math.factorial(k))) for k in range(ks)])
-    grid = spark.range(0, r_max + 1).select(F.col("id").alias("r")).crossJoin(spark.range(1, ks + 1).select(F.col("id").alias("k")))
-    r = F.col("r").cast("double")
-    return grid.select("k", "r", (F.lit(float(d)) / F.get(facts, (F.col("k") - 1).cast("int")) * F.pow(F.lit(lam), F.col("k").cast("double")) * F.pow(r, (d * F.col("k") - 1).cast("double")) * F.exp(-F.lit(lam) * F.pow(r, F.lit(float(d))))).alias("p"))
+    each = densities.select("cell", (F.col("density") * F.lit(ball)).alias("lam"), F.explode(F.sequence(F.lit(1), F.lit(ks))).alias("k"))
+    each = each.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(r_max).cast("long"))).alias("r"))
+    r, k = F.col("r").cast("double"), F.col("k").cast("double")
+    head = F.lit(float(d)) / F.get(facts, F.col("k") - 1) * F.pow(F.col("lam"), k)
+    p = head * F.pow(r, d * k - 1) * F.exp(-F.col("lam") * F.pow(r, F.lit(float(d))))
+    return each.select("cell", F.col("k").cast("long").alias("k"), "r", p.alias("p"))
+
+
+def density_summary(by_rdf: DataFrame, by_mask: DataFrame) -> DataFrame:
+    """By tag over cells: mean of the RDF densities and of the mask densities (the sizes of a graph's nodes), number of cells, median.
+    by_rdf, by_mask: cell, tag, density."""
+    both = by_mask.select("cell", "tag", F.col("density").alias("mask")).join(by_rdf.select("cell", "tag", F.col("density").alias("rdf")), ["cell", "tag"], "full")
+    return both.groupBy("tag").agg(F.count("*").alias("n_cells"), F.avg("rdf").alias("mean_rdf"), F.avg("mask").alias("mean_mask"), F.median("mask").alias("median_mask"))

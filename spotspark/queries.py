@@ -17,6 +17,8 @@ ORACLES: dict[str, str] = {}
 RADII = list(range(0, 501, 50))
 TAGS = ["click", "error", "purchase", "signup", "view"]
 EPS, MINPTS, N_FRAMES = 150, 8, 1440
+#: Controls of a pair of channels, mask pixel and raster, pixel and threshold of cluster areas, localizations from which a channel is present.
+N_CONTROLS, PIXEL, RASTER, AREA_PIXEL, LARGE, PRESENT = 100, 250, 128, 50, 0.12, 13
 
 
 def query(name: str, sql: str | None = None, ctes: str = ""):
@@ -37,7 +39,9 @@ _D2 = "(a.x_m-b.x_m)*(a.x_m-b.x_m)+(a.y_m-b.y_m)*(a.y_m-b.y_m)"
 
 @query("read_localizations", "SELECT cell, count(*) AS nlocs FROM locs GROUP BY 1")
 def _(d):
-    return d.groupBy("cell").agg(F.count("*").alias("nlocs"))
+    path = io.scratch(d.sparkSession, "locs")
+    d.select(*[c.split()[0] for c in io.LOCS.split(", ")]).write.parquet(path)
+    return io.read_localizations(d.sparkSession, path).groupBy("cell").agg(F.count("*").alias("nlocs"))
 
 
 @query("read_channels", "SELECT channel, tag, count(*) AS nlocs FROM locs GROUP BY 1, 2")
@@ -140,9 +144,12 @@ def _(d):
     return d.select("cell", "true_cluster").distinct()
 
 
-@query("same_barcode_map", "SELECT true AS same")
+@query("same_barcode_map", "SELECT 'halves' AS compared, true AS same UNION ALL SELECT 'shifted', false")
 def _(d):
-    return frames.same_table(d.select("tag", "channel").distinct(), d.select("tag", "channel").distinct())
+    maps = lambda c: d.where(c).select("tag", "channel").distinct()
+    halves = frames.same_table(maps("frame % 2 = 0"), maps("frame % 2 = 1")).withColumn("compared", F.lit("halves"))
+    shifted = frames.same_table(maps("true"), maps("true").withColumn("channel", (F.col("channel") + 1) % 5)).withColumn("compared", F.lit("shifted"))
+    return halves.unionByName(shifted)
 
 
 @query("top_picks", "SELECT cell, frame AS peak_frame, n FROM (SELECT cell, frame, count(*) AS n, row_number() OVER (PARTITION BY cell ORDER BY count(*) DESC, frame) AS k FROM locs GROUP BY 1, 2) WHERE k = 1")
@@ -151,9 +158,15 @@ def _(d):
     return n.groupBy("cell").agg(F.max_by("frame", F.struct("n", -F.col("frame"))).alias("peak_frame"), F.max("n").alias("n"))
 
 
-@query("net_gradient_threshold")
+@query(
+    "net_gradient_threshold",
+    """SELECT peak, half, round(CASE WHEN half IS NOT NULL THEN least(499, peak + floor(3 * 2 * (peak - half) / sqrt(4.0::DOUBLE * ln(2.0::DOUBLE)))) * top / 499 END, 6) AS threshold FROM (
+  SELECT any_value(peak) AS peak, any_value(top) AS top, arg_min(bin, abs(n - height / 2.0::DOUBLE) * 1000 + bin) FILTER (bin < peak) AS half FROM f, (SELECT max(n) AS height, arg_max(bin, n * 1000 - bin) AS peak FROM f))""",
+    """, t AS (SELECT quantile_disc(net_gradient, 0.9995) AS top FROM locs WHERE net_gradient >= 0), h AS (SELECT CAST(least(498, floor(net_gradient / (top / 499.0::DOUBLE))) AS INT) AS bin, count(*) AS n FROM locs, t WHERE net_gradient >= 0 AND net_gradient <= top GROUP BY 1),
+f AS (SELECT CAST(b AS INT) AS bin, coalesce(n, 0) AS n, top FROM (SELECT unnest(range(499)) AS b) LEFT JOIN h ON h.bin = b, t)""",
+)
 def _(d):
-    return frames.net_gradient_threshold(d)
+    return frames.net_gradient_threshold(d).withColumn("threshold", r6("threshold"))
 
 
 @query("cumulative_shift", "SELECT cell AS channel, frame AS iteration, n AS shift, CAST(sum(n) OVER (PARTITION BY cell ORDER BY frame) AS BIGINT) AS cum_shift FROM (SELECT cell, frame, count(*) AS n FROM locs GROUP BY 1, 2)")
@@ -195,6 +208,20 @@ def _(d):
 _KNN = f", nn AS (SELECT loc_id, cell, CAST(k AS INT) AS k, sqrt(CAST(d2 AS DOUBLE)) AS d FROM (SELECT a.loc_id, a.cell, {_D2} AS d2, row_number() OVER (PARTITION BY a.loc_id ORDER BY {_D2}, b.loc_id) AS k FROM locs a JOIN locs b ON a.cell = b.cell AND a.loc_id <> b.loc_id) WHERE k <= 4)"
 
 
+_D3 = f"({_D2}+(a.z_nm-b.z_nm)*(a.z_nm-b.z_nm))"
+_XYZ = ("x_m", "y_m", "z_nm")
+
+
+@query("pair_counts_self_3d", "SELECT c.cell, CAST(c.r AS BIGINT) AS r, count(p.d2) AS pairs FROM (SELECT DISTINCT cell, r FROM locs, radii) c LEFT JOIN p ON p.cell = c.cell AND p.d2 <= c.r * c.r GROUP BY 1, 2", _RAD + f", p AS (SELECT a.cell, {_D3} AS d2 FROM locs a JOIN locs b ON a.cell = b.cell AND a.loc_id <> b.loc_id WHERE {_D3} <= 250000)")
+def _(d):
+    return neighbors.pair_counts_self(d, RADII, dims=_XYZ)
+
+
+@query("knn_3d", f"SELECT loc_id, cell, CAST(k AS INT) AS k, round(sqrt(CAST(d2 AS DOUBLE)), 6) AS d FROM (SELECT a.loc_id, a.cell, {_D3} AS d2, row_number() OVER (PARTITION BY a.loc_id ORDER BY {_D3}, b.loc_id) AS k FROM locs a JOIN locs b ON a.cell = b.cell AND a.loc_id <> b.loc_id) WHERE k <= 3")
+def _(d):
+    return neighbors.knn(d, 3, dims=_XYZ).select("loc_id", "cell", "k", r6("d").alias("d"))
+
+
 @query("knn", "SELECT loc_id, cell, k, round(d, 6) AS d FROM nn", _KNN)
 def _(d):
     return neighbors.knn(d, 4).select("loc_id", "cell", "k", r6("d").alias("d"))
@@ -210,6 +237,11 @@ def _(d):
     return neighbors.nn_histogram(neighbors.knn(d, 4), 50, 1000)
 
 
+@query("nn_density_histogram", "SELECT cell, k, bin, round(n / (sum(n) OVER (PARTITION BY cell, k) * top / 49) * 1e6, 6) AS density FROM (SELECT cell, k, top, CAST(least(48, floor(d / (top / 49.0::DOUBLE))) AS INT) AS bin, count(*) AS n FROM nn JOIN (SELECT cell, quantile_cont(d, 0.99) FILTER (k = 4) AS top FROM nn GROUP BY 1) USING (cell) WHERE d <= top GROUP BY 1, 2, 3, 4)", _KNN)
+def _(d):
+    return neighbors.nn_density_histogram(neighbors.knn(d, 4), 4).select("cell", "k", "bin", r6(F.col("density") * 1e6).alias("density"))
+
+
 @query("csr_density_mle", "SELECT cell, round(rho_init * 1e6, 6) AS rho_init, round(greatest(rho_init / 10, least(rho_init * 10, free)) * 1e6, 6) AS rho FROM (SELECT cell, 2.0::DOUBLE / (4 * pi() * pow(median(d) FILTER (k = 1), 2)) AS rho_init, sum(k) / sum(d * d) / pi() AS free FROM nn GROUP BY 1)", _KNN)
 def _(d):
     return neighbors.csr_density_mle(neighbors.knn(d, 4)).select("cell", r6(F.col("rho_init") * 1e6).alias("rho_init"), r6(F.col("rho") * 1e6).alias("rho"))
@@ -235,12 +267,12 @@ def _(d):
 
 @query(
     "link_locs",
-    'SELECT l.cell, t.head AS track, min(frame) AS frame, max(frame) AS last_frame, max(frame) - min(frame) + 1 AS len, count(*) AS n, round(avg(x_m), 6) AS x, round(avg(y_m), 6) AS y, round(sum(photons), 4) AS photons FROM locs l JOIN t ON t.loc_id = l.loc_id GROUP BY 1, 2',
+    'SELECT l.cell, t.head AS track, min(frame) AS frame, max(frame) AS last_frame, max(frame) - min(frame) + 1 AS len, count(*) AS n, round(avg(x_m), 6) AS x, round(avg(y_m), 6) AS y, round(sum(photons), 4) AS photons, round(avg(bg), 6) AS bg, round(avg(lpx), 6) AS lpx, round(avg(sx_raw), 6) AS sx_raw FROM locs l JOIN t ON t.loc_id = l.loc_id GROUP BY 1, 2',
     _LINK + ", t AS (SELECT loc_id AS head, loc_id FROM locs WHERE loc_id NOT IN (SELECT b FROM m) UNION ALL SELECT t.head, m.b FROM t JOIN m ON m.a = t.loc_id)",
 )
 def _(d):
     t = neighbors.link_locs(d, 100, 3)
-    return t.select("cell", "track", "frame", "last_frame", "len", "n", r6("x").alias("x"), r6("y").alias("y"), F.round("photons", 4).alias("photons"))
+    return t.select("cell", "track", "frame", "last_frame", "len", "n", r6("x").alias("x"), r6("y").alias("y"), F.round("photons", 4).alias("photons"), *[r6(c).alias(c) for c in ("bg", "lpx", "sx_raw")])
 
 
 @query(
@@ -310,25 +342,39 @@ def _(d):
     return cluster.smlm_cluster(d, EPS, 8)
 
 
+@query("smlm_cluster_basic_fa", "SELECT loc_id, cell, peak FROM jn WHERE peak IN (SELECT peak FROM (SELECT peak, floor(frame * 20 / 1440.0::DOUBLE) AS part, count(*) AS n, sum(frame) AS f FROM jn JOIN locs USING (loc_id) GROUP BY 1, 2) GROUP BY 1 HAVING sum(n) >= 8 AND sum(f) / sum(n) BETWEEN 288 AND 1152 AND max(n) <= 0.8::DOUBLE * sum(n))", _SM)
+def _(d):
+    return cluster.smlm_cluster(d, EPS, 8, True, N_FRAMES)
+
+
 @query("hdbscan")
 def _(d):
     return cluster.hdbscan(d, 8, 5, 300).groupBy("cell").agg(F.count("*").alias("n"), F.sum((F.col("label") >= 0).cast("long")).alias("clustered"), F.count_distinct(F.when(F.col("label") >= 0, F.struct("part", "label"))).alias("clusters"))
 
 
-@query("hull_metrics")
+_HULL = _DB + """, u AS MATERIALIZED (SELECT DISTINCT cell, "group" AS q, x_m AS x, y_m AS y FROM g WHERE "group" >= 0),
+he AS (SELECT a.cell, a.q, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS byy FROM u a JOIN u b ON a.cell = b.cell AND a.q = b.q AND (a.x <> b.x OR a.y <> b.y) WHERE NOT EXISTS (SELECT 1 FROM u c WHERE c.cell = a.cell AND c.q = a.q AND (
+  (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) < 0 OR ((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) = 0 AND (a.x - c.x) * (b.x - c.x) + (a.y - c.y) * (b.y - c.y) > 0)))),
+hu AS (SELECT s.cell, s.q, coalesce(area, 0) AS area, CASE WHEN coalesce(area, 0) > 0 THEN around ELSE 0 END AS around FROM (SELECT DISTINCT cell, q FROM u) s LEFT JOIN (SELECT cell, q, sum(ax * byy - bx * ay) / 2.0::DOUBLE AS area, sum(sqrt(CAST((ax - bx) * (ax - bx) + (ay - byy) * (ay - byy) AS DOUBLE))) AS around FROM he GROUP BY 1, 2) h ON h.cell = s.cell AND h.q = s.q)"""
+
+
+@query("hull_metrics", 'SELECT cell, q AS "group", round(area, 6) AS convex_area, round(around, 4) AS convex_perimeter, round(CASE WHEN around > 0 THEN 4 * pi() * area / (around * around) ELSE 0 END, 6) AS convex_circularity FROM hu', _HULL)
 def _(d):
-    return cluster.hull_metrics(_grouped(d)).select("cell", "group", *[r6(c).alias(c) for c in ("convex_area", "convex_perimeter", "convex_circularity")])
+    return cluster.hull_metrics(_grouped(d)).select("cell", "group", r6("convex_area").alias("convex_area"), F.round("convex_perimeter", 4).alias("convex_perimeter"), r6("convex_circularity").alias("convex_circularity"))
 
 
-@query("cluster_report")
+@query("cluster_report", 'SELECT g.loc_id, g.cell, g."group", round(h.area + h.around * 10, 4) AS area, round(CASE WHEN h.area + h.around > 0 THEN c.n / (h.area + h.around * 10) END, 9) AS density FROM g LEFT JOIN hu h ON h.cell = g.cell AND h.q = g."group" LEFT JOIN (SELECT cell, "group" AS q, count(*) AS n FROM g GROUP BY 1, 2) c ON c.cell = h.cell AND c.q = h.q', _HULL)
 def _(d):
     members, _ = cluster.cluster_report(d, EPS, MINPTS, 10.0)
-    return members.select("loc_id", "cell", "group", r6("area").alias("area"), F.round("density", 9).alias("density"))
+    return members.select("loc_id", "cell", "group", F.round("area", 4).alias("area"), F.round("density", 9).alias("density"))
 
 
-@query("split_by_threshold", """SELECT cell, "group", count(*) AS n, CASE WHEN count(*) >= 40 THEN 'large' ELSE 'small' END AS class FROM g WHERE "group" >= 0 GROUP BY 1, 2""", _DB)
+@query("split_by_threshold", """SELECT cell, "group", n, round(area, 6) AS area, CASE WHEN area >= 0.12 THEN 'large' ELSE 'small' END AS by_area, CASE WHEN n / area >= 420 THEN 'large' ELSE 'small' END AS by_density FROM (
+  SELECT cell, "group", count(*) AS n, count(DISTINCT (x_m // 50) * 1000000 + y_m // 50) * 0.0025::DOUBLE AS area FROM g WHERE "group" >= 0 GROUP BY 1, 2)""", _DB)
 def _(d):
-    return cluster.split_by_threshold(cluster.cluster_centers(_grouped(d)).select("cell", "group", "n"), "n", 40)
+    props = io.cut(cluster.occupied_area(_grouped(d), AREA_PIXEL))
+    by_area = cluster.split_by_threshold(props, "area", LARGE).withColumnRenamed("class", "by_area")
+    return cluster.split_by_threshold(by_area, "density", 420).select("cell", "group", "n", r6("area").alias("area"), "by_area", F.col("class").alias("by_density"))
 
 
 @query("attach_cluster_props", 'SELECT g.loc_id, g."group", p.n FROM g LEFT JOIN (SELECT cell, "group", count(*) AS n FROM g WHERE "group" >= 0 GROUP BY 1, 2) p ON p.cell = g.cell AND p."group" = g."group"', _DB)
@@ -339,16 +385,16 @@ def _(d):
 
 # ---------------------------------------------------------------- barcodes and statistics (planted clusters as groups)
 
-_BC = """, cn AS (SELECT cell, true_cluster AS "group", channel, tag, count(*) AS n FROM locs WHERE loc_id % 7 < 2 GROUP BY 1, 2, 3, 4), bc AS (SELECT cell, "group", CAST(sum(1 << (4 - channel)) AS BIGINT) AS mask, CAST(sum(n) AS BIGINT) AS n, '0b' || lpad(bin(CAST(sum(1 << (4 - channel)) AS BIGINT)), 5, '0') AS barcode FROM cn GROUP BY 1, 2)"""
-_EX = _BC + """, ex AS (SELECT CASE WHEN cell % 2 = 0 THEN 'csr' ELSE 'exp' END AS origin, cell, "group" % 3 AS iter, barcode, mask, n, "group" FROM bc)"""
+_BC = f""", cn AS (SELECT cell, true_cluster AS "group", channel, tag, count(*) AS n FROM locs GROUP BY 1, 2, 3, 4), bm AS (SELECT cell, "group", CAST(sum(CASE WHEN n >= {PRESENT} THEN 1 << (4 - channel) ELSE 0 END) AS BIGINT) AS mask, CAST(sum(n) AS BIGINT) AS n FROM cn GROUP BY 1, 2), bc AS (SELECT *, '0b' || lpad(bin(mask), 5, '0') AS barcode FROM bm)"""
+_EX = _BC + """, ar AS (SELECT cell, true_cluster AS "group", count(DISTINCT (x_m // 50) * 1000000 + y_m // 50) * 0.0025::DOUBLE AS area FROM locs GROUP BY 1, 2), ex AS (SELECT CASE WHEN bc.cell % 2 = 0 THEN 'csr' ELSE 'exp' END AS origin, bc.cell, bc."group" % 3 AS iter, barcode, mask, n, area, bc."group" FROM bc JOIN ar ON ar.cell = bc.cell AND ar."group" = bc."group")"""
 
 
 def _counts(d: DataFrame) -> DataFrame:
-    return d.where("loc_id % 7 < 2").groupBy("cell", F.col("true_cluster").alias("group"), "channel", "tag").agg(F.count("*").alias("n"))
+    return d.groupBy("cell", F.col("true_cluster").alias("group"), "channel", "tag").agg(F.count("*").alias("n"))
 
 
 def _coded(d: DataFrame) -> DataFrame:
-    return barcodes.barcode(_counts(d), 5)
+    return barcodes.barcode(_counts(d), 5, PRESENT)
 
 
 def _origin(d: DataFrame) -> DataFrame:
@@ -362,12 +408,12 @@ def _(d):
 
 @query("barcode_map", "SELECT '0b' || lpad(bin(i), 5, '0') AS barcode, " + ", ".join(f"CAST((i >> {4 - k}) & 1 AS INT) AS {t}" for k, t in enumerate(TAGS)) + " FROM (SELECT unnest(range(32)) AS i)")
 def _(d):
-    return barcodes.barcode_map(d.sparkSession, TAGS)
+    return barcodes.barcode_map(d)
 
 
 @query("filter_by_barcode", 'SELECT cell, "group" FROM bc WHERE mask = 31', _BC)
 def _(d):
-    return barcodes.filter_by_barcode(_coded(d), [1, 1, 1, 1, 1]).select("cell", "group")
+    return barcodes.filter_by_barcode(_coded(d), [1, 1, 1, 1, 1], 5).select("cell", "group")
 
 
 @query("barcode_describe", 'SELECT barcode, count(*) AS "count", round(avg(n), 6) AS mean, round(stddev_samp(n), 6) AS std, min(n) AS "min", round(quantile_cont(n, 0.25), 6) AS q25, round(quantile_cont(n, 0.5), 6) AS q50, round(quantile_cont(n, 0.75), 6) AS q75, max(n) AS "max" FROM bc GROUP BY 1', _BC)
@@ -383,9 +429,10 @@ def _(d):
     return barcodes.per_iteration(_origin(d)).withColumn("v", r6("v"))
 
 
-@query("barcode_areas", _PER.format(v="coalesce(sum(ex.n), 0)"), _EX)
+@query("barcode_areas", _PER.format(v="coalesce(sum(ex.area), 0)"), _EX)
 def _(d):
-    return barcodes.per_iteration(_origin(d), "n").withColumn("v", r6("v"))
+    areas = cluster.occupied_area(d.withColumn("group", F.col("true_cluster")), AREA_PIXEL).select("cell", "group", "area")
+    return barcodes.per_iteration(_origin(d).join(areas, ["cell", "group"]), "area").withColumn("v", r6("v"))
 
 
 @query("ntargets_in_barcode", "SELECT origin, cell, barcode, tag, round(avg(m), 6) AS mean_n FROM (SELECT ex.origin, ex.cell, ex.iter, ex.barcode, cn.tag, avg(cn.n) AS m FROM ex JOIN cn ON cn.cell = ex.cell AND cn.\"group\" = ex.\"group\" GROUP BY 1, 2, 3, 4, 5) GROUP BY 1, 2, 3, 4", _EX)
@@ -394,15 +441,32 @@ def _(d):
     return barcodes.ntargets_in_barcode(targets).withColumn("mean_n", r6("mean_n"))
 
 
-@query("cell_means", "SELECT cell, count(*) AS n_clusters, round(avg(n), 6) AS mean_n, round(stddev_samp(n), 6) AS std_n FROM bc GROUP BY 1", _BC)
+_PROPS = ["n", "area", "density"]
+_STATS = [*_PROPS, *[f"{k}_{t}" for k in ("n", "percent") for t in TAGS]]
+_CELLS = f""", mem AS (SELECT *, CASE WHEN is_noise THEN -1 ELSE true_cluster END AS g FROM locs),
+cl AS (SELECT *, n / area AS density, {", ".join(f"n_{t} * 100.0::DOUBLE / n AS percent_{t}" for t in TAGS)} FROM (SELECT cell, g, count(*) AS n, count(DISTINCT (x_m // 50) * 1000000 + y_m // 50) * 0.0025::DOUBLE AS area, {", ".join(f"count(*) FILTER (tag = '{t}') AS n_{t}" for t in TAGS)} FROM mem WHERE g >= 0 GROUP BY 1, 2)),
+ks AS (SELECT *, 'all' AS class FROM cl UNION ALL SELECT *, CASE WHEN area >= {LARGE} THEN 'large' ELSE 'small' END FROM cl),
+whole AS (SELECT cell, count(*) AS n_in_cell, {", ".join(f"count(*) FILTER (tag = '{t}') AS n_{t}_in_cell" for t in TAGS)} FROM locs GROUP BY 1),
+cm AS (SELECT *, n_in_cell - n_in_clusters AS n_out_clusters, {", ".join(f"n_{t}_in_cell - n_{t}_in_clusters AS n_{t}_out_clusters" for t in TAGS)} FROM (SELECT cell, class, count(*) AS n_clusters, CAST(sum(n) AS BIGINT) AS n_in_clusters, {", ".join(f"CAST(sum(n_{t}) AS BIGINT) AS n_{t}_in_clusters" for t in TAGS)}, {", ".join(f"round(avg({c}), 6) AS mean_{c}, round(stddev_samp({c}), 6) AS std_{c}" for c in _STATS)} FROM ks GROUP BY 1, 2) JOIN whole USING (cell))"""
+_SEM = ["n_clusters", "n_in_cell", "n_in_clusters", "n_out_clusters", "mean_n", "mean_area", "mean_density", "n_click_in_clusters", "mean_percent_click"]
+
+
+def _report(d: DataFrame) -> DataFrame:
+    members = d.withColumn("group", F.when(F.col("is_noise"), -1).otherwise(F.col("true_cluster")))
+    clusters = cluster.split_by_threshold(cluster.occupied_area(members, AREA_PIXEL), "area", LARGE)
+    return barcodes.cell_report(members, clusters, TAGS, _PROPS).withColumns({f"{k}_{c}": r6(f"{k}_{c}") for c in _STATS for k in ("mean", "std")})
+
+
+@query("cell_means", "SELECT * FROM cm", _CELLS)
 def _(d):
-    return barcodes.cell_means(_coded(d), ["n"]).select("cell", "n_clusters", r6("mean_n").alias("mean_n"), r6("std_n").alias("std_n"))
+    return _report(d)
 
 
-@query("stimulation_means", "SELECT CASE WHEN cell % 2 = 0 THEN 'ctrl' ELSE 'stim' END AS stimulation, count(*) AS n_cells, round(avg(n_clusters), 6) AS mean_n_clusters, round(stddev_samp(n_clusters) / sqrt(count(*)), 6) AS sem_n_clusters FROM (SELECT cell, count(*) AS n_clusters FROM bc GROUP BY 1) GROUP BY 1", _BC)
+@query("stimulation_means", "SELECT CASE WHEN cell % 2 = 0 THEN 'ctrl' ELSE 'stim' END AS stimulation, class, count(*) AS n_cells, " + ", ".join(f"round(avg({c}), 4) AS mean_{c}, round(stddev_samp({c}) / sqrt(count({c})), 4) AS sem_{c}" for c in _SEM) + " FROM cm GROUP BY 1, 2", _CELLS)
 def _(d):
-    cells = barcodes.cell_means(_coded(d), ["n"]).withColumn("stimulation", F.when(F.col("cell") % 2 == 0, "ctrl").otherwise("stim"))
-    return barcodes.stimulation_means(cells, ["n_clusters"]).select("stimulation", "n_cells", r6("mean_n_clusters").alias("mean_n_clusters"), r6("sem_n_clusters").alias("sem_n_clusters"))
+    cells = _report(d).withColumn("stimulation", F.when(F.col("cell") % 2 == 0, "ctrl").otherwise("stim"))
+    out = barcodes.stimulation_means(cells, _SEM, ("stimulation", "class"))
+    return out.withColumns({f"{k}_{c}": F.round(f"{k}_{c}", 4) for c in _SEM for k in ("mean", "sem")})
 
 
 @query("merge_cells", "SELECT cell, stimulation, count(*) AS n FROM locs GROUP BY 1, 2")
@@ -439,9 +503,13 @@ def _(d):
 _MASK = ", mask AS (SELECT DISTINCT cell, i + a AS i, j + b AS j FROM (SELECT DISTINCT cell, x_m // 250 AS i, y_m // 250 AS j FROM locs), (SELECT unnest(range(-1, 2)) AS a), (SELECT unnest(range(-1, 2)) AS b) WHERE i + a BETWEEN 0 AND 127 AND j + b BETWEEN 0 AND 127)"
 
 
+def _mask(d: DataFrame) -> DataFrame:
+    return ripley.occupancy_mask(d, PIXEL, RASTER)
+
+
 @query("occupancy_mask", "SELECT cell, i, j FROM mask", _MASK)
 def _(d):
-    return ripley.occupancy_mask(d, 250, 128)
+    return _mask(d)
 
 
 @query("render_counts", "SELECT cell, channel, x_m // 1000 AS gx, y_m // 1000 AS gy, count(*) AS n FROM locs GROUP BY 1, 2, 3, 4")
@@ -449,59 +517,81 @@ def _(d):
     return ripley.render_counts(d, 1000)
 
 
-@query("density_mask")
+_W = [math.exp(-k * k / 2) for k in range(-4, 5)]
+_BLUR = "(SELECT unnest(range(-4, 5)) AS o, unnest([" + ", ".join(f"{w / sum(_W)!r}::DOUBLE" for w in _W) + "]) AS w)"
+
+
+@query(
+    "density_mask",
+    "SELECT cell, count(*) * 4 AS area FROM g2 JOIN ot USING (cell) WHERE v >= otsu / 3 GROUP BY 1",
+    f""", g1 AS (SELECT cell, gx + o AS gx, gy, sum(n * w) AS v FROM (SELECT cell, x_m // 500 AS gx, y_m // 500 AS gy, count(*) AS n FROM locs GROUP BY 1, 2, 3), {_BLUR} GROUP BY 1, 2, 3), g2 AS MATERIALIZED (SELECT cell, gx, gy + o AS gy, sum(v * w) AS v FROM g1, {_BLUR} GROUP BY 1, 2, 3),
+hs AS (SELECT cell, b, count(*) AS n, any_value(lo) + (b + 0.5::DOUBLE) * (any_value(hi) - any_value(lo)) / 256 AS c FROM (SELECT cell, lo, hi, least(255, floor((v - lo) / (hi - lo) * 256)) AS b FROM g2 JOIN (SELECT cell, min(v) AS lo, max(v) AS hi FROM g2 GROUP BY 1) USING (cell)) GROUP BY 1, 2),
+ot AS (SELECT cell, arg_max(c, bt) AS otsu FROM (SELECT cell, c, sum(n) OVER l * sum(n) OVER h * pow(sum(n * c) OVER l / sum(n) OVER l - sum(n * c) OVER h / sum(n) OVER h, 2) AS bt FROM hs WINDOW l AS (PARTITION BY cell ORDER BY b ROWS UNBOUNDED PRECEDING), h AS (PARTITION BY cell ORDER BY b ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)) GROUP BY 1)""",
+)
 def _(d):
     return ripley.density_mask(d, 500).groupBy("cell").agg(F.count("*").alias("area"))
 
 
 @query("in_mask", "SELECT loc_id FROM locs l WHERE EXISTS (SELECT 1 FROM mask m WHERE m.cell = l.cell AND m.i = l.x_m // 250 AND m.j = l.y_m // 250)", _MASK)
 def _(d):
-    return ripley.in_mask(d, ripley.occupancy_mask(d, 250, 128), 250).select("loc_id")
+    return ripley.in_mask(d, _mask(d), PIXEL).select("loc_id")
 
 
 @query("mask_density", "SELECT l.cell, tag, count(*) AS n, round(any_value(area), 6) AS area, round(count(*) / any_value(area), 6) AS density FROM locs l JOIN (SELECT cell, count(*) * 0.0625::DOUBLE AS area FROM mask GROUP BY 1) a ON a.cell = l.cell WHERE EXISTS (SELECT 1 FROM mask m WHERE m.cell = l.cell AND m.i = l.x_m // 250 AND m.j = l.y_m // 250) GROUP BY 1, 2", _MASK)
 def _(d):
-    return ripley.mask_density(d, ripley.occupancy_mask(d, 250, 128), 250).select("cell", "tag", "n", r6("area").alias("area"), r6("density").alias("density"))
+    return ripley.mask_density(d, _mask(d), PIXEL).select("cell", "tag", "n", r6("area").alias("area"), r6("density").alias("density"))
 
 
-@query("density_summary", "SELECT tag, round(avg(n), 6) AS mean_n, round(quantile_cont(n, 0.5), 6) AS median_n FROM (SELECT cell, tag, count(*) AS n FROM locs GROUP BY 1, 2) GROUP BY 1")
+_GTAG = _MASK + _RAD + f""", sp AS (SELECT DISTINCT cell, tag, r FROM locs, radii), pt AS (SELECT a.cell, a.tag, {_D2} AS d2 FROM locs a JOIN locs b ON a.cell = b.cell AND a.tag = b.tag AND a.loc_id <> b.loc_id WHERE {_D2} <= 250000),
+ct AS (SELECT s.cell, s.tag, s.r, count(d2) AS pairs FROM sp s LEFT JOIN pt ON pt.cell = s.cell AND pt.tag = s.tag AND d2 <= s.r * s.r GROUP BY 1, 2, 3),
+rd AS (SELECT cell, tag, median(x) FILTER (r >= 300) AS rdf FROM (SELECT cell, tag, r, (pairs - lag(pairs) OVER (PARTITION BY cell, tag ORDER BY r)) / CAST(n AS DOUBLE) / ({2 * math.pi!r}::DOUBLE * r * 50) AS x FROM ct JOIN (SELECT cell, tag, count(*) AS n FROM locs GROUP BY 1, 2) USING (cell, tag)) WHERE r > 0 GROUP BY 1, 2),
+md AS (SELECT l.cell, tag, count(*) / any_value(area) AS mask FROM locs l JOIN (SELECT cell, count(*) * 0.0625::DOUBLE AS area FROM mask GROUP BY 1) a ON a.cell = l.cell WHERE EXISTS (SELECT 1 FROM mask m WHERE m.cell = l.cell AND m.i = l.x_m // 250 AND m.j = l.y_m // 250) GROUP BY 1, 2)"""
+
+
+@query("density_summary", "SELECT tag, count(*) AS n_cells, round(avg(rdf) * 1e6, 6) AS mean_rdf, round(avg(mask), 6) AS mean_mask, round(median(mask), 6) AS median_mask FROM rd JOIN md USING (cell, tag) GROUP BY 1", _GTAG)
 def _(d):
-    n = d.groupBy("cell", "tag").agg(F.count("*").alias("n"))
-    return n.groupBy("tag").agg(r6(F.avg("n")).alias("mean_n"), r6(F.median("n")).alias("median_n"))
+    by_rdf = neighbors.rdf(d, 50, 500, ("cell", "tag")).groupBy("cell", "tag").agg(F.max("density").alias("density"))
+    by_mask = ripley.mask_density(d, _mask(d), PIXEL)
+    out = ripley.density_summary(by_rdf, by_mask)
+    return out.select("tag", "n_cells", r6(F.col("mean_rdf") * 1e6).alias("mean_rdf"), r6("mean_mask").alias("mean_mask"), r6("median_mask").alias("median_mask"))
 
 
 _H0 = "((i * 48271 + control_id * 16958263 + cell * 696697347 + 12345) % 2147483647 + channel * 31337) % 2147483647"
-_RAND = f", z AS (SELECT cell, channel, count(*) AS n FROM locs GROUP BY 1, 2), rp AS (SELECT cell, channel, control_id, i AS loc_id, h2 // 7 % 32000 AS x_m, ((h2 * h2) % 2147483647 + h1 * 40692) % 2147483647 // 7 % 32000 AS y_m FROM (SELECT *, ((h1 * h1 % 2147483647) * 39373 + 11) % 2147483647 AS h2 FROM (SELECT *, (h0 * h0 + h0) % 2147483647 AS h1 FROM (SELECT cell, channel, control_id, i, {_H0} AS h0 FROM (SELECT cell, channel, unnest(range(3)) AS control_id, n FROM z) z3, LATERAL (SELECT unnest(range(z3.n)) AS i) t))))"
+_PTS = f", z AS (SELECT cell, channel, count(*) AS n FROM locs GROUP BY 1, 2), mk AS MATERIALIZED (SELECT cell, i, j, row_number() OVER (PARTITION BY cell ORDER BY i, j) - 1 AS k FROM mask), mm AS (SELECT cell, count(*) AS m FROM mask GROUP BY 1), rh AS (SELECT cell, channel, control_id, i AS loc_id, h2 // 7 AS q, ((h2 * h2) % 2147483647 + h1 * 40692) % 2147483647 // 7 AS w FROM (SELECT *, ((h1 * h1 % 2147483647) * 39373 + 11) % 2147483647 AS h2 FROM (SELECT *, (h0 * h0 + h0) % 2147483647 AS h1 FROM (SELECT cell, channel, control_id, i, {_H0} AS h0 FROM (SELECT cell, channel, unnest(range({N_CONTROLS})) AS control_id, n FROM z) z3, LATERAL (SELECT unnest(range(z3.n)) AS i) t)))), rp AS MATERIALIZED (SELECT rh.cell, channel, control_id, loc_id, mk.i * 250 + w % 250 AS x_m, mk.j * 250 + w // 250 % 250 AS y_m FROM rh JOIN mm ON mm.cell = rh.cell JOIN mk ON mk.cell = rh.cell AND mk.k = rh.q % mm.m)"
+_RAND = _MASK + _PTS
 
 
 @query("random_points_in_mask", "SELECT cell, channel, control_id, loc_id, x_m, y_m FROM rp", _RAND)
 def _(d):
-    return ripley.random_points(d.groupBy("cell", "channel").agg(F.count("*").alias("n")), 3, 32000, 32000)
+    return ripley.random_points(d.groupBy("cell", "channel").agg(F.count("*").alias("n")), N_CONTROLS, _mask(d), PIXEL)
+
 
+_JH = "(SELECT *, ((h1 * h1 % 2147483647) * 39373 + 11) % 2147483647 AS h2 FROM (SELECT *, (h0 * h0 + h0) % 2147483647 AS h1 FROM (SELECT *, (loc_id * 48271 + control_id * 16958263 + cell * 696697347 + 12345) % 2147483647 AS h0 FROM (SELECT *, unnest(range({n})) AS control_id FROM locs))))"
+_JIT = f", jh AS (SELECT *, 300.0::DOUBLE * pow((h2 + 0.5::DOUBLE) / 2147483647.0::DOUBLE, 1.0::DOUBLE / 3.0::DOUBLE) AS jr, {2 * math.pi!r}::DOUBLE * (((h2 * h2) % 2147483647 + h1 * 40692) % 2147483647 + 0.5::DOUBLE) / 2147483647.0::DOUBLE AS phi FROM {_JH.format(n=N_CONTROLS)}), jt AS MATERIALIZED (SELECT loc_id, cell, channel, control_id, CAST(x_m + round(jr * cos(phi)) AS BIGINT) AS x_m, CAST(y_m + round(jr * sin(phi)) AS BIGINT) AS y_m FROM jh)"
 
-@query("jitter_control")
+
+@query("jitter_control", "SELECT loc_id, x_m, y_m, control_id FROM jt", _JIT)
 def _(d):
-    return ripley.jitter_control(d, 1, 300).select("loc_id", "x_m", "y_m", "control_id")
+    return ripley.jitter_control(d, N_CONTROLS, 300).select("loc_id", "x_m", "y_m", "control_id")
 
 
-_AREA = 32000.0 * 32000.0
-_CURVE = _CROSS + f", na AS (SELECT cell, channel AS a, count(*) AS na FROM locs GROUP BY 1, 2), curve AS (SELECT c.*, {_AREA!r}::DOUBLE * pairs / (na * na) AS k FROM counts c JOIN na ON na.cell = c.cell AND na.a = c.a)"
+_CURVE = _CROSS + _MASK + ", ar AS (SELECT cell, count(*) * 62500.0::DOUBLE AS area FROM mask GROUP BY 1), na AS (SELECT cell, channel AS a, count(*) AS na FROM locs GROUP BY 1, 2), curve AS (SELECT c.*, area * pairs / (na * na) AS k FROM counts c JOIN na ON na.cell = c.cell AND na.a = c.a JOIN ar ON ar.cell = c.cell)"
 
 
 @query("ripley_curves", "SELECT cell, a, b, r, pairs, round(k, 4) AS k, round(sqrt(k / pi()), 6) AS l, round(sqrt(k / pi()) - r, 6) AS h FROM curve", _CURVE)
 def _(d):
-    return ripley.ripley_curves(d, RADII, _AREA).select("cell", "a", "b", "r", "pairs", F.round("k", 4).alias("k"), r6("l").alias("l"), r6("h").alias("h"))
+    return ripley.ripley_curves(d, RADII, ripley.mask_area(_mask(d), PIXEL)).select("cell", "a", "b", "r", "pairs", F.round("k", 4).alias("k"), r6("l").alias("l"), r6("h").alias("h"))
 
 
-_CTRL = _CURVE + _RAND + f""", cp AS (SELECT a.cell, a.control_id, a.channel AS a, b.channel AS b, {_D2} AS d2 FROM rp a JOIN rp b ON a.cell = b.cell AND a.control_id = b.control_id AND a.channel = b.channel AND a.loc_id <> b.loc_id WHERE {_D2} <= 250000
+_CTRL = _CURVE + _PTS + f""", cp AS (SELECT a.cell, a.control_id, a.channel AS a, b.channel AS b, {_D2} AS d2 FROM rp a JOIN rp b ON a.cell = b.cell AND a.control_id = b.control_id AND a.channel = b.channel AND a.loc_id <> b.loc_id WHERE {_D2} <= 250000
 UNION ALL SELECT a.cell, a.control_id, a.channel, b.channel, {_D2} FROM rp a JOIN locs b ON a.cell = b.cell AND a.channel <> b.channel WHERE {_D2} <= 250000),
-cc AS (SELECT s.cell, t.control_id, s.a, s.b, CAST(s.r AS BIGINT) AS r, count(cp.d2) AS pairs FROM spine s CROSS JOIN (SELECT unnest(range(3)) AS control_id) t LEFT JOIN cp ON cp.cell = s.cell AND cp.control_id = t.control_id AND cp.a = s.a AND cp.b = s.b AND cp.d2 <= s.r * s.r GROUP BY 1, 2, 3, 4, 5),
-ck AS (SELECT cc.*, {_AREA!r}::DOUBLE * pairs / (na * na) AS k FROM cc JOIN na ON na.cell = cc.cell AND na.a = cc.a),
+cc AS (SELECT s.cell, t.control_id, s.a, s.b, CAST(s.r AS BIGINT) AS r, count(cp.d2) AS pairs FROM spine s CROSS JOIN (SELECT unnest(range({N_CONTROLS})) AS control_id) t LEFT JOIN cp ON cp.cell = s.cell AND cp.control_id = t.control_id AND cp.a = s.a AND cp.b = s.b AND cp.d2 <= s.r * s.r GROUP BY 1, 2, 3, 4, 5),
+ck AS (SELECT cc.*, area * pairs / (na * na) AS k FROM cc JOIN na ON na.cell = cc.cell AND na.a = cc.a JOIN ar ON ar.cell = cc.cell),
 env AS (SELECT cell, a, b, r, avg(k) AS mean, quantile_cont(k, 0.025) AS lo, quantile_cont(k, 0.975) AS hi FROM ck GROUP BY 1, 2, 3, 4)"""
 
 
 def _controls(d: DataFrame) -> DataFrame:
-    return ripley.ripley_controls(d, 3, 32000, 32000, RADII)
+    return ripley.ripley_controls(d, RADII, _mask(d), PIXEL, N_CONTROLS)
 
 
 @query("ripley_controls", "SELECT cell, control_id, a, b, r, pairs FROM cc", _CTRL)
@@ -518,7 +608,7 @@ _NORM = _CTRL + ", nm AS (SELECT c.cell, c.a, c.b, c.r, CASE WHEN CASE WHEN c.k
 
 
 def _normalized(d: DataFrame) -> DataFrame:
-    return ripley.ripley_normalized(ripley.ripley_curves(d, RADII, _AREA), ripley.control_envelope(_controls(d)))
+    return ripley.ripley_normalized(ripley.ripley_curves(d, RADII, ripley.mask_area(_mask(d), PIXEL)), ripley.control_envelope(_controls(d)))
 
 
 @query("ripley_normalized", "SELECT cell, a, b, r, round(norm, 4) AS norm FROM nm", _NORM)
@@ -564,7 +654,15 @@ def _(d):
     return ripley.curve_integral(c, "pairs").select("cell", "a", "b", F.round("integral", 4).alias("integral"))
 
 
-@query("rdf_matrix")
+@query(
+    "rdf_matrix",
+    f"SELECT cell, a, b, round(sum({math.pi!r}::DOUBLE * (2 * r * 50 + 2500) * (g - mean)), 4) AS value FROM gd JOIN ge USING (cell, a, b, r) WHERE g > hi OR g < lo GROUP BY 1, 2, 3",
+    _CROSS + _JIT + f""", jp AS (SELECT a.cell, a.control_id, a.channel AS a, b.channel AS b, {_D2} AS d2 FROM jt a JOIN jt b ON a.cell = b.cell AND a.control_id = b.control_id AND a.loc_id <> b.loc_id WHERE {_D2} <= 250000),
+js AS (SELECT s.cell, t.control_id, s.a, s.b, CAST(s.r AS BIGINT) AS r FROM spine s CROSS JOIN (SELECT unnest(range({N_CONTROLS})) AS control_id) t), jb AS (SELECT cell, control_id, a, b, CAST(ceil(sqrt(CAST(d2 AS DOUBLE)) / 50) * 50 AS BIGINT) AS r, count(*) AS n FROM jp GROUP BY 1, 2, 3, 4, 5),
+jn AS (SELECT js.*, coalesce(n, 0) AS n FROM js LEFT JOIN jb USING (cell, control_id, a, b, r)), gc AS (SELECT cell, control_id, a, b, r - 50 AS r, n / ({math.pi!r}::DOUBLE * (r * r - (r - 50) * (r - 50))) AS g FROM jn WHERE r > 0),
+ge AS (SELECT cell, a, b, r, avg(g) AS mean, quantile_cont(g, 0.025) AS lo, quantile_cont(g, 0.975) AS hi FROM gc GROUP BY 1, 2, 3, 4),
+gd AS (SELECT cell, a, b, r, x / ({math.pi!r}::DOUBLE * ((r + 50) * (r + 50) - r * r)) AS g FROM (SELECT cell, a, b, r, lead(pairs) OVER (PARTITION BY cell, a, b ORDER BY r) - pairs AS x FROM counts) WHERE x IS NOT NULL)""",
+)
 def _(d):
     def density(c: DataFrame, keys: list[str]) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy("r")
@@ -573,12 +671,13 @@ def _(d):
         return c.withColumns({"r2": nxt, "g": ring}).where("r2 is not null")
 
     keys = ["cell", "a", "b"]
-    return ripley.rdf_matrix(density(neighbors.pair_counts_cross(d, RADII), keys), density(_controls(d), [*keys, "control_id"])).select(*keys, F.round("value", 4).alias("value"))
+    jittered = neighbors.pair_counts_cross(io.cut(ripley.jitter_control(d, N_CONTROLS, 300)), RADII, ("cell", "control_id"))
+    return ripley.rdf_matrix(density(neighbors.pair_counts_cross(d, RADII), keys), density(jittered, [*keys, "control_id"])).select(*keys, F.round("value", 4).alias("value"))
 
 
-@query("csr_nn_pdf", f"SELECT k, r, round(2.0::DOUBLE / CASE k WHEN 1 THEN 1 WHEN 2 THEN 1 ELSE 2 END * pow({3e-5 * math.pi!r}, k) * pow(r, 2 * k - 1) * exp(-{3e-5 * math.pi!r} * r * r), 9) AS p FROM (SELECT CAST(unnest(range(401)) AS BIGINT) AS r), (SELECT CAST(unnest(range(1, 4)) AS BIGINT) AS k)")
+@query("csr_nn_pdf", "SELECT cell, k, r, round(2.0::DOUBLE / CASE k WHEN 3 THEN 2 ELSE 1 END * pow(lam, k) * pow(CAST(r AS DOUBLE), 2 * k - 1) * exp(-lam * r * r), 9) AS p FROM (SELECT cell, count(*) / 1024e6::DOUBLE * pi() AS lam FROM locs GROUP BY 1), (SELECT CAST(unnest(range(401)) AS BIGINT) AS r), (SELECT CAST(unnest(range(1, 4)) AS BIGINT) AS k)")
 def _(d):
-    return ripley.csr_nn_pdf(d.sparkSession, 3e-5, 3, 400).withColumn("p", F.round("p", 9))
+    return ripley.csr_nn_pdf(d.groupBy("cell").agg((F.count("*") / F.lit(1024e6)).alias("density")), 3, 400).withColumn("p", F.round("p", 9))
 
 
 # ---------------------------------------------------------------- drift, registration, interactions
@@ -590,23 +689,25 @@ def _(d):
     return drift.subtract_drift(d, t).select("loc_id", "x_m", "y_m")
 
 
-@query("colocalized_pairs", "SELECT x.cell, x.a, y.b, x.na - count(m.c) AS n_a, y.nb - count(m.c) AS n_b, count(m.c) AS n_ab FROM (SELECT cell, channel AS a, count(*) AS na FROM locs GROUP BY 1, 2) x JOIN (SELECT cell, channel AS b, count(*) AS nb FROM locs GROUP BY 1, 2) y ON x.cell = y.cell AND x.a < y.b LEFT JOIN m ON m.cell = x.cell AND m.c = x.a AND m.oc = y.b GROUP BY 1, 2, 3, x.na, y.nb",
-       f", nb AS (SELECT cell, a, c, b, oc FROM (SELECT a.cell, a.loc_id AS a, a.channel AS c, b.loc_id AS b, b.channel AS oc, row_number() OVER (PARTITION BY a.loc_id, b.channel ORDER BY {_D2}, b.loc_id) AS k FROM locs a JOIN locs b ON a.cell = b.cell AND a.channel <> b.channel AND {_D2} <= 10000) WHERE k = 1), m AS (SELECT p.* FROM nb p JOIN nb q ON p.a = q.b AND p.b = q.a WHERE p.c < p.oc)")
+_COLOC = f", nb AS (SELECT cell, a, c, b, oc FROM (SELECT a.cell, a.loc_id AS a, a.channel AS c, b.loc_id AS b, b.channel AS oc, row_number() OVER (PARTITION BY a.loc_id, b.channel ORDER BY {_D2}, b.loc_id) AS k FROM locs a JOIN locs b ON a.cell = b.cell AND a.channel <> b.channel AND {_D2} <= 10000) WHERE k = 1), m AS (SELECT p.* FROM nb p JOIN nb q ON p.a = q.b AND p.b = q.a WHERE p.c < p.oc), cp AS (SELECT x.cell, x.a, y.b, x.na - count(m.c) AS n_a, y.nb - count(m.c) AS n_b, count(m.c) AS n_ab FROM (SELECT cell, channel AS a, count(*) AS na FROM locs GROUP BY 1, 2) x JOIN (SELECT cell, channel AS b, count(*) AS nb FROM locs GROUP BY 1, 2) y ON x.cell = y.cell AND x.a < y.b LEFT JOIN m ON m.cell = x.cell AND m.c = x.a AND m.oc = y.b GROUP BY 1, 2, 3, x.na, y.nb)"
+
+
+@query("colocalized_pairs", "SELECT * FROM cp", _COLOC)
 def _(d):
     return drift.colocalized_pairs(d, 100)
 
 
-@query("labeling_efficiency", "SELECT channel, round(n / (n + m), 6) AS le FROM (SELECT channel, CAST(count(*) FILTER (NOT is_noise) AS DOUBLE) AS n, CAST(count(*) FILTER (is_noise) AS DOUBLE) AS m FROM locs GROUP BY 1)")
+@query("labeling_efficiency", "SELECT cell, a, b, round(n_ab / CAST(n_b + n_ab AS DOUBLE), 6) AS le_a, round(n_ab / CAST(n_a + n_ab AS DOUBLE), 6) AS le_b FROM cp", _COLOC)
 def _(d):
-    n = d.groupBy("channel").agg(F.sum((~F.col("is_noise")).cast("long")).alias("n_ab"), F.sum(F.col("is_noise").cast("long")).alias("n_a"), F.lit(1).alias("n_b"))
-    return drift.labeling_efficiency(n).select("channel", r6("le_b").alias("le"))
+    return drift.labeling_efficiency(drift.colocalized_pairs(d, 100)).select("cell", "a", "b", r6("le_a").alias("le_a"), r6("le_b").alias("le_b"))
 
 
-@query("direct_interaction", "SELECT 'click' AS from_tag, 'view' AS to_tag, round(100.0::DOUBLE * (ab + 2 * 5) / (a + 2 * 3 + ab + 2 * 5), 6) AS percent FROM s UNION ALL SELECT 'view', 'click', round(100.0::DOUBLE * (ab + 2 * 5) / (b + 2 * 4 + ab + 2 * 5), 6) FROM s", ", s AS (SELECT count(*) FILTER (tag = 'click') AS a, count(*) FILTER (tag = 'view') AS b, count(*) FILTER (is_noise) AS ab FROM locs)")
+@query("direct_interaction", "SELECT a AS from_tag, b AS to_tag, round(100.0::DOUBLE * ab / (n_a + ab), 6) AS percent FROM s UNION ALL SELECT b, a, round(100.0::DOUBLE * ab / (n_b + ab), 6) FROM s", _COLOC + ", s AS (SELECT a, b, CAST(sum(n_a) AS DOUBLE) AS n_a, CAST(sum(n_b) AS DOUBLE) AS n_b, CAST(sum(n_ab) AS DOUBLE) AS ab FROM cp GROUP BY 1, 2)")
 def _(d):
-    n = lambda c: F.sum(F.expr(c).cast("long")).cast("double")
-    s = d.agg(n("tag = 'click'").alias("a"), n("tag = 'view'").alias("b"), n("is_noise").alias("ab")).select(F.lit("click").alias("tag_a"), F.lit("view").alias("tag_b"), "a", F.lit(3.0).alias("aa"), "b", F.lit(4.0).alias("bb"), "ab", F.lit(5.0).alias("aabb"))
-    return drift.direct_interaction(s).withColumn("percent", r6("percent"))
+    total = lambda c: F.sum(c).cast("double")
+    none = {c: F.lit(0.0) for c in ("aa", "bb", "aabb")}  # pairs are looked for between channels
+    shares = drift.colocalized_pairs(d, 100).groupBy(F.col("a").alias("tag_a"), F.col("b").alias("tag_b")).agg(total("n_a").alias("a"), total("n_b").alias("b"), total("n_ab").alias("ab"))
+    return drift.direct_interaction(shares.withColumns(none)).withColumn("percent", r6("percent"))
 
 
 @query("target_fractions", "SELECT tag, count(*) AS n, round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS share, round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) * 50000, 4) AS n_simulated FROM locs GROUP BY 1")
@@ -619,38 +720,58 @@ def _(d):
     return drift.expected_nn_peak(d.groupBy("cell").agg((F.count("*") / F.lit(1024e6)).alias("density"))).select("cell", F.round("peak", 4).alias("peak"))
 
 
-def _beads(name: str):
-    def add(f: Callable[[DataFrame], DataFrame]) -> Callable:
-        QUERIES[name] = lambda spark, sf_dir: f(fixture.beads(spark, sf_dir).withColumn("loc_id", F.col("frame") * 3 + F.col("bead")))
-        return f
+def _drifting(d: DataFrame) -> DataFrame:
+    """Localizations with a drift of (2, -1) every eight frames added to their coordinates."""
+    step = F.floor(F.col("frame") / 8)
+    return d.withColumns({"x_m": F.col("x_m") + 2 * step, "y_m": F.col("y_m") - step})
 
-    return add
+
+_GOLD = """, pl AS (SELECT DISTINCT cell, c, CAST(round((y_m - s) / 1600.0::DOUBLE) AS BIGINT) AS r, s FROM (SELECT *, CASE WHEN c % 2 = 1 THEN 800.0::DOUBLE ELSE 0.0::DOUBLE END AS s FROM (SELECT cell, y_m, CAST(round(x_m / {dx!r}::DOUBLE) AS BIGINT) AS c FROM locs))),
+c0 AS (SELECT cell, c * 1000003 + r AS pick, c * {dx!r}::DOUBLE AS x, r * 1600.0::DOUBLE + s AS y FROM pl),
+c1 AS (SELECT c0.cell, pick, avg(x_m) AS x, avg(y_m) AS y FROM c0 JOIN locs l ON l.cell = c0.cell AND (l.x_m - x) * (l.x_m - x) + (l.y_m - y) * (l.y_m - y) <= 640000 GROUP BY 1, 2),
+c2 AS (SELECT c1.cell, pick, avg(x_m) AS x, avg(y_m) AS y, count(*) AS n, sqrt(var_pop(x_m) + var_pop(y_m)) AS rmsd FROM c1 JOIN locs l ON l.cell = c1.cell AND (l.x_m - x) * (l.x_m - x) + (l.y_m - y) * (l.y_m - y) <= 640000 GROUP BY 1, 2),
+gd AS (SELECT * FROM c2 WHERE n BETWEEN 60 * (1 - 0.25::DOUBLE * 1.4::DOUBLE) AND 60 * (1 + 0.25::DOUBLE * 1.4::DOUBLE) AND rmsd BETWEEN 0 AND 400),
+gold AS (SELECT * FROM gd a WHERE NOT EXISTS (SELECT 1 FROM gd b WHERE b.cell = a.cell AND b.pick <> a.pick AND (b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y) <= 2560000 AND (b.n > a.n OR (b.n = a.n AND b.pick < a.pick))))""".format(dx=math.sqrt(3) / 2 * 1600)
+
+
+@query("find_gold", "SELECT cell, round(x, 4) AS x_m, round(y, 4) AS y_m, n FROM gold", _GOLD)
+def _(d):
+    return drift.find_gold(d, 60, 1600).select("cell", F.round("x_m", 4).alias("x_m"), F.round("y_m", 4).alias("y_m"), "n")
 
 
-@_beads("find_gold")
-def _(b):
-    return drift.find_gold(b, N_FRAMES, 5000, rmsd=(0.0, 2000.0)).select("cell", r6("x_m").alias("x_m"), r6("y_m").alias("y_m"), "n")
+_LINE = "CASE WHEN p IS NULL THEN n{0} WHEN q IS NULL OR q = p THEN p{0} ELSE p{0} + (n{0} - p{0}) * (frame - p) / (q - p) END"
 
 
-@_beads("undrift_from_picked")
-def _(b):
-    return drift.undrift_from_picked(b.withColumnRenamed("bead", "pick"), N_FRAMES).select("cell", "frame", r6("dx").alias("dx"), r6("dy").alias("dy"))
+@query(
+    "undrift_from_picked",
+    "SELECT cell, frame, " + ", ".join(f"round({_LINE.format(a)}, 6) AS d{a}" for a in "xy") + """ FROM (SELECT cell, frame, last_value(CASE WHEN dx IS NOT NULL THEN frame END IGNORE NULLS) OVER b AS p, last_value(dx IGNORE NULLS) OVER b AS px, last_value(dy IGNORE NULLS) OVER b AS py,
+  first_value(CASE WHEN dx IS NOT NULL THEN frame END IGNORE NULLS) OVER f AS q, first_value(dx IGNORE NULLS) OVER f AS nx, first_value(dy IGNORE NULLS) OVER f AS ny FROM sp
+  WINDOW b AS (PARTITION BY cell ORDER BY frame ROWS UNBOUNDED PRECEDING), f AS (PARTITION BY cell ORDER BY frame ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))""",
+    """, pk AS (SELECT cell, true_cluster AS pick, frame, loc_id, x_m + 2 * (frame // 8) AS x_m, y_m - frame // 8 AS y_m FROM locs WHERE NOT is_noise), rw AS (SELECT cell, pick, frame, arg_max(x_m, loc_id) AS x, arg_max(y_m, loc_id) AS y FROM pk GROUP BY 1, 2, 3),
+of AS (SELECT cell, pick, frame, x - mx AS ox, y - my AS oy FROM rw JOIN (SELECT cell, pick, avg(x_m) AS mx, avg(y_m) AS my FROM pk GROUP BY 1, 2) USING (cell, pick)),
+ms AS (SELECT cell, pick, 1 / greatest(avg((ox - ax) * (ox - ax) + (oy - ay) * (oy - ay)), 1e-12::DOUBLE) AS w FROM of JOIN (SELECT cell, frame, avg(ox) AS ax, avg(oy) AS ay FROM of GROUP BY 1, 2) USING (cell, frame) GROUP BY 1, 2),
+kn AS (SELECT cell, frame, sum(ox * w) / sum(w) AS dx, sum(oy * w) / sum(w) AS dy FROM of JOIN ms USING (cell, pick) GROUP BY 1, 2),
+sp AS (SELECT c.cell, f.frame, dx, dy FROM (SELECT DISTINCT cell FROM pk) c CROSS JOIN (SELECT unnest(range(1440)) AS frame) f LEFT JOIN kn ON kn.cell = c.cell AND kn.frame = f.frame)""",
+)
+def _(d):
+    picked = _drifting(d).where("not is_noise").withColumn("pick", F.col("true_cluster"))
+    return drift.undrift_from_picked(picked, N_FRAMES).select("cell", "frame", r6("dx").alias("dx"), r6("dy").alias("dy"))
 
 
-@_beads("undrift_rcc")
-def _(b):
-    return drift.undrift_rcc(b, N_FRAMES, 360, 200, 16).select("cell", "frame", F.round("dx", 3).alias("dx"), F.round("dy", 3).alias("dy"))
+@query("undrift_rcc")
+def _(d):
+    return drift.undrift_rcc(_drifting(d), N_FRAMES, 360, 200, 4).select("cell", "frame", F.round("dx", 3).alias("dx"), F.round("dy", 3).alias("dy"))
 
 
-@_beads("undrift_aim")
-def _(b):
-    return drift.undrift_aim(b, N_FRAMES, 120, 100, 400).select("cell", "frame", F.round("dx", 3).alias("dx"), F.round("dy", 3).alias("dy"))
+@query("undrift_aim")
+def _(d):
+    return drift.undrift_aim(_drifting(d), N_FRAMES, 240, 100, 400).select("cell", "frame", F.round("dx", 3).alias("dx"), F.round("dy", 3).alias("dy"))
 
 
 @query("align_channels")
 def _(d):
     moved = d.withColumns({"x_m": F.col("x_m") + 300 * F.col("channel"), "y_m": F.col("y_m") - 200 * F.col("channel")})
-    return drift.align_channels(moved, 200, 8, 3, 100.0)[1].select("cell", "channel", "iteration", "sx", "sy", "cum_sx", "cum_sy")
+    return drift.align_channels(moved, 200, 8)[1].select("cell", "channel", "iteration", "sx", "sy", "cum_sx", "cum_sy")
 
 
 @query("nena")

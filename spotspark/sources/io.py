@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir; one of its own only where unset)."""
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir; one of its own only where unset and local)."""
     sc = spark.sparkContext
     top = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not top:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         top = sc.getCheckpointDir()
     return f"{top}/{name}-{uuid.uuid4().hex}"
@@ -26,9 +28,20 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_localizations(spark: SparkSession, path: str) -> DataFrame:
-    """S1."""
-    return spark.read.parquet(path)
+#: Columns of a localization table (coordinates in thousandths of a pixel); others may follow.
+LOCS = "loc_id long, cell long, channel int, tag string, frame long, x_m long, y_m long, photons double"
+#: Most rows of a table of one row a channel, cell, pattern or frame that is broadcast.
+SMALL_ROWS = 200_000
+
+
+def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """df, to be broadcast if its counted rows are few: for tables that are dear to shuffle the other side for."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def read_localizations(spark: SparkSession, path: str, schema: str = LOCS) -> DataFrame:
+    """Only the columns of the schema are read; a column of another type is an error, not a guess."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_channels(spark: SparkSession, paths: list[str], tags: list[str]) -> DataFrame:
@@ -41,8 +54,9 @@ def read_channels(spark: SparkSession, paths: list[str], tags: list[str]) -> Dat
 
 
 def write_localizations(locs: DataFrame, path: str) -> None:
-    """S3: a folder for each cell and tag, ordered by frame within files."""
-    locs.repartition("cell", "tag").sortWithinPartitions("cell", "tag", "frame", "loc_id").write.partitionBy("cell", "tag").parquet(path)
+    """S3: a folder for each cell and tag; files hold ranges of frames and are ordered, so a large cell is many tasks and files."""
+    order = ["cell", "tag", "frame", "loc_id"]
+    locs.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("cell", "tag").parquet(path)
 
 
 def append_provenance(info: DataFrame, cells: DataFrame, generated_by: str, params: dict[str, str]) -> DataFrame:
@@ -63,8 +77,10 @@ def read_cluster_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True)
 
 
-def gather_cells(locs: DataFrame) -> DataFrame:
-    """Tags of each cell, and whether all cells have the same."""
+def gather_cells(locs: DataFrame, strict: bool = False) -> DataFrame:
+    """Tags of each cell, and whether all cells have the same; strict: an error where they have not."""
+    if strict and locs.groupBy("cell").agg(F.array_sort(F.collect_set("tag")).alias("tags")).select("tags").distinct().limit(2).count() > 1:
+        raise ValueError("cells have different channel tags")
     own = locs.groupBy("cell").agg(F.array_join(F.array_sort(F.collect_set("tag")), ",").alias("tags"))
     kinds = own.agg((F.count_distinct("tags") == 1).alias("same_tags"))
     return own.crossJoin(F.broadcast(kinds))  # one row
