@@ -134,14 +134,71 @@ def test_licenses(spark):
     assert got[4]["inherited_from"] == "a/b" and got[6]["inherited_from"] is None
 
 
+def some_matcher():
+    rng = np.random.default_rng(3)
+    return licenses.Matcher(1000, rng.integers(0, 400, len(licenses._vocabulary())))
+
+
 def test_wrapped_licenses():
-    matcher = licenses.Matcher(1000, np.full(len(licenses._vocabulary()), 30))
+    matcher = some_matcher()
     for name, forms in licenses.TEMPLATES.items():
         for form in forms:
             w = form.split()
-            wrapped = "\n".join("# " + " ".join(w[k : k + 4]) for k in range(0, len(w), 4))
-            got, cosine = matcher.best("import os\n\n" + wrapped + "\n\nx = unheard + of")
-            assert got == name and cosine == pytest.approx(1)
+            for width in (4, 11):
+                wrapped = "\n".join("# " + " ".join(w[k : k + width]) for k in range(0, len(w), width))
+                got, cosine = matcher.best("import os\n\n" + wrapped + "\n\nx = unheard + of")
+                assert got == name and cosine == pytest.approx(1), form
+
+
+def test_licenses_are_not_given_their_relatives_names():
+    matcher = some_matcher()
+    read = lambda t: matcher.best(t)[0]
+    assert read("under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 1 of the License") is None
+    assert read("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.") is None
+    assert read("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.") == "CC-BY-SA-4.0"
+    assert read("SPDX-License-Identifier: LGPL-2.1-or-later") == "LGPL-2.1" and read("SPDX-License-Identifier: GPL-2.0-only") == "GPL-2.0"
+    assert read("Copyright 2020 Someone\n\n" + licenses._BSD_OPENING) == "BSD"
+    assert read("the rights of the reader in the text of the work are those of the law") is None and read("") is None
+
+
+def test_best_window_equals_all_windows():
+    matcher = some_matcher()
+    rng = random.Random(41)
+    words = [w for forms in licenses.TEMPLATES.values() for t in forms for w in licenses._words(t)] + ["unheard", "of", "x"]
+
+    def plain(text, whole):
+        lines = [x for x in map(licenses._WORD.findall, text.lower().split("\n")) if x]
+        best = None
+        for i in range(len(lines)):
+            for j in range(i, len(lines)):
+                if j > i and sum(map(len, lines[i : j + 1])) > 2 * matcher.longest and not (whole and i == 0):
+                    break
+                c = collections.Counter(w for x in lines[i : j + 1] for w in x)
+                v = {w: (1 + math.log(n)) * (matcher.idf[matcher.place[w]] if w in matcher.place else matcher.unknown) for w, n in c.items()}
+                norm = math.sqrt(sum(x * x for x in v.values()))
+                own = {licenses._variant(w) for w in c} & licenses.VARIANTS
+                for k, name in enumerate(matcher.names):
+                    cosine = sum(x * matcher.matrix[matcher.place[w], k] for w, x in v.items() if w in matcher.place) / norm
+                    if cosine >= licenses.THRESHOLD and matcher.variants[k] == own and (best is None or (-cosine, name) < (best[0] - 1e-9, best[1])):
+                        best = (-cosine, name)
+        return (best[1], -best[0]) if best else (None, 0.0)
+
+    forms = [t for forms in licenses.TEMPLATES.values() for t in forms]
+    for k in range(40):
+        lines = [" ".join(rng.choice(words) for _ in range(rng.randrange(8))) for _ in range(rng.randrange(6))]
+        w = rng.choice(forms).split()
+        step = rng.randrange(3, 14)
+        lines[1:1] = [" ".join(w[a : a + step]) for a in range(0, len(w), step)] if k % 4 else []
+        got, want = matcher.best("\n".join(lines), k % 2 == 0), plain("\n".join(lines), k % 2 == 0)
+        assert got[0] == want[0] and got[1] == pytest.approx(want[1], abs=1e-9)
+
+
+def test_license_tree_of_odd_documents(spark, docs):
+    assert licenses.scan(licenses.document_paths(empty(docs))).count() == 0
+    rows = [(7, "Released under the MIT License.", "en", "s"), (7, "Released under the MIT License.", "en", "s"), (8, None, "en", "s"), (None, "x", None, None), (205, "text", "en", "s")]
+    d = spark.createDataFrame([(*r, "clash", 1.0) for r in rows], "doc_id long, text string, lang string, source string, path string, cosine double")
+    got = sorted((str(r["doc_id"]), str(r["license"])) for r in licenses.scan(licenses.document_paths(d)).collect())
+    assert got == [("205", "None"), ("7", "MIT"), ("7", "MIT"), ("8", "MIT"), ("None", "None")]
 
 
 # ---------------------------------------------------------------- 3
