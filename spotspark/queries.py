@@ -523,13 +523,13 @@ _BLUR = "(SELECT unnest(range(-4, 5)) AS o, unnest([" + ", ".join(f"{w / sum(_W)
 
 @query(
     "density_mask",
-    "SELECT cell, count(*) * 4 AS area FROM g2 JOIN ot USING (cell) WHERE v >= otsu / 3 GROUP BY 1",
+    "SELECT cell, gx * 2 + a AS i, gy * 2 + b AS j FROM g2 JOIN ot USING (cell), (SELECT unnest(range(2)) AS a), (SELECT unnest(range(2)) AS b) WHERE v >= otsu / 3",
     f""", g1 AS (SELECT cell, gx + o AS gx, gy, sum(n * w) AS v FROM (SELECT cell, x_m // 500 AS gx, y_m // 500 AS gy, count(*) AS n FROM locs GROUP BY 1, 2, 3), {_BLUR} GROUP BY 1, 2, 3), g2 AS MATERIALIZED (SELECT cell, gx, gy + o AS gy, sum(v * w) AS v FROM g1, {_BLUR} GROUP BY 1, 2, 3),
 hs AS (SELECT cell, b, count(*) AS n, any_value(lo) + (b + 0.5::DOUBLE) * (any_value(hi) - any_value(lo)) / 256 AS c FROM (SELECT cell, lo, hi, least(255, floor((v - lo) / (hi - lo) * 256)) AS b FROM g2 JOIN (SELECT cell, min(v) AS lo, max(v) AS hi FROM g2 GROUP BY 1) USING (cell)) GROUP BY 1, 2),
 ot AS (SELECT cell, arg_max(c, bt) AS otsu FROM (SELECT cell, c, sum(n) OVER l * sum(n) OVER h * pow(sum(n * c) OVER l / sum(n) OVER l - sum(n * c) OVER h / sum(n) OVER h, 2) AS bt FROM hs WINDOW l AS (PARTITION BY cell ORDER BY b ROWS UNBOUNDED PRECEDING), h AS (PARTITION BY cell ORDER BY b ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)) GROUP BY 1)""",
 )
 def _(d):
-    return ripley.density_mask(d, 500).groupBy("cell").agg(F.count("*").alias("area"))
+    return ripley.density_mask(d, 500)
 
 
 @query("in_mask", "SELECT loc_id FROM locs l WHERE EXISTS (SELECT 1 FROM mask m WHERE m.cell = l.cell AND m.i = l.x_m // 250 AND m.j = l.y_m // 250)", _MASK)

@@ -214,3 +214,9 @@ def test_significant_barcodes_of_known_numbers(spark):
     got = {r["barcode"]: r for r in barcodes.significant_barcodes(spark.createDataFrame(rows, "origin string, cell int, barcode string, v double"), 0.05, 0.1, 0.5).collect()}
     assert got["a"]["significant"] and got["a"]["label"] == "p<0.001" and not got["b"]["significant"] and got["b"]["p"] == pytest.approx(1)
     assert got["a"]["share"] == pytest.approx(75 / 81) and got["b"]["cell_share"] == pytest.approx(4 / 6)
+
+
+def test_clusters_without_density_are_in_neither_part(spark):
+    props = spark.createDataFrame([(1, 5.0), (2, 1.0), (3, None)], "group int, density double")
+    got = {r["group"]: r["class"] for r in cluster.split_by_threshold(props, "density", 2.0).collect()}
+    assert got == {1: "large", 2: "small", 3: None}
