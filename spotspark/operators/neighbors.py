@@ -55,7 +55,7 @@ def pair_counts_controls(controls: DataFrame, real: DataFrame, radii: list[int])
     """
     keys = ["cell", "control_id", "a", "b"]
     c = controls.select("loc_id", "x_m", "y_m", "channel", "cell", "control_id")
-    own = pairs_once(c, max(radii), ("cell", "control_id", "channel"))
+    own = pairs_once(c, max(radii), ("cell", "control_id", "channel"), stretch=4)
     own = own.groupBy("cell", "control_id", F.col("channel").alias("a"), F.col("channel").alias("b"), _first_radius(radii).alias("bucket")).agg((F.count("*") * 2).alias("n"))
     met = pairs_within(real.select("x_m", "y_m", "channel", "cell"), c, max(radii), ("cell",)).where("channel <> o_channel")
     met = met.groupBy("cell", F.col("o_control_id").alias("control_id"), F.col("o_channel").alias("a"), F.col("channel").alias("b"), _first_radius(radii).alias("bucket")).agg(F.count("*").alias("n"))

@@ -32,16 +32,23 @@ def pairs_within(left: DataFrame, right: DataFrame, radius: float, keys: tuple[s
     return met.drop(*grid, *[f"o{g}" for g in grid])
 
 
-def pairs_once(df: DataFrame, radius: float, keys: tuple[str, ...], dims: tuple[str, ...] = ("x_m", "y_m"), number: str = "loc_id") -> DataFrame:
+def pairs_once(df: DataFrame, radius: float, keys: tuple[str, ...], dims: tuple[str, ...] = ("x_m", "y_m"), number: str = "loc_id", stretch: int = 1) -> DataFrame:
     """As pairs_within for a table with itself, without pairs of a row with itself and each pair in one of its two orders.
 
-    A row is copied to its own grid cell and to those that follow it in order: half as many copies and comparisons.
+    A row is copied to its own grid cell and to those that follow it in order and are within the radius: half as many copies and
+    comparisons. stretch: the side of a grid cell in radii; wider cells suit thin tables, where copies cost more than comparisons.
     """
+    side = float(radius * stretch)
     grid = [f"__g{k}" for k in range(len(dims))]
     steps = [s for s in itertools.product((-1, 0, 1), repeat=len(dims)) if s >= (0,) * len(dims)]
     near = F.array(*[F.struct(*[F.lit(v).alias(g) for g, v in zip(grid, s, strict=True)]) for s in steps])
-    at = lambda c: F.floor(F.col(c) / F.lit(float(radius)))
+    at = lambda c: F.floor(F.col(c) / F.lit(side))
     a = df.select(*df.columns, F.explode(near).alias("__s"))
+    if stretch > 1:
+        for g, d in zip(grid, dims, strict=True):
+            inside = F.col(d) - at(d) * F.lit(side)
+            step = F.col(f"__s.{g}")
+            a = a.where((step == 0) | ((step == 1) & (inside >= side - radius)) | ((step == -1) & (inside <= radius)))
     a = a.withColumns({g: at(d) + F.col(f"__s.{g}") for g, d in zip(grid, dims, strict=True)})
     own = F.lit(True)
     for g in grid:

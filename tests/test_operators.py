@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spotspark.operators import barcodes, cluster, drift, frames, neighbors, ripley
+from spotspark.plans.grid import pairs_once
 from spotspark.sources import fixture, io
 
 DIR = "/root/testdata/sf0.001"
@@ -220,3 +221,15 @@ def test_clusters_without_density_are_in_neither_part(spark):
     props = spark.createDataFrame([(1, 5.0), (2, 1.0), (3, None)], "group int, density double")
     got = {r["group"]: r["class"] for r in cluster.split_by_threshold(props, "density", 2.0).collect()}
     assert got == {1: "large", 2: "small", 3: None}
+
+
+@pytest.mark.parametrize("stretch", [1, 3])
+def test_each_pair_is_met_once(spark, stretch):
+    rng = np.random.default_rng(8)
+    pts = rng.integers(-300, 300, (120, 3))
+    d = spark.createDataFrame([(i, i % 2, *map(int, p)) for i, p in enumerate(pts)], "loc_id long, cell int, x_m long, y_m long, z_nm long")
+    for dims in (("x_m", "y_m"), ("x_m", "y_m", "z_nm")):
+        got = [(r["loc_id"], r["o_loc_id"]) for r in pairs_once(d, 60, ("cell",), dims, stretch=stretch).collect()]
+        near = ((pts[:, None, : len(dims)] - pts[None, :, : len(dims)]) ** 2).sum(2) <= 3600
+        want = {(i, j) for i in range(120) for j in range(i + 1, 120) if near[i, j] and i % 2 == j % 2}
+        assert len(got) == len(want) and {tuple(sorted(p)) for p in got} == want
