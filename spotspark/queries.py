@@ -599,9 +599,10 @@ def _(d):
     return _controls(d).select("cell", "control_id", "a", "b", "r", "pairs")
 
 
-@query("control_envelope", "SELECT cell, a, b, r, round(mean, 4) AS mean, round(lo, 4) AS lo, round(hi, 4) AS hi FROM env", _CTRL)
+# shown as L = sqrt(K / pi): means of K are often exact ties of a rounding, which sums in another order tip over
+@query("control_envelope", "SELECT cell, a, b, r, " + ", ".join(f"round(sqrt({c} / pi()), 6) AS {c}" for c in ("mean", "lo", "hi")) + " FROM env", _CTRL)
 def _(d):
-    return ripley.control_envelope(_controls(d)).select("cell", "a", "b", "r", *[F.round(c, 4).alias(c) for c in ("mean", "lo", "hi")])
+    return ripley.control_envelope(_controls(d)).select("cell", "a", "b", "r", *[r6(F.sqrt(F.col(c) / math.pi)).alias(c) for c in ("mean", "lo", "hi")])
 
 
 _NORM = _CTRL + ", nm AS (SELECT c.cell, c.a, c.b, c.r, CASE WHEN CASE WHEN c.k >= mean THEN abs(hi - mean) ELSE abs(lo - mean) END > 1e-9 * abs(mean) THEN (c.k - mean) / CASE WHEN c.k >= mean THEN abs(hi - mean) ELSE abs(lo - mean) END END AS norm FROM curve c JOIN env e ON e.cell = c.cell AND e.a = c.a AND e.b = c.b AND e.r = c.r)"
