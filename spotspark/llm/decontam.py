@@ -105,3 +105,28 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     leaks = save(overlaps(texts, benchmark).select("doc_id").distinct(), "leaks")
     marked = keep_ids(docs.withColumn("__text_hash", F.xxhash64("text")), leaks, "__text_hash", keep=False)
     return marked.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _oracle() -> str:
+    """The same rules in SQL: seeds as texts of the kept words, then whole items along each diagonal."""
+    words = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+
+    def seeds(table: str, keys: str) -> str:
+        each = []
+        for k, mask in enumerate(MASKS):
+            kept = " || ' ' || ".join(f"w[i + {m + 1}]" for m in mask)
+            each.append(f"SELECT {keys}, i, '{k} ' || {kept} AS seed FROM (SELECT {keys}, w, unnest(range(greatest(len(w) - {mask[-1]}, 0))) AS i FROM {table})")
+        return " UNION ALL ".join(each)
+
+    return f"""
+WITH it AS MATERIALIZED (SELECT DISTINCT item_id, {words} AS w FROM benchmark), ok AS MATERIALIZED (SELECT item_id, w, row_number() OVER () AS item FROM it WHERE len(w) >= {LEAST}),
+dd AS MATERIALIZED (SELECT doc_id, {words} AS w FROM documents),
+si AS MATERIALIZED ({seeds("ok", "item")}), sd AS ({seeds("dd", "doc_id")}),
+hit AS MATERIALIZED (SELECT DISTINCT sd.doc_id, si.item, sd.i - si.i AS shift FROM sd JOIN si ON si.seed = sd.seed),
+eq AS (SELECT h.doc_id, o.item_id, len(o.w) AS n_item, shift, len(list_filter(range(1, len(o.w) + 1), lambda k: k + shift >= 1 AND k + shift <= len(d.w) AND d.w[k + shift] = o.w[k])) AS n_equal FROM hit h JOIN ok o ON o.item = h.item JOIN dd d ON d.doc_id = h.doc_id)
+SELECT doc_id, item_id, CAST(n_equal AS BIGINT) AS n_equal, CAST(n_item AS BIGINT) AS n_item, CAST(shift AS BIGINT) AS start_word FROM eq
+WHERE n_equal >= {LEAST} AND (n_equal >= {SHARE}::DOUBLE * n_item OR n_equal >= {ENOUGH})
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, n_item, shift) = 1"""
+
+
+ORACLE = _oracle()

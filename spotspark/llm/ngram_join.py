@@ -364,3 +364,15 @@ def one_of_each(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT) -> Da
     """docs without those that are linked to a document of lesser doc_id (all columns stay)."""
     gone = save(jaccard_components(docs, n, percent).where("component_id < doc_id").select("doc_id").distinct(), "join-gone")
     return keep_ids(docs, gone, "doc_id", keep=False)
+
+
+#: The same components over all pairs of documents that share a shingle.
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS sh FROM w WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS MATERIALIZED (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY 1, 2) JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+e AS MATERIALIZED (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+reach(id, lab) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.b, r.lab FROM reach r JOIN e ON e.a = r.id WHERE r.lab < e.b),
+lab AS (SELECT id, min(lab) AS lab FROM reach GROUP BY 1)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(lab.lab, d.doc_id) AS component_id FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN lab ON lab.id = d.doc_id"""

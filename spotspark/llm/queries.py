@@ -67,4 +67,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": mixing.ORACLE, "op8_chat": chat.ORACLE}
+    return {"op3_decontamination": decontam.ORACLE, "op7_mixing": mixing.ORACLE, "op8_chat": chat.ORACLE, "op9_ngram_join": ngram_join.ORACLE}

@@ -654,11 +654,11 @@ def test_chat_marks_cannot_be_forged(spark):
     assert chat.format_preferences(d.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op7_mixing", "op8_chat"])
+@pytest.mark.parametrize("name", ["op3_decontamination", "op7_mixing", "op8_chat", "op9_ngram_join"])
 def test_query_equals_its_oracle(spark, name):
     directory = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "benchmark"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{directory}/{table}.parquet'")
     df = llm_queries.queries()[name](spark, directory)
     columns = sorted(df.columns)
