@@ -63,16 +63,22 @@ def pair_counts_controls(controls: DataFrame, real: DataFrame, radii: list[int])
     return _cumulative(own.unionByName(met), spine, radii, keys)
 
 
-def knn(df: DataFrame, k: int, keys: tuple[str, ...] = ("cell",), radius: int = 256, dims: tuple[str, ...] = ("x_m", "y_m"), growth: int = 4) -> DataFrame:
+def knn(df: DataFrame, k: int, keys: tuple[str, ...] = ("cell",), radius: int | None = None, dims: tuple[str, ...] = ("x_m", "y_m"), growth: int = 4) -> DataFrame:
     """(loc_id, keys, k, d): the k nearest others (ties by id); fewer rows where a cell has fewer points.
 
     A point is done when its k-th distance is within the searched radius, or when its cell has no more points; the radius
-    grows for the others only. Spark keeps the k least of each task before it shuffles (row_number with a limit).
+    grows for the others only. The first radius is, where it is not given, half of the one that holds k points at the mean density.
+    Spark keeps the k least of each task before it shuffles (row_number with a limit).
     """
     p = df.select("loc_id", *dims, *keys)
     reach = F.greatest(F.lit(0), *[F.max(d) - F.min(d) for d in dims])
     size = p.groupBy(*keys).agg((F.count("*") - 1).alias("others"), reach.alias("width"))
-    width = size.agg(F.max("width")).first()[0] or 1
+    size = cut(size)
+    whole_size = size.agg(F.max("width").alias("width"), F.avg(F.col("others") + 1).alias("n"), F.avg(F.pow(F.greatest(F.col("width"), F.lit(1)).cast("double"), F.lit(float(len(dims))))).alias("volume")).first()
+    width = whole_size["width"] or 1
+    if radius is None:
+        ball = math.pi ** (len(dims) / 2) / math.gamma(len(dims) / 2 + 1)
+        radius = max(1, round((k * (whole_size["volume"] or 1) / (ball * (whole_size["n"] or 1))) ** (1 / len(dims)) / 2))
     open_, done = cut(p.join(size.select(*keys, "others"), list(keys)).where("others > 0")), None
     point = Window.partitionBy("loc_id", *keys)
     while True:
