@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, fingerprints, html_extract, licenses, merkle, mixing, ngram_join, quality, secret_scan, toxicity
+from . import chat, collocations, decontam, fingerprints, html_extract, licenses, merkle, mixing, ngram_join, quality, secret_scan, toxicity
 from ._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,14 +61,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    every = (op1_fingerprints, op2_licenses, op3_decontamination, op4_quality, op5_toxicity, op6_html, op7_mixing, op8_chat, op9_ngram_join, op10_secrets, op12_merkle)
+    every = (op1_fingerprints, op2_licenses, op3_decontamination, op4_quality, op5_toxicity, op6_html, op7_mixing, op8_chat, op9_ngram_join, op10_secrets, op11_collocations, op12_merkle)
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": decontam.ORACLE, "op7_mixing": mixing.ORACLE, "op8_chat": chat.ORACLE, "op9_ngram_join": ngram_join.ORACLE, "op12_merkle": merkle.ORACLE}
+    return {"op3_decontamination": decontam.ORACLE, "op7_mixing": mixing.ORACLE, "op8_chat": chat.ORACLE, "op9_ngram_join": ngram_join.ORACLE, "op11_collocations": collocations.ORACLE, "op12_merkle": merkle.ORACLE}
