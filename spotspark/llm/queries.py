@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, collocations, decontam, fingerprints, html_extract, licenses, merkle, mixing, ngram_join, quality, secret_scan, toxicity
+from . import chat, collocations, decontam, fingerprints, html_extract, licenses, merkle, mixing, neighbour_search, ngram_join, quality, secret_scan, toxicity
 from ._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,8 +69,12 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(table(spark, sf_dir, "documents"))
 
 
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_search.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def queries() -> dict[str, Query]:
-    every = (op1_fingerprints, op2_licenses, op3_decontamination, op4_quality, op5_toxicity, op6_html, op7_mixing, op8_chat, op9_ngram_join, op10_secrets, op11_collocations, op12_merkle)
+    every = (op1_fingerprints, op2_licenses, op3_decontamination, op4_quality, op5_toxicity, op6_html, op7_mixing, op8_chat, op9_ngram_join, op10_secrets, op11_collocations, op12_merkle, op13_nearest)
     return {f.__name__: f for f in every}
 
 
