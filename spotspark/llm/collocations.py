@@ -31,7 +31,7 @@ LEAST, DEPTH = 30, 4
 #: Candidates of a language that are returned.
 BEST = 2000
 #: Distinct suffixes that a group should hold (at most 40 bytes each), and words that a task gathers before it hands them on.
-BUDGET, GATHER = 250_000, 3_000_000
+BUDGET, GATHER = 250_000, 1_200_000
 #: Bits of the bitmap of frequent words or pairs, and of the histogram of prefixes.
 FILTER_BITS, BINS = 1 << 26, 1 << 16
 #: White space and the marks at which texts are split into pieces.
