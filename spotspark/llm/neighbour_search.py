@@ -32,6 +32,8 @@ from ._common import BROADCAST_ROWS, map_arrow, save
 
 K = 20
 BITS = 64
+#: Bits of a substring. Wider ones suit more points to a bucket, and cost more probes for a wide radius.
+WIDTH = 8
 #: Vectors the rotation is learned on, at most so many numbers of them, and queries the radius is read off.
 SAMPLE, SAMPLE_NUMBERS, CALIBRATION = 10_000, 4_000_000, 64
 #: Share of the true neighbours of those queries that lies within the radius.
@@ -154,11 +156,6 @@ def radius(pts: DataFrame, queries: DataFrame, rotation: Rotation, k: int, targe
     return int(np.sort(apart)[min(len(apart) - 1, int(np.ceil(target * len(apart))) - 1)]) if apart else BITS
 
 
-def width(n: int) -> int:
-    """Bits of a substring: the widest of 16, 8 and 4 that leaves 100 points a bucket on average."""
-    return next((s for s in (16, 8) if n >= 100 << s), 4)
-
-
 def shares(r: int, subs: int) -> list[int]:
     """Radius of each substring, -1 where it is not probed: the sum of (share + 1) is r + 1, so a code within r is within some share."""
     each, more = divmod(r + 1, subs)
@@ -173,8 +170,8 @@ def _substrings(codes: np.ndarray, bits: int) -> np.ndarray:
 class Index:
     """Every point under each of its substrings, in parts of about BLOCK points of a bucket."""
 
-    def __init__(self, pts: DataFrame, rotation: Rotation, block: int = BLOCK):
-        self.rotation, self.bits = rotation, width(pts.count())
+    def __init__(self, pts: DataFrame, rotation: Rotation, block: int = BLOCK, width: int = WIDTH):
+        self.rotation, self.bits = rotation, width
         self.subs = BITS // self.bits
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +262,7 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return once.withColumn("place", place).where(F.col("place") <= k)
 
 
-def nearest(df: DataFrame, query: Column, k: int = K, key: str = "vec_id", vector: str = "embedding", target: float = TARGET, block: int = BLOCK) -> DataFrame:
+def nearest(df: DataFrame, query: Column, k: int = K, key: str = "vec_id", vector: str = "embedding", target: float = TARGET, block: int = BLOCK, width: int = WIDTH) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: of each row where `query` (a condition on `id`) holds the k nearest others that were found."""
     rows = save(encoded(df, key, vector), "rows")
     pts = points(rows, k + 1)
@@ -274,7 +271,7 @@ def nearest(df: DataFrame, query: Column, k: int = K, key: str = "vec_id", vecto
     rotation = learned(pts)
     if rotation is None or queries.limit(1).count() == 0:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    index = Index(pts, rotation, block)
+    index = Index(pts, rotation, block, width)
     r = radius(pts, queries, rotation, k, target)
     # the query's own row is among those found: one more than k
     found = save(_best(index.probe(queries.withColumn("bound", F.lit(float("-inf"))), r, k + 1, own_values=True), k + 1), "near")

@@ -63,7 +63,7 @@ def test_copies_ties_and_odd_vectors(spark):
     odd = [None, [], [0.0] * 8, [1.0] * 7 + [None], [1.0] * 7 + [float("nan")], [float("inf")] * 8, [1.0] * 3]
     every, vectors = [*ids, *range(200, 500)], [*x, *copies]
     df = table(spark, [*every, 3, *range(600, 600 + len(odd)), None], [*vectors, x[3], *odd, x[5]])  # id 3 twice over
-    got, want = found(df, 7, target=1.0, block=50), brute(every, vectors, 7)
+    got, want = found(df, 7, target=1.0, block=50, width=4), brute(every, vectors, 7)
     assert set(got) == set(want)
     assert recall(got, want) >= 0.95
     for q in (0, 200, 480):  # the copies: their least ids, in order
