@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -10,8 +11,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.grid import pairs_once, pairs_within
-from ..sources.io import cut, small
+from ..plans.grid import pairs_within
+from ..plans.pyramid import touching
+from ..sources.io import cut, numbered, small
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -28,31 +30,65 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return state
 
 
-def dbscan(df: DataFrame, eps: int, minpts: int, dims: tuple[str, ...] = ("x_m", "y_m")) -> DataFrame:
+def dbscan(df: DataFrame, eps: int, minpts: int, dims: tuple[str, ...] = ("x_m", "y_m"), keys: tuple[str, ...] = ("cell",)) -> DataFrame:
     """Df with group (-1: noise). Distances include eps, a point counts itself; border points go to the least label.
 
+    keys: datasets that are clustered side by side in one call, such as (origin, iter, cell) for data and all their controls (controls_beside);
+    loc_id is unique within them, and groups are numbered within them by their least core loc_id.
+
     Two points of one sub-cell of side eps / sqrt(dims) are within eps of each other. So all points of a sub-cell with minpts points are
-    core without a count, all core points of a sub-cell are one node, named by its least core loc_id, and what is linked and
-    written are pairs of nodes, at most a few dozen a node, never pairs of points.
+    core without a count, and all core points of a sub-cell are one node. Two nodes are linked by a test of the boxes around their points,
+    then of their quadrants, which ends at the first pair within eps: core points are not paired. Points of thin sub-cells (fewer than
+    minpts of them in each) are the only ones that are met with their neighbours.
     """
     side = eps / math.sqrt(len(dims)) * (1 - 1e-9)
     sub = [f"__c{k}" for k in range(len(dims))]
-    p = df.select("loc_id", *dims, "cell", *[F.floor(F.col(d) / F.lit(side)).alias(c) for c, d in zip(sub, dims, strict=True)])
-    p = cut(p.withColumn("full", F.count("*").over(Window.partitionBy("cell", *sub)) >= minpts))
-    plain = p.select("loc_id", *dims, "cell")
-    thin = pairs_within(p.where("not full").select("loc_id", *dims, "cell"), plain, eps, ("cell",), dims).groupBy("loc_id").agg(F.count("*").alias("n")).where(F.col("n") >= minpts)
-    core = p.where("full").select("loc_id", *dims, "cell", *sub).unionByName(p.drop("full").join(thin.select("loc_id"), "loc_id", "left_semi"))
-    core = cut(core.withColumn("node", F.min("loc_id").over(Window.partitionBy("cell", *sub))).select("loc_id", *dims, "cell", "node"))
-    links = pairs_once(core, eps, ("cell",), dims).where("node <> o_node").select(F.col("node").alias("a"), F.col("o_node").alias("b")).distinct()
-    links = cut(links)
-    label = components(core.select(F.col("node").alias("id")).distinct(), links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labelled = core.join(label, core["node"] == label["id"]).select("loc_id", *dims, "cell", "label")
-    rest = plain.join(core.select("loc_id"), "loc_id", "left_anti")
-    border = pairs_within(rest, labelled, eps, ("cell",), dims).groupBy("loc_id", "cell").agg(F.min("o_label").alias("label"))
-    groups = cut(labelled.select("loc_id", "cell", "label").unionByName(border))
-    names = groups.select("cell", "label").distinct().withColumn("group", F.row_number().over(Window.partitionBy("cell").orderBy("label")) - 1)
-    named = groups.join(names, ["cell", "label"]).select("loc_id", "group")
-    return df.join(named, "loc_id", "left").withColumn("group", F.coalesce("group", F.lit(-1)))
+    p = df.select("loc_id", *dims, *keys, *[F.floor(F.col(d) / F.lit(side)).alias(c) for c, d in zip(sub, dims, strict=True)])
+    full = small(cut(p.groupBy(*keys, *sub).agg(F.count("*").alias("n")).where(F.col("n") >= minpts).select(*keys, *sub)))
+    plain = p.select("loc_id", *dims, *keys)
+    sparse = p.join(full, [*keys, *sub], "left_anti")
+    thin = pairs_within(sparse.select("loc_id", *dims, *keys), plain, eps, keys, dims).groupBy(*keys, "loc_id").agg(F.count("*").alias("n")).where(F.col("n") >= minpts)
+    core = cut(p.join(full, [*keys, *sub], "left_semi").unionByName(sparse.join(thin.select(*keys, "loc_id"), [*keys, "loc_id"], "left_semi")))
+    box = [f(d).alias(f"{e}{k}") for k, d in enumerate(dims) for e, f in (("lo", F.min), ("hi", F.max))]
+    nodes = core.groupBy(*keys, *sub).agg(F.min("loc_id").alias("first"), *box)
+    nodes = cut(nodes.withColumn("id", F.monotonically_increasing_id()))
+    near = _near_nodes(nodes, eps, len(dims), keys, sub)
+    links = touching(core, near.withColumnRenamed("link", "id").drop("a", "b"), eps, side, keys, dims)
+    links = cut(near.join(links.withColumnRenamed("id", "link"), "link").select("a", "b"))
+    label = components(nodes.select("id"), links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    named = nodes.join(label, "id")
+    least = named.groupBy("label").agg(F.min("first").alias("name"))
+    named = cut(named.join(least, "label").select(*keys, *sub, "name"))
+    labelled = core.join(small(named), [*keys, *sub]).select("loc_id", *dims, *keys, "name")
+    rest = sparse.join(thin.select(*keys, "loc_id"), [*keys, "loc_id"], "left_anti").select("loc_id", *dims, *keys)
+    border = pairs_within(rest, labelled, eps, keys, dims).groupBy("loc_id", *keys).agg(F.min("o_name").alias("name"))
+    groups = cut(labelled.select("loc_id", *keys, "name").unionByName(border))
+    numbers = numbered(named.select(*keys, "name").distinct(), list(keys), ["name"], "group")
+    found = groups.join(small(numbers), [*keys, "name"]).select("loc_id", *keys, F.col("group").cast("int").alias("group"))
+    return df.join(found, [*keys, "loc_id"], "left").select(*df.columns, F.coalesce("group", F.lit(-1)).alias("group"))
+
+
+def _near_nodes(nodes: DataFrame, eps: int, d: int, keys: tuple[str, ...], sub: list[str]) -> DataFrame:
+    """Pairs of sub-cells with core points whose boxes are within eps, each once: keys, a0 .., b0 .. (sub-cells), a, b (ids), link (its number)."""
+    reach = math.ceil(math.sqrt(d))
+    steps = [s for s in itertools.product(range(-reach, reach + 1), repeat=d) if s > (0,) * d]
+    around = F.array(*[F.struct(*[F.lit(v).alias(f"s{k}") for k, v in enumerate(s)]) for s in steps])
+    one = nodes.select(*keys, F.col("id").alias("a"), *[F.col(c).alias(f"a{k}") for k, c in enumerate(sub)], *[F.col(f"{e}{k}").alias(f"a_{e}{k}") for k in range(d) for e in ("lo", "hi")], F.explode(around).alias("s"))
+    one = one.withColumns({f"b{k}": F.col(f"a{k}") + F.col(f"s.s{k}") for k in range(d)}).drop("s")
+    other = nodes.select(*keys, F.col("id").alias("b"), *[F.col(c).alias(f"b{k}") for k, c in enumerate(sub)], *[F.col(f"{e}{k}").alias(f"b_{e}{k}") for k in range(d) for e in ("lo", "hi")])
+    gap = sum((F.pow(F.greatest(F.col(f"a_lo{k}") - F.col(f"b_hi{k}"), F.col(f"b_lo{k}") - F.col(f"a_hi{k}"), F.lit(0)), F.lit(2.0)) for k in range(d)), F.lit(0.0))
+    met = one.join(other, [*keys, *[f"b{k}" for k in range(d)]]).where(gap <= eps * eps)
+    return cut(met.select(*keys, *[f"{s}{k}" for s in "ab" for k in range(d)], "a", "b", F.monotonically_increasing_id().alias("link")))
+
+
+def controls_beside(df: DataFrame, controls: DataFrame) -> DataFrame:
+    """Data and their controls as one table for a keyed call of dbscan: origin (exp, csr), iter (0 for data, else control_id), cell, loc_id,
+    channel, tag, x_m, y_m. controls: cell, channel, control_id, loc_id (from 0 by channel), x_m, y_m; the loc_id of a control is made unique in it."""
+    tags = small(df.select("channel", "tag").distinct())
+    one = df.select(F.lit("exp").alias("origin"), F.lit(0).cast("long").alias("iter"), "cell", "loc_id", "channel", "tag", "x_m", "y_m")
+    number = (F.col("channel").cast("long") * (1 << 40) + F.col("loc_id")).alias("loc_id")
+    other = controls.join(tags, "channel").select(F.lit("csr").alias("origin"), F.col("control_id").alias("iter"), "cell", number, "channel", "tag", "x_m", "y_m")
+    return one.unionByName(other)
 
 
 def smlm_cluster(df: DataFrame, radius: int, min_locs: int, basic_fa: bool = False, n_frames: int | None = None, radius_z: int | None = None, z: str = "z_nm") -> DataFrame:

@@ -4,19 +4,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.grid import pairs_once, pairs_within
-from ..sources.io import cut
-
-
-def _first_radius(radii: list[int]):
-    """Index of the first radius that is at or above the distance."""
-    out = F.lit(len(radii))
-    for k in reversed(range(len(radii))):
-        out = F.when(F.col("d2") <= radii[k] * radii[k], F.lit(k)).otherwise(out)
-    return out
+from ..plans.grid import CROWD, pairs_within
+from ..plans.pyramid import bucket, counted_pairs
+from ..sources.io import cut, small
 
 
 def _cumulative(counts: DataFrame, spine: DataFrame, radii: list[int], keys: list[str]) -> DataFrame:
@@ -27,19 +22,18 @@ def _cumulative(counts: DataFrame, spine: DataFrame, radii: list[int], keys: lis
     return full.join(counts, [*keys, "bucket"], "left").select(*keys, "r", F.sum(F.coalesce("n", F.lit(0))).over(w).cast("long").alias("pairs"))
 
 
-def pair_counts_self(df: DataFrame, radii: list[int], keys: tuple[str, ...] = ("cell",), dims: tuple[str, ...] = ("x_m", "y_m")) -> DataFrame:
-    """Ordered pairs (self excluded) within each radius. Distances become radius indices before the shuffle."""
+def pair_counts_self(df: DataFrame, radii: list[int], keys: tuple[str, ...] = ("cell",), dims: tuple[str, ...] = ("x_m", "y_m"), crowd: int = CROWD) -> DataFrame:
+    """Ordered pairs (self excluded) within each radius. Crowded places are counted by nodes of a pyramid, others by pairs; either way
+    distances become radius indices before the shuffle."""
     p = df.select("loc_id", *dims, *keys)
-    met = pairs_once(p, max(radii), keys, dims)
-    counts = met.groupBy(*keys, _first_radius(radii).alias("bucket")).agg((F.count("*") * 2).alias("n"))
+    counts = counted_pairs(p, radii, keys, None, dims, crowd=crowd).withColumn("n", F.col("n") * 2)
     return _cumulative(counts, p.select(*keys).distinct(), radii, list(keys))
 
 
-def pair_counts_cross(df: DataFrame, radii: list[int], keys: tuple[str, ...] = ("cell",), dims: tuple[str, ...] = ("x_m", "y_m")) -> DataFrame:
+def pair_counts_cross(df: DataFrame, radii: list[int], keys: tuple[str, ...] = ("cell",), dims: tuple[str, ...] = ("x_m", "y_m"), crowd: int = CROWD) -> DataFrame:
     """Ordered pairs within each radius for every pair of channels (a, b), equal channels without self pairs."""
     p = df.select("loc_id", *dims, "channel", *keys)
-    met = pairs_once(p, max(radii), keys, dims)
-    one = met.groupBy(*keys, F.col("channel").alias("a"), F.col("o_channel").alias("b"), _first_radius(radii).alias("bucket")).agg(F.count("*").alias("n"))
+    one = counted_pairs(p, radii, keys, "channel", dims, crowd=crowd)
     both = F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
     counts = one.select(*keys, F.explode(both).alias("p"), "bucket", "n").groupBy(*keys, "p.a", "p.b", "bucket").agg(F.sum("n").alias("n"))
     own = p.select(*keys, F.col("channel").alias("a")).distinct()
@@ -47,20 +41,89 @@ def pair_counts_cross(df: DataFrame, radii: list[int], keys: tuple[str, ...] = (
     return _cumulative(counts, spine, radii, [*keys, "a", "b"])
 
 
-def pair_counts_controls(controls: DataFrame, real: DataFrame, radii: list[int]) -> DataFrame:
+#: Real points of a cell, and points of its controls, that one task holds.
+CELL_ROWS, CONTROL_ROWS = 20_000, 200_000
+
+
+def pair_counts_controls(controls: DataFrame, real: DataFrame, radii: list[int], cell_rows: int = CELL_ROWS) -> DataFrame:
     """J2 of controls (cell, control_id, channel, loc_id, x_m, y_m): self pairs within a control's channel, cross pairs of a control's
     channel a with the real b. -> cell, control_id, a, b, r, pairs.
 
-    The real table is what is copied to neighbouring grid cells, once for all controls; control_id is no key of that join.
+    A cell of up to cell_rows real points goes with as many of its controls as make CONTROL_ROWS points to one task, which sweeps them in
+    the order of x. In larger cells own pairs are counted as in J1, and the real table is what is copied to neighbouring grid cells, once for all
+    controls; control_id is no key of that join.
     """
     keys = ["cell", "control_id", "a", "b"]
     c = controls.select("loc_id", "x_m", "y_m", "channel", "cell", "control_id")
-    own = pairs_once(c, max(radii), ("cell", "control_id", "channel"), stretch=4)
-    own = own.groupBy("cell", "control_id", F.col("channel").alias("a"), F.col("channel").alias("b"), _first_radius(radii).alias("bucket")).agg((F.count("*") * 2).alias("n"))
-    met = pairs_within(real.select("x_m", "y_m", "channel", "cell"), c, max(radii), ("cell",)).where("channel <> o_channel")
-    met = met.groupBy("cell", F.col("o_control_id").alias("control_id"), F.col("o_channel").alias("a"), F.col("channel").alias("b"), _first_radius(radii).alias("bucket")).agg(F.count("*").alias("n"))
+    size = cut(real.groupBy("cell").agg(F.count("*").alias("n")))
+    few = small(size.where(F.col("n") <= cell_rows).select("cell", F.greatest(F.lit(1), F.floor(F.lit(CONTROL_ROWS) / F.col("n"))).alias("each")))
+    chunk = F.floor(F.col("control_id") / F.col("each")).alias("chunk")
+    mine = c.join(few, "cell").select("cell", chunk, "control_id", "channel", F.col("x_m").alias("x"), F.col("y_m").alias("y"))
+    chunks = mine.select("cell", "chunk").distinct()
+    theirs = real.join(few, "cell").join(cut(chunks), "cell").select("cell", "chunk", "channel", F.col("x_m").alias("x"), F.col("y_m").alias("y"))
+    counts = mine.groupBy("cell", "chunk").cogroup(theirs.groupBy("cell", "chunk")).applyInPandas(_swept(radii), "cell long, control_id long, a int, b int, bucket int, n long")
+    large = size.where(F.col("n") > cell_rows).select("cell")
+    if large.limit(1).count():
+        big, theirs = c.join(small(large), "cell"), real.join(small(large), "cell")
+        own = counted_pairs(big, radii, ("cell", "control_id", "channel"), stretch=4)
+        own = own.groupBy("cell", "control_id", F.col("channel").alias("a"), F.col("channel").alias("b"), "bucket").agg((F.sum("n") * 2).alias("n"))
+        met = pairs_within(theirs.select("x_m", "y_m", "channel", "cell"), big, max(radii), ("cell",)).where("channel <> o_channel")
+        met = met.groupBy("cell", F.col("o_control_id").alias("control_id"), F.col("o_channel").alias("a"), F.col("channel").alias("b"), bucket(F.col("d2"), radii).alias("bucket")).agg(F.count("*").alias("n"))
+        counts = counts.unionByName(own).unionByName(met)
     spine = c.select("cell", "control_id", F.col("channel").alias("a")).distinct().join(real.select("cell", F.col("channel").alias("b")).distinct(), "cell")
-    return _cumulative(own.unionByName(met), spine, radii, keys)
+    return _cumulative(counts, spine, radii, keys)
+
+
+def _swept(radii: list[int]):
+    """Counts of a cell's controls (control_id, channel, x, y) with themselves and with the real points (channel, x, y)."""
+    steps, most = np.array(radii, np.int64) ** 2, max(radii)
+
+    def run(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        names = ["cell", "control_id", "a", "b", "bucket", "n"]
+        if mine.empty:
+            return pd.DataFrame(columns=names)
+        control, cn = np.unique(mine["control_id"].to_numpy(), return_inverse=True)
+        channel, ch = np.unique(np.r_[mine["channel"].to_numpy(), theirs["channel"].to_numpy()], return_inverse=True)
+        ch, other = ch[: len(mine)], ch[len(mine) :]
+        kind, x, y = cn * len(channel) + ch, mine["x"].to_numpy(np.int64), mine["y"].to_numpy(np.int64)
+        shape = (len(channel), len(control), len(channel), len(radii))
+        counts = np.zeros(shape, np.int64).reshape(len(channel), -1)
+        # own pairs: rows of one control and channel in the order of x, each with the j-th after it
+        order = np.lexsort((x, kind))
+        k, u, v = kind[order], x[order], y[order]
+        own = np.zeros(len(control) * len(channel) * len(radii), np.int64)
+        at = np.arange(len(k) - 1)
+        j = 1
+        while len(at):
+            at = at[at + j < len(k)]
+            at = at[(k[at] == k[at + j]) & (u[at + j] - u[at] <= most)]
+            d2 = (u[at + j] - u[at]) ** 2 + (v[at + j] - v[at]) ** 2
+            near = d2 <= steps[-1]
+            own += np.bincount(k[at][near] * len(radii) + np.searchsorted(steps, d2[near]), minlength=len(own))
+            j += 1
+        # cross pairs: the slice of x around each real point
+        order = np.argsort(x, kind="stable")
+        u, v, k = x[order], y[order], kind[order] * len(radii)
+        for b in np.unique(other).tolist():
+            rx, ry = theirs["x"].to_numpy(np.int64)[other == b], theirs["y"].to_numpy(np.int64)[other == b]
+            held, n = [], 0
+            for lo, hi, px, py in zip(np.searchsorted(u, rx - most), np.searchsorted(u, rx + most, "right"), rx, ry, strict=True):
+                d2 = (u[lo:hi] - px) ** 2 + (v[lo:hi] - py) ** 2
+                near = np.flatnonzero(d2 <= steps[-1])
+                held.append(k[lo:hi][near] + np.searchsorted(steps, d2[near]))
+                n += len(near)
+                if n > 1_000_000:
+                    counts[b] += np.bincount(np.concatenate(held), minlength=counts.shape[1])
+                    held, n = [], 0
+            if held:
+                counts[b] += np.bincount(np.concatenate(held), minlength=counts.shape[1])
+        every = counts.reshape(shape)
+        for b in range(len(channel)):
+            every[b, :, b, :] = 2 * own.reshape(shape[1:])[:, b, :]
+        b, c, a, step = np.nonzero(every)
+        return pd.DataFrame({"cell": mine["cell"].iloc[0], "control_id": control[c], "a": channel[a], "b": channel[b], "bucket": step, "n": every[b, c, a, step]})
+
+    return run
 
 
 def knn(df: DataFrame, k: int, keys: tuple[str, ...] = ("cell",), radius: int | None = None, dims: tuple[str, ...] = ("x_m", "y_m"), growth: int = 4) -> DataFrame:

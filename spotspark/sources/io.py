@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,19 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """rows with their place (from 0) among those of equal keys by `order`. Rows are dealt by ranges of (keys, order): a key of any size
+    is many tasks, and what meets in a window is one count a range."""
+    ranged = rows.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    ranged = cut(ranged.withColumn("__at", F.monotonically_increasing_id()), "ranged")
+    part = F.shiftright("__at", 33)
+    ranges = ranged.groupBy(*keys, part.alias("__p")).agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = cut(ranges.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))), "ranges")
+    met = ranged.withColumn("__p", part).join(small(ranges), [*keys, "__p"])
+    return met.select(*rows.columns, (F.col("__at") - F.col("__first") + F.col("__before")).alias(name))
+
+
 #: Columns of a localization table (coordinates in thousandths of a pixel); others may follow.
 LOCS = "loc_id long, cell long, channel int, tag string, frame long, x_m long, y_m long, photons double"
 #: Most rows of a table of one row a channel, cell, pattern or frame that is broadcast.
