@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.io import small
+from .quantiles import quantiles
 
 
-def barcode(groups: DataFrame, n_channels: int, least: int = 1) -> DataFrame:
-    """(cell, group) with mask, n and text; the first channel is the highest bit. groups: cell, group, channel, n. A channel is present
+def barcode(groups: DataFrame, n_channels: int, least: int = 1, keys: tuple[str, ...] = ("cell", "group")) -> DataFrame:
+    """keys with mask, n and text; the first channel is the highest bit. groups: keys, channel, n. A channel is present
     from `least` localizations on."""
     bit = F.call_function("shiftleft", F.lit(1), (n_channels - 1 - F.col("channel")).cast("int"))
     mask = F.sum(F.when(F.col("n") >= least, bit).otherwise(0)).cast("long")
-    out = groups.groupBy("cell", "group").agg(mask.alias("mask"), F.sum("n").cast("long").alias("n"))
+    out = groups.groupBy(*keys).agg(mask.alias("mask"), F.sum("n").cast("long").alias("n"))
     text = F.bin("mask")
     return out.withColumn("barcode", F.concat(F.lit("0b"), F.lpad(text, F.greatest(F.lit(n_channels), F.length(text)), F.lit("0"))))
 
@@ -40,8 +41,8 @@ def filter_by_barcode(coded: DataFrame, pattern: list[int], n_channels: int | No
 
 def barcode_describe(coded: DataFrame, value: str = "n") -> DataFrame:
     """Count, mean, std, min, quartiles (linear), max by barcode."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = coded.groupBy("barcode").agg(F.count("*").alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), q.alias("q"), F.max(value).alias("max"))
+    q = quantiles(coded, ["barcode"], value, [0.25, 0.5, 0.75])
+    out = coded.groupBy("barcode").agg(F.count("*").alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max")).join(q, "barcode", "left")
     return out.select("barcode", "count", "mean", "std", "min", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
 
 

@@ -5,18 +5,19 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.grid import pairs_within
-from ..sources.io import cut
+from ..sources.io import cut, small
 from .frames import interpolate
 
 
 def picked_locs(df: DataFrame, centers: DataFrame, diameter: int) -> DataFrame:
-    """Rows within half a diameter of a center, once for each center. centers: cell, pick, x_m, y_m."""
-    met = pairs_within(df, centers.select("cell", "pick", "x_m", "y_m"), diameter / 2, ("cell",))
-    return met.select(*df.columns, F.col("o_pick").alias("pick"))
+    """Rows within half a diameter of a center, once for each center. centers: cell, pick, x_m, y_m. Centers are what is copied."""
+    met = pairs_within(centers.select("cell", "pick", "x_m", "y_m"), df, diameter / 2, ("cell",))
+    return met.select(*[F.col(f"o_{c}").alias(c) for c in df.columns], "pick")
 
 
 def nonpicked(df: DataFrame, picked: DataFrame, keys: tuple[str, ...] = ("cell", "loc_id")) -> DataFrame:
@@ -32,14 +33,16 @@ def subtract_drift(df: DataFrame, drift: DataFrame) -> DataFrame:
 
 def undrift_from_picked(picked: DataFrame, n_frames: int) -> DataFrame:
     """(cell, frame, dx, dy) for every frame. picked: cell, pick, frame, loc_id, x_m, y_m. A pick's mean is over all of its rows; of
-    rows that share pick and frame the one with the greatest loc_id tells the offset in that frame."""
+    rows that share pick and frame the one with the greatest loc_id tells the offset in that frame. A pick weighs, in each coordinate, by its
+    mean square deviation from the mean over picks in that coordinate."""
     rows = picked.groupBy("cell", "pick", "frame").agg(F.max_by("x_m", "loc_id").alias("x"), F.max_by("y_m", "loc_id").alias("y"))
     means = picked.groupBy("cell", "pick").agg(F.avg("x_m").alias("mx"), F.avg("y_m").alias("my"))
     off = cut(rows.join(means, ["cell", "pick"]).select("cell", "pick", "frame", (F.col("x") - F.col("mx")).alias("ox"), (F.col("y") - F.col("my")).alias("oy")))
     first = off.groupBy("cell", "frame").agg(F.avg("ox").alias("ax"), F.avg("oy").alias("ay"))
-    msd = off.join(first, ["cell", "frame"]).groupBy("cell", "pick").agg(F.avg(F.pow(F.col("ox") - F.col("ax"), F.lit(2.0)) + F.pow(F.col("oy") - F.col("ay"), F.lit(2.0))).alias("msd"))
-    w = F.lit(1.0) / F.greatest(F.col("msd"), F.lit(1e-12))
-    known = off.join(msd, ["cell", "pick"]).groupBy("cell", "frame").agg((F.sum(F.col("ox") * w) / F.sum(w)).alias("dx"), (F.sum(F.col("oy") * w) / F.sum(w)).alias("dy"))
+    msd = [F.greatest(F.avg(F.pow(F.col(f"o{c}") - F.col(f"a{c}"), F.lit(2.0))), F.lit(1e-12)) for c in "xy"]
+    weights = off.join(first, ["cell", "frame"]).groupBy("cell", "pick").agg(*[(F.lit(1.0) / m).alias(f"w{c}") for m, c in zip(msd, "xy", strict=True)])
+    mean = [(F.sum(F.col(f"o{c}") * F.col(f"w{c}")) / F.sum(f"w{c}")).alias(f"d{c}") for c in "xy"]
+    known = off.join(weights, ["cell", "pick"]).groupBy("cell", "frame").agg(*mean)
     spine = picked.select("cell").distinct().crossJoin(picked.sparkSession.range(n_frames).select(F.col("id").alias("frame")))
     return interpolate(spine.join(known, ["cell", "frame"], "left"), ["cell"], "frame", "dx", "dy")
 
@@ -105,26 +108,62 @@ def peaks(corr: DataFrame, bin_: int, keys: tuple[str, ...] = ("cell",)) -> Data
 
 
 def undrift_rcc(df: DataFrame, n_frames: int, segmentation: int, bin_: int = 100, reach: int = 8, tries: int = 3) -> DataFrame:
-    """(cell, frame, dx, dy). Segments' shifts are averages over all partners, anchored at segment 0, linear between mid frames.
+    """(cell, frame, dx, dy). Shifts of segments by least squares over the pairs that overlap, anchored at the first, linear between mid frames.
 
-    Without any overlap of some segment, the segmentation is doubled, at most `tries` times; then the drift is 0.
+    A cell whose overlapping segments do not hang together doubles its segmentation, at most `tries` times, on its own. What then still has
+    no link to the greatest connected part keeps its data: drift 0 in all frames of those segments, which take no part in the interpolation.
     """
-    cells = df.select("cell").distinct()
-    spine = cells.crossJoin(df.sparkSession.range(n_frames).select(F.col("id").alias("frame")))
+    parts, open_ = [], df
     for k in range(tries + 1):
         step = segmentation * 2**k
-        seg = df.withColumn("seg", F.floor(F.col("frame") / step))
-        pairs = cut(peaks(correlation(seg, "seg", bin_, reach), bin_))
-        n_seg = -(-n_frames // step)
-        if n_seg < 2 or pairs.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") < n_seg * (n_seg - 1) // 2).limit(1).count() == 0:
+        seg = open_.withColumn("seg", F.floor(F.col("frame") / step))
+        pairs = peaks(correlation(seg, "seg", bin_, reach), bin_).select("cell", "i", "j", "sx", "sy")
+        here = seg.groupBy("cell", "seg").agg(F.count("*").alias("n")).select("cell", F.col("seg").alias("i"), F.col("seg").alias("j"), F.lit(0.0).alias("sx"), F.lit(0.0).alias("sy"))
+        solved = pairs.unionByName(here).groupBy("cell").applyInPandas(_least_squares, "cell long, seg long, dx double, dy double, linked boolean, whole boolean")
+        solved = cut(solved.withColumn("step", F.lit(step).cast("long")))
+        last = k == tries or step >= n_frames
+        parts.append(solved if last else solved.where("whole"))
+        torn = solved.where("not whole").select("cell").distinct()
+        if last or torn.limit(1).count() == 0:
             break
-    # x_j - x_i = s: with all pairs known, least squares is the mean over partners
-    both = pairs.select("cell", F.col("j").alias("seg"), "sx", "sy").unionByName(pairs.select("cell", F.col("i").alias("seg"), (-F.col("sx")).alias("sx"), (-F.col("sy")).alias("sy")))
-    mean = both.groupBy("cell", "seg").agg((F.sum("sx") / n_seg).alias("dx"), (F.sum("sy") / n_seg).alias("dy"))
-    zero = mean.where("seg = 0").select("cell", F.col("dx").alias("zx"), F.col("dy").alias("zy"))
-    mean = mean.join(zero, "cell").select("cell", (F.col("seg") * step + step // 2).alias("frame"), (F.col("dx") - F.col("zx")).alias("dx"), (F.col("dy") - F.col("zy")).alias("dy"))
+        open_ = open_.join(small(torn), "cell", "left_semi")
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    spine = df.select("cell").distinct().crossJoin(df.sparkSession.range(n_frames).select(F.col("id").alias("frame")))
+    mean = every.where("linked").select("cell", (F.col("seg") * F.col("step") + F.floor(F.col("step") / 2)).alias("frame"), "dx", "dy")
     full = interpolate(spine.join(mean, ["cell", "frame"], "left"), ["cell"], "frame", "dx", "dy")
-    return full.select("cell", "frame", F.coalesce("dx", F.lit(0.0)).alias("dx"), F.coalesce("dy", F.lit(0.0)).alias("dy"))
+    steps = every.groupBy("cell").agg(F.max("step").alias("step"))
+    alone = every.where("not linked").select("cell", "seg", F.lit(True).alias("alone"))
+    full = full.join(steps, "cell").withColumn("seg", F.floor(F.col("frame") / F.col("step"))).join(alone, ["cell", "seg"], "left")
+    return full.select("cell", "frame", *[F.when(F.col("alone"), F.lit(0.0)).otherwise(F.coalesce(c, F.lit(0.0))).alias(c) for c in ("dx", "dy")])
+
+
+def _least_squares(pairs: pd.DataFrame) -> pd.DataFrame:
+    """Shifts of one cell's segments from x_j - x_i = s over its pairs (pairs of a segment with itself only name it): one row a segment, of which
+    there are n_frames / segmentation. The greatest part of linked segments is anchored at its first; others have no shift."""
+    seg, at = np.unique(pairs[["i", "j"]].to_numpy(), return_inverse=True)
+    i, j = at.reshape(-1, 2).T
+    part = np.arange(len(seg))
+    while True:  # least number along the links
+        low = part.copy()
+        np.minimum.at(low, i, part[j])
+        np.minimum.at(low, j, part[i])
+        if (low == part).all():
+            break
+        part = low
+    name, size = np.unique(part, return_counts=True)
+    linked = part == name[np.argmax(size)]
+    use = linked[i] & (i != j)
+    laplacian, moved = np.zeros((len(seg), len(seg))), np.zeros((len(seg), 2))
+    for sign, here, there in ((1, j[use], i[use]), (-1, i[use], j[use])):
+        np.add.at(laplacian, (here, here), 1.0)
+        np.add.at(laplacian, (here, there), -1.0)
+        np.add.at(moved, here, sign * pairs[["sx", "sy"]].to_numpy()[use])
+    shift = np.zeros((len(seg), 2))
+    shift[linked] = np.linalg.lstsq(laplacian[np.ix_(linked, linked)], moved[linked], rcond=None)[0]
+    shift[linked] -= shift[np.flatnonzero(linked)[0]]
+    return pd.DataFrame({"cell": pairs["cell"].iloc[0], "seg": seg, "dx": shift[:, 0], "dy": shift[:, 1], "linked": linked, "whole": linked.all()})
 
 
 def undrift_aim(df: DataFrame, n_frames: int, segmentation: int, intersect: int = 150, roi: int = 450) -> DataFrame:

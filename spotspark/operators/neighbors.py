@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..plans.grid import CROWD, pairs_within
 from ..plans.pyramid import bucket, counted_pairs
 from ..sources.io import cut, small
+from .quantiles import quantiles
 
 
 def _cumulative(counts: DataFrame, spine: DataFrame, radii: list[int], keys: list[str]) -> DataFrame:
@@ -173,12 +174,15 @@ def next_frame_neighbors(df: DataFrame, radius: int) -> DataFrame:
 
 
 def link_edges(df: DataFrame, d_max: int, tolerance: int) -> DataFrame:
-    """Edges (cell, a, b) between a point and its successor: mutual best within d_max and tolerance + 1 frames."""
-    p = df.select("loc_id", "x_m", "y_m", "cell", "frame")
-    gaps = F.sequence(F.lit(1), F.lit(tolerance + 1))
-    q = p.select("loc_id", "x_m", "y_m", "cell", F.col("frame").alias("fb"), F.explode(gaps).alias("gap")).withColumn("frame", F.col("fb") - F.col("gap"))
-    met = pairs_within(p, q, d_max, ("cell", "frame"))
-    best = met.groupBy("cell", F.col("loc_id").alias("a"), F.col("frame").alias("fa")).agg(F.min(F.struct(F.col("o_fb").alias("fb"), "d2", F.col("o_loc_id").alias("b"))).alias("e"))
+    """Edges (cell, a, b) between a point and its successor: mutual best within d_max and tolerance + 1 frames.
+
+    An interval join: frames are dealt into buckets of tolerance + 1, so that the frames that may follow lie in two buckets, whatever the tolerance.
+    """
+    wide = tolerance + 1
+    p = df.select("loc_id", "x_m", "y_m", "cell", "frame", F.floor(F.col("frame") / wide).alias("bucket"))
+    twice = p.withColumn("bucket", F.explode(F.array("bucket", F.col("bucket") + 1)))
+    met = pairs_within(twice, p, d_max, ("cell", "bucket")).where((F.col("o_frame") - F.col("frame")).between(1, wide))
+    best = met.groupBy("cell", F.col("loc_id").alias("a"), F.col("frame").alias("fa")).agg(F.min(F.struct(F.col("o_frame").alias("fb"), "d2", F.col("o_loc_id").alias("b"))).alias("e"))
     best = best.select("cell", "a", "fa", F.col("e.b").alias("b"), F.col("e.d2").alias("d2"))
     return best.groupBy("cell", "b").agg(F.max_by("a", F.struct("fa", -F.col("d2"), -F.col("a"))).alias("a")).select("cell", "a", "b")
 
@@ -204,8 +208,9 @@ def link_locs(df: DataFrame, d_max: int, tolerance: int) -> DataFrame:
 
 def nn_scales(near: DataFrame, nth: int) -> DataFrame:
     """From J3: median nearest distance, bin width, 95 % quantile of the nth distance."""
-    nearest = F.median(F.when(F.col("k") == 1, F.col("d")))
-    return near.groupBy("cell").agg(nearest.alias("nn1"), (nearest / 20).alias("dr"), F.percentile(F.when(F.col("k") == nth, F.col("d")), F.lit(0.95)).alias("q95"))
+    nearest = quantiles(near.where("k = 1"), ["cell"], "d", [0.5]).select("cell", F.col("q")[0].alias("nn1"))
+    far = quantiles(near.where(F.col("k") == nth), ["cell"], "d", [0.95]).select("cell", F.col("q")[0].alias("q95"))
+    return nearest.join(far, "cell", "full").select("cell", "nn1", (F.col("nn1") / 20).alias("dr"), "q95")
 
 
 def nn_histogram(near: DataFrame, step: float, most: float) -> DataFrame:
@@ -216,19 +221,22 @@ def nn_histogram(near: DataFrame, step: float, most: float) -> DataFrame:
 
 def nn_density_histogram(near: DataFrame, nth: int, bins: int = 49) -> DataFrame:
     """G21, normalised: by cell and k the density of distances in `bins` bins up to the 99 % quantile of the nth distance."""
-    top = near.groupBy("cell").agg(F.percentile(F.when(F.col("k") == nth, F.col("d")), F.lit(0.99)).alias("top"))
+    top = quantiles(near.where(F.col("k") == nth), ["cell"], "d", [0.99]).select("cell", F.col("q")[0].alias("top"))
     step = F.col("top") / F.lit(float(bins))
     inside = near.join(top, "cell").where((F.col("d") <= F.col("top")) & (F.col("top") > 0))
     n = inside.groupBy("cell", "k", "top", F.least(F.lit(bins - 1), F.floor(F.col("d") / step)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
     return n.select("cell", "k", "bin", (F.col("n") / (F.sum("n").over(Window.partitionBy("cell", "k")) * step)).alias("density"))
 
 
-def csr_density_mle(near: DataFrame, d: int = 2) -> DataFrame:
-    """Density by maximum likelihood in closed form, within a factor of ten of the first estimate."""
+def csr_density_mle(near: DataFrame, d: int = 2, kmin: int = 1) -> DataFrame:
+    """Density by maximum likelihood in closed form, within a factor of ten of the first estimate, from the distances of the kmin-th and
+    later neighbours."""
     ball = math.pi ** (d / 2) / math.gamma(d / 2 + 1)
-    init = F.lit(2.0) / (F.lit(2.0 * d * math.pi) * F.nullif(F.pow(F.median(F.when(F.col("k") == 1, F.col("d"))), F.lit(float(d))), F.lit(0.0)))
+    nearest = quantiles(near.where("k = 1"), ["cell"], "d", [0.5]).select("cell", F.col("q")[0].alias("nn1"))
+    init = F.lit(2.0) / (F.lit(2.0 * d * math.pi) * F.nullif(F.pow("nn1", F.lit(float(d))), F.lit(0.0)))
     rho = F.sum("k") / F.nullif(F.sum(F.pow("d", F.lit(float(d)))), F.lit(0.0)) / ball
-    return near.groupBy("cell").agg(init.alias("rho_init"), rho.alias("free")).select("cell", "rho_init", F.greatest(F.col("rho_init") / 10, F.least(F.col("rho_init") * 10, F.col("free"))).alias("rho"))
+    free = near.where(F.col("k") >= kmin).groupBy("cell").agg(rho.alias("free")).join(nearest, "cell", "left").withColumn("rho_init", init)
+    return free.select("cell", "rho_init", F.greatest(F.col("rho_init") / 10, F.least(F.col("rho_init") * 10, F.col("free"))).alias("rho"))
 
 
 def rdf(df: DataFrame, dr: int, r_max: int, keys: tuple[str, ...] = ("cell",)) -> DataFrame:

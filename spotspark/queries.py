@@ -19,6 +19,8 @@ TAGS = ["click", "error", "purchase", "signup", "view"]
 EPS, MINPTS, N_FRAMES = 150, 8, 1440
 #: Controls of a pair of channels, mask pixel and raster, pixel and threshold of cluster areas, localizations from which a channel is present.
 N_CONTROLS, PIXEL, RASTER, AREA_PIXEL, LARGE, PRESENT = 100, 250, 128, 50, 0.12, 13
+#: Clusters found in data and in controls: controls of a cell, radius, points, localizations from which a channel is present.
+FOUND_CONTROLS, FOUND_EPS, FOUND_MINPTS, FOUND_PRESENT = 3, 400, 5, 2
 
 
 def query(name: str, sql: str | None = None, ctes: str = ""):
@@ -386,9 +388,6 @@ def _(d):
 # ---------------------------------------------------------------- barcodes and statistics (planted clusters as groups)
 
 _BC = f""", cn AS (SELECT cell, true_cluster AS "group", channel, tag, count(*) AS n FROM locs GROUP BY 1, 2, 3, 4), bm AS (SELECT cell, "group", CAST(sum(CASE WHEN n >= {PRESENT} THEN 1 << (4 - channel) ELSE 0 END) AS BIGINT) AS mask, CAST(sum(n) AS BIGINT) AS n FROM cn GROUP BY 1, 2), bc AS (SELECT *, '0b' || lpad(bin(mask), 5, '0') AS barcode FROM bm)"""
-_EX = _BC + """, ar AS (SELECT cell, true_cluster AS "group", count(DISTINCT (x_m // 50) * 1000000 + y_m // 50) * 0.0025::DOUBLE AS area FROM locs GROUP BY 1, 2), ex AS (SELECT CASE WHEN bc.cell % 2 = 0 THEN 'csr' ELSE 'exp' END AS origin, bc.cell, bc."group" % 3 AS iter, barcode, mask, n, area, bc."group" FROM bc JOIN ar ON ar.cell = bc.cell AND ar."group" = bc."group")"""
-
-
 def _counts(d: DataFrame) -> DataFrame:
     return d.groupBy("cell", F.col("true_cluster").alias("group"), "channel", "tag").agg(F.count("*").alias("n"))
 
@@ -397,10 +396,6 @@ def _coded(d: DataFrame) -> DataFrame:
     return barcodes.barcode(_counts(d), 5, PRESENT)
 
 
-def _origin(d: DataFrame) -> DataFrame:
-    return _coded(d).withColumns({"origin": F.when(F.col("cell") % 2 == 0, "csr").otherwise("exp"), "iter": F.col("group") % 3})
-
-
 @query("barcode", 'SELECT cell, "group", mask, n, barcode FROM bc', _BC)
 def _(d):
     return _coded(d)
@@ -421,26 +416,6 @@ def _(d):
     return barcodes.barcode_describe(_coded(d)).select("barcode", "count", r6("mean").alias("mean"), r6("std").alias("std"), "min", r6("q25").alias("q25"), r6("q50").alias("q50"), r6("q75").alias("q75"), "max")
 
 
-_PER = "SELECT origin, cell, barcode, round(avg(v), 6) AS v FROM (SELECT s.origin, s.cell, s.iter, b.barcode, {v} AS v FROM (SELECT DISTINCT origin, cell, iter FROM ex) s CROSS JOIN (SELECT DISTINCT barcode FROM ex) b LEFT JOIN ex ON ex.origin = s.origin AND ex.cell = s.cell AND ex.iter = s.iter AND ex.barcode = b.barcode GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3"
-
-
-@query("barcode_numbers", _PER.format(v="count(ex.mask)"), _EX)
-def _(d):
-    return barcodes.per_iteration(_origin(d)).withColumn("v", r6("v"))
-
-
-@query("barcode_areas", _PER.format(v="coalesce(sum(ex.area), 0)"), _EX)
-def _(d):
-    areas = cluster.occupied_area(d.withColumn("group", F.col("true_cluster")), AREA_PIXEL).select("cell", "group", "area")
-    return barcodes.per_iteration(_origin(d).join(areas, ["cell", "group"]), "area").withColumn("v", r6("v"))
-
-
-@query("ntargets_in_barcode", "SELECT origin, cell, barcode, tag, round(avg(m), 6) AS mean_n FROM (SELECT ex.origin, ex.cell, ex.iter, ex.barcode, cn.tag, avg(cn.n) AS m FROM ex JOIN cn ON cn.cell = ex.cell AND cn.\"group\" = ex.\"group\" GROUP BY 1, 2, 3, 4, 5) GROUP BY 1, 2, 3, 4", _EX)
-def _(d):
-    targets = _origin(d).drop("n").join(_counts(d).drop("channel"), ["cell", "group"])
-    return barcodes.ntargets_in_barcode(targets).withColumn("mean_n", r6("mean_n"))
-
-
 _PROPS = ["n", "area", "density"]
 _STATS = [*_PROPS, *[f"{k}_{t}" for k in ("n", "percent") for t in TAGS]]
 _CELLS = f""", mem AS (SELECT *, CASE WHEN is_noise THEN -1 ELSE true_cluster END AS g FROM locs),
@@ -475,24 +450,12 @@ def _(d):
     return frames.combine_channels(halves)
 
 
-@query("degree_of_clustering", "SELECT origin, cell, round(avg(c), 6) AS clustered, round(avg(n - c), 6) AS nonclustered, round(avg(c) / (avg(c) + avg(n - c)), 6) AS fraction FROM (SELECT CASE WHEN cell % 2 = 0 THEN 'csr' ELSE 'exp' END AS origin, cell, frame % 3 AS iter, count(*) AS n, count(*) FILTER (NOT is_noise) AS c FROM locs GROUP BY 1, 2, 3) GROUP BY 1, 2")
-def _(d):
-    info = d.groupBy(F.when(F.col("cell") % 2 == 0, "csr").otherwise("exp").alias("origin"), "cell", (F.col("frame") % 3).alias("iter")).agg(F.count("*").alias("n"), F.sum((~F.col("is_noise")).cast("long")).alias("clustered"))
-    return barcodes.degree_of_clustering(info).select("origin", "cell", *[r6(c).alias(c) for c in ("clustered", "nonclustered", "fraction")])
-
-
 @query("ttest_ind", "SELECT channel, n1, n2, round(m1, 6) AS m1, round(m2, 6) AS m2, n1 + n2 - 2 AS df, round((m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0::DOUBLE / n1 + 1.0::DOUBLE / n2)), 6) AS t FROM (SELECT channel, count(photons) FILTER (stimulation = 'stim') AS n1, count(photons) FILTER (stimulation = 'ctrl') AS n2, avg(photons) FILTER (stimulation = 'stim') AS m1, avg(photons) FILTER (stimulation = 'ctrl') AS m2, var_samp(photons) FILTER (stimulation = 'stim') AS v1, var_samp(photons) FILTER (stimulation = 'ctrl') AS v2 FROM locs GROUP BY 1)")
 def _(d):
     t = barcodes.ttest_ind(d, ["channel"], "photons", "stimulation", "stim", "ctrl")
     return t.select("channel", "n1", "n2", r6("m1").alias("m1"), r6("m2").alias("m2"), "df", r6("t").alias("t"))
 
 
-@query("significant_barcodes")
-def _(d):
-    numbers = io.cut(barcodes.per_iteration(_origin(d)))
-    return barcodes.significant_barcodes(numbers, 0.05, 0.01, 0.5).select("barcode", r6("t").alias("t"), r6("p").alias("p"), r6("share").alias("share"), r6("cell_share").alias("cell_share"), "significant", "label")
-
-
 @query("significance_label", "SELECT loc_id, CASE WHEN photons / 1000 < 0.001 THEN 'p<0.001' WHEN photons / 1000 < 0.01 THEN 'p<0.01' WHEN photons / 1000 < 0.05 THEN 'p<0.05' ELSE 'n.s.' END AS label FROM locs")
 def _(d):
     return d.select("loc_id", barcodes.significance_label(F.col("photons") / 1000).alias("label"))
@@ -566,6 +529,93 @@ def _(d):
     return ripley.random_points(d.groupBy("cell", "channel").agg(F.count("*").alias("n")), N_CONTROLS, _mask(d), PIXEL)
 
 
+# ---------------------------------------------------------------- clusters and barcodes of data and of random controls, found in one call
+
+_FD2 = f"""{_MASK}{_PTS.replace(f"range({N_CONTROLS})", f"range({FOUND_CONTROLS})")}, tg AS (SELECT DISTINCT channel, tag FROM locs),
+aw AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY origin, iter, cell, loc_id) AS id FROM (SELECT 'exp' AS origin, 0 AS iter, cell, loc_id, channel, tag, x_m, y_m FROM locs
+  UNION ALL SELECT 'csr', control_id, rp.cell, rp.channel * 1099511627776 + loc_id, rp.channel, tag, x_m, y_m FROM rp JOIN tg ON tg.channel = rp.channel)),
+pr AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM aw a JOIN aw b ON a.origin = b.origin AND a.iter = b.iter AND a.cell = b.cell AND {_D2} <= {FOUND_EPS * FOUND_EPS}),
+core AS MATERIALIZED (SELECT a AS id FROM pr GROUP BY 1 HAVING count(*) >= {FOUND_MINPTS}), ce AS MATERIALIZED (SELECT a, b FROM pr WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+reach(id, lab) AS (SELECT id, id FROM core UNION SELECT ce.b, r.lab FROM reach r JOIN ce ON ce.a = r.id WHERE r.lab < ce.b), lab AS (SELECT id, min(lab) AS lab FROM reach GROUP BY 1),
+al AS (SELECT id, lab FROM lab UNION ALL SELECT pr.a, min(lab) FROM pr JOIN lab ON lab.id = pr.b WHERE pr.a NOT IN (SELECT id FROM core) GROUP BY 1),
+g AS MATERIALIZED (SELECT l.*, CASE WHEN lab IS NULL THEN -1 ELSE CAST(dense_rank() OVER (PARTITION BY l.origin, l.iter, l.cell ORDER BY lab NULLS LAST) - 1 AS INT) END AS q FROM aw l LEFT JOIN al ON al.id = l.id)"""
+_FOUND = _FD2 + f""", cn AS (SELECT origin, iter, cell, q, channel, tag, count(*) AS n FROM g WHERE q >= 0 GROUP BY 1, 2, 3, 4, 5, 6),
+ar AS (SELECT origin, iter, cell, q, count(DISTINCT (x_m // {AREA_PIXEL}) * 1000000 + y_m // {AREA_PIXEL}) * 0.0025::DOUBLE AS area FROM g WHERE q >= 0 GROUP BY 1, 2, 3, 4),
+ex AS MATERIALIZED (SELECT *, '0b' || lpad(bin(mask), 5, '0') AS barcode FROM (SELECT origin, iter, cell, q, CAST(sum(CASE WHEN n >= {FOUND_PRESENT} THEN 1 << (4 - channel) ELSE 0 END) AS BIGINT) AS mask FROM cn GROUP BY 1, 2, 3, 4))"""
+_KEYED, _CLUSTER = ("origin", "iter", "cell"), ("origin", "iter", "cell", "group")
+
+
+def _found(d: DataFrame) -> DataFrame:
+    controls = ripley.random_points(d.groupBy("cell", "channel").agg(F.count("*").alias("n")), FOUND_CONTROLS, _mask(d), PIXEL)
+    return io.cut(cluster.dbscan(io.cut(cluster.controls_beside(d, controls)), FOUND_EPS, FOUND_MINPTS, keys=_KEYED))
+
+
+def _found_counts(found: DataFrame) -> DataFrame:
+    return found.where(F.col("group") >= 0).groupBy(*_CLUSTER, "channel", "tag").agg(F.count("*").alias("n"))
+
+
+def _found_codes(found: DataFrame) -> DataFrame:
+    return barcodes.barcode(_found_counts(found), 5, FOUND_PRESENT, _CLUSTER)
+
+
+@query("dbscan_controls", 'SELECT origin, iter, cell, loc_id, q AS "group" FROM g', _FD2)
+def _(d):
+    return _found(d).select(*_KEYED, "loc_id", "group")
+
+
+_PER = "SELECT origin, cell, barcode, avg(v) AS v FROM (SELECT s.origin, s.cell, s.iter, b.barcode, {v} AS v FROM (SELECT DISTINCT origin, cell, iter FROM ex) s CROSS JOIN (SELECT DISTINCT barcode FROM ex) b LEFT JOIN ex ON ex.origin = s.origin AND ex.cell = s.cell AND ex.iter = s.iter AND ex.barcode = b.barcode LEFT JOIN ar ON ar.origin = ex.origin AND ar.iter = ex.iter AND ar.cell = ex.cell AND ar.q = ex.q GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3"
+_NUMBERS = _PER.format(v="count(ex.mask)")
+
+
+@query("barcode_numbers", f"SELECT origin, cell, barcode, round(v, 6) AS v FROM ({_NUMBERS})", _FOUND)
+def _(d):
+    return barcodes.per_iteration(_found_codes(_found(d))).withColumn("v", r6("v"))
+
+
+@query("barcode_areas", f"SELECT origin, cell, barcode, round(v, 6) AS v FROM ({_PER.format(v='coalesce(sum(ar.area), 0)')})", _FOUND)
+def _(d):
+    found = _found(d)
+    areas = cluster.occupied_area(found, AREA_PIXEL, _CLUSTER).select(*_CLUSTER, "area")
+    return barcodes.per_iteration(_found_codes(found).join(areas, list(_CLUSTER)), "area").withColumn("v", r6("v"))
+
+
+@query("ntargets_in_barcode", "SELECT origin, cell, barcode, tag, round(avg(m), 6) AS mean_n FROM (SELECT ex.origin, ex.cell, ex.iter, ex.barcode, cn.tag, avg(cn.n) AS m FROM ex JOIN cn ON cn.origin = ex.origin AND cn.iter = ex.iter AND cn.cell = ex.cell AND cn.q = ex.q GROUP BY 1, 2, 3, 4, 5) GROUP BY 1, 2, 3, 4", _FOUND)
+def _(d):
+    found = _found(d)
+    targets = _found_codes(found).drop("n").join(_found_counts(found).drop("channel"), list(_CLUSTER))
+    return barcodes.ntargets_in_barcode(targets).withColumn("mean_n", r6("mean_n"))
+
+
+@query(
+    "degree_of_clustering",
+    "SELECT origin, cell, round(avg(c), 6) AS clustered, round(avg(n - c), 6) AS nonclustered, round(avg(c) / (avg(c) + avg(n - c)), 6) AS fraction FROM (SELECT origin, cell, iter, count(*) AS n, count(*) FILTER (q >= 0) AS c FROM g GROUP BY 1, 2, 3) GROUP BY 1, 2",
+    _FD2,
+)
+def _(d):
+    info = _found(d).groupBy(*_KEYED).agg(F.count("*").alias("n"), F.sum((F.col("group") >= 0).cast("long")).alias("clustered"))
+    return barcodes.degree_of_clustering(info).select("origin", "cell", *[r6(c).alias(c) for c in ("clustered", "nonclustered", "fraction")])
+
+
+# p: Simpson's rule over the density of Student's t
+_TEST = f""", nu AS MATERIALIZED ({_NUMBERS}),
+st AS (SELECT barcode, count(v) FILTER (origin = 'exp') AS n1, count(v) FILTER (origin = 'csr') AS n2, avg(v) FILTER (origin = 'exp') AS m1, avg(v) FILTER (origin = 'csr') AS m2, var_samp(v) FILTER (origin = 'exp') AS v1, var_samp(v) FILTER (origin = 'csr') AS v2 FROM nu GROUP BY 1),
+tt AS (SELECT barcode, n1 + n2 - 2 AS df, (m1 - m2) / nullif(sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0::DOUBLE / n1 + 1.0::DOUBLE / n2)), 0) AS t FROM st),
+pv AS (SELECT barcode, any_value(t) AS t, CASE WHEN any_value(t) IS NOT NULL THEN greatest(0, 1 - 2 * any_value(abs(t)) / 12000 * any_value(exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi()))
+    * sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * pow(1 + t * t * i * i / 16e6::DOUBLE / df, -(df + 1) / 2))) END AS p FROM tt, (SELECT unnest(range(4001)) AS i) GROUP BY 1),
+xp AS (SELECT barcode, sum(v) / nullif(sum(sum(v)) OVER (), 0) AS share, avg(CASE WHEN v >= 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS cell_share FROM nu WHERE origin = 'exp' GROUP BY 1)"""
+
+
+@query(
+    "significant_barcodes",
+    """SELECT barcode, round(t, 6) AS t, round(p, 6) AS p, round(share, 6) AS share, round(cell_share, 6) AS cell_share, coalesce(p < 0.05 AND share > 0.01 AND cell_share > 0.5, false) AS significant,
+  CASE WHEN p < 0.001 THEN 'p<0.001' WHEN p < 0.01 THEN 'p<0.01' WHEN p < 0.05 THEN 'p<0.05' ELSE 'n.s.' END AS label FROM pv JOIN xp USING (barcode)""",
+    _FOUND + _TEST,
+)
+def _(d):
+    numbers = io.cut(barcodes.per_iteration(_found_codes(_found(d))))
+    return barcodes.significant_barcodes(numbers, 0.05, 0.01, 0.5).select("barcode", r6("t").alias("t"), r6("p").alias("p"), r6("share").alias("share"), r6("cell_share").alias("cell_share"), "significant", "label")
+
+
 _JH = "(SELECT *, ((h1 * h1 % 2147483647) * 39373 + 11) % 2147483647 AS h2 FROM (SELECT *, (h0 * h0 + h0) % 2147483647 AS h1 FROM (SELECT *, (loc_id * 48271 + control_id * 16958263 + cell * 696697347 + 12345) % 2147483647 AS h0 FROM (SELECT *, unnest(range({n})) AS control_id FROM locs))))"
 _JIT = f", jh AS (SELECT *, 300.0::DOUBLE * pow((h2 + 0.5::DOUBLE) / 2147483647.0::DOUBLE, 1.0::DOUBLE / 3.0::DOUBLE) AS jr, {2 * math.pi!r}::DOUBLE * (((h2 * h2) % 2147483647 + h1 * 40692) % 2147483647 + 0.5::DOUBLE) / 2147483647.0::DOUBLE AS phi FROM {_JH.format(n=N_CONTROLS)}), jt AS MATERIALIZED (SELECT loc_id, cell, channel, control_id, CAST(x_m + round(jr * cos(phi)) AS BIGINT) AS x_m, CAST(y_m + round(jr * sin(phi)) AS BIGINT) AS y_m FROM jh)"
 
@@ -750,8 +800,8 @@ _LINE = "CASE WHEN p IS NULL THEN n{0} WHEN q IS NULL OR q = p THEN p{0} ELSE p{
   WINDOW b AS (PARTITION BY cell ORDER BY frame ROWS UNBOUNDED PRECEDING), f AS (PARTITION BY cell ORDER BY frame ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))""",
     """, pk AS (SELECT cell, true_cluster AS pick, frame, loc_id, x_m + 2 * (frame // 8) AS x_m, y_m - frame // 8 AS y_m FROM locs WHERE NOT is_noise), rw AS (SELECT cell, pick, frame, arg_max(x_m, loc_id) AS x, arg_max(y_m, loc_id) AS y FROM pk GROUP BY 1, 2, 3),
 of AS (SELECT cell, pick, frame, x - mx AS ox, y - my AS oy FROM rw JOIN (SELECT cell, pick, avg(x_m) AS mx, avg(y_m) AS my FROM pk GROUP BY 1, 2) USING (cell, pick)),
-ms AS (SELECT cell, pick, 1 / greatest(avg((ox - ax) * (ox - ax) + (oy - ay) * (oy - ay)), 1e-12::DOUBLE) AS w FROM of JOIN (SELECT cell, frame, avg(ox) AS ax, avg(oy) AS ay FROM of GROUP BY 1, 2) USING (cell, frame) GROUP BY 1, 2),
-kn AS (SELECT cell, frame, sum(ox * w) / sum(w) AS dx, sum(oy * w) / sum(w) AS dy FROM of JOIN ms USING (cell, pick) GROUP BY 1, 2),
+ms AS (SELECT cell, pick, 1 / greatest(avg((ox - ax) * (ox - ax)), 1e-12::DOUBLE) AS wx, 1 / greatest(avg((oy - ay) * (oy - ay)), 1e-12::DOUBLE) AS wy FROM of JOIN (SELECT cell, frame, avg(ox) AS ax, avg(oy) AS ay FROM of GROUP BY 1, 2) USING (cell, frame) GROUP BY 1, 2),
+kn AS (SELECT cell, frame, sum(ox * wx) / sum(wx) AS dx, sum(oy * wy) / sum(wy) AS dy FROM of JOIN ms USING (cell, pick) GROUP BY 1, 2),
 sp AS (SELECT c.cell, f.frame, dx, dy FROM (SELECT DISTINCT cell FROM pk) c CROSS JOIN (SELECT unnest(range(1440)) AS frame) f LEFT JOIN kn ON kn.cell = c.cell AND kn.frame = f.frame)""",
 )
 def _(d):
@@ -759,6 +809,14 @@ def _(d):
     return drift.undrift_from_picked(picked, N_FRAMES).select("cell", "frame", r6("dx").alias("dx"), r6("dy").alias("dy"))
 
 
+_SEG = ", im AS MATERIALIZED (SELECT cell, frame // 360 AS seg, (x_m + 2 * (frame // 8)) // 200 AS gx, (y_m - frame // 8) // 200 AS gy, count(*) AS n FROM locs GROUP BY 1, 2, 3, 4)"
+
+
+@query("segment_correlation", "SELECT a.cell, a.seg AS i, b.seg AS j, b.gx - a.gx AS dx, b.gy - a.gy AS dy, CAST(sum(a.n * b.n) AS BIGINT) AS corr FROM im a JOIN im b ON a.cell = b.cell AND a.seg < b.seg AND abs(b.gx - a.gx) <= 4 AND abs(b.gy - a.gy) <= 4 GROUP BY 1, 2, 3, 4, 5", _SEG)
+def _(d):
+    return drift.correlation(_drifting(d).withColumn("seg", F.floor(F.col("frame") / 360)), "seg", 200, 4).select("cell", "i", "j", F.col("dx").cast("long").alias("dx"), F.col("dy").cast("long").alias("dy"), "corr")
+
+
 @query("undrift_rcc")
 def _(d):
     return drift.undrift_rcc(_drifting(d), N_FRAMES, 360, 200, 4).select("cell", "frame", F.round("dx", 3).alias("dx"), F.round("dy", 3).alias("dy"))
