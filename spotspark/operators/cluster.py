@@ -12,21 +12,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.grid import pairs_within
-from ..plans.pyramid import touching
-from ..sources.io import cut, numbered, small
+from ..plans.pyramid import OPEN, touching
+from ..sources.io import cut, numbered, small, small_count
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(id, label): least id reachable over edges (a, b), both directions given. Rounds of least label and pointer jump."""
+    """(id, label): least id reachable over edges (a, b), both directions given. Each round hangs the label of every node's tree below the least label
+    beside it, and shortens the way to it: about log2 of the longest way rounds."""
     edges = cut(edges.select("a", "b"))
     state = cut(nodes.select("id", F.col("id").alias("label")))
     while True:
-        near = edges.join(state, edges["b"] == state["id"]).groupBy("a").agg(F.min("label").alias("m"))
-        low = state.join(near, state["id"] == near["a"], "left").select("id", F.col("label").alias("old"), F.least("label", F.coalesce("m", "label")).alias("label"))
-        jump = state.select(F.col("id").alias("label"), F.col("label").alias("far"))
+        ends = edges.join(state.toDF("b", "lb"), "b").join(state.toDF("a", "la"), "a").where("lb < la")
+        roots = ends.groupBy(F.col("la").alias("label")).agg(F.min("lb").alias("m"))
+        low = state.join(roots, "label", "left").select("id", F.col("label").alias("old"), F.least("label", F.coalesce("m", "label")).alias("label"))
+        jump = low.select(F.col("id").alias("label"), F.col("label").alias("far"))
         new = cut(low.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("far", "label")).alias("label")))
         state = new.select("id", "label")
-        if new.where("old <> label").limit(1).count() == 0:
+        if new.where("old <> label").isEmpty():
             return state
 
 
@@ -50,11 +52,9 @@ def dbscan(df: DataFrame, eps: int, minpts: int, dims: tuple[str, ...] = ("x_m",
     thin = pairs_within(sparse.select("loc_id", *dims, *keys), plain, eps, keys, dims).groupBy(*keys, "loc_id").agg(F.count("*").alias("n")).where(F.col("n") >= minpts)
     core = cut(p.join(full, [*keys, *sub], "left_semi").unionByName(sparse.join(thin.select(*keys, "loc_id"), [*keys, "loc_id"], "left_semi")))
     box = [f(d).alias(f"{e}{k}") for k, d in enumerate(dims) for e, f in (("lo", F.min), ("hi", F.max))]
-    nodes = core.groupBy(*keys, *sub).agg(F.min("loc_id").alias("first"), *box)
+    nodes = core.groupBy(*keys, *sub).agg(F.min("loc_id").alias("first"), F.count("*").alias("n"), *box)
     nodes = cut(nodes.withColumn("id", F.monotonically_increasing_id()))
-    near = _near_nodes(nodes, eps, len(dims), keys, sub)
-    links = touching(core, near.withColumnRenamed("link", "id").drop("a", "b"), eps, side, keys, dims)
-    links = cut(near.join(links.withColumnRenamed("id", "link"), "link").select("a", "b"))
+    links = _links(core, _near_nodes(nodes, eps, len(dims), keys, sub), eps, side, keys, dims, sub)
     label = components(nodes.select("id"), links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     named = nodes.join(label, "id")
     least = named.groupBy("label").agg(F.min("first").alias("name"))
@@ -63,22 +63,45 @@ def dbscan(df: DataFrame, eps: int, minpts: int, dims: tuple[str, ...] = ("x_m",
     rest = sparse.join(thin.select(*keys, "loc_id"), [*keys, "loc_id"], "left_anti").select("loc_id", *dims, *keys)
     border = pairs_within(rest, labelled, eps, keys, dims).groupBy("loc_id", *keys).agg(F.min("o_name").alias("name"))
     groups = cut(labelled.select("loc_id", *keys, "name").unionByName(border))
-    numbers = numbered(named.select(*keys, "name").distinct(), list(keys), ["name"], "group")
+    names = named.select(*keys, "name").distinct()
+    if small_count(names):
+        numbers = names.withColumn("group", F.row_number().over(Window.partitionBy(*keys).orderBy("name")) - 1)
+    else:
+        numbers = numbered(names, list(keys), ["name"], "group")
     found = groups.join(small(numbers), [*keys, "name"]).select("loc_id", *keys, F.col("group").cast("int").alias("group"))
     return df.join(found, [*keys, "loc_id"], "left").select(*df.columns, F.coalesce("group", F.lit(-1)).alias("group"))
 
 
 def _near_nodes(nodes: DataFrame, eps: int, d: int, keys: tuple[str, ...], sub: list[str]) -> DataFrame:
-    """Pairs of sub-cells with core points whose boxes are within eps, each once: keys, a0 .., b0 .. (sub-cells), a, b (ids), link (its number)."""
+    """Pairs of sub-cells with core points whose boxes are within eps, each once: keys, a0 .., b0 .. (sub-cells), a, b (ids), pairs (of points),
+    sure (all of which are within eps), link (number of the pair)."""
     reach = math.ceil(math.sqrt(d))
     steps = [s for s in itertools.product(range(-reach, reach + 1), repeat=d) if s > (0,) * d]
     around = F.array(*[F.struct(*[F.lit(v).alias(f"s{k}") for k, v in enumerate(s)]) for s in steps])
-    one = nodes.select(*keys, F.col("id").alias("a"), *[F.col(c).alias(f"a{k}") for k, c in enumerate(sub)], *[F.col(f"{e}{k}").alias(f"a_{e}{k}") for k in range(d) for e in ("lo", "hi")], F.explode(around).alias("s"))
-    one = one.withColumns({f"b{k}": F.col(f"a{k}") + F.col(f"s.s{k}") for k in range(d)}).drop("s")
-    other = nodes.select(*keys, F.col("id").alias("b"), *[F.col(c).alias(f"b{k}") for k, c in enumerate(sub)], *[F.col(f"{e}{k}").alias(f"b_{e}{k}") for k in range(d) for e in ("lo", "hi")])
-    gap = sum((F.pow(F.greatest(F.col(f"a_lo{k}") - F.col(f"b_hi{k}"), F.col(f"b_lo{k}") - F.col(f"a_hi{k}"), F.lit(0)), F.lit(2.0)) for k in range(d)), F.lit(0.0))
-    met = one.join(other, [*keys, *[f"b{k}" for k in range(d)]]).where(gap <= eps * eps)
-    return cut(met.select(*keys, *[f"{s}{k}" for s in "ab" for k in range(d)], "a", "b", F.monotonically_increasing_id().alias("link")))
+    named = lambda x: [F.col("id").alias(x), F.col("n").alias(f"{x}_n"), *[F.col(c).alias(f"{x}{k}") for k, c in enumerate(sub)], *[F.col(f"{e}{k}").alias(f"{x}_{e}{k}") for k in range(d) for e in ("lo", "hi")]]
+    one = nodes.select(*keys, *named("a"), F.explode(around).alias("s")).withColumns({f"b{k}": F.col(f"a{k}") + F.col(f"s.s{k}") for k in range(d)}).drop("s")
+    square = lambda f: sum((F.pow(f(k), F.lit(2.0)) for k in range(d)), F.lit(0.0))
+    gap = square(lambda k: F.greatest(F.col(f"a_lo{k}") - F.col(f"b_hi{k}"), F.col(f"b_lo{k}") - F.col(f"a_hi{k}"), F.lit(0)))
+    most = square(lambda k: F.greatest(F.col(f"a_hi{k}") - F.col(f"b_lo{k}"), F.col(f"b_hi{k}") - F.col(f"a_lo{k}")))
+    met = one.join(nodes.select(*keys, *named("b")), [*keys, *[f"b{k}" for k in range(d)]]).where(gap <= eps * eps)
+    return cut(met.select(*keys, *[f"{s}{k}" for s in "ab" for k in range(d)], "a", "b", (F.col("a_n") * F.col("b_n")).alias("pairs"), (most <= eps * eps).alias("sure"), F.monotonically_increasing_id().alias("link")))
+
+
+def _links(core: DataFrame, near: DataFrame, eps: int, side: float, keys: tuple[str, ...], dims: tuple[str, ...], sub: list[str]) -> DataFrame:
+    """(a, b), saved: pairs of near sub-cells that hold core points within eps. Pairs of boxes within eps throughout need no look at points; few
+    pairs of points are opened; others are told by their quadrants."""
+    d = range(len(dims))
+    few = near.where(~F.col("sure") & (F.col("pairs") <= OPEN))
+    points = core.select(*keys, *dims, *sub)
+    one = few.join(points.withColumnsRenamed({c: f"a{k}" for k, c in enumerate(sub)}), [*keys, *[f"a{k}" for k in d]])
+    other = points.select(*keys, *[F.col(c).alias(f"b{k}") for k, c in enumerate(sub)], *[F.col(c).alias(f"o_{c}") for c in dims])
+    d2 = sum(((F.col(c) - F.col(f"o_{c}")) * (F.col(c) - F.col(f"o_{c}")) for c in dims), F.lit(0))
+    links = near.where("sure").select("a", "b").unionByName(one.join(other, [*keys, *[f"b{k}" for k in d]]).where(d2 <= eps * eps).select("a", "b").distinct())
+    many = near.where(~F.col("sure") & (F.col("pairs") > OPEN))
+    if not many.isEmpty():
+        found = touching(core, many.withColumn("id", F.col("link")), eps, side, keys, dims)
+        links = links.unionByName(many.join(found.withColumnRenamed("id", "link"), "link").select("a", "b"))
+    return cut(links)
 
 
 def controls_beside(df: DataFrame, controls: DataFrame) -> DataFrame:
@@ -263,27 +286,69 @@ def hull(points: np.ndarray) -> tuple[float, float]:
     return float(area), float(np.sqrt(((nxt - ring) ** 2).sum(1)).sum())
 
 
-def hull_metrics(df: DataFrame, parts: int = 16) -> DataFrame:
-    """C4: hull area, perimeter and circularity by cell and group.
+#: Directions whose extreme points make the inner polygon of a group, and rim points of a group that one task holds.
+DIRECTIONS, RIM = 16, 20_000
 
-    A corner of the whole hull is a corner of the hull of any part, so each group is first dealt into parts, which are reduced
-    to their corners; only those meet in one task.
-    """
-    rows = df.where(F.col("group") >= 0).select("cell", "group", "x_m", "y_m").distinct()
 
-    def part(frame: pd.DataFrame) -> pd.DataFrame:
-        pts = np.unique(frame[["x_m", "y_m"]].to_numpy(), axis=0)
-        keep = pts[_rim(pts)]
-        return pd.DataFrame({"cell": frame["cell"].iloc[0], "group": frame["group"].iloc[0], "x_m": keep[:, 0], "y_m": keep[:, 1]})
+def outside_polygon(rows: DataFrame) -> DataFrame:
+    """Rows (cell, group, x_m, y_m) without those strictly inside the polygon of their group's extreme points in DIRECTIONS directions:
+    corners of the hull all stay. Aggregates and expressions only."""
+    ways = [(math.cos(2 * math.pi * k / DIRECTIONS), math.sin(2 * math.pi * k / DIRECTIONS)) for k in range(DIRECTIONS)]
+    far = [F.expr(f"max_by(struct(x_m AS x, y_m AS y), x_m * {c!r}D + y_m * {s!r}D) AS p{k}") for k, (c, s) in enumerate(ways)]
+    corners = rows.groupBy("cell", "group").agg(*far)
+    left = [f"((p{(k + 1) % DIRECTIONS}.x - p{k}.x) * (y_m - p{k}.y) > (p{(k + 1) % DIRECTIONS}.y - p{k}.y) * (x_m - p{k}.x) OR p{k} = p{(k + 1) % DIRECTIONS})" for k in range(DIRECTIONS)]
+    inside = F.expr(" AND ".join(left)) & F.expr("p0 <> p4")
+    return rows.join(small(cut(corners)), ["cell", "group"]).where(~inside).select(*rows.columns)
 
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("x_m", "y_m"), F.lit(parts)))
-    rim = salted.groupBy("cell", "group", "salt").applyInPandas(part, "cell long, group int, x_m long, y_m long")
 
-    def one(frame: pd.DataFrame) -> pd.DataFrame:
-        area, around = hull(frame[["x_m", "y_m"]].to_numpy(float))
-        return pd.DataFrame({"cell": frame["cell"].iloc[:1], "group": frame["group"].iloc[:1], "convex_area": [area], "convex_perimeter": [around], "convex_circularity": [4 * np.pi * area / around**2 if around else 0.0]})
+def hull_metrics(df: DataFrame, parts: int = 16, rim: int = RIM) -> DataFrame:
+    """C4: hull area, perimeter and circularity by cell and group.
 
-    return rim.groupBy("cell", "group").applyInPandas(one, "cell long, group int, convex_area double, convex_perimeter double, convex_circularity double")
+    Points strictly inside the polygon of a group's extreme points are dropped by expressions; the rest meets in one task. A group with more than
+    `rim` of them is first dealt into parts, which are reduced to the corners of their own hulls (a corner of the whole hull is a corner there).
+    """
+    rows = df.where(F.col("group") >= 0).select("cell", "group", "x_m", "y_m").distinct()
+    edge = cut(outside_polygon(rows))
+    wide = edge.groupBy("cell", "group").agg(F.count("*").alias("n")).where(F.col("n") > rim).select("cell", "group")
+    if not wide.isEmpty():
+
+        def part(frame: pd.DataFrame) -> pd.DataFrame:
+            pts = np.unique(frame[["x_m", "y_m"]].to_numpy(), axis=0)
+            keep = pts[_rim(pts)]
+            return pd.DataFrame({"cell": frame["cell"].iloc[0], "group": frame["group"].iloc[0], "x_m": keep[:, 0], "y_m": keep[:, 1]})
+
+        wide = small(cut(wide))
+        salted = edge.join(wide, ["cell", "group"], "left_semi").withColumn("salt", F.pmod(F.xxhash64("x_m", "y_m"), F.lit(parts).cast("long")))
+        corners = salted.groupBy("cell", "group", "salt").applyInPandas(part, "cell long, group int, x_m long, y_m long")
+        edge = edge.join(wide, ["cell", "group"], "left_anti").unionByName(corners)
+    # many groups a call: a task sorts its rows and cuts them at the groups
+    dealt = edge.repartition("cell", "group").sortWithinPartitions("cell", "group")
+    return dealt.mapInPandas(_hulls, "cell long, group int, convex_area double, convex_perimeter double, convex_circularity double")
+
+
+def _hulls(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Hull of each run of rows with equal (cell, group); a run may go on in the next frame."""
+    held: list = []
+
+    def measured(run: list) -> tuple:
+        pts = np.concatenate([x[1] for x in run])
+        area, around = hull(pts.astype(float))
+        return (*run[0][0], area, around, 4 * np.pi * area / around**2 if around else 0.0)
+
+    names = ["cell", "group", "convex_area", "convex_perimeter", "convex_circularity"]
+    for frame in frames:
+        done = []
+        cell, group, pts = frame["cell"].to_numpy(), frame["group"].to_numpy(), frame[["x_m", "y_m"]].to_numpy()
+        at = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (group[1:] != group[:-1])]) if len(frame) else []
+        for a, b in zip(at, [*at[1:], len(frame)], strict=True):
+            key = (int(cell[a]), int(group[a]))
+            if held and held[0][0] != key:
+                done.append(measured(held))
+                held = []
+            held.append((key, pts[a:b]))
+        yield pd.DataFrame(done, columns=names)
+    if held:
+        yield pd.DataFrame([measured(held)], columns=names)
 
 
 def _rim(pts: np.ndarray) -> np.ndarray:

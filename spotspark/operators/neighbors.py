@@ -46,33 +46,35 @@ def pair_counts_cross(df: DataFrame, radii: list[int], keys: tuple[str, ...] = (
 CELL_ROWS, CONTROL_ROWS = 20_000, 200_000
 
 
-def pair_counts_controls(controls: DataFrame, real: DataFrame, radii: list[int], cell_rows: int = CELL_ROWS) -> DataFrame:
+def pair_counts_controls(controls: DataFrame, real: DataFrame, radii: list[int], repeats: int, cell_rows: int = CELL_ROWS) -> DataFrame:
     """J2 of controls (cell, control_id, channel, loc_id, x_m, y_m): self pairs within a control's channel, cross pairs of a control's
-    channel a with the real b. -> cell, control_id, a, b, r, pairs.
+    channel a with the real b. -> cell, control_id, a, b, r, pairs. control_id runs from 0 to repeats - 1.
 
     A cell of up to cell_rows real points goes with as many of its controls as make CONTROL_ROWS points to one task, which sweeps them in
     the order of x. In larger cells own pairs are counted as in J1, and the real table is what is copied to neighbouring grid cells, once for all
     controls; control_id is no key of that join.
     """
     keys = ["cell", "control_id", "a", "b"]
-    c = controls.select("loc_id", "x_m", "y_m", "channel", "cell", "control_id")
+    names = ["loc_id", "x_m", "y_m", "channel", "cell", "control_id"]
+    c = controls.select(*names).toDF(*names)  # controls may come from real
     size = cut(real.groupBy("cell").agg(F.count("*").alias("n")))
     few = small(size.where(F.col("n") <= cell_rows).select("cell", F.greatest(F.lit(1), F.floor(F.lit(CONTROL_ROWS) / F.col("n"))).alias("each")))
     chunk = F.floor(F.col("control_id") / F.col("each")).alias("chunk")
     mine = c.join(few, "cell").select("cell", chunk, "control_id", "channel", F.col("x_m").alias("x"), F.col("y_m").alias("y"))
-    chunks = mine.select("cell", "chunk").distinct()
-    theirs = real.join(few, "cell").join(cut(chunks), "cell").select("cell", "chunk", "channel", F.col("x_m").alias("x"), F.col("y_m").alias("y"))
-    counts = mine.groupBy("cell", "chunk").cogroup(theirs.groupBy("cell", "chunk")).applyInPandas(_swept(radii), "cell long, control_id long, a int, b int, bucket int, n long")
+    mine = mine.toDF(*mine.columns)
+    chunks = few.select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.lit(repeats - 1) / F.col("each")))).alias("chunk"))
+    theirs = real.join(chunks, "cell").select("cell", "chunk", "channel", F.col("x_m").alias("x"), F.col("y_m").alias("y"))
+    out = mine.groupBy("cell", "chunk").cogroup(theirs.groupBy("cell", "chunk")).applyInPandas(_swept(radii), "cell long, control_id long, a int, b int, r long, pairs long")
     large = size.where(F.col("n") > cell_rows).select("cell")
-    if large.limit(1).count():
-        big, theirs = c.join(small(large), "cell"), real.join(small(large), "cell")
-        own = counted_pairs(big, radii, ("cell", "control_id", "channel"), stretch=4)
-        own = own.groupBy("cell", "control_id", F.col("channel").alias("a"), F.col("channel").alias("b"), "bucket").agg((F.sum("n") * 2).alias("n"))
-        met = pairs_within(theirs.select("x_m", "y_m", "channel", "cell"), big, max(radii), ("cell",)).where("channel <> o_channel")
-        met = met.groupBy("cell", F.col("o_control_id").alias("control_id"), F.col("o_channel").alias("a"), F.col("channel").alias("b"), bucket(F.col("d2"), radii).alias("bucket")).agg(F.count("*").alias("n"))
-        counts = counts.unionByName(own).unionByName(met)
-    spine = c.select("cell", "control_id", F.col("channel").alias("a")).distinct().join(real.select("cell", F.col("channel").alias("b")).distinct(), "cell")
-    return _cumulative(counts, spine, radii, keys)
+    if large.isEmpty():
+        return out
+    big, theirs = cut(c.join(small(large), "cell")), real.join(small(large), "cell")
+    own = counted_pairs(big, radii, ("cell", "control_id", "channel"), stretch=4)
+    own = own.groupBy("cell", "control_id", F.col("channel").alias("a"), F.col("channel").alias("b"), "bucket").agg((F.sum("n") * 2).alias("n"))
+    met = pairs_within(theirs.select("x_m", "y_m", "channel", "cell"), big, max(radii), ("cell",)).where("channel <> o_channel")
+    met = met.groupBy("cell", F.col("o_control_id").alias("control_id"), F.col("o_channel").alias("a"), F.col("channel").alias("b"), bucket(F.col("d2"), radii).alias("bucket")).agg(F.count("*").alias("n"))
+    spine = big.select("cell", "control_id", F.col("channel").alias("a")).distinct().join(theirs.select("cell", F.col("channel").alias("b")).distinct(), "cell")
+    return out.unionByName(_cumulative(own.unionByName(met), spine, radii, keys))
 
 
 def _swept(radii: list[int]):
@@ -80,7 +82,7 @@ def _swept(radii: list[int]):
     steps, most = np.array(radii, np.int64) ** 2, max(radii)
 
     def run(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        names = ["cell", "control_id", "a", "b", "bucket", "n"]
+        names = ["cell", "control_id", "a", "b", "r", "pairs"]
         if mine.empty:
             return pd.DataFrame(columns=names)
         control, cn = np.unique(mine["control_id"].to_numpy(), return_inverse=True)
@@ -121,8 +123,16 @@ def _swept(radii: list[int]):
         every = counts.reshape(shape)
         for b in range(len(channel)):
             every[b, :, b, :] = 2 * own.reshape(shape[1:])[:, b, :]
-        b, c, a, step = np.nonzero(every)
-        return pd.DataFrame({"cell": mine["cell"].iloc[0], "control_id": control[c], "a": channel[a], "b": channel[b], "bucket": step, "n": every[b, c, a, step]})
+        upto = every.cumsum(axis=3)
+        has = np.zeros((len(control), len(channel)), bool)
+        has[cn, ch] = True
+        c, a = np.nonzero(has)
+        bs = np.unique(other)
+        n, m = len(c) * len(bs), len(radii)
+        wide = lambda v: np.repeat(np.repeat(v, len(bs)), m)
+        each = np.repeat(np.tile(bs, len(c)), m)
+        step = np.tile(np.arange(m), n)
+        return pd.DataFrame({"cell": mine["cell"].iloc[0], "control_id": control[wide(c)], "a": channel[wide(a)], "b": channel[each], "r": np.array(radii)[step], "pairs": upto[each, wide(c), wide(a), step]})
 
     return run
 

@@ -131,8 +131,8 @@ def ripley_controls(df: DataFrame, radii: list[int], mask: DataFrame, pixel: int
     """M6: (cell, control_id, a, b, r, pairs, k) for random controls in the mask. Self pairs of channels are within the control; cross
     pairs are of a control's channel a with the real b."""
     sizes = df.groupBy("cell", "channel").agg(F.count("*").alias("n"))
-    ctrl = cut(random_points(sizes, repeats, mask, pixel))
-    return _with_k(pair_counts_controls(ctrl, df, radii), df, mask_area(mask, pixel))
+    ctrl = random_points(sizes, repeats, mask, pixel)
+    return _with_k(pair_counts_controls(ctrl, df, radii, repeats), df, mask_area(mask, pixel))
 
 
 def control_envelope(controls: DataFrame, value: str = "k") -> DataFrame:

@@ -39,8 +39,7 @@ def crowded(df: DataFrame, side: float, keys: tuple[str, ...], dims: tuple[str,
     n = df.groupBy(*keys, *[c.alias(g) for g, c in _at(dims, side).items()]).agg(F.count("*").alias("__n")).where(F.col("__n") > crowd)
     most = int(math.log(QUADRANTS, 2 ** len(dims)))
     level = F.least(F.lit(most), F.ceil(F.log(F.col("__n") / crowd) / math.log(2 ** len(dims))))
-    found = cut(n.withColumn("__level", level.cast("int")))
-    return found if found.limit(1).count() else None
+    return None if n.isEmpty() else cut(n.withColumn("__level", level.cast("int")))
 
 
 class Quadrants:

@@ -47,9 +47,13 @@ LOCS = "loc_id long, cell long, channel int, tag string, frame long, x_m long, y
 SMALL_ROWS = 200_000
 
 
+def small_count(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
+    return df.limit(rows + 1).count() <= rows
+
+
 def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """df, to be broadcast if its counted rows are few: for tables that are dear to shuffle the other side for."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if small_count(df, rows) else df
 
 
 def read_localizations(spark: SparkSession, path: str, schema: str = LOCS) -> DataFrame:
