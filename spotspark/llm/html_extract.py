@@ -8,16 +8,19 @@ text is never shuffled.
 
 All pages are then matched against the wrapper of their host, and the texts of each slot are counted over all pages. Slots
 say what is frame and what is content: a slot whose texts recur from page to page while the host's greatest slot does not is frame, as
-is a single text that almost all pages have, inside the content as well. The content is the element that
-holds most of the text that is left; the names article and main count as a hint only.
+is a single text that almost all pages have. The content is the element that
+holds most of the text that is left; the names article and main count as a hint only. An article or main that is chosen stays whole,
+headings and closing lines that all pages share included. In a content that only the counts have found, what recurs is left out where it
+fills an element of its own (a box, a list, a section); a recurring heading or paragraph beside new text stays.
 
 Left out before alignment: elements that hold no main text by their names (_SKIP: nav, aside, form ...) or whose class, id or role is
 made of frame words alone (_FRAME with _NEUTRAL: cookie-notice, comment-list; but not side-story), as such text may vary as content does.
 
 Defined cases: null html is empty and gives the empty text; pages without a host in their url, pages that do not fit the wrapper of
 their host and hosts of one page use the page's own wrapper; cut-off pages and unclosed or wrongly closed elements are read as far as
-they go; repeated rows give their rows each; extra columns are ignored. A wrapper keeps MOST_NODES nodes: of more, the optional ones
-that were seen least go, and their texts count as unknown, which inside the content is content.
+they go; repeated rows give their rows each; extra columns are ignored. A form that spans most of a page is no form but the page's
+frame of scripts, and is read. A wrapper keeps MOST_NODES nodes: of more, the optional ones that were seen least go, and their texts count
+as unknown, which inside the content is content; most_nodes=None keeps them all.
 """
 
 from __future__ import annotations
@@ -46,6 +49,8 @@ MOST_PERIOD, MOST_NODES, FAN = 4, 5000, 32
 ON_MOST, RECURRING, LEAST_PAGES = 0.9, 1 / 3, 6
 #: Share of new text in the greatest slot from which a host's pages count as different ones; how much more named elements count.
 DIFFERENT, HINT = 0.6, 1.5
+#: Share of a page's bytes from which a form that spans them is read.
+FORM_SHARE = 0.6
 BROADCAST_BYTES = 64 << 20
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|[^<]+|<", re.S)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -56,6 +61,8 @@ _BLOCK = frozenset("address article blockquote body caption center dd details di
 _CLOSED_BY_LIKE = frozenset("li td th tr dd dt".split())
 #: Elements that the content may be looked for in.
 _INTO = frozenset("html body div section td table tbody tr article main".split())
+#: Elements that may be left out of the content where all of their texts recur.
+_BOX = frozenset("div section table ul ol dl figure details fieldset".split())
 #: Words of class names that mark frame, and words that say nothing beside them.
 _FRAME = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notification alert newsletter subscribe signup popup modal overlay share sharing social related recommended recommendations comment comments respond replies disqus sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead toolbar widget pagination pager login".split())
 _NEUTRAL = frozenset("page site top bottom left right main global primary secondary list box area section wrapper container bar block item items link links buttons button form inner outer content unit slot posts articles stories thread wrap row group body text".split())
@@ -95,6 +102,8 @@ def _label(name: str, rest: str) -> tuple[str, bool]:
 
 def parse(page: str) -> tuple[Node, list[Node]]:
     """(tree of block elements and texts, its texts in page order). Time and memory are linear in the page, however deep it is."""
+    first, last = page.lower().find("<form"), page.lower().rfind("</form")
+    wrapped = first >= 0 and (last if last > first else len(page)) - first > FORM_SHARE * len(page)
     root = Node("")
     node, texts, raw = root, [], []
     stack: list[tuple[str, Node | None, bool, bool]] = []  # name, node around it where it made one, left out, block
@@ -134,7 +143,7 @@ def parse(page: str) -> tuple[Node, list[Node]]:
                 raw.append(m[0])
             continue
         name, rest = name.lower(), m[3] or ""
-        is_block = name in _BLOCK
+        is_block = name in _BLOCK or (wrapped and name == "form")
         if is_block:
             flush()
         if m[1]:
@@ -156,7 +165,7 @@ def parse(page: str) -> tuple[Node, list[Node]]:
             continue
         if name in _VOID or rest.endswith("/"):
             continue
-        label, left_out = _label(name, rest)
+        label, left_out = _label("div" if wrapped and name == "form" else name, rest)
         around = None
         if is_block and not out and not left_out:
             around, new = node, Node(label)
@@ -303,10 +312,10 @@ def wrapper(page: Node) -> Node:
     return merge(page, None)
 
 
-def prune(root: Node, most: int = MOST_NODES) -> Node:
-    """root without the least seen optional nodes, where it has more nodes than most."""
+def prune(root: Node, most: int | None = MOST_NODES) -> Node:
+    """root without the least seen optional nodes, where it has more nodes than most (None: as it is)."""
     seen = 1
-    while _number(root) > most and seen < 1 << 60:
+    while _number(root) > (most or 1 << 60) and seen < 1 << 60:
         stack = [root]
         while stack:
             k = stack.pop()
@@ -429,7 +438,7 @@ def text_hash(text: str) -> int:
 
 
 def decide(root: Node, pages: int, slots: list[tuple[int, int, int]], texts: list[tuple[int, int, int]]) -> list:
-    """[first number of the content's nodes and the end, slots that are frame, hashes of texts that are frame].
+    """[first number of the content's nodes and the end, slots in it that are left out].
 
     slots: (slot, characters of its different texts, characters of all); texts: (slot, hash, characters of all) of those that almost
     all pages have. Both are counts over all pages of the host.
@@ -462,16 +471,24 @@ def decide(root: Node, pages: int, slots: list[tuple[int, int, int]], texts: lis
         if best is None or best[2] < 0.6 * (total + best[2] - best[1]):
             break
         region, name = best[0], best[0].label
-    return [region.at, region.end, sorted(frame), sorted({h for _, h, _ in texts})]
+    out: list[int] = []
+    boxes = [] if name in ("article", "main") else list(region.kids)
+    known = {s for s, _, _ in slots}
+    while boxes:
+        k = boxes.pop()
+        if k.label.split(".")[0] in _BOX and inside(k) <= 0:
+            out += [s for s in known if k.at <= s < k.end]
+        else:
+            boxes += k.kids
+    return [region.at, region.end, sorted(out)]
 
 
 def read(page: Node, texts: list[Node], root: Node, rule: list) -> str:
     """The main text: blocks joined by an empty line."""
-    first, end, frame, fixed = rule
-    frame, fixed = set(frame), set(fixed)
+    first, end, out = rule
+    out = set(out)
     slot, inside = match(root, page, len(texts))
-    kept = [t.text for t, s, k in zip(texts, slot, inside, strict=True) if first <= k < end and s not in frame and not (fixed and text_hash(t.text) in fixed)]
-    return "\n\n".join(kept)
+    return "\n\n".join(t.text for t, s, k in zip(texts, slot, inside, strict=True) if first <= k < end and s not in out)
 
 
 def slot_counts(page: Node, texts: list[Node], root: Node) -> Counter[tuple[int, str]]:
@@ -514,7 +531,7 @@ def _joined(rows: DataFrame, by_host: DataFrame, size) -> DataFrame:
     return rows.join(F.broadcast(by_host) if held <= BROADCAST_BYTES else by_host, "host", "left")
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
+def wrappers(pages: DataFrame, most_nodes: int | None = MOST_NODES) -> DataFrame:
     """(host, part, pages, wrapper): one row for each host, saved. pages: host (not null), html."""
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
     names = ["host", "part", "pages", "wrapper"]
@@ -524,7 +541,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
         held: dict[str, list] = {}
 
         def rows() -> pa.RecordBatch:
-            out = [(host, part, n, encode(prune(root))) for host, (root, n) in sorted(held.items())]
+            out = [(host, part, n, encode(prune(root, most_nodes))) for host, (root, n) in sorted(held.items())]
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out, strict=True)) or [()] * 4, kinds, strict=True)], names=names)
 
@@ -538,7 +555,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
                     held[host][1] += 1
                     merge(held[host][0], own)
                     if held[host][1] % 64 == 0:
-                        prune(held[host][0])
+                        prune(held[host][0], most_nodes)
                 else:
                     held[host] = [own, 1]
             if len(held) > 500:
@@ -550,7 +567,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
         roots = [decode(w) for w in frame["wrapper"]]
         for other in roots[1:]:
             merge(roots[0], other)
-        return pd.DataFrame({"host": frame["host"].iloc[:1], "part": frame["salt"].iloc[:1], "pages": [frame["pages"].sum()], "wrapper": [encode(prune(roots[0]))]})
+        return pd.DataFrame({"host": frame["host"].iloc[:1], "part": frame["salt"].iloc[:1], "pages": [frame["pages"].sum()], "wrapper": [encode(prune(roots[0], most_nodes))]})
 
     schema = "host string, part long, pages long, wrapper string"
     parts = save(map_arrow(pages.select("host", "html"), partial, schema), "wrappers")
@@ -562,9 +579,9 @@ def wrappers(pages: DataFrame) -> DataFrame:
         parts = save(salted.drop("n").groupBy("host", "salt").applyInPandas(one, schema), "wrappers")
 
 
-def rules(pages: DataFrame) -> DataFrame:
+def rules(pages: DataFrame, most_nodes: int | None = MOST_NODES) -> DataFrame:
     """(host, wrapper, rule): one row for each host, saved. pages: host (not null), html."""
-    found = wrappers(pages)
+    found = wrappers(pages, most_nodes)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         root_of = lru_cache(1024)(decode)
@@ -601,11 +618,11 @@ def rules(pages: DataFrame) -> DataFrame:
 HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)"
 
 
-def extract(pages: DataFrame) -> DataFrame:
+def extract(pages: DataFrame, most_nodes: int | None = MOST_NODES) -> DataFrame:
     """pages (page_id, url, html) -> page_id, url, text, n_chars."""
     host = F.nullif(F.lower(F.regexp_extract("url", HOST, 1)), F.lit(""))
     rows = pages.select("page_id", "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    by_host = rules(rows.where("host is not null"))
+    by_host = rules(rows.where("host is not null"), most_nodes)
     joined = _joined(rows, by_host, F.length("wrapper") + F.length("rule")).select("page_id", "url", "html", "wrapper", "rule")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -439,10 +439,10 @@ def test_wrapper_decides_on_every_host():
     # a teaser in <article>; what varies stands beside it
     page = lambda t: f"<body><article><p>Our mission</p></article><div class=c><p>{long_text(t)}</p><p>end {t}</p></div></body>"
     assert read_by_wrapper([page(t) for t in "abcq"], page("q")) == f"{long_text('q')}\n\nend q"
-    # a notice that all pages have inside their article, alone and at the end of a run of paragraphs
+    # what all pages have inside their article is part of it
     page = lambda t: f"<body><article><h2>Read this first</h2><p>{long_text(t)}</p><p>All rights reserved</p></article></body>"
-    assert read_by_wrapper([page(t) for t in "abcq"], page("q")) == long_text("q")
-    assert read_by_wrapper([page(t) for t in "abcq"], page("q"), align=False) == f"Read this first\n\n{long_text('q')}\n\nAll rights reserved"
+    for align in (True, False):
+        assert read_by_wrapper([page(t) for t in "abcq"], page("q"), align=align) == f"Read this first\n\n{long_text('q')}\n\nAll rights reserved"
     # an item of one page only is no boilerplate; copies of one page are not each other's frame
     bare = lambda t, more="": f"<body><div id=c><p>{long_text(t)}</p>{more}</div><div id=bottom>fixed line</div></body>"
     one = bare("a", "<blockquote>quoted once</blockquote>")
@@ -455,7 +455,7 @@ def test_only_alignment_tells_frame_from_content():
     page = lambda k: f"<div><div class=a><p>teaser {k % 4} of this place, {long_text(f'v{k % 4}')}</p></div><div class=b><p>{long_text(f't{k}')}</p><p>same words on all</p><p>{k} more {k}</p></div><div class=c><p>box {k % 3}</p></div></div>"
     pages = [page(k) for k in range(20)]
     for k in (0, 5, 11):
-        assert read_by_wrapper(pages, pages[k]) == f"{long_text(f't{k}')}\n\n{k} more {k}"
+        assert read_by_wrapper(pages, pages[k]) == f"{long_text(f't{k}')}\n\nsame words on all\n\n{k} more {k}"
         assert "teaser" in read_by_wrapper(pages, pages[k], align=False)
 
 
@@ -504,7 +504,24 @@ def test_html_of_many_pages_equals_the_plain_loop(spark, monkeypatch):
     for h in range(3):
         own = [r for r in rows if r[1].startswith(f"http://h{h}.")]
         assert all(got[i] == read_by_wrapper([r[2] for r in own], html) for i, _, html in own)
-    assert "teaser" not in "".join(got.values()) and "on all" not in "".join(got.values())
+    assert "teaser" not in "".join(got.values()) and all(f"on all of {i % 10}" in t for i, t in got.items())
+
+
+def test_articles_stay_whole(spark):
+    # the truth is written down while the pages are made: shared headings and closing lines, with and without an article element
+    rows, want = [], {}
+    for h, (begin, end) in enumerate([("<article>", "</article>"), ("<div class=text>", "</div>"), ("<main><div>", "</div></main>")]):
+        for k in range(10):
+            first, second = long_text(f"a{h}x{k}"), long_text(f"b{h}x{k}")
+            blocks = [f"Title {h} {k}", "Summary", first, "Methods", second, "This closing sentence stands under every text."]
+            body = "".join(f"<h2>{b}</h2>" if len(b) < 20 else f"<p>{b}</p>" for b in blocks)
+            page = f"<body><div><ul><li>Home</li><li>About</li></ul></div>{begin}{body}{end}<div><p>Written by the team</p></div></body>"
+            rows.append((100 * h + k, f"https://host{h}.org/{k}", f"<form action=/x>{page}</form>" if h == 1 else page))
+            want[100 * h + k] = "\n\n".join(blocks)
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    assert {r["page_id"]: r["text"] for r in got.collect()} == want
+    whole = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5), most_nodes=None)
+    assert {r["page_id"]: r["text"] for r in whole.collect()} == want
 
 
 # ---------------------------------------------------------------- 7
