@@ -63,14 +63,15 @@ def keep_ids(df: DataFrame, ids: DataFrame, key: str, keep: bool = True) -> Data
     """
     ids = ids.toDF(key)
     small = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return df.join(F.broadcast(ids) if small else ids, key, "left_semi" if keep else "left_anti")
+    return df.join(F.broadcast(ids) if small else ids, key, "left_semi" if keep else "left_anti").select(*df.columns)
 
 
 def labelled_sample(docs: DataFrame, marked: DataFrame, rows: int, most_words: int) -> DataFrame:
     """(columns of marked, text), saved: labelled documents to fit on, at most `rows` of them with at most `most_words` words in all.
 
     marked holds one row for each doc_id (not null). Documents are taken by the least hashes of doc_id; one whose rows repeat is one
-    row with its least text. The order is found over at most `rows` pairs of id and size.
+    row with its least text; one that alone has more than most_words words is left out. The order is found over at most `rows` pairs of id
+    and size.
     """
     assert rows <= BROADCAST_ROWS
     sample = save(marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "sample")
@@ -78,7 +79,7 @@ def labelled_sample(docs: DataFrame, marked: DataFrame, rows: int, most_words: i
     texts = save(one, "sample-texts")
     size = F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0)).cast("long")
     upto = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    kept = texts.select("doc_id", size.alias("size")).withColumn("upto", upto).where(F.col("upto") <= most_words).select("doc_id")
+    kept = texts.select("doc_id", size.alias("size")).where(F.col("size") <= most_words).withColumn("upto", upto).where(F.col("upto") <= most_words).select("doc_id")
     kept = sample.join(F.broadcast(kept), "doc_id")
     return save(texts.join(F.broadcast(kept), "doc_id").select(*sample.columns, "text"), "sample-rows")
 

@@ -5,8 +5,9 @@ the prompt; what follows on each side is its completion, in segments whose text
 assistant speaks. Turns are joined by place, so the prefix is found without gathering conversations; only the rendered turns
 of one conversation are gathered, ordered by turn.
 
-The marks can't be forged: wherever a role or text has "<|", it is rendered as "<||", which no mark contains, so "<||" turned
-back into "<|" gives the words as they were. Beside the mask, each completion has the places of its assistant texts.
+The marks can't be forged: wherever a text has "<|", it is rendered as "<||", which no mark contains, and "|" in a role is doubled, so
+that a role ends at the first single one; undoing both gives role and text as they were.
+Beside the mask, each completion has the places of its assistant texts.
 
 Defined cases: null roles and texts are empty; turns are placed by turn, then role, then text (ties, repeated rows stay as turns);
 rows without a turn come first; a pair without one of its sides, or whose sides are equal, has an empty completion there; rows
@@ -39,10 +40,11 @@ def format_preferences(turns: DataFrame) -> DataFrame:
     first = F.min(F.when(differs, F.col("place"))).over(Window.partitionBy("pair_id"))
     met = met.withColumn("first", F.coalesce(first, F.lit(2147483647)))
     safe = lambda c: F.replace(F.col(c), F.lit("<|"), F.lit("<||"))
-    show = lambda s: F.concat(F.lit(OPEN), safe(f"{s}.role"), F.lit(CLOSE), safe(f"{s}.text"), F.lit(END))
+    named = lambda c: F.replace(F.col(c), F.lit("|"), F.lit("||"))
+    show = lambda s: F.concat(F.lit(OPEN), named(f"{s}.role"), F.lit(CLOSE), safe(f"{s}.text"), F.lit(END))
     trained = lambda s: F.when(F.col(f"{s}.role") == "assistant", "1").otherwise("0")
     shared, own = F.col("place") < F.col("first"), F.col("place") >= F.col("first")
-    head = lambda s: F.length(F.concat(F.lit(OPEN), safe(f"{s}.role"), F.lit(CLOSE)))
+    head = lambda s: F.length(F.concat(F.lit(OPEN), named(f"{s}.role"), F.lit(CLOSE)))
     sized = lambda s: F.struct("place", head(s).alias("head"), F.length(show(s)).alias("whole"), (F.col(f"{s}.role") == "assistant").alias("trained"))
     turns_of = lambda cond, s: F.collect_list(F.when(cond, sized(s)))
     gather = lambda cond, text: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("place", text.alias("t"))))), lambda x: x["t"]), "")
@@ -88,8 +90,8 @@ def preference_turns(conversations: DataFrame) -> DataFrame:
 
 def _oracle_side(text: str) -> str:
     """Spans of one side: code points before a turn are the sum of the turns before it."""
-    shown = f"'<|' || replace(role, '<|', '<||') || '|>' || chr(10) || replace({text}, '<|', '<||') || '<|end|>' || chr(10)"
-    head = "4 + len(replace(role, '<|', '<||')) + 1"
+    shown = f"'<|' || replace(role, '|', '||') || '|>' || chr(10) || replace({text}, '<|', '<||') || '<|end|>' || chr(10)"
+    head = "4 + len(replace(role, '|', '||')) + 1"
     before = f"coalesce(sum(CASE WHEN place >= first THEN len({shown}) ELSE 0 END) OVER (PARTITION BY pair_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
     return f"CAST({before} + {head} AS BIGINT) || ':' || CAST({before} + len({shown}) AS BIGINT)"
 
@@ -100,7 +102,7 @@ ends AS (SELECT a.conv_id, a.x.turn AS last, b.x.text AS other FROM said a JOIN
 upto AS (SELECT c.conv_id AS pair_id, row_number() OVER (PARTITION BY c.conv_id ORDER BY c.turn, coalesce(c.role, ''), coalesce(c.text, '')) AS place, coalesce(c.role, '') AS role, coalesce(c.text, '') AS c,
   coalesce(CASE WHEN c.turn = e.last AND c.role = 'assistant' THEN e.other ELSE c.text END, '') AS r FROM conversations c JOIN ends e ON c.conv_id = e.conv_id WHERE coalesce(c.turn <= e.last, true)),
 split AS (SELECT *, coalesce(min(CASE WHEN c <> r THEN place END) OVER (PARTITION BY pair_id), 2147483647) AS first FROM upto),
-shown AS (SELECT *, replace(role, '<|', '<||') AS er, replace(c, '<|', '<||') AS ec, replace(r, '<|', '<||') AS ex, {_oracle_side("c")} AS cs, {_oracle_side("r")} AS rs FROM split)
+shown AS (SELECT *, replace(role, '|', '||') AS er, replace(c, '<|', '<||') AS ec, replace(r, '<|', '<||') AS ex, {_oracle_side("c")} AS cs, {_oracle_side("r")} AS rs FROM split)
 SELECT pair_id, CAST(sum(CASE WHEN place < first THEN 1 ELSE 0 END) AS BIGINT) AS n_prompt_turns,
   coalesce(string_agg('<|' || er || '|>' || chr(10) || ec || '<|end|>' || chr(10), '' ORDER BY place) FILTER (place < first), '') AS prompt,
   coalesce(string_agg('<|' || er || '|>' || chr(10) || ec || '<|end|>' || chr(10), '' ORDER BY place) FILTER (place >= first), '') AS chosen,

@@ -82,6 +82,10 @@ TEMPLATES = {
 #: Words of which a window and its template must have the same. Versions count without a final .0.
 VARIANTS = frozenset("affero lesser library sharealike sa noncommercial nc noderivatives nd cc0 neither endorse 1 1.1 2 2.1 3 4".split())
 THRESHOLD = 0.75
+#: Cosine from which a template is met in full: of such ones the longest names the license, since short ones are parts of others.
+FULL = 0.9
+#: Numbers of a list are no versions.
+_LIST = re.compile(r"(?m)(^[ \t*#/;-]*|[.;:][ \t]+)\(?[0-9]{1,2}[.)](?=[ \t])")
 _WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 _FILE = r"(?i)^(licen[cs]e|copying|notice)([._-].*)?$"
 
@@ -107,7 +111,7 @@ def line_counts(files: DataFrame) -> tuple[int, np.ndarray]:
         df, lines = np.zeros(len(place), np.int64), 0
         for batch in batches:
             for text in strings(batch.column(0)).to_pylist():
-                for line in text.lower().split("\n"):
+                for line in _LIST.sub(r"\1", text.lower()).split("\n"):
                     if line and not line.isspace():
                         lines += 1
                         for w in place.keys() & set(_WORD.findall(line)):
@@ -126,7 +130,8 @@ class Matcher:
         named = [(name, _words(t)) for name, forms in sorted(TEMPLATES.items()) for t in forms]
         self.names = [name for name, _ in named]
         self.variants = [frozenset(map(_variant, w)) & VARIANTS for _, w in named]
-        self.longest = max(len(w) for _, w in named)
+        self.lengths = [len(w) for _, w in named]
+        self.longest = max(self.lengths)
         self.matrix = np.zeros((len(self.place), len(named)))  # weight of each word in each template, of length 1
         for k, (_, w) in enumerate(named):
             for x in set(w):
@@ -147,14 +152,15 @@ class Matcher:
 
     def best(self, text: str, whole: bool = False) -> tuple[str | None, float]:
         """(license, cosine) of the best window of lines of up to twice the longest template's words, and (whole) of those from the first
-        line on; (None, 0) if none matches."""
-        lines = [x for x in map(_WORD.findall, text.lower().split("\n")) if x]
+        line on; (None, 0) if none matches. Of templates with FULL or more the longest wins, else the greatest cosine; ties by name. The
+        cosine is the greatest one with any template of that license."""
+        lines = [x for x in map(_WORD.findall, _LIST.sub(r"\1", text.lower()).split("\n")) if x]
         marked = [k for k, x in enumerate(lines) if not self.needed.isdisjoint(x)]
         if not marked:
             return None, 0.0
         known = [any(w in self.place for w in x) for x in lines]
         upto = np.concatenate([[0], np.cumsum([len(x) for x in lines])])
-        top: tuple[float, str] | None = None
+        top: dict[int, float] = {}
         for i in range(len(lines)):
             if not known[i]:  # a window is better without a line of unknown words at its ends
                 continue
@@ -185,11 +191,13 @@ class Matcher:
                         variants.add(_variant(w))
                 if j >= first and known[j] and own >= (THRESHOLD**2 - 1e-9) * (own + others):
                     cosine = dots / sqrt(own + others)
-                    for k in np.flatnonzero(cosine >= max(THRESHOLD, -top[0] - 1e-12 if top else 0.0)):
+                    for k in np.flatnonzero(cosine >= THRESHOLD).tolist():
                         if self.variants[k] == variants:
-                            s = (-min(1.0, round(float(cosine[k]), 12)), self.names[k])
-                            top = s if top is None or s < top else top
-        return (top[1], -top[0]) if top else (None, 0.0)
+                            top[k] = max(top.get(k, 0.0), min(1.0, round(float(cosine[k]), 12)))
+        if not top:
+            return None, 0.0
+        k = min(top, key=lambda k: (-self.lengths[k] if top[k] >= FULL else 0, -top[k], -self.lengths[k], self.names[k]))
+        return self.names[k], max(c for j, c in top.items() if self.names[j] == self.names[k])
 
 
 def scan(files: DataFrame) -> DataFrame:

@@ -34,6 +34,10 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 _VALUE = r"[^\s\"'<>,;|]"
 #: Wider contexts for values whose guess cost decides. Possessive, so that blanks are read once.
 CONTEXT = re.compile(rf"""(?:password|passwd|pwd|passphrase|passcode|secret|token|api_?key|access_?key|private_?key|auth_?key|credentials?|bearer)["']?+\x20*+(?:(?:[:=]|(?<=\x20)is\b)\x20*+)?+["']?+(?={_VALUE}{{8}})""", re.I | re.A)
+#: The same for Java, with the value.
+_BEHIND = r"""(?:password|passwd|pwd|passphrase|passcode|secret|token|api_?key|access_?key|private_?key|auth_?key|credentials?|bearer)["']?\x20*+(?:(?:[:=]|(?<=\x20)is\b)\x20*+)["']?[^\s"'<>,;|]+"""
+#: A value behind a credential word without a mark between: letters alone, but for a sentence's marks, are prose.
+_MARKED = re.compile(r"[:=]|\bis\b")
 _RUN = re.compile(rf"{_VALUE}*+", re.A)
 #: A text without any of these has no assign span and no context.
 HINTS = ("passw", "pwd", "passphrase", "passcode", "secret", "token", "apikey", "api_key", "accesskey", "access_key", "privatekey", "private_key", "authkey", "auth_key", "credential", "bearer")
@@ -56,6 +60,14 @@ _DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\
 _REPEAT = re.compile(r"(.{1,12}?)\1++", re.S)
 
 
+def _prose_end(value: str) -> str:
+    """The letters at the end of a value, with a sentence's marks after them."""
+    k = len(value.rstrip(".:!?)"))
+    while k and value[k - 1].isalpha():
+        k -= 1
+    return value[k:]
+
+
 def _near() -> dict[str, set[str]]:
     """Keys beside each key on a keyboard whose rows are set off by half a key."""
     near: dict[str, set[str]] = {}
@@ -151,7 +163,8 @@ class Guesser:
                 a = m.end()
                 if a >= end:  # a new run of value characters
                     begin, end, costs = a, _RUN.match(text, a).end(), []
-                if end > max(done, reach.get(a, 0)):
+                    prose = end - len(_prose_end(text[begin:end]))  # from here on a value is prose
+                if end > max(done, reach.get(a, 0)) and (a < prose or _MARKED.search(m[0])):
                     costs = costs or self.costs(text[begin:end])
                     if costs[a - begin] >= threshold:
                         out.append((a, end, 3, costs[a - begin]))
@@ -163,8 +176,12 @@ class Guesser:
 
 
 def learn_words(docs: DataFrame, most: int = LEARNED, least_docs: int = LEAST_DOCS) -> tuple[str, ...]:
-    """The commonest words (4 to 24 letters a-z, by documents) over all documents: at most `most` rows reach the driver."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0)))
+    """The commonest words (4 to 24 letters a-z, by documents) over all documents: at most `most` rows reach the driver.
+
+    What stands behind a credential word is not learned from, so a secret that many documents hold stays one.
+    """
+    said = F.regexp_replace(F.lower("text"), _BEHIND, " ")
+    words = F.array_distinct(F.regexp_extract_all(said, F.lit("[a-z]{4,}"), F.lit(0)))
     each = docs.select(F.explode(words).alias("w")).where("length(w) <= 24")
     seen = each.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= least_docs)
     return tuple(r["w"] for r in seen.orderBy(F.desc("n"), "w").limit(most).collect())
