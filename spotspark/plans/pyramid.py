@@ -18,7 +18,7 @@ from ..sources.io import cut, small
 from .grid import CROWD, crowded, pairs_once
 
 #: Pairs of points that two nodes may be opened into.
-OPEN = 16_384
+OPEN = 2048
 
 
 def bucket(d2: Column, radii: list) -> Column:
