@@ -121,16 +121,21 @@ def smlm_cluster(df: DataFrame, radius: int, min_locs: int, basic_fa: bool = Fal
     frames and no twentieth of them has more than 80 % of the cluster.
     """
     p = df.select("loc_id", "x_m", "y_m", "cell", *([z] if radius_z else []))
-    met = pairs_within(p, p, radius, ("cell",))
-    if radius_z:
+
+    def met(left: DataFrame, right: DataFrame) -> DataFrame:
+        out = pairs_within(left, right, radius, ("cell",))
+        if not radius_z:
+            return out
         dz = F.col(z) - F.col(f"o_{z}")
         # squared distances are compared as whole numbers of 1 / (radius_z ** 2)
-        met = met.withColumn("d2", F.col("d2") * radius_z * radius_z + dz * dz * radius * radius).where(F.col("d2") <= radius * radius * radius_z * radius_z)
-    met = cut(met.select("cell", "loc_id", "o_loc_id", "d2"))
-    count = met.groupBy("loc_id").agg(F.count("*").alias("n"))
-    rank = met.join(count.toDF("o_loc_id", "on"), "o_loc_id").groupBy("loc_id").agg(F.max(F.struct("on", (-F.col("o_loc_id")).alias("first"))).alias("best"))
-    peaks = rank.where(-F.col("best.first") == F.col("loc_id")).select(F.col("loc_id").alias("o_loc_id"))
-    joined = met.join(peaks, "o_loc_id").groupBy("cell", "loc_id").agg(F.min_by("o_loc_id", F.struct("d2", "o_loc_id")).alias("peak"))
+        return out.withColumn("d2", F.col("d2") * radius_z * radius_z + dz * dz * radius * radius).where(F.col("d2") <= radius * radius * radius_z * radius_z)
+
+    # pairs are met again rather than written: each time they end in a partial aggregate
+    count = met(p, p).groupBy("loc_id").agg(F.count("*").alias("n"))
+    counted = cut(p.join(count, "loc_id"))
+    best = met(counted, counted).groupBy("loc_id").agg(F.max(F.struct("o_n", (-F.col("o_loc_id")).alias("first"))).alias("best"))
+    peaks = cut(best.where(-F.col("best.first") == F.col("loc_id")).select("loc_id"))
+    joined = met(p.join(peaks, "loc_id"), p).groupBy("cell", F.col("o_loc_id").alias("loc_id")).agg(F.min_by("loc_id", F.struct("d2", "loc_id")).alias("peak"))
     if not basic_fa:
         many = joined.groupBy("peak").agg(F.count("*").alias("n")).where(F.col("n") >= min_locs).select("peak")
         return joined.join(many, "peak").select("loc_id", "cell", "peak")

@@ -257,8 +257,8 @@ def nena(distances: DataFrame, most: float, bins: int = 50) -> tuple[float, floa
 def colocalized_pairs(df: DataFrame, distance: int) -> DataFrame:
     """For channels a < b: mutual nearest neighbours within the distance are dimers. -> cell, a, b, n_a, n_b, n_ab (singles and dimers)."""
     p = df.select("loc_id", "cell", "channel", "x_m", "y_m")
-    met = cut(pairs_within(p, p, distance, ("cell",)).where("channel <> o_channel").select("cell", "loc_id", "channel", "o_loc_id", "o_channel", "d2"))
-    best = met.groupBy("cell", "loc_id", "channel", "o_channel").agg(F.min_by("o_loc_id", F.struct("d2", "o_loc_id")).alias("o_loc_id"))
+    met = pairs_within(p, p, distance, ("cell",)).where("channel <> o_channel")
+    best = cut(met.groupBy("cell", "loc_id", "channel", "o_channel").agg(F.min_by("o_loc_id", F.struct("d2", "o_loc_id")).alias("o_loc_id")))
     back = best.select("cell", F.col("loc_id").alias("o_loc_id"), F.col("channel").alias("o_channel"), F.col("o_channel").alias("channel"), F.col("o_loc_id").alias("loc_id"))
     dimers = best.join(back, ["cell", "loc_id", "channel", "o_loc_id", "o_channel"]).where("channel < o_channel").groupBy("cell", F.col("channel").alias("a"), F.col("o_channel").alias("b")).agg(F.count("*").alias("n_ab"))
     n = p.groupBy("cell", "channel").agg(F.count("*").alias("n"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -137,37 +138,56 @@ def _swept(radii: list[int]):
     return run
 
 
-def knn(df: DataFrame, k: int, keys: tuple[str, ...] = ("cell",), radius: int | None = None, dims: tuple[str, ...] = ("x_m", "y_m"), growth: int = 4) -> DataFrame:
+def knn(df: DataFrame, k: int, keys: tuple[str, ...] = ("cell",), radius: int | None = None, dims: tuple[str, ...] = ("x_m", "y_m"), fine: int = 8) -> DataFrame:
     """(loc_id, keys, k, d): the k nearest others (ties by id); fewer rows where a cell has fewer points.
 
-    A point is done when its k-th distance is within the searched radius, or when its cell has no more points; the radius
-    grows for the others only. The first radius is, where it is not given, half of the one that holds k points at the mean density.
-    Spark keeps the k least of each task before it shuffles (row_number with a limit).
+    A pyramid of counted grid cells tells each point the smallest cell around it with more than k points; k + 1 of these bound its k-th
+    distance. Points search once, on the level whose side is above that bound, in coordinates scaled by the side; other points are
+    copied to the levels on which someone near them searches: one join for all levels. radius: side of the smallest cells; where it is
+    not given, a `fine`-th of one that holds k points at the mean density. Spark keeps the k least of each task before it shuffles.
     """
+    d, keys = len(dims), list(keys)
     p = df.select("loc_id", *dims, *keys)
-    reach = F.greatest(F.lit(0), *[F.max(d) - F.min(d) for d in dims])
-    size = p.groupBy(*keys).agg((F.count("*") - 1).alias("others"), reach.alias("width"))
-    size = cut(size)
-    whole_size = size.agg(F.max("width").alias("width"), F.avg(F.col("others") + 1).alias("n"), F.avg(F.pow(F.greatest(F.col("width"), F.lit(1)).cast("double"), F.lit(float(len(dims))))).alias("volume")).first()
-    width = whole_size["width"] or 1
-    if radius is None:
-        ball = math.pi ** (len(dims) / 2) / math.gamma(len(dims) / 2 + 1)
-        radius = max(1, round((k * (whole_size["volume"] or 1) / (ball * (whole_size["n"] or 1))) ** (1 / len(dims)) / 2))
-    open_, done = cut(p.join(size.select(*keys, "others"), list(keys)).where("others > 0")), None
-    point = Window.partitionBy("loc_id", *keys)
-    while True:
-        whole = radius * radius >= len(dims) * width * width
-        met = pairs_within(open_, p, radius, keys, dims).where("loc_id <> o_loc_id").withColumn("k", F.row_number().over(point.orderBy("d2", "o_loc_id"))).where(f"k <= {k}")
-        found = cut(met.withColumn("got", F.count("*").over(point)).select("loc_id", *keys, "others", "got", F.col("k").cast("int").alias("k"), "d2"))
-        good = found if whole else found.where(F.col("got") >= F.least(F.lit(k), F.col("others")))
-        new = good.select("loc_id", *keys, "k", F.sqrt(F.col("d2").cast("double")).alias("d"))
-        done = new if done is None else done.unionByName(new)
-        if whole:
-            return done
-        open_ = cut(open_.join(good.where("k = 1").select("loc_id", *keys), ["loc_id", *keys], "left_anti"))
-        if open_.limit(1).count() == 0:
-            return done
-        radius *= growth
+    seen = p.groupBy(*keys).agg(F.count("*").alias("n"), *[f(c).alias(f"{e}{i}") for i, c in enumerate(dims) for e, f in (("lo", F.min), ("hi", F.max))])
+    seen = seen.agg(F.sum("n").alias("n"), F.count("*").alias("groups"), *[f(f"{e}{i}").alias(f"{e}{i}") for i in range(d) for e, f in (("lo", F.min), ("hi", F.max))]).first()
+    if not seen["n"]:
+        return p.select("loc_id", *keys, F.lit(1).alias("k"), F.lit(0.0).alias("d"))
+    low = [seen[f"lo{i}"] for i in range(d)]
+    width = max(max(seen[f"hi{i}"] - low[i] for i in range(d)), 1)
+    side = float(radius or max(1.0, width * ((k + 1) * seen["groups"] / seen["n"]) ** (1 / d) / fine))
+    top = max(0, math.ceil(math.log2((width + 1) / side)))
+    at = [f"__f{i}" for i in range(d)]
+    placed = p.withColumns({c: F.floor((F.col(x) - F.lit(lo)) / F.lit(side)).cast("long") for c, x, lo in zip(at, dims, low, strict=True)})
+    # the smallest level whose cell around a finest cell holds more than k points; the greatest one holds all
+    cells = cut(placed.groupBy(*keys, *at).agg(F.count("*").alias("n")))
+    up = [f"__u{i}" for i in range(d)]
+    each = cells.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(top)))).withColumns({u: F.expr(f"shiftright({c}, level)") for u, c in zip(up, at, strict=True)})
+    full = each.groupBy(*keys, "level", *up).agg(F.sum("n").alias("held")).where((F.col("held") > k) | (F.col("level") == top))
+    level = cut(each.join(full, [*keys, "level", *up]).groupBy(*keys, *at).agg(F.min("level").alias("level")))
+    own = placed.join(small(level), [*keys, *at]).withColumns({u: F.expr(f"shiftright({c}, level)") for u, c in zip(up, at, strict=True)})
+    own = cut(own.select("loc_id", *dims, *keys, "level", *up))
+    # k + 1 points of each such cell bound the k-th distance of all points in it
+    held = placed.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(top)))).withColumns({u: F.expr(f"shiftright({c}, level)") for u, c in zip(up, at, strict=True)})
+    held = held.join(small(cut(own.select(*keys, "level", *up).distinct())), [*keys, "level", *up], "left_semi")
+    some = held.withColumn("at", F.row_number().over(Window.partitionBy(*keys, "level", *up).orderBy("loc_id"))).where(F.col("at") <= k + 1)
+    d2 = lambda c: sum((F.col(x) - F.col(f"{c}{x}")) * (F.col(x) - F.col(f"{c}{x}")) for x in dims)
+    some = own.join(some.select(*keys, "level", *up, *[F.col(x).alias(f"s_{x}") for x in ("loc_id", *dims)]), [*keys, "level", *up]).where("loc_id <> s_loc_id")
+    most = some.groupBy("loc_id", *dims, *keys).agg(F.array_sort(F.collect_list(d2("s_").cast("double"))).alias("far"))
+    most = most.withColumn("far", F.element_at("far", F.least(F.lit(k), F.size("far"))))
+    own = cut(most.withColumn("level", F.when(F.col("far") > 0, F.greatest(F.lit(0), F.ceil(F.log2(F.sqrt("far") / F.lit(side)) - 1e-9)).cast("int")).otherwise(0)))
+    reach = 1.0 + 1e-6
+    scaled = lambda rows: rows.withColumns({f"__x{i}": (F.col(x) - F.lit(lo)) / (F.lit(side) * F.pow(F.lit(2.0), F.col("level"))) for i, (x, lo) in enumerate(zip(dims, low, strict=True))})
+    place = [f"__x{i}" for i in range(d)]
+    near = F.array(*[F.struct(*[F.lit(v).alias(f"s{i}") for i, v in enumerate(s)]) for s in itertools.product((-1, 0, 1), repeat=d)])
+    grid = {u: F.floor(F.col(x) / F.lit(reach)) for u, x in zip(up, place, strict=True)}
+    asked = scaled(own).withColumns(grid).select(*keys, "level", *up).distinct().withColumn("s", F.explode(near))
+    asked = cut(asked.select(*keys, "level", *[(F.col(u) + F.col(f"s.s{i}")).alias(u) for i, u in enumerate(up)]).distinct())
+    levels = own.select(*keys, "level").distinct()
+    others = scaled(p.join(small(cut(levels)), keys)).withColumns(grid).join(small(asked), [*keys, "level", *up], "left_semi")
+    met = pairs_within(scaled(own).select("loc_id", *dims, "far", *place, *keys, "level"), others.select("loc_id", *dims, *place, *keys, "level"), reach, (*keys, "level"), tuple(place))
+    met = met.withColumn("d2", d2("o_")).where("loc_id <> o_loc_id AND d2 <= far")
+    met = met.withColumn("k", F.row_number().over(Window.partitionBy("loc_id", *keys).orderBy("d2", "o_loc_id"))).where(f"k <= {k}")
+    return met.select("loc_id", *keys, F.col("k").cast("int").alias("k"), F.sqrt(F.col("d2").cast("double")).alias("d"))
 
 
 def local_density(df: DataFrame, radius: int, dims: tuple[str, ...] = ("x_m", "y_m")) -> DataFrame:

@@ -194,3 +194,19 @@ def test_random_points_feed_a_keyed_call(spark, locs):
     beside = cluster.controls_beside(tagged, controls)
     assert beside.groupBy("origin", "iter", "cell", "loc_id").count().where("count > 1").isEmpty()
     assert {(r["origin"], r["iter"]) for r in beside.select("origin", "iter").distinct().collect()} == {("exp", 0), ("csr", 0), ("csr", 1)}
+
+
+def test_knn_of_clustered_and_lonely_points(locs, rows, spark):
+    for cell in (0, 1):
+        own = [r for r in rows if r[1] == cell]
+        want = {}
+        d2 = far(own)
+        for i, r in enumerate(own):
+            want[r[0]] = sorted(d2[i, j] for j in range(len(own)) if j != i)[:5]
+        got = {}
+        for r in neighbors.knn(locs.where(F.col("cell") == cell), 5).orderBy("loc_id", "k").collect():
+            got.setdefault(r["loc_id"], []).append(round(r["d"] ** 2))
+        assert got == want
+    few = spark.createDataFrame([(i, c, 10**i, 0) for c in (0, 1, 2) for i in range(c + 1)], "loc_id long, cell long, x_m long, y_m long")
+    got = sorted((r["cell"], r["loc_id"], r["k"], r["d"]) for r in neighbors.knn(few, 4).collect())
+    assert got == [(1, 0, 1, 9.0), (1, 1, 1, 9.0), (2, 0, 1, 9.0), (2, 0, 2, 99.0), (2, 1, 1, 9.0), (2, 1, 2, 90.0), (2, 2, 1, 90.0), (2, 2, 2, 99.0)]
