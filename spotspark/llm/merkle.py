@@ -128,7 +128,7 @@ def manifest(docs: DataFrame, fanout: int = FANOUT) -> tuple[DataFrame, DataFram
     other = [F.col("n_chars") + 1 if c == "n_chars" else F.col(c) for c in FIELDS]
     changed = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
     leaves = docs.select("doc_id", "lang", leaf_digest(fields).alias("leaf"), F.when(changed & F.col("n_chars").isNotNull(), leaf_digest(other)).alias("tampered_leaf"))
-    leaves = save(numbered(leaves, "lang", ["doc_id", "leaf"]), "leaves")
+    leaves = save(numbered(save(leaves, "digests"), "lang", ["doc_id", "leaf"]), "leaves")  # ranges are sampled from digests, not from texts
     groups = leaves.groupBy("lang").agg(F.first("n").alias("leaves"))
     groups = save(numbered(groups.withColumn("__one", F.lit(1)), "__one", ["lang"]).withColumnsRenamed({"pos": "gid", "n": "groups"}), "groups")
     few = groups.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
