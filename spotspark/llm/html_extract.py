@@ -29,10 +29,12 @@ import difflib
 import html as html_lib
 import json
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -456,7 +458,8 @@ def decide(root: Node, pages: int, slots: list[tuple[int, int, int]], texts: lis
         frame, texts, amount = set(), [], Counter({s: b for s, _, b in slots})
     total = sum(amount.values())
     by_place = sorted(amount.items())
-    inside = lambda k: sum(n for s, n in by_place if k.at <= s < k.end)
+    at, upto = [s for s, _ in by_place], [0, *accumulate(n for _, n in by_place)]
+    inside = lambda k: upto[bisect_left(at, k.end)] - upto[bisect_left(at, k.at)]
     mark = re.compile(r"(?:^|\.)(?:content|article|post|entry|story|main|text|body)", re.I)
     region, name = root, ""
     while total > 0:  # into the element that holds most of what is left
@@ -473,11 +476,11 @@ def decide(root: Node, pages: int, slots: list[tuple[int, int, int]], texts: lis
         region, name = best[0], best[0].label
     out: list[int] = []
     boxes = [] if name in ("article", "main") else list(region.kids)
-    known = {s for s, _, _ in slots}
+    known = sorted(s for s, _, _ in slots)
     while boxes:
         k = boxes.pop()
         if k.label.split(".")[0] in _BOX and inside(k) <= 0:
-            out += [s for s in known if k.at <= s < k.end]
+            out += known[bisect_left(known, k.at) : bisect_left(known, k.end)]
         else:
             boxes += k.kids
     return [region.at, region.end, sorted(out)]
