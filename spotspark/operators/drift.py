@@ -273,13 +273,13 @@ def labeling_efficiency(pairs: DataFrame) -> DataFrame:
     return pairs.withColumns({"le_b": safe("n_a"), "le_a": safe("n_b")})
 
 
-def direct_interaction(shares: DataFrame) -> DataFrame:
-    """F8: shares: tag_a, tag_b, a, aa, b, bb, ab, aabb -> percent interacting, in both directions."""
+def direct_interaction(shares: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """F8: shares: keys, tag_a, tag_b, a, aa, b, bb, ab, aabb -> keys, from_tag, to_tag, percent interacting, in both directions."""
     pct = lambda x, y: F.lit(100.0) * x / F.nullif(y, F.lit(0.0))
     own = F.col("tag_a") == F.col("tag_b")
     c = F.col
-    fwd = shares.select(c("tag_a").alias("from_tag"), c("tag_b").alias("to_tag"), F.when(own, pct(2 * c("aa"), c("a") + 2 * c("aa"))).otherwise(pct(c("ab") + 2 * c("aabb"), c("a") + 2 * c("aa") + c("ab") + 2 * c("aabb"))).alias("percent"))
-    rev = shares.where(~own).select(c("tag_b").alias("from_tag"), c("tag_a").alias("to_tag"), pct(c("ab") + 2 * c("aabb"), c("b") + 2 * c("bb") + c("ab") + 2 * c("aabb")).alias("percent"))
+    fwd = shares.select(*keys, c("tag_a").alias("from_tag"), c("tag_b").alias("to_tag"), F.when(own, pct(2 * c("aa"), c("a") + 2 * c("aa"))).otherwise(pct(c("ab") + 2 * c("aabb"), c("a") + 2 * c("aa") + c("ab") + 2 * c("aabb"))).alias("percent"))
+    rev = shares.where(~own).select(*keys, c("tag_b").alias("from_tag"), c("tag_a").alias("to_tag"), pct(c("ab") + 2 * c("aabb"), c("b") + 2 * c("bb") + c("ab") + 2 * c("aabb")).alias("percent"))
     return fwd.unionByName(rev)
 
 

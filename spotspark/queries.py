@@ -684,14 +684,9 @@ def _(d):
     return ripley.matrix_average(_matrix(d), "value").select("a", "b", "n", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
 
 
-@query("interaction_map_average", "SELECT a, b, count(*) AS n, round(avg(pairs), 6) AS mean, round(stddev_pop(pairs), 6) AS std FROM counts WHERE r = 500 GROUP BY 1, 2", _CROSS)
+@query("significant_pairs", "SELECT cell, a, b, round(value, 4) AS value FROM mt WHERE a <= b AND value > 1.5", _MAT)
 def _(d):
-    return ripley.matrix_average(neighbors.pair_counts_cross(d, RADII).where("r = 500"), "pairs", False).select("a", "b", "n", r6("mean").alias("mean"), r6("std").alias("std"))
-
-
-@query("significant_pairs", "SELECT cell, a, b, pairs FROM counts WHERE r = 500 AND a <= b AND pairs > 600", _CROSS)
-def _(d):
-    return ripley.significant_pairs(neighbors.pair_counts_cross(d, RADII).where("r = 500"), "pairs", 600).select("cell", "a", "b", "pairs")
+    return ripley.significant_pairs(_matrix(d), "value", 1.5).select("cell", "a", "b", F.round("value", 4).alias("value"))
 
 
 @query("annulus_diff", "SELECT cell, a, b, r, CAST(coalesce(x, lag(x) OVER w) AS BIGINT) AS ring FROM (SELECT cell, a, b, r, lead(pairs) OVER w - pairs AS x FROM counts WINDOW w AS (PARTITION BY cell, a, b ORDER BY r)) WINDOW w AS (PARTITION BY cell, a, b ORDER BY r)", _CROSS)
@@ -761,6 +756,21 @@ def _(d):
     return drift.direct_interaction(shares.withColumns(none)).withColumn("percent", r6("percent"))
 
 
+_MAPS = """, mp AS (SELECT cell, a, b, 100.0::DOUBLE * n_ab / nullif(n_a + n_ab, 0) AS percent FROM cp UNION ALL SELECT cell, b, a, 100.0::DOUBLE * n_ab / nullif(n_b + n_ab, 0) FROM cp)"""
+
+
+@query(
+    "interaction_map_average",
+    "SELECT a, b, count(*) AS n, round(CASE WHEN count(percent) = count(*) THEN avg(percent) END, 6) AS mean, round(CASE WHEN count(percent) = count(*) THEN stddev_pop(percent) END, 6) AS std FROM mp GROUP BY 1, 2",
+    _COLOC + _MAPS,
+)
+def _(d):
+    none = {c: F.lit(0.0) for c in ("aa", "bb", "aabb")}
+    shares = drift.colocalized_pairs(d, 100).select("cell", F.col("a").alias("tag_a"), F.col("b").alias("tag_b"), *[F.col(f"n_{c}").cast("double").alias(c) for c in ("a", "b", "ab")]).withColumns(none)
+    maps = drift.direct_interaction(shares, ("cell",)).withColumnsRenamed({"from_tag": "a", "to_tag": "b"})
+    return ripley.matrix_average(maps, "percent", False).select("a", "b", "n", r6("mean").alias("mean"), r6("std").alias("std"))
+
+
 @query("target_fractions", "SELECT tag, count(*) AS n, round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS share, round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) * 50000, 4) AS n_simulated FROM locs GROUP BY 1")
 def _(d):
     return drift.target_fractions(d, 50000, 1e-4).select("tag", "n", r6("share").alias("share"), F.round("n_simulated", 4).alias("n_simulated"))
