@@ -819,7 +819,7 @@ def _(d):
     return drift.undrift_from_picked(picked, N_FRAMES).select("cell", "frame", r6("dx").alias("dx"), r6("dy").alias("dy"))
 
 
-_SEG = ", im AS MATERIALIZED (SELECT cell, frame // 360 AS seg, (x_m + 2 * (frame // 8)) // 200 AS gx, (y_m - frame // 8) // 200 AS gy, count(*) AS n FROM locs GROUP BY 1, 2, 3, 4)"
+_SEG = ", im AS MATERIALIZED (SELECT cell, frame // 360 AS seg, CAST(floor((x_m + 2 * (frame // 8)) / 200.0) AS BIGINT) AS gx, CAST(floor((y_m - frame // 8) / 200.0) AS BIGINT) AS gy, count(*) AS n FROM locs GROUP BY 1, 2, 3, 4)"
 
 
 @query("segment_correlation", "SELECT a.cell, a.seg AS i, b.seg AS j, b.gx - a.gx AS dx, b.gy - a.gy AS dy, CAST(sum(a.n * b.n) AS BIGINT) AS corr FROM im a JOIN im b ON a.cell = b.cell AND a.seg < b.seg AND abs(b.gx - a.gx) <= 4 AND abs(b.gy - a.gy) <= 4 GROUP BY 1, 2, 3, 4, 5", _SEG)
