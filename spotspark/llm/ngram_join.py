@@ -7,14 +7,15 @@
 3. First each group proposes only the group that it shares most with (a star: at most one pair a group), each member of a
    group the group's first. Verified pairs give components. Then every pair of groups that share a prefix shingle,
    have sizes that can link and do not already lie in one component is expanded to members: no pair within a family of
-   copies is ever made, and no pair that could add to a component is left out.
+   copies is ever made, and no pair that could add to a component is left out. Members of one group that are not in one component
+   meet by a prefix of the rest of their sets: they share the first p shingles, so what they still must share begins there.
 4. Pairs are verified on the whole sets, after a bound from parity bitmaps (symmetric difference is at least the number of
    differing bits), which is exact in what it removes.
 
 The result is the exact set of components (up to equal 64-bit hashes of different shingles).
 
-Common shingles: lists of more than LIST members by the sketch (which counts at least as many) are not gathered by key but joined to
-their first member, and lists are met block by block, so no task holds a whole list.
+Common shingles: lists of LIST members or more by the sketch (which counts at least as many) are not gathered by key but joined to
+their first member, and lists are met block by block, so no task holds more than LIST members of a list.
 
 Defined cases: null or empty text, or white space only: no shingles, a component of its own; fewer than n words: the whole
 sequence is the one shingle; equal texts have one set; a doc_id is one node, so rows that repeat it are linked with each other and
@@ -188,6 +189,30 @@ def _postings(docs: DataFrame, sketch, n: int, percent: int, least: int = 0, mos
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "shingle long, gid long, n int, at int")
 
 
+def _rest(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
+    """(shingle, rep, at): what follows each prefix, as far as two sets of one group and size must share a first further shingle.
+
+    Such sets must share alpha shingles and have their whole prefixes in common; the next shared one is among the n - alpha + 1 that follow.
+    at counts from the end of the prefix.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rare = sketch.value
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for i, j, data, at in blocks(strings(batch.column(1))):
+                s, bounds = shingle_sets(data, at, n)
+                own, size = owner(bounds), np.diff(bounds)
+                order, inside = _prefix_mask(s, bounds, rare, percent)
+                place = np.arange(len(s)) - bounds[:-1][own] - np.bincount(own[inside], minlength=len(size))[own]
+                alpha = -(-2 * size * percent // (100 + percent))
+                after = (place >= 0) & (place <= (size - alpha)[own])
+                columns = [_signed(s[order][after]), pa.array(ids[i:j][own[after]]), pa.array(place[after].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["shingle", "rep", "at"])
+
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "shingle long, rep long, at int")
+
+
 def _sets(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,18 +277,18 @@ def _shared(na: str, nb: str, percent: int):
 def _live(docs: DataFrame, sketch, n: int, percent: int) -> DataFrame:
     """Lists of two groups or more: (shingle, gid, n, at), and the first group of the list as center, center_n, center_at."""
     counts = sketch.value
-    long_ = LIST + 4 * int(counts.mean())
     columns = ["shingle", "gid", "n", "at", F.col("head.gid").alias("center"), F.col("head.n").alias("center_n"), F.col("head.at").alias("center_at")]
     same = Window.partitionBy("shingle")
     first = F.min(F.struct("gid", "n", "at"))
-    short = _postings(docs, sketch, n, percent, most=long_)
+    short = _postings(docs, sketch, n, percent, most=LIST)
     short = short.withColumn("c", F.count("*").over(same)).where("c > 1").withColumn("head", first.over(same)).select(*columns)
-    if int(counts.max()) < long_:
+    if int(counts.max()) < LIST:
         return short
     # lists that may be long: counted with partial sums, then joined to their heads (a join whose large keys Spark can split)
-    common = save(_postings(docs, sketch, n, percent, least=long_), "join-common")
+    common = save(_postings(docs, sketch, n, percent, least=LIST), "join-common")
     heads = common.groupBy("shingle").agg(F.count("*").alias("c"), first.alias("head")).where("c > 1")
-    return short.unionByName(common.join(heads, "shingle").select(*columns))
+    long_ = common.join(heads, "shingle").select(*columns)
+    return long_ if int(counts.min()) >= LIST else short.unionByName(long_)
 
 
 def _across(member: DataFrame, percent: int) -> DataFrame:
@@ -273,7 +298,7 @@ def _across(member: DataFrame, percent: int) -> DataFrame:
     of about LIST members; each pair of blocks is a key of its own.
     """
     sizes = member.groupBy("shingle", "component").agg(F.count("*").alias("c"))
-    sizes = sizes.groupBy("shingle").agg(F.max_by("component", F.struct("c", "component")).alias("major"), F.sum("c").alias("all"), F.max("c").alias("of_major"))
+    sizes = sizes.groupBy("shingle").agg(F.max_by("component", F.struct("c", "component")).alias("major"), F.sum("c").alias("all"), F.max("c").alias("of_major")).where("all > of_major")
     blocks = lambda c: F.ceil(c / F.lit(float(LIST))).cast("int")
     sizes = sizes.select("shingle", "major", blocks(F.col("all")).alias("blocks"), F.greatest(blocks(F.col("all") - F.col("of_major")), F.lit(1)).alias("minor_blocks"))
     member = save(member.join(sizes, "shingle"), "join-members")
@@ -331,9 +356,14 @@ def jaccard_components(docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT
     mixed = lists.join(mixed, "shingle").where(F.col("n") - F.col("at") >= _shared("n", "least", percent)).select("shingle", "gid", "at")
     across = _across(mixed.join(placed, "gid"), percent)
     # members of one group that are not in one component
-    split = placed.join(kinds.where("kind < 0").select("gid"), "gid").select("gid", "rep", "component")
-    inside = split.join(split.toDF("gid", "o_rep", "o_component"), "gid").where("rep < o_rep and component <> o_component").select(F.col("rep").alias("a"), F.col("o_rep").alias("b"))
-    pairs = across.unionByName(inside).where("a <> b").distinct()
+    split = save(placed.join(kinds.where("kind < 0").select("gid"), "gid").select("rep", "gid", "component", "n", *_BITS), "join-split")
+    apart = save(split.select("rep").distinct(), "join-split-ids")
+    pairs = across
+    if apart.limit(1).count():
+        rest = _rest(keep_ids(docs, apart, "doc_id"), sketch, n, percent)
+        inside = rest.join(split, "rep").withColumn("shingle", F.xxhash64("gid", "shingle"))
+        pairs = pairs.unionByName(_across(inside.drop("gid"), percent))
+    pairs = pairs.where("a <> b").distinct()
 
     @F.pandas_udf("boolean")
     def possible(x: pd.Series, y: pd.Series, nx: pd.Series, ny: pd.Series) -> pd.Series:

@@ -791,6 +791,23 @@ def test_ngram_join_of_families(spark, monkeypatch, limit):
     assert got == brute_components(rows)
 
 
+@pytest.mark.parametrize("full", [0, 5000])
+def test_unlike_members_of_one_group(spark, monkeypatch, full):
+    """A sketch that tells nothing apart (full: as at a size where all its counters are), so common shingles are prefixes."""
+    monkeypatch.setattr(ngram_join, "_sketch", lambda parts: np.full(1 << ngram_join.SKETCH_BITS, full, np.uint32))
+    met, across = [], ngram_join._across
+    monkeypatch.setattr(ngram_join, "_across", lambda *a: met.append(across(*a)) or met[-1])
+    rows = [(k, f"one two three four five six last{k}") for k in range(240)]
+    long_ = " ".join(f"w{k}" for k in range(60))
+    for k in range(120):  # templates with an own end each, some of them alike
+        own = " ".join(f"v{k // 2}x{j}" for j in range(30))
+        rows.append((1000 + k, f"{long_} {own} {'same' if k % 4 < 2 else f'end{k} more{k}'}"))
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.jaccard_components(d).collect()}
+    assert got == brute_components(rows)
+    assert len(met) == 2 and met[1].count() < 500  # members of groups: 28,680 pairs of short texts alone, if all were made
+
+
 # ---------------------------------------------------------------- 10
 
 
