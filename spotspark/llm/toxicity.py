@@ -5,11 +5,12 @@ label; terms that speak most for it (signed chi-square over the sample) weigh BO
 all documents; words that no example has count in a text's length with the weight of the rarest. Examples with the same vector are
 one entry that holds how many there are and how many of them are toxic.
 
-Neighbours are the K nearest examples among those with a cosine of LEAST_COSINE or more: examples farther away do not vote.
-The index has two parts. The DENSE terms that most entries have are held by entry, with the length of that part of each entry;
-all others are inverted lists whose entries lie in blocks, with the greatest weight of each term in each block. A block's bound is
-the sum of its greatest weights plus the product of the lengths of both dense parts; blocks below LEAST_COSINE are skipped,
-then entries whose exact sum over the lists plus that product is below it; the rest get their exact cosine. Votes weighted by cosine are
+Neighbours are the K nearest examples that have any word of the text, however far they are (a least cosine can be given; it is 0).
+The index has two parts. The DENSE terms that most entries have are held by entry, and their products with BATCH texts at a time
+are one product of matrices; all others are inverted lists whose entries lie in blocks, with the greatest weight of each term in each
+block. The k-th best of the dense products is a first bound. A block whose greatest weights and best dense product add up to less is
+skipped; the others are read by the lists, best first, and the k-th best sum raises the bound. What may lie within it gets its exact
+cosine in double precision. Votes weighted by cosine are
 turned into probabilities by isotonic regression on leave-one-out votes of the examples, which are made by a Spark job.
 
 Defined cases: null or empty text, texts without any word of the examples, and texts none of whose neighbours is toxic get the
@@ -21,6 +22,7 @@ least text; repeated rows are scored each; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -36,8 +38,10 @@ from ._common import NOT_ALNUM, blocks, labelled_sample, map_arrow, owner, save,
 FIT_ROWS, FIT_WORDS = 12_000, 8_000_000
 #: Terms of more weight, neighbours, entries in a block, terms held by entry.
 TERMS, K, BLOCK, DENSE = 384, 15, 64, 512
-#: Least cosine of an example that votes.
-LEAST_COSINE = 0.25
+#: Least cosine of an example that votes (0: all vote), and texts whose dense parts are multiplied at once.
+LEAST_COSINE, BATCH = 0.0, 128
+#: Blocks that are read before the bound is raised.
+FIRST_BLOCKS = 16
 #: Code points of the word beginnings that are terms beside the words, and the least chi-square of a term of more weight.
 STEM, LEAST_CHI = 5, 25.0
 #: How many times its idf a term that speaks for the label weighs.
@@ -45,8 +49,8 @@ BOOST = 6.0
 _STEM_MARK = np.uint64(0xA5A5A5A5A5A5A5A5)
 PRIOR_WEIGHT = 0.25
 THRESHOLD = 0.3
-#: Room for rounding of sums.
-_SLACK = 1e-9
+#: Room for rounding of sums, in double and in single precision.
+_SLACK, _SLACK32 = 1e-9, 1e-5
 
 
 def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -92,13 +96,15 @@ class Index:
         held = self.column[term] >= 0 if len(term) else np.zeros(0, bool)
         self.dense = np.zeros((n, len(chosen)))
         self.dense[entry[held], self.column[term[held]]] = weight[held]
-        self.norm = np.sqrt((self.dense * self.dense).sum(1))
-        # blocks of entries with dense parts of about one length make tight bounds
-        by_norm = np.argsort(self.norm, kind="stable")
-        block_of = np.empty(n, np.int32)
-        block_of[by_norm] = np.arange(n, dtype=np.int32) // BLOCK
+        # blocks of entries with dense parts of about one length
+        by_norm = np.argsort((self.dense * self.dense).sum(1), kind="stable")
+        self.place = np.empty(n, np.int64)
+        self.place[by_norm] = np.arange(n)
+        block_of = (self.place // BLOCK).astype(np.int32)
         self.n_blocks = -(-n // BLOCK)
-        self.block_norm = np.array([self.norm[by_norm[k * BLOCK : (k + 1) * BLOCK]].max() for k in range(self.n_blocks)])
+        self.members = np.append(by_norm, np.full(self.n_blocks * BLOCK - n, -1)).reshape(-1, BLOCK)
+        self.by_place = np.zeros((self.n_blocks * BLOCK, len(chosen)), np.float32)
+        self.by_place[:n] = self.dense[by_norm]
         entry, term, weight = entry[~held], term[~held], weight[~held]
         by = np.lexsort((entry, block_of[entry], term))
         self.entry, self.weight, term = entry[by], weight[by], term[by]
@@ -115,25 +121,45 @@ class Index:
         w = (1 + np.log(counts)) * self.idf[terms]
         return terms, w / np.sqrt(max((w * w).sum() + others, 1e-300))
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1, k: int = K, least: float = LEAST_COSINE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def products(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Products of the dense parts of vectors and entries, in single precision: a row for each vector, entries in the order of blocks."""
+        q = np.zeros((len(vectors), self.by_place.shape[1]), np.float32)
+        for row, (terms, weights) in zip(q, vectors, strict=True):
+            column = self.column[terms]
+            row[column[column >= 0]] = weights[column >= 0]
+        return q @ self.by_place.T
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1, k: int = K, least: float = LEAST_COSINE, product: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(entries, cosines, votes each): the entries of the k nearest examples within the least cosine and all that tie with the
-        last of them. skip: an entry of which one example is left out."""
+        last of them. skip: an entry of which one example is left out. product: its row of products()."""
+        product = self.products([(terms, weights)])[0] if product is None else product
+        kth = lambda x, low: max(low, float(np.partition(x, -k - 1)[-k - 1])) if len(x) > k else low  # noqa: E731  (k + 1: one may be left out)
+        low = kth(product[: self.size], least)
         column = self.column[terms]
         held = column >= 0
-        q = np.zeros(self.dense.shape[1])
-        q[column[held]] = weights[held]
-        rest = float(np.sqrt((q * q).sum()))
         t = terms[~held]
         own = self.runs[t + 1] - self.runs[t]
         run, w = _ranges(self.runs[t], own), np.repeat(weights[~held], own)
-        bound = np.bincount(self.block[run], w * self.most[run], self.n_blocks) + rest * self.block_norm
-        mine = (bound >= least - _SLACK)[self.block[run]]
-        r = run[mine]
-        size = self.length[r]
-        p = _ranges(self.start[r], size)
-        sums = np.bincount(self.entry[p], np.repeat(w[mine], size) * self.weight[p], self.size)
-        e = np.flatnonzero(sums + rest * self.norm >= least - _SLACK)
-        cosine = sums[e] + self.dense[e] @ q
+        block = self.block[run]
+        bound = np.bincount(block, w * self.most[run], self.n_blocks) + product.reshape(self.n_blocks, BLOCK).max(1) if self.n_blocks else np.zeros(0)
+        best = np.zeros(self.n_blocks, bool)
+        best[np.argsort(-bound)[:FIRST_BLOCKS]] = True
+        e, sums = np.zeros(0, np.int64), np.zeros(0)
+        for these in (best, ~best):
+            these = these & (bound >= low - _SLACK32)
+            mine = these[block]
+            r = run[mine]
+            size = self.length[r]
+            p = _ranges(self.start[r], size)
+            found = np.bincount(self.entry[p], np.repeat(w[mine], size) * self.weight[p], self.size)
+            more = self.members[these].ravel()
+            more = more[more >= 0]
+            e, sums = np.concatenate([e, more]), np.concatenate([sums, found[more]])
+            near = sums + product[self.place[e]]
+            low = kth(near, low)
+            good = near >= low - 2 * _SLACK32
+            e, sums = e[good], sums[good]
+        cosine = sums + self.dense[e[:, None], column[held]] @ weights[held]
         n = self.count[e] - (e == skip)
         good = (cosine >= least - _SLACK) & (cosine > 0) & (n > 0)
         e, cosine, n = e[good], cosine[good], n[good]
@@ -145,13 +171,23 @@ class Index:
             e, cosine, n = e[:upto], cosine[:upto], n[:upto]
         return e, cosine, n
 
-    def vote(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1, own: float = 0.0) -> tuple[float | None, np.ndarray, np.ndarray]:
+    def vote(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1, own: float = 0.0, product: np.ndarray | None = None) -> tuple[float | None, np.ndarray, np.ndarray]:
         """(vote, or None if no neighbour is toxic; entries, cosines)."""
-        e, s, n = self.nearest(terms, weights, skip)
+        e, s, n = self.nearest(terms, weights, skip, product=product)
         y = self.toxic[e] - own * (e == skip)
         w = s * s
         return float(((w * y).sum() + PRIOR_WEIGHT * self.prior) / ((w * n).sum() + PRIOR_WEIGHT)) if y.any() else None, e, s
 
+    def read_vectors(self, batch_column: pa.Array, known=()) -> Iterator[tuple[int, bytes, tuple | None, np.ndarray | None]]:
+        """(row, digest, vector, its row of products) of each text, BATCH texts at a time; no vector where no word is known or the
+        digest was."""
+        rows = self.read(batch_column)
+        while some := list(itertools.islice(rows, BATCH)):
+            vectors = [self.vector(t, c, others) if len(t) and key not in known else None for _, key, t, c, others in some]
+            products = iter(self.products([v for v in vectors if v]))
+            for (row, key, *_), v in zip(some, vectors, strict=True):
+                yield row, key, v, next(products) if v else None
+
     def read(self, batch_column: pa.Array) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, float]]:
         """(row, digest of the vector, terms, counts, squared weight of the words that no example has) of each text."""
         row = 0
@@ -298,13 +334,12 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             out: list[tuple] = []
-            for row, _, terms_, counts_, others in own.read(batch.column(2)):
+            for row, _, vector, product in own.read_vectors(batch.column(2)):
                 e = int(np.searchsorted(own.example, ids[row]))
-                if not len(terms_):
+                if vector is None:
                     out.append((None, float(batch.column(1)[row].as_py()), 1.0))
                 elif e < own.size and own.example[e] == ids[row]:  # of equal examples one stands for all
-                    vector = own.vector(terms_, counts_, others)
-                    out += [(own.vote(*vector, e, y)[0], y, n) for y, n in ((1.0, own.toxic[e]), (0.0, own.count[e] - own.toxic[e])) if n > 0]
+                    out += [(own.vote(*vector, e, y, product)[0], y, n) for y, n in ((1.0, own.toxic[e]), (0.0, own.count[e] - own.toxic[e])) if n > 0]
             columns = list(zip(*out, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in columns], names=["vote", "y", "n"])
 
@@ -324,11 +359,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         known: dict[bytes, tuple] = {}
         for batch in batches:
             out = []
-            for _, key, terms, counts, others in index.read(batch.column(1)):
+            if len(known) > 50_000:
+                known.clear()
+            for _, key, vector, product in index.read_vectors(batch.column(1), known):
                 if key not in known:
-                    if len(known) > 50_000:
-                        known.clear()
-                    vote, e, s = index.vote(*index.vector(terms, counts, others)) if len(terms) else (None, [], [])
+                    vote, e, s = index.vote(*vector, product=product) if vector else (None, [], [])
                     known[key] = round(known_model.probability(vote), 9), [int(x) for x in index.example[e[:3]]] if len(e) else [], [round(float(x), 9) for x in s[:3]]
                 out.append(known[key])
             columns = [pa.array([x[0] for x in out], pa.float64()), pa.array([x[1] for x in out], pa.list_(pa.int64())), pa.array([x[2] for x in out], pa.list_(pa.float64()))]

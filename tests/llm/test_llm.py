@@ -403,7 +403,7 @@ def brute_toxicity(rows, labels):
 
     def vote(i, out=None):
         near = [(sum(x * vectors[e].get(w, 0) for w, x in vectors[i].items()), known[e]) for e in known if e != out and terms[e]]
-        near = sorted((x for x in near if x[0] >= toxicity.LEAST_COSINE - 1e-9), reverse=True)
+        near = sorted((x for x in near if x[0] > 0 and x[0] >= toxicity.LEAST_COSINE - 1e-9), reverse=True)  # without a common word no vote
         if len(near) > toxicity.K:
             near = [x for x in near if x[0] >= near[toxicity.K - 1][0] - 1e-9]
         if not any(y for _, y in near):
