@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from spotspark.operators import cluster, drift, frames, neighbors, quantiles, ripley
 from spotspark.plans import grid, pyramid
+from spotspark.sources import io
 
 
 @pytest.fixture(scope="module")
@@ -210,3 +211,9 @@ def test_knn_of_clustered_and_lonely_points(locs, rows, spark):
     few = spark.createDataFrame([(i, c, 10**i, 0) for c in (0, 1, 2) for i in range(c + 1)], "loc_id long, cell long, x_m long, y_m long")
     got = sorted((r["cell"], r["loc_id"], r["k"], r["d"]) for r in neighbors.knn(few, 4).collect())
     assert got == [(1, 0, 1, 9.0), (1, 1, 1, 9.0), (2, 0, 1, 9.0), (2, 0, 2, 99.0), (2, 1, 1, 9.0), (2, 1, 2, 90.0), (2, 2, 1, 90.0), (2, 2, 2, 99.0)]
+
+
+def test_saved_tables_are_not_broadcast_for_the_size_of_their_files(spark):
+    saved = io.cut(spark.range(2_000_000).select((F.col("id") % 9).alias("cell"), F.pmod(F.xxhash64("id"), F.lit(128)).alias("gx"), F.pmod(F.xxhash64("id"), F.lit(999)).alias("n")))
+    plan = saved.join(spark.range(9_000_000).select((F.col("id") % 9).alias("cell")), "cell")._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in plan  # a file of less than 10 MB, 64 MB of rows
