@@ -78,21 +78,21 @@ def _bins(bin_: int) -> list:
     return [F.floor(F.col("x_m") / bin_).alias("gx"), F.floor(F.col("y_m") / bin_).alias("gy")]
 
 
-def _offsets(img: DataFrame, reach: int) -> DataFrame:
-    """Each row of an image (gx, gy and others) at every offset dx, dy within reach, with gx, gy moved by it."""
-    steps = range(-reach, reach + 1)
-    off = F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a in steps for b in steps])
-    rest = [c for c in img.columns if c not in ("gx", "gy")]
-    return img.select("*", F.explode(off).alias("o")).select(*rest, "o.dx", "o.dy", (F.col("gx") + F.col("o.dx")).alias("gx"), (F.col("gy") + F.col("o.dy")).alias("gy"))
+def _overlaid(a: DataFrame, b: DataFrame, reach: int, keys: tuple[str, ...]) -> DataFrame:
+    """Rows of two images (gx, gy and others; o_ before the columns of b) at most `reach` bins apart in each coordinate, with dx, dy: by how
+    much a is moved to lie on b. A row is copied to the few grid cells around it, never to the offsets."""
+    met = pairs_within(a, b, reach * math.sqrt(2) * (1 + 1e-9), keys, ("gx", "gy")).withColumns({"dx": F.col("o_gx") - F.col("gx"), "dy": F.col("o_gy") - F.col("gy")})
+    return met.where(F.col("dx").between(-reach, reach) & F.col("dy").between(-reach, reach)).withColumns({c: F.col(c).cast("int") for c in ("dx", "dy")})
 
 
 def correlation(df: DataFrame, part: str, bin_: int, reach: int, keys: tuple[str, ...] = ("cell",), consecutive: bool = False) -> DataFrame:
     """(keys, i, j, dx, dy, corr) of the images of parts i < j: sum of products at each offset (in bins)."""
     img = df.groupBy(*keys, part, *_bins(bin_)).agg(F.count("*").alias("n"))
-    a = _offsets(img.select(*keys, F.col(part).alias("i"), F.col("n").alias("na"), "gx", "gy"), reach)
-    b = img.select(*keys, F.col(part).alias("j"), F.col("n").alias("nb"), "gx", "gy")
-    met = a.join(b, [*keys, "gx", "gy"]).where(F.col("j") == F.col("i") + 1 if consecutive else F.col("i") < F.col("j"))
-    return met.groupBy(*keys, "i", "j", "dx", "dy").agg(F.sum(F.col("na") * F.col("nb")).alias("corr"))
+    if consecutive:  # part i meets i + 1 only: it is a key
+        met = _overlaid(img.withColumn("__part", F.col(part) + 1), img.withColumn("__part", F.col(part)), reach, (*keys, "__part"))
+    else:
+        met = _overlaid(img, img, reach, keys).where(F.col(part) < F.col(f"o_{part}"))
+    return met.groupBy(*keys, F.col(part).alias("i"), F.col(f"o_{part}").alias("j"), "dx", "dy").agg(F.sum(F.col("n") * F.col("o_n")).alias("corr"))
 
 
 def peaks(corr: DataFrame, bin_: int, keys: tuple[str, ...] = ("cell",)) -> DataFrame:
@@ -182,8 +182,8 @@ def undrift_aim(df: DataFrame, n_frames: int, segmentation: int, intersect: int
     # how often a place is occupied by corrected segments: segment s lies where (dx, dy) brings it onto most of these
     own = cut(_occupied(right, intersect, "seg"))
     every = own.groupBy("cell", "x_m", "y_m").agg(F.count("*").alias("weight"))
-    met = _offsets(own.select("cell", F.col("seg").alias("i"), F.lit(1).alias("na"), *_bins(intersect)), reach).join(every.select("cell", F.col("weight").alias("nb"), *_bins(intersect)), ["cell", "gx", "gy"])
-    corr = met.groupBy("cell", "i", F.lit(0).alias("j"), "dx", "dy").agg(F.sum("nb").alias("corr"))
+    met = _overlaid(own.select("cell", F.col("seg").alias("i"), *_bins(intersect)), every.select("cell", F.col("weight").alias("nb"), *_bins(intersect)), reach, ("cell",))
+    corr = met.groupBy("cell", "i", F.lit(0).alias("j"), "dx", "dy").agg(F.sum("o_nb").alias("corr"))
     rest = peaks(corr, intersect).select("cell", middle("i"), (-F.col("sx")).alias("rx"), (-F.col("sy")).alias("ry"))
     both = interpolate(one.join(rest, ["cell", "frame"], "left"), ["cell"], "frame", "rx", "ry")
     return both.select("cell", "frame", (F.col("dx") + F.coalesce("rx", F.lit(0.0))).alias("dx"), (F.col("dy") + F.coalesce("ry", F.lit(0.0))).alias("dy"))

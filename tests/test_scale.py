@@ -217,3 +217,15 @@ def test_saved_tables_are_not_broadcast_for_the_size_of_their_files(spark):
     saved = io.cut(spark.range(2_000_000).select((F.col("id") % 9).alias("cell"), F.pmod(F.xxhash64("id"), F.lit(128)).alias("gx"), F.pmod(F.xxhash64("id"), F.lit(999)).alias("n")))
     plan = saved.join(spark.range(9_000_000).select((F.col("id") % 9).alias("cell")), "cell")._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" not in plan  # a file of less than 10 MB, 64 MB of rows
+
+
+def test_correlation_copies_rows_to_grid_cells_and_not_to_offsets(locs, rows):
+    got = drift.correlation(locs, "channel", 100, 6)
+    assert "explode([[" not in got._jdf.queryExecution().optimizedPlan().toString()  # 13 x 13 copies of a row, which a broadcast took for one
+    want = {}
+    for a in rows:
+        for b in rows:
+            dx, dy = b[3] // 100 - a[3] // 100, b[4] // 100 - a[4] // 100
+            if a[1] == b[1] and a[5] < b[5] and max(abs(dx), abs(dy)) <= 6:
+                want[a[1], a[5], b[5], dx, dy] = want.get((a[1], a[5], b[5], dx, dy), 0) + 1
+    assert {tuple(r)[:5]: r["corr"] for r in got.collect()} == want
