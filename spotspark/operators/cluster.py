@@ -379,7 +379,7 @@ def occupied_area(df: DataFrame, pixel: int, keys: tuple[str, ...] = ("cell", "g
     """(keys, n, area, density) of each group: area of the pixels (square of side `pixel`) that hold its points, in square pixels
     of the camera. Pixels are counted with partial sums."""
     at = df.where(F.col("group") >= 0).groupBy(*keys, F.floor(F.col("x_m") / pixel).alias("i"), F.floor(F.col("y_m") / pixel).alias("j")).agg(F.count("*").alias("n"))
-    out = at.groupBy(*keys).agg(F.sum("n").alias("n"), (F.count("*") * F.lit((pixel / 1000.0) ** 2)).alias("area"))
+    out = at.groupBy(*keys).agg(F.sum("n").alias("n"), (F.count("*") * F.lit(pixel * pixel / 1e6)).alias("area"))
     return out.withColumn("density", F.when(F.col("area") > 0, F.col("n") / F.col("area")))
 
 
