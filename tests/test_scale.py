@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from spotspark import queries
 from spotspark.operators import cluster, drift, frames, neighbors, quantiles, ripley
 from spotspark.plans import grid, pyramid
 from spotspark.sources import io
@@ -229,3 +230,24 @@ def test_correlation_copies_rows_to_grid_cells_and_not_to_offsets(locs, rows):
             if a[1] == b[1] and a[5] < b[5] and max(abs(dx), abs(dy)) <= 6:
                 want[a[1], a[5], b[5], dx, dy] = want.get((a[1], a[5], b[5], dx, dy), 0) + 1
     assert {tuple(r)[:5]: r["corr"] for r in got.collect()} == want
+
+
+def test_controls_drawn_in_their_task_equal_joined_ones(spark, locs):
+    own = locs.withColumns({"x_m": F.col("x_m") + 2000, "y_m": F.col("y_m") + 2000})
+    mask = ripley.occupancy_mask(own, 250, 128)
+    plan = ripley.ripley_controls(own, [0, 50, 200], mask, 250, 7)
+    assert "loc_id" not in plan._jdf.queryExecution().optimizedPlan().toString().split("FlatMapCoGroups")[0]  # no table of points is met with another
+    drawn, joined = (sorted(map(tuple, ripley.ripley_controls(own, [0, 50, 200], mask, 250, 7, n).collect())) for n in (neighbors.CELL_ROWS, 0))
+    assert drawn == joined and len(drawn) == 2 * 7 * 9 * 3
+
+
+def test_density_at_the_threshold_is_large(spark):
+    d = spark.createDataFrame([(0, 0, k % 40 * 50, 0) for k in range(42)], "cell long, group int, x_m long, y_m long")
+    area = cluster.occupied_area(d, 50)
+    assert [(r["density"], r["class"]) for r in cluster.split_by_threshold(area, "density", 420).collect()] == [(420.0, "large")]
+
+
+def test_ties_of_quotients_are_rounded_by_their_value(spark):
+    below = np.nextafter(15.84375, 0)
+    d = spark.createDataFrame([(float(below),), (15.84375,), (15.84374,)], "v double")
+    assert [r[0] for r in d.select(queries.to_4(F.col("v"))).collect()] == [15.8438, 15.8438, 15.8437]
