@@ -251,3 +251,17 @@ def test_ties_of_quotients_are_rounded_by_their_value(spark):
     below = np.nextafter(15.84375, 0)
     d = spark.createDataFrame([(float(below),), (15.84375,), (15.84374,)], "v double")
     assert [r[0] for r in d.select(queries.to_4(F.col("v"))).collect()] == [15.8438, 15.8438, 15.8437]
+
+
+def test_jittered_controls_counted_in_their_task_equal_joined_ones(spark, locs):
+    got = ripley.jittered_rings(locs, [0, 50, 200], 7, 300)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "control_id" not in plan  # controls were saved, copied to grid cells and met in pairs
+    moved, joined = (sorted(map(tuple, ripley.jittered_rings(locs, [0, 50, 200], 7, 300, n).collect())) for n in (4096, 0))
+    assert moved == joined and sum(r[-1] for r in moved) == 2 * 9 * 2 * 7
+    jittered = [(r["cell"], r["control_id"], r["x_m"], r["y_m"], r["channel"]) for r in ripley.jitter_control(locs, 7, 300).collect()]
+    c, k, x, y, ch = np.array(jittered).T
+    one = [i for i in range(len(c)) if (c[i], k[i]) == (1, 3)]
+    d2 = (x[one][:, None] - x[one]) ** 2 + (y[one][:, None] - y[one]) ** 2
+    far = int(((d2 > 2500) & (d2 <= 40_000))[np.ix_(ch[one] == 0, ch[one] == 2)].sum())
+    assert far in [r[5] for r in moved if r[:4] == (1, 0, 2, 50)]
