@@ -243,16 +243,15 @@ def condensed_clusters(n: int, edges: list[tuple[float, int, int]], least: int)
 
 
 def hdbscan(df: DataFrame, min_cluster: int, min_samples: int, cut_radius: int) -> DataFrame:
-    """(loc_id, cell, part, label). Points within the cut radius of each other make a part (C1's components); the tree of
-    each part is condensed in one task, so the cut radius bounds what a task holds."""
+    """(loc_id, cell, part, label). Points within the cut radius of each other make a part (C1 with one point enough), numbered in its
+    cell; the tree of each part is condensed in one task, so the cut radius bounds what a task holds."""
     from .neighbors import knn
 
     p = df.select("loc_id", "x_m", "y_m", "cell")
     near = knn(df, min_samples - 1)
     core = near.where(F.col("k") == min_samples - 1).select("loc_id", F.col("d").alias("core"))
-    met = pairs_within(p, p, cut_radius, ("cell",)).where("loc_id <> o_loc_id").select(F.col("loc_id").alias("a"), F.col("o_loc_id").alias("b"))
-    part = components(p.select(F.col("loc_id").alias("id")), met)
-    rows = p.join(core, "loc_id").join(part.select(F.col("id").alias("loc_id"), F.col("label").alias("part")), "loc_id")
+    part = dbscan(p, cut_radius, 1).select("loc_id", F.col("group").cast("long").alias("part"))
+    rows = p.join(core, "loc_id").join(part, "loc_id")
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("loc_id").reset_index(drop=True)

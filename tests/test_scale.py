@@ -265,3 +265,15 @@ def test_jittered_controls_counted_in_their_task_equal_joined_ones(spark, locs):
     d2 = (x[one][:, None] - x[one]) ** 2 + (y[one][:, None] - y[one]) ** 2
     far = int(((d2 > 2500) & (d2 <= 40_000))[np.ix_(ch[one] == 0, ch[one] == 2)].sum())
     assert far in [r[5] for r in moved if r[:4] == (1, 0, 2, 50)]
+
+
+def test_parts_of_hdbscan_are_found_without_pairs_of_points(spark, locs, rows, monkeypatch):
+    """Half of all points lie in one place: pairs within the cut radius are many times the points."""
+    saved = []
+    before = cluster.components
+    monkeypatch.setattr(cluster, "components", lambda nodes, edges: saved.append(edges.count()) or before(nodes, edges))
+    own = [r for r in rows if r[1] == 1]
+    got = {(r["part"], r["loc_id"]) for r in cluster.hdbscan(locs.where("cell = 1"), 8, 5, 90).collect()}
+    want = plain_dbscan(own, 90, 1)
+    assert sum(saved) < 10 * len(own) < (far(own) <= 90 * 90).sum()
+    assert got == {(want[r[0]], r[0]) for r in own}
