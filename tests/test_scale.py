@@ -272,8 +272,8 @@ def test_parts_of_hdbscan_are_found_without_pairs_of_points(spark, locs, rows, m
     saved = []
     before = cluster.components
     monkeypatch.setattr(cluster, "components", lambda nodes, edges: saved.append(edges.count()) or before(nodes, edges))
-    own = [r for r in rows if r[1] == 1]
-    got = {(r["part"], r["loc_id"]) for r in cluster.hdbscan(locs.where("cell = 1"), 8, 5, 90).collect()}
+    own = [r for r in rows if r[1] == 0]
+    got = {(r["part"], r["loc_id"]) for r in cluster.hdbscan(locs.where("cell = 0"), 8, 5, 90).collect()}
     want = plain_dbscan(own, 90, 1)
     assert sum(saved) < 10 * len(own) < (far(own) <= 90 * 90).sum()
     assert got == {(want[r[0]], r[0]) for r in own}
