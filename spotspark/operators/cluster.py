@@ -10,9 +10,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..plans.grid import pairs_within
 from ..plans.pyramid import OPEN, touching
+from ..plans.subcells import clustered
 from ..sources.io import cut, numbered, small, small_count
 
 
@@ -32,12 +34,33 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return state
 
 
-def dbscan(df: DataFrame, eps: int, minpts: int, dims: tuple[str, ...] = ("x_m", "y_m"), keys: tuple[str, ...] = ("cell",)) -> DataFrame:
+#: Rows of a dataset that dbscan clusters in one task.
+WHOLE = 20_000
+
+
+def dbscan(df: DataFrame, eps: int, minpts: int, dims: tuple[str, ...] = ("x_m", "y_m"), keys: tuple[str, ...] = ("cell",), whole: int = WHOLE) -> DataFrame:
     """Df with group (-1: noise). Distances include eps, a point counts itself; border points go to the least label.
 
     keys: datasets that are clustered side by side in one call, such as (origin, iter, cell) for data and all their controls (controls_beside);
     loc_id is unique within them, and groups are numbered within them by their least core loc_id.
 
+    Datasets of up to `whole` rows are shuffled once, by their keys and with all columns of df (select those you need), and clustered many at a
+    time in the tasks they come to; larger ones are clustered by joins of their sub-cells, for which no task holds a dataset.
+    """
+    large = cut(df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > whole).select(*keys))
+    own = df
+    if not large.isEmpty():
+        large = small(large)
+        own = df.join(large, list(keys), "left_anti").select(*df.columns)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = StructType([*df.schema.fields, StructField("group", IntegerType())])
+    out = own.repartition(tasks, *keys).sortWithinPartitions(*keys).mapInArrow(clustered(keys, dims, eps, minpts), schema)
+    return out if own is df else out.unionByName(_joined(df.join(large, list(keys), "left_semi").select(*df.columns), eps, minpts, dims, keys))
+
+
+def _joined(df: DataFrame, eps: int, minpts: int, dims: tuple[str, ...], keys: tuple[str, ...]) -> DataFrame:
+    """C1 by joins, for datasets of any size.
+
     Two points of one sub-cell of side eps / sqrt(dims) are within eps of each other. So all points of a sub-cell with minpts points are
     core without a count, and all core points of a sub-cell are one node. Two nodes are linked by a test of the boxes around their points,
     then of their quadrants, which ends at the first pair within eps: core points are not paired. Points of thin sub-cells (fewer than

@@ -3,12 +3,13 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from spotspark import queries
 from spotspark.operators import cluster, drift, frames, neighbors, quantiles, ripley
-from spotspark.plans import grid, pyramid
+from spotspark.plans import grid, pyramid, subcells
 from spotspark.sources import io
 
 
@@ -277,3 +278,30 @@ def test_parts_of_hdbscan_are_found_without_pairs_of_points(spark, locs, rows, m
     want = plain_dbscan(own, 90, 1)
     assert sum(saved) < 10 * len(own) < (far(own) <= 90 * 90).sum()
     assert got == {(want[r[0]], r[0]) for r in own}
+
+
+def test_dbscan_in_one_task_equals_joins(locs, rows):
+    plan = cluster.dbscan(locs, 90, 6)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan  # a dataset's rows were copied to grid cells, met in pairs and joined to their groups
+    dims = ("x_m", "y_m", "channel")
+    # 400: three of four datasets in their task, the largest by joins
+    held, mixed = (sorted(map(tuple, cluster.dbscan(locs, 90, 6, dims, ("iter", "cell"), n).select("iter", "cell", "loc_id", "group").collect())) for n in (20_000, 400))
+    assert held == mixed and len(held) == len(rows) and {r[3] for r in held} > {-1, 0}
+
+
+@pytest.mark.parametrize("chunk, pairs", [(1, 1), (700, 50), (1 << 16, 1 << 20)])
+def test_groups_of_sub_cells_equal_brute_force(rows, chunk, pairs, monkeypatch):
+    monkeypatch.setattr(subcells, "CHUNK", chunk)
+    monkeypatch.setattr(subcells, "PAIRS", pairs)
+    own = [(*r[:3], r[3] + (1 << 30) * (r[0] % 2), *r[4:]) for r in rows] if chunk > 1 else rows[:400]  # sub-cells far apart
+    table = pa.table({n: [r[k] for r in sorted(own, key=lambda r: r[2])] for k, n in enumerate(("loc_id", "cell", "iter", "x_m", "y_m"))})
+    got = pa.Table.from_batches(subcells.clustered(("iter",), ("x_m", "y_m"), 90, 6)(iter(table.to_batches(max_chunksize=97)))).to_pylist()
+    for it in (0, 1):
+        assert {r["loc_id"]: r["group"] for r in got if r["iter"] == it} == plain_dbscan([r for r in own if r[2] == it], 90, 6)
+
+
+def test_dbscan_leaves_rows_without_key_or_place_alone(spark):
+    rows = [(i, 0 if i < 9 else None, 5, None if i == 3 else 5 + i) for i in range(12)]
+    d = spark.createDataFrame(rows, "loc_id long, cell long, x_m long, y_m long")
+    got = {r["loc_id"]: r["group"] for r in cluster.dbscan(d, 2, 3).collect()}
+    assert got == {i: 0 if i < 9 and i != 3 else -1 for i in range(12)}
