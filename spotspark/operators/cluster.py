@@ -156,8 +156,10 @@ def smlm_cluster(df: DataFrame, radius: int, min_locs: int, basic_fa: bool = Fal
     # pairs are met again rather than written: each time they end in a partial aggregate
     count = met(p, p).groupBy("loc_id").agg(F.count("*").alias("n"))
     counted = cut(p.join(count, "loc_id"))
-    best = met(counted, counted).groupBy("loc_id").agg(F.max(F.struct("o_n", (-F.col("o_loc_id")).alias("first"))).alias("best"))
-    peaks = cut(best.where(-F.col("best.first") == F.col("loc_id")).select("loc_id"))
+    # one flag a point: the greatest struct of its neighbours would be a sort of all pairs before they are aggregated
+    beaten = (F.col("o_n") > F.col("n")) | ((F.col("o_n") == F.col("n")) & (F.col("o_loc_id") < F.col("loc_id")))
+    best = met(counted, counted).groupBy("loc_id").agg(F.max(beaten).alias("beaten"))
+    peaks = cut(best.where(~F.col("beaten")).select("loc_id"))
     joined = met(p.join(peaks, "loc_id"), p).groupBy("cell", F.col("o_loc_id").alias("loc_id")).agg(F.min_by("loc_id", F.struct("d2", "loc_id")).alias("peak"))
     if not basic_fa:
         many = joined.groupBy("peak").agg(F.count("*").alias("n")).where(F.col("n") >= min_locs).select("peak")

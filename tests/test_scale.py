@@ -305,3 +305,22 @@ def test_dbscan_leaves_rows_without_key_or_place_alone(spark):
     d = spark.createDataFrame(rows, "loc_id long, cell long, x_m long, y_m long")
     got = {r["loc_id"]: r["group"] for r in cluster.dbscan(d, 2, 3).collect()}
     assert got == {i: 0 if i < 9 and i != 3 else -1 for i in range(12)}
+
+
+def test_peaks_are_found_without_a_sort_of_pairs(locs, rows, monkeypatch):
+    """Half of all points lie in one place: pairs within the radius are many times the points."""
+    plans = []
+    before = cluster.cut
+    monkeypatch.setattr(cluster, "cut", lambda df, *name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or before(df, *name))
+    got = {r["loc_id"]: r["peak"] for r in cluster.smlm_cluster(locs, 90, 6).collect()}
+    assert len(plans) == 2 and not any("SortAggregate" in p for p in plans)
+    want = {}
+    for cell in (0, 1):
+        own = [r for r in rows if r[1] == cell]
+        d2, ids = far(own), [r[0] for r in own]
+        near = d2 <= 90 * 90
+        n = near.sum(1)
+        peaks = [i for i in range(len(own)) if max((n[j], -ids[j]) for j in np.flatnonzero(near[i])) == (n[i], -ids[i])]
+        want |= {ids[i]: min((d2[i, k], ids[k]) for k in peaks if near[i, k])[1] for i in range(len(own)) if any(near[i, k] for k in peaks)}
+    size = {p: list(want.values()).count(p) for p in set(want.values())}
+    assert got == {i: p for i, p in want.items() if size[p] >= 6} and len(got) > 300
