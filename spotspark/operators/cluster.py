@@ -34,8 +34,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return state
 
 
-#: Rows of a dataset that dbscan clusters in one task.
-WHOLE = 20_000
+#: Rows of a dataset that dbscan clusters in one task, which holds some hundred bytes a row and does not open the pairs of crowded places.
+WHOLE = 250_000
 
 
 def dbscan(df: DataFrame, eps: int, minpts: int, dims: tuple[str, ...] = ("x_m", "y_m"), keys: tuple[str, ...] = ("cell",), whole: int = WHOLE) -> DataFrame:

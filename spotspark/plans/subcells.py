@@ -1,7 +1,8 @@
 """DBSCAN of datasets in the task they were dealt to: the sub-cells of C1, by arrays over many datasets at once.
 
 A task holds its rows in the order of their keys and takes whole datasets, CHUNK rows of them together: the number of the dataset is part of a
-sub-cell's code, so no dataset costs a call of its own. Pairs of points are made PAIRS at a time and only where boxes leave a doubt.
+sub-cell's code, so no dataset costs a call of its own. Pairs of points are made PAIRS at a time and only where boxes leave a doubt; two
+sub-cells with more than OPEN pairs of core points are told by their quadrants, so crowded places do not cost their pairs.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ import pyarrow.compute as pc
 
 #: Rows that are clustered together, and pairs of points that are held at once.
 CHUNK, PAIRS = 1 << 16, 1 << 20
+#: Pairs of points of two sub-cells, or of two of their quadrants, that are opened.
+OPEN = 1 << 10
 
 
 def _met(first: np.ndarray, length: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -116,20 +119,61 @@ def _links(nodes: _Cells, at: list[np.ndarray], low: list[np.ndarray], high: lis
     """Pairs of sub-cells (a, b) that hold core points within eps: told by their boxes, else by pairs of points."""
     both = [nodes.find(nodes.code + s) for s in shifts]
     a, b = (np.concatenate([x[k] for x in both]) for k in (0, 1))
-    square = lambda gaps: sum(g * g for g in gaps)
-    open_ = square(np.maximum(np.maximum(lo[a] - hi[b], lo[b] - hi[a]), 0) for lo, hi in zip(low, high, strict=True)) <= eps * eps
-    a, b = a[open_], b[open_]
-    linked = square(np.maximum(hi[a] - lo[b], hi[b] - lo[a]) for lo, hi in zip(low, high, strict=True)) <= eps * eps
+    least, most = _apart(low, high, a, b)
+    open_ = least <= eps * eps
+    a, b, linked = a[open_], b[open_], (most <= eps * eps)[open_]
     doubt = np.flatnonzero(~linked)
-    for pair, one in _met(nodes.first[a[doubt]], nodes.n[a[doubt]]):
-        to = b[doubt[pair]]
-        can = square(np.maximum(np.maximum(lo[to] - x[one], x[one] - hi[to]), 0) for x, lo, hi in zip(at, low, high, strict=True)) <= eps * eps
-        pair, one, to = pair[can], one[can], to[can]
-        for row, other in _met(nodes.first[to], nodes.n[to]):
-            linked[doubt[pair[row[_d2(at, one[row], other) <= eps * eps]]]] = True
+    linked[doubt] = _touching(nodes.first, nodes.n, at, low, high, a[doubt], b[doubt], eps)
     return a[linked], b[linked]
 
 
+def _apart(low: list[np.ndarray], high: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and most squared distance of a point in each box a and one in the box b beside it."""
+    square = lambda gaps: sum(g * g for g in gaps)
+    least = square(np.maximum(np.maximum(lo[a] - hi[b], lo[b] - hi[a]), 0) for lo, hi in zip(low, high, strict=True))
+    return least, square(np.maximum(hi[a] - lo[b], hi[b] - lo[a]) for lo, hi in zip(low, high, strict=True))
+
+
+def _touching(first: np.ndarray, n: np.ndarray, at: list[np.ndarray], low: list[np.ndarray], high: list[np.ndarray], a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
+    """For each pair of runs of points (a, b) whose boxes leave a doubt: whether they hold points within eps. Up to OPEN pairs of points are
+    opened; runs with more are split at the middle of their boxes, until the boxes tell."""
+    linked, d = np.zeros(len(a), bool), len(at)
+    few = n[a] * n[b] <= OPEN
+    some = np.flatnonzero(few)
+    for pair, one in _met(first[a[some]], n[a[some]]):
+        to = b[some[pair]]
+        can = sum(np.maximum(np.maximum(lo[to] - x[one], x[one] - hi[to]), 0) ** 2 for x, lo, hi in zip(at, low, high, strict=True)) <= eps * eps
+        pair, one, to = pair[can], one[can], to[can]
+        for row, other in _met(first[to], n[to]):
+            linked[some[pair[row[_d2(at, one[row], other) <= eps * eps]]]] = True
+    many, quadrants = np.flatnonzero(~few), np.arange(1 << d)
+    step = max(1, PAIRS >> 2 * d)
+    for pair in (many[k : k + step] for k in range(0, len(many), step)):
+        runs = np.unique(np.concatenate([a[pair], b[pair]]))
+        own = np.repeat(np.arange(len(runs)), n[runs])
+        place = np.arange(len(own)) + np.repeat(first[runs] - np.cumsum(n[runs]) + n[runs], n[runs])
+        code = own << d
+        for k, (x, lo, hi) in enumerate(zip(at, low, high, strict=True)):
+            middle = lo[runs] + (hi[runs] - lo[runs]) / 2
+            middle = np.where(middle < hi[runs], middle, lo[runs])  # the highest point is always above it
+            code |= (x[place] > middle[own]).astype(np.int64) << k
+        by = np.argsort(code, kind="stable")
+        parts, inside = _Cells(code[by]), [x[place[by]] for x in at]
+        lows, highs = ([f.reduceat(x, parts.first) for x in inside] for f in (np.minimum, np.maximum))
+        part = np.full(len(runs) << d, -1)
+        part[parts.code] = np.arange(len(parts.code))
+        of_a, of_b = (part[(np.searchsorted(runs, side[pair]) << d)[:, None] + quadrants] for side in (a, b))
+        whose, left, right = np.repeat(pair, 1 << 2 * d), np.repeat(of_a, 1 << d, axis=1).ravel(), np.tile(of_b, 1 << d).ravel()
+        met = (left >= 0) & (right >= 0)
+        whose, left, right = whose[met], left[met], right[met]
+        least, most = _apart(lows, highs, left, right)
+        linked[whose[most <= eps * eps]] = True
+        doubt = (least <= eps * eps) & ~linked[whose]
+        if doubt.any():
+            linked[whose[doubt][_touching(parts.first, parts.n, inside, lows, highs, left[doubt], right[doubt], eps)]] = True
+    return linked
+
+
 def _components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Least node reachable over the links of a and b, for each of n nodes."""
     label = np.arange(n)

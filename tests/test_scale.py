@@ -324,3 +324,40 @@ def test_peaks_are_found_without_a_sort_of_pairs(locs, rows, monkeypatch):
         want |= {ids[i]: min((d2[i, k], ids[k]) for k in peaks if near[i, k])[1] for i in range(len(own)) if any(near[i, k] for k in peaks)}
     size = {p: list(want.values()).count(p) for p in set(want.values())}
     assert got == {i: p for i, p in want.items() if size[p] >= 6} and len(got) > 300
+
+
+@pytest.mark.parametrize("bound", [1, 6, 1 << 10])
+def test_groups_of_quadrants_equal_brute_force(rows, bound, monkeypatch):
+    monkeypatch.setattr(subcells, "OPEN", bound)
+    monkeypatch.setattr(subcells, "PAIRS", 300)
+    for dims, turn in ((2, 1), (2, 0.37), (3, 1)):
+        at = [np.array([r[3 + k] for r in rows]) * turn if k < 2 else np.array([r[5] * 30 for r in rows]) for k in range(dims)]
+        got = subcells.groups(np.zeros(len(rows), np.int64), np.array([r[0] for r in rows]), at, 90 * turn, 6)
+        near = sum((x[:, None] - x[None]) ** 2 for x in at) <= (90 * turn) ** 2
+        monkeypatch.setattr(f"{__name__}.far", lambda _, near=near: np.where(near, 0, 2))
+        assert dict(zip((r[0] for r in rows), got.tolist(), strict=True)) == plain_dbscan(rows, 1, 6)
+        monkeypatch.undo()
+        monkeypatch.setattr(subcells, "OPEN", bound)
+        monkeypatch.setattr(subcells, "PAIRS", 300)
+
+
+def test_pairs_of_crowded_sub_cells_are_not_opened(monkeypatch):
+    """Two walls of 4,000 points each, just beyond and just within eps of each other."""
+    opened = []
+    before = subcells._d2
+    monkeypatch.setattr(subcells, "_d2", lambda at, a, b: opened.append(len(a)) or before(at, a, b))
+    rng = np.random.default_rng(9)
+    y = rng.uniform(0, 60, 8000)
+    for gap, want in ((101, 2), (99, 1)):
+        x = np.r_[rng.uniform(-20, 0, 4000), gap + rng.uniform(0, 20, 4000)]
+        x[[0, 4000]], y[[0, 4000]] = (0, gap), 30
+        got = subcells.groups(np.zeros(8000, np.int64), np.arange(8000), [x, y], 100, 8)
+        assert len(set(got.tolist())) == want and sum(opened) < 1_000_000
+        opened.clear()
+
+
+def test_datasets_of_40_000_rows_are_clustered_in_their_task(spark):
+    d = spark.range(40_000).select(F.col("id").alias("loc_id"), (F.col("id") % 2 * 0).alias("cell"), (F.col("id") * 48271 % 907).alias("x_m"), (F.col("id") * 69621 % 811).alias("y_m"))
+    got = cluster.dbscan(d, 150, 8)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in got.groupBy("group").count().collect()] == [(0, 40_000)]
