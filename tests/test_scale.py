@@ -352,7 +352,7 @@ def test_pairs_of_crowded_sub_cells_are_not_opened(monkeypatch):
         x = np.r_[rng.uniform(-20, 0, 4000), gap + rng.uniform(0, 20, 4000)]
         x[[0, 4000]], y[[0, 4000]] = (0, gap), 30
         got = subcells.groups(np.zeros(8000, np.int64), np.arange(8000), [x, y], 100, 8)
-        assert len(set(got.tolist())) == want and sum(opened) < 1_000_000
+        assert len(set(got.tolist())) == want and sum(opened) < 100_000
         opened.clear()
 
 
