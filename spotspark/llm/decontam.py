@@ -7,8 +7,8 @@ word by word with the text. A pair counts if the aligned equal words are many en
 
 What is joined first is small rows of fixed size (hash, item, place): they are broadcast if their counted rows are under a
 bound; the join is then done in the scan's own stage, with no shuffle of the corpus. Beyond it, hashes are joined by a
-shuffle, and hits meet their texts again by (doc_id, hash of the text). Items come in after the hits, by a broadcast if their
-counted bytes are few. Both ways give the same rows.
+shuffle. Diagonals are aggregated where they are found and carry no words; they meet their texts again by (doc_id, hash of the
+text), and items come in last, by a broadcast if their counted bytes are few. Both ways give the same rows.
 
 Defined cases: null texts have no words; texts with fewer words than the shortest mask's span never match, nor do items with
 fewer than `least` words (they can't have as many equal ones); a null doc_id or item_id is a value of its own and carried as null;
@@ -30,8 +30,8 @@ LEAST, SHARE, ENOUGH = 10, 0.6, 20
 BROADCAST_HASHES, BROADCAST_BYTES = 500_000, 32 << 20
 
 
-def _exploded(df: DataFrame, keys: list[str], carry: bool) -> DataFrame:
-    """(keys, [words,] start, seed): the seeds of all masks at each start with a whole span.
+def _exploded(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, start, seed): the seeds of all masks at each start with a whole span.
 
     The words are exploded and the seeds computed from their array after it, so that all of this and a broadcast join of the
     seeds are one stage of generated code. (Seeds from a lambda over the starts are interpreted: several times slower.)
@@ -46,18 +46,36 @@ def _exploded(df: DataFrame, keys: list[str], carry: bool) -> DataFrame:
         return F.when(F.col("start") + mask[-1] < n, F.xxhash64(F.lit(number), *kept))
 
     seeds = F.explode_outer(F.array(*[seed(k, m) for k, m in enumerate(MASKS)]))
-    return each.select(*keys, *(["words"] if carry else []), "start", seeds.alias("seed")).where(F.col("seed").isNotNull())
+    return each.select(*keys, "start", seeds.alias("seed")).where(F.col("seed").isNotNull())
 
 
-def _equal(words: Column, shift: Column, item: Column) -> Column:
-    """Equal words of the item and of the text along the diagonal."""
-    n = F.size(words)
+#: Rows that the diagonals of one text are dealt to: each splits the text once.
+DEALT = 16
 
-    def same(word: Column, i: Column) -> Column:
-        inside = (i + shift >= 0) & (i + shift < n)
-        return (inside & F.coalesce(F.get(words, i + shift) == word, F.lit(False))).cast("int")
 
-    return F.aggregate(F.transform(item, same), F.lit(0), lambda a, x: a + x)
+def _compared(docs: DataFrame, pairs: DataFrame, known: DataFrame, few_bytes: bool) -> DataFrame:
+    """(doc_id, text_hash, key, n_item, start_word, n_equal) of each diagonal in pairs (doc_id, text_hash, key, n_item, shift).
+
+    Texts that have a diagonal meet a few arrays of them; a diagonal then carries as many words of its text as its item has, never the whole
+    text. Words are compared by exploding the item into a partial aggregate: generated code holds all rows that one row makes until it is
+    done with it, unless an aggregate takes them.
+    """
+    ids = save(pairs.select("text_hash").distinct(), "test-found")
+    texts = keep_ids(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), ids, "text_hash")
+    dealt = pairs.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.pmod("key", F.lit(DEALT)).alias("deal")).agg(F.collect_list(F.struct("key", "n_item", "shift")).alias("pairs"))
+    met = texts.join(dealt, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
+    each = met.select("doc_id", "text_hash", F.split(F.lower("text"), SPLIT).alias("words"), "pairs").select("doc_id", "text_hash", "words", F.explode("pairs").alias("p"))
+    shift = F.col("p.shift")
+    before = F.least(shift, F.lit(0))  # less than 0: so many words of the item lie before the text
+    window = F.slice("words", F.greatest(shift, F.lit(0)) + 1, F.col("p.n_item") + before)
+    lead = F.when(F.get("words", F.lit(0)) == "", 1).otherwise(0)  # what splits off before a text's first word
+    each = each.select("doc_id", "text_hash", F.col("p.key").alias("key"), F.col("p.n_item").alias("n_item"), (shift - lead).alias("start_word"), before.alias("before"), window.alias("window"))
+    item = known.select("key", "item")
+    words = each.join(F.broadcast(item) if few_bytes else item, "key").select("doc_id", "text_hash", "key", "n_item", "start_word", "before", "window", F.posexplode("item").alias("at", "word"))
+    same = F.coalesce(F.get("window", F.col("at") + F.col("before")) == F.col("word"), F.lit(False))
+    # a text whose row repeats meets its diagonals as often
+    n_equal = F.sum(same.cast("int")) / F.sum((F.col("at") == 0).cast("int"))
+    return words.groupBy("doc_id", "text_hash", "key", "n_item", "start_word").agg(n_equal.cast("long").alias("n_equal"))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, share: float = SHARE, enough: int = ENOUGH) -> DataFrame:
@@ -66,36 +84,24 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, share: f
     start_word is the place of the item's first word among the text's words, from 0; it is negative where the text has only the rest.
     """
     bare = F.regexp_replace(F.lower("text"), f"^{SPLIT}|{SPLIT}$", "")
-    items = benchmark.select("item_id", bare.alias("text")).distinct()
-    items = items.select("item_id", F.xxhash64("text").alias("item_hash"), "text", F.split("text", SPLIT).alias("item")).where(F.size("item") >= least)
-    items = save(items, "test-items")
-    # one row for each item, seed and start; equal items or seeds stay apart as they tell different pairs
-    test = _exploded(items, ["item_id", "item_hash"], False).withColumnRenamed("start", "item_start")
+    items = save(benchmark.select("item_id", bare.alias("text")).distinct(), "test-items")
+    # equal texts of items are looked for once
+    known = items.select("text").distinct().select("text", F.split("text", SPLIT).alias("item")).where(F.size("item") >= least)
+    known = save(known.withColumn("key", F.monotonically_increasing_id()), "test-texts")
+    # one row for each text, seed and start; equal seeds stay apart as they tell different pairs
+    test = _exploded(known.withColumn("n_item", F.size("item")), ["key", "n_item"]).withColumnRenamed("start", "item_start")
     few_hashes = test.limit(BROADCAST_HASHES + 1).count() <= BROADCAST_HASHES
-    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    size = known.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     few_bytes = size <= BROADCAST_BYTES and few_hashes  # an item has at least one hash, so its rows are few as well
-    shift = F.col("start") - F.col("item_start")
-    if few_hashes:
-        hits = _exploded(docs.select("doc_id", "text"), ["doc_id"], True).join(F.broadcast(test), "seed")
-        hits = hits.select("doc_id", "words", "item_id", "item_hash", shift.alias("shift"))
-    else:
-        own = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-        pairs = _exploded(own, ["doc_id", "text_hash"], False).join(test, "seed")
-        pairs = save(pairs.select("doc_id", "text_hash", "item_id", "item_hash", shift.alias("shift")).distinct(), "test-hits")
-        texts = own.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.split(F.lower("text"), SPLIT).alias("words")).distinct()
-        hits = pairs.join(texts, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))).drop("d", "h")
-    known = items.select(F.col("item_id").alias("i"), F.col("item_hash").alias("j"), "item")
-    hits = hits.join(F.broadcast(known) if few_bytes else known, F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_hash") == F.col("j")))
-    # Compared in a projection above the join and filtered above the aggregate: a condition with lambdas inside the join
-    # would take it out of generated code, and each exploded row would then copy the words.
-    lead = F.when(F.get("words", F.lit(0)) == "", 1).otherwise(0)  # what splits off before a text's first word
-    hits = hits.select("doc_id", "item_id", F.size("item").alias("n_item"), (F.col("shift") - lead).alias("start_word"), _equal(F.col("words"), F.col("shift"), F.col("item")).alias("n_equal"))
-    best = F.max_by(F.struct("n_item", "start_word"), F.struct("n_equal", -F.col("n_item"), -F.col("start_word")))
-    found = hits.groupBy("doc_id", "item_id").agg(F.max("n_equal").alias("n_equal"), best.alias("best"))
-    whole = [F.col(c).cast("long").alias(n) for c, n in (("n_equal", "n_equal"), ("best.n_item", "n_item"), ("best.start_word", "start_word"))]
-    found = found.select("doc_id", "item_id", *whole)
+    own = _exploded(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), ["doc_id", "text_hash"])
+    hits = own.join(F.broadcast(test) if few_hashes else test, "seed")
+    pairs = save(hits.select("doc_id", "text_hash", "key", "n_item", (F.col("start") - F.col("item_start")).alias("shift")).distinct(), "test-hits")
     enough_words = (F.col("n_equal") >= share * F.col("n_item")) | (F.col("n_equal") >= enough)
-    return found.where((F.col("n_equal") >= least) & enough_words)
+    found = _compared(docs, pairs, known, few_bytes).where((F.col("n_equal") >= least) & enough_words)
+    names = items.join(known.select("text", "key"), "text").select("item_id", "key")
+    best = F.max_by(F.struct("n_equal", "n_item", "start_word"), F.struct("n_equal", -F.col("n_item"), -F.col("start_word")))
+    found = found.join(names, "key").groupBy("doc_id", "item_id").agg(best.alias("best"))
+    return found.select("doc_id", "item_id", *[F.col(f"best.{c}").cast("long").alias(c) for c in ("n_equal", "n_item", "start_word")])
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -274,6 +274,33 @@ def test_decontamination_of_null_and_repeated_ids(spark, monkeypatch, most):
     assert decontam.clean(d, b).count() == 2  # a null and a repeated id whose other rows have a passage
 
 
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_texts_full_of_passages_are_told_by_diagonals_without_words(spark, monkeypatch, most):
+    """Each hit of a long text used to carry all of its words."""
+    rng = random.Random(37)
+    items = [prose(rng, 30) for _ in range(6)]
+    texts = [" ".join(items[rng.randrange(6)] for _ in range(40)), items[1] + " " + prose(rng, 40) + " " + items[1], prose(rng, 50)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    b = spark.createDataFrame([(i + 10 * k, t) for i, t in enumerate(items) for k in range(3)], "item_id long, text string")
+    monkeypatch.setattr(decontam, "BROADCAST_HASHES", most)
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", most)
+    saved, before = {}, decontam.save
+    monkeypatch.setattr(decontam, "save", lambda df, name: saved.setdefault(name, before(df, name)))
+    got = {(r["doc_id"], r["item_id"]): (r["n_equal"], r["start_word"]) for r in decontam.overlaps(d, b).collect()}
+    assert got == {(i, j + 10 * k): v for (i, j), v in brute_overlaps(texts, items).items() for k in range(3)}
+    assert dict(saved["test-hits"].dtypes) == {"doc_id": "bigint", "text_hash": "bigint", "key": "bigint", "n_item": "int", "shift": "int"}
+    assert saved["test-hits"].count() == saved["test-hits"].distinct().count() and {r["doc_id"] for r in saved["test-hits"].collect()} == {0, 1}
+
+
+def test_an_item_of_two_texts_counts_by_the_one_that_is_enough(spark):
+    """As in the SQL: a longer text of the item that has more equal words, but too small a share, does not hide the shorter one."""
+    rng = random.Random(41)
+    short, long_ = prose(rng, 12), prose(rng, 60)
+    text = short + " " + prose(rng, 20) + " " + " ".join(long_.split()[:15])
+    d, b = spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame([(5, short), (5, long_)], "item_id long, text string")
+    assert [tuple(r) for r in decontam.overlaps(d, b).collect()] == [(1, 5, 12, 12, 0)]
+
+
 # ---------------------------------------------------------------- 4
 
 
