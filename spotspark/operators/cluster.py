@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,6 +38,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 #: Rows of a dataset that dbscan clusters in one task, which holds some hundred bytes a row and does not open the pairs of crowded places.
 WHOLE = 250_000
+#: Rows of a cell that hdbscan does in one task, at about 1 KB a row.
+CONDENSED = 500_000
 
 
 def dbscan(df: DataFrame, eps: int, minpts: int, dims: tuple[str, ...] = ("x_m", "y_m"), keys: tuple[str, ...] = ("cell",), whole: int = WHOLE) -> DataFrame:
@@ -174,7 +176,7 @@ def smlm_cluster(df: DataFrame, radius: int, min_locs: int, basic_fa: bool = Fal
     return joined.join(good.select("peak"), "peak").select("loc_id", "cell", "peak")
 
 
-def condensed_clusters(n: int, edges: list[tuple[float, int, int]], least: int) -> np.ndarray:
+def condensed_clusters(n: int, edges: Iterable[tuple[float, int, int]], least: int) -> np.ndarray:
     """Labels by excess of mass of the condensed tree; -1 is noise. Merges are undone from the widest edge down."""
     parent, tree = list(range(n)), []
 
@@ -257,10 +259,10 @@ def condensed_part(x: np.ndarray, y: np.ndarray, core: np.ndarray, least: int) -
     if len(x) < max(least, 2):
         return np.full(len(x), -1)
     w, a, b = spanning_tree(x, y, core)
-    return condensed_clusters(len(x), list(zip(np.sqrt(w).tolist(), a.tolist(), b.tolist(), strict=True)), least)
+    return condensed_clusters(len(x), zip(np.sqrt(w).tolist(), a.tolist(), b.tolist(), strict=True), least)
 
 
-def hdbscan(df: DataFrame, min_cluster: int, min_samples: int, cut_radius: int, whole: int = WHOLE) -> DataFrame:
+def hdbscan(df: DataFrame, min_cluster: int, min_samples: int, cut_radius: int, whole: int = CONDENSED) -> DataFrame:
     """(loc_id, cell, part, label). Points within the cut radius of each other make a part (C1 with one point enough), numbered in its
     cell; the tree of each part is condensed in one task. Points of cells with fewer than min_samples points have no row.
 

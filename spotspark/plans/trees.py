@@ -13,7 +13,7 @@ import numpy as np
 from .subcells import _components
 
 #: Points of a leaf, pairs of points that are compared at once, and leaves that go down the tree together.
-LEAF, PAIRS, TOGETHER = 8, 1 << 20, 1 << 11
+LEAF, PAIRS, TOGETHER = 8, 1 << 17, 1 << 11
 #: Points whose tree is found from all their distances at once (8 MB).
 FEW = 1 << 10
 
